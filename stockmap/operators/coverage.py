@@ -307,8 +307,8 @@ def transshipment_pairs(metrics: DataFrame, stocks: DataFrame, target_per_1000:
     surplus = doses − target·pop/1000 (> 0 donors), deficit = the opposite.
     Donor search is the grid nearest-site plan, not an all-pairs join.
     """
-    m = metrics.join(stocks.select(F.col("site_id").alias("nearest_site_id"), "latitude", "longitude"),
-                     "nearest_site_id")
+    m = metrics.drop("latitude", "longitude").join(
+        stocks.select(F.col("site_id").alias("nearest_site_id"), "latitude", "longitude"), "nearest_site_id")
     bal = m.withColumn("balance", F.col("total_doses") - F.lit(target_per_1000) * F.col("total_population_served") / 1000)
     donors = bal.where(F.col("balance") > 0).select(
         F.col("nearest_site_id").alias("donor_site_id"), "latitude", "longitude",

@@ -70,3 +70,138 @@ def q_access_by_zip(spark, sf_dir):
 @query("access_by_site")
 def q_access_by_site(spark, sf_dir):
     return _r6(metrics_of(spark, sf_dir), "pop_weighted_distance_km", "doses_per_1000_people")
+
+
+# ---------------------------------------------------------------- zones, census
+
+ALL_STATES = ("TX", "CA", "FL", "NY", "WA")
+
+
+def _scratch(spark: SparkSession, label: str) -> str:
+    from stockmap.session import scratch_dir
+    from stockmap.sources.files import unique_dir
+    return unique_dir(scratch_dir(spark, "stockmap/io"), label)
+
+
+def census_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.census_raw(spark, sf_dir).withColumnRenamed("zcta", "zip code tabulation area")
+
+
+@query("zip_prefix_filter")
+def q_zip_prefix_filter(spark, sf_dir):
+    z = fx.zones(spark, sf_dir).select("zip_code", "latitude", "longitude", "total_pop")
+    return cov.zip_prefix_filter(z, ALL_STATES)
+
+
+@query("zip_centroids")
+def q_zip_centroids(spark, sf_dir):
+    g = fx.zones(spark, sf_dir).select(F.col("zip_code").alias("GEOID"), F.col("latitude").alias("INTPTLAT"),
+                                       F.col("longitude").alias("INTPTLONG"))
+    return cov.zip_centroids(g, ("WA", "NY"))
+
+
+@query("coerce_numeric")
+def q_coerce_numeric(spark, sf_dir):
+    return cov.coerce_numeric(fx.census_raw(spark, sf_dir), ["DP05_0001E", "DP03_0062E", "DP03_0128PE"])
+
+
+@query("zip_population")
+def q_zip_population(spark, sf_dir):
+    cen = fx.zones(spark, sf_dir).select("zip_code", "latitude", "longitude")
+    return cov.zip_population(census_table(spark, sf_dir), cen, ALL_STATES)
+
+
+@query("gazetteer_scan")
+def q_gazetteer_scan(spark, sf_dir):
+    from stockmap.sources.files import read_gazetteer, write_gazetteer
+    path = _scratch(spark, "gazetteer")
+    g = fx.zones(spark, sf_dir).select(F.col("zip_code").alias("GEOID"), F.col("latitude").alias("INTPTLAT"),
+                                       F.col("longitude").alias("INTPTLONG"))
+    write_gazetteer(g, path)
+    return cov.zip_centroids(read_gazetteer(spark, path), ALL_STATES)
+
+
+@query("json_matrix_scan")
+def q_json_matrix_scan(spark, sf_dir):
+    from stockmap.sources.files import read_json_matrix, write_json_matrix
+    path = _scratch(spark, "census-json")
+    write_json_matrix(census_table(spark, sf_dir), path)
+    cen = fx.zones(spark, sf_dir).select("zip_code", "latitude", "longitude")
+    return cov.zip_population(read_json_matrix(spark, path), cen, ALL_STATES)
+
+
+@query("cached_raw")
+def q_cached_raw(spark, sf_dir):
+    from stockmap.sources.files import cached
+    path = _scratch(spark, "census-cache")
+    first = cached(fx.census_raw(spark, sf_dir), path)
+    first.count()
+    return cached(fx.census_raw(spark, sf_dir).limit(0), path)  # second call reads the cache, not its input
+
+
+# ---------------------------------------------------------------- summaries, ranks, decisions
+
+@query("stock_summary")
+def q_stock_summary(spark, sf_dir):
+    return _r6(cov.stock_summary(stocks_of(spark, sf_dir)), "mean_doses")
+
+
+@query("coverage_summary")
+def q_coverage_summary(spark, sf_dir):
+    return _r6(cov.coverage_summary(access_of(spark, sf_dir)), "mean_distance_miles", "max_distance_miles")
+
+
+@query("site_summary")
+def q_site_summary(spark, sf_dir):
+    return _r6(cov.site_summary(metrics_of(spark, sf_dir)), "mean_population_served", "mean_doses_per_1000")
+
+
+_METRIC_FLOATS = ("pop_weighted_distance_km", "doses_per_1000_people")
+
+
+@query("best_stocked")
+def q_best_stocked(spark, sf_dir):
+    return _r6(cov.best_stocked(metrics_of(spark, sf_dir), 10), *_METRIC_FLOATS)
+
+
+@query("most_understocked")
+def q_most_understocked(spark, sf_dir):
+    return _r6(cov.most_understocked(metrics_of(spark, sf_dir), 10), *_METRIC_FLOATS)
+
+
+@query("stock_class")
+def q_stock_class(spark, sf_dir):
+    m = metrics_of(spark, sf_dir).select("nearest_site_id", "doses_per_1000_people")
+    return _r6(cov.stock_class(m), "doses_per_1000_people")
+
+
+@query("coverage_gaps")
+def q_coverage_gaps(spark, sf_dir):
+    a = access_of(spark, sf_dir).select("zip_code", "latitude", "longitude", "population", "nearest_site_id",
+                                        "distance_km")
+    return _r6(cov.coverage_gaps(a, max_km=30.0), "distance_km")
+
+
+@query("restock_priority")
+def q_restock_priority(spark, sf_dir):
+    m = metrics_of(spark, sf_dir).select("nearest_site_id", "total_population_served", "total_doses")
+    return _r6(cov.restock_priority(m, target_per_1000=100.0), "restock_need")
+
+
+@query("equity_by_income")
+def q_equity_by_income(spark, sf_dir):
+    return _r6(cov.equity_by(access_of(spark, sf_dir), fx.zones(spark, sf_dir), "median_income"),
+               "pop_weighted_distance_km")
+
+
+@query("equity_by_poverty")
+def q_equity_by_poverty(spark, sf_dir):
+    return _r6(cov.equity_by(access_of(spark, sf_dir), fx.zones(spark, sf_dir), "poverty_rate"),
+               "pop_weighted_distance_km")
+
+
+@query("transshipment_pairs")
+def q_transshipment_pairs(spark, sf_dir):
+    r = cov.transshipment_pairs(metrics_of(spark, sf_dir), stocks_of(spark, sf_dir), target_per_1000=75.0,
+                                max_km=250.0)
+    return _r6(r, "receiver_deficit", "donor_surplus", "distance_km", "transfer_qty")

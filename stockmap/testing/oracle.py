@@ -33,3 +33,110 @@ SELECT m.nearest_site_id, m.total_population_served, round(m.pop_weighted_distan
   m.zip_codes_served, m.total_doses, round(m.doses_per_1000_people, 6) AS doses_per_1000_people,
   s.site_id, s.zip_code, s.latitude, s.longitude, s.city, s.state_prov
 FROM f_site_metrics m LEFT JOIN f_stocks s ON m.nearest_site_id = s.site_id""", "f_site_metrics", "f_stocks")
+
+ALL_PREFIXES = "('75','76','77','78','79','90','91','92','93','94','95','96','32','33','34','10','11','12','13','14','98','99')"
+
+sql("zip_prefix_filter", f"""
+SELECT zip_code, latitude, longitude, total_pop FROM f_zone WHERE substr(zip_code, 1, 2) IN {ALL_PREFIXES}""",
+    "f_zone")
+
+sql("zip_centroids", """
+SELECT zip_code, latitude, longitude FROM f_zone WHERE substr(zip_code, 1, 2) IN ('98','99','10','11','12','13','14')""",
+    "f_zone")
+
+sql("coerce_numeric", """
+SELECT zcta, TRY_CAST(DP05_0001E AS DOUBLE) AS DP05_0001E, TRY_CAST(DP03_0062E AS DOUBLE) AS DP03_0062E,
+  TRY_CAST(DP03_0128PE AS DOUBLE) AS DP03_0128PE
+FROM (SELECT zip_code AS zcta, COALESCE(CAST(total_pop AS VARCHAR), '-') AS DP05_0001E,
+  CAST(median_income AS VARCHAR) AS DP03_0062E, CAST(poverty_rate AS VARCHAR) AS DP03_0128PE FROM f_zone)""", "f_zone")
+
+_ZIP_POP = f"""
+SELECT zip_code, latitude, longitude, CAST(total_pop AS DOUBLE) AS total_pop, CAST(median_income AS DOUBLE) AS median_income,
+  poverty_rate
+FROM f_zone WHERE substr(zip_code, 1, 2) IN {ALL_PREFIXES}"""
+sql("zip_population", _ZIP_POP, "f_zone")
+sql("json_matrix_scan", _ZIP_POP, "f_zone")
+
+sql("gazetteer_scan", f"""
+SELECT zip_code, latitude, longitude FROM f_zone WHERE substr(zip_code, 1, 2) IN {ALL_PREFIXES}""", "f_zone")
+
+sql("cached_raw", """
+SELECT zip_code AS zcta, COALESCE(CAST(total_pop AS VARCHAR), '-') AS DP05_0001E,
+  CAST(median_income AS VARCHAR) AS DP03_0062E, CAST(poverty_rate AS VARCHAR) AS DP03_0128PE FROM f_zone""", "f_zone")
+
+sql("stock_summary", """
+SELECT count(*) AS sites, CAST(sum(total_doses) AS BIGINT) AS total_doses, round(avg(total_doses), 6) AS mean_doses,
+  min(total_doses) AS min_doses, max(total_doses) AS max_doses FROM f_stocks""", "f_stocks")
+
+sql("coverage_summary", """
+SELECT count(*) AS zip_codes, CAST(sum(population) AS BIGINT) AS total_population,
+  round(avg(distance_miles), 6) AS mean_distance_miles, round(max(distance_miles), 6) AS max_distance_miles
+FROM f_access""", "f_access")
+
+sql("site_summary", """
+SELECT count(*) AS sites, CAST(sum(total_doses) AS BIGINT) AS total_doses,
+  round(avg(total_population_served), 6) AS mean_population_served,
+  round(avg(doses_per_1000_people), 6) AS mean_doses_per_1000 FROM f_site_metrics""", "f_site_metrics")
+
+_METRICS_FULL = """
+SELECT m.nearest_site_id, m.total_population_served, round(m.pop_weighted_distance_km, 6) AS pop_weighted_distance_km,
+  m.zip_codes_served, m.total_doses, round(m.doses_per_1000_people, 6) AS doses_per_1000_people,
+  s.site_id, s.zip_code, s.latitude, s.longitude, s.city, s.state_prov, m.doses_per_1000_people AS raw_ratio
+FROM f_site_metrics m LEFT JOIN f_stocks s ON m.nearest_site_id = s.site_id"""
+
+sql("best_stocked", f"""
+SELECT * EXCLUDE (raw_ratio), CAST(row_number() OVER (ORDER BY raw_ratio DESC NULLS LAST, nearest_site_id) AS INTEGER) AS rank
+FROM ({_METRICS_FULL}) q ORDER BY raw_ratio DESC NULLS LAST, nearest_site_id LIMIT 10""", "f_site_metrics", "f_stocks")
+
+sql("most_understocked", f"""
+SELECT * EXCLUDE (raw_ratio), CAST(row_number() OVER (ORDER BY raw_ratio ASC NULLS LAST, nearest_site_id) AS INTEGER) AS rank
+FROM ({_METRICS_FULL}) q ORDER BY raw_ratio ASC NULLS LAST, nearest_site_id LIMIT 10""", "f_site_metrics", "f_stocks")
+
+sql("stock_class", """
+SELECT nearest_site_id, round(doses_per_1000_people, 6) AS doses_per_1000_people,
+  CASE WHEN doses_per_1000_people > 100 THEN 'WELL_STOCKED' WHEN doses_per_1000_people < 50 THEN 'UNDERSTOCKED'
+       WHEN doses_per_1000_people IS NOT NULL THEN 'BETWEEN' END AS stock_class
+FROM f_site_metrics""", "f_site_metrics")
+
+sql("coverage_gaps", """
+SELECT zip_code, latitude, longitude, population, nearest_site_id, round(distance_km, 6) AS distance_km,
+  CASE WHEN latitude IS NULL OR longitude IS NULL THEN 'NO_LOCATION' WHEN distance_km IS NULL THEN 'NO_SITE'
+       ELSE 'TOO_FAR' END AS gap_reason
+FROM f_access WHERE distance_km IS NULL OR distance_km > 30""", "f_access")
+
+sql("restock_priority", """
+SELECT nearest_site_id, total_population_served, total_doses, round(need, 6) AS restock_need,
+  CAST(row_number() OVER (ORDER BY need DESC, nearest_site_id) AS INTEGER) AS priority
+FROM (SELECT *, greatest(0.0, 100.0 * total_population_served / 1000 - COALESCE(total_doses, 0)) AS need
+      FROM f_site_metrics) q""", "f_site_metrics")
+
+for _name, _col in (("equity_by_income", "median_income"), ("equity_by_poverty", "poverty_rate")):
+    sql(_name, f"""
+WITH cuts AS (SELECT quantile_disc({_col}, [0.25, 0.5, 0.75]) AS q FROM (
+        SELECT a.*, z.{_col} FROM f_access a LEFT JOIN f_zone z USING (zip_code))),
+banded AS (
+  SELECT a.*, CASE WHEN z.{_col} IS NULL THEN NULL WHEN z.{_col} <= c.q[1] THEN 1 WHEN z.{_col} <= c.q[2] THEN 2
+                   WHEN z.{_col} <= c.q[3] THEN 3 ELSE 4 END AS band
+  FROM f_access a LEFT JOIN f_zone z USING (zip_code) CROSS JOIN cuts c)
+SELECT CAST(band AS INTEGER) AS band, count(zip_code) AS zip_codes, CAST(sum(population) AS BIGINT) AS population,
+  round(sum(CASE WHEN population IS NOT NULL THEN distance_km * population END)
+        / NULLIF(CAST(sum(CASE WHEN distance_km IS NOT NULL THEN population END) AS DOUBLE), 0), 6) AS pop_weighted_distance_km
+FROM banded WHERE band IS NOT NULL GROUP BY band""", "f_access", "f_zone")
+
+sql("transshipment_pairs", """
+WITH bal AS (
+  SELECT m.nearest_site_id AS sid, s.latitude, s.longitude,
+         m.total_doses - 75.0 * m.total_population_served / 1000 AS balance
+  FROM f_site_metrics m JOIN f_stocks s ON m.nearest_site_id = s.site_id),
+pairs AS (
+  SELECT r.sid AS receiver_site_id, -r.balance AS receiver_deficit, d.sid AS donor_site_id, d.balance AS donor_surplus,
+    6371 * 2 * atan2(sqrt(a), sqrt(1 - a)) AS distance_km
+  FROM (SELECT r.*, d.sid AS dsid, power(sin(radians(d.latitude - r.latitude) / 2), 2)
+          + cos(radians(r.latitude)) * cos(radians(d.latitude)) * power(sin(radians(d.longitude - r.longitude) / 2), 2) AS a
+        FROM bal r CROSS JOIN bal d WHERE r.balance < 0 AND d.balance > 0) r
+  JOIN bal d ON d.sid = r.dsid),
+best AS (SELECT *, row_number() OVER (PARTITION BY receiver_site_id ORDER BY distance_km, donor_site_id) AS rn FROM pairs)
+SELECT receiver_site_id, round(receiver_deficit, 6) AS receiver_deficit, donor_site_id,
+  round(donor_surplus, 6) AS donor_surplus, round(distance_km, 6) AS distance_km,
+  round(least(receiver_deficit, donor_surplus), 6) AS transfer_qty
+FROM best WHERE rn = 1 AND distance_km <= 250""", "f_site_metrics", "f_stocks")
