@@ -124,9 +124,13 @@ def nearest_site(
     distance_alias: str = "distance_km",
     carry_prefix: str = "",
     levels: Sequence[float] | None = None,
+    zone_key: str | None = None,
 ) -> DataFrame:
     """Append the nearest site (key, distance, carried columns) to every zone row.
 
+    With ``zone_key`` a zone never matches the site with the same key
+    ("nearest other"), and zones are searched per key instead of per location.
+
     Zones with a null coordinate are kept with null results. Sites with a
     null coordinate are never candidates. ``levels`` overrides the cell sizes
     (each must divide 360; the last should be 120 for a global fallback).
@@ -151,9 +155,12 @@ def nearest_site(
         levels = choose_levels(n, (st["b"] or 0) - (st["a"] or 0), (st["d"] or 0) - (st["c"] or 0))
     levels = list(levels)
 
-    # --- distinct zone locations
-    pending = (zones.select(F.col(zone_lat).cast("double").alias("_z_lat"),
-                            F.col(zone_lon).cast("double").alias("_z_lon"))
+    # --- distinct zone locations (or keyed zones for "nearest other")
+    ident = ["_z_lat", "_z_lon"] + (["_z_key"] if zone_key else [])
+    zsel = [F.col(zone_lat).cast("double").alias("_z_lat"), F.col(zone_lon).cast("double").alias("_z_lon")]
+    if zone_key:
+        zsel.append(F.col(zone_key).alias("_z_key"))
+    pending = (zones.select(*zsel)
                .where(F.col("_z_lat").isNotNull() & F.col("_z_lon").isNotNull())
                .distinct())
 
@@ -162,26 +169,28 @@ def nearest_site(
         site_cells = s.select(_lat_cell(F.col("_s_lat"), c).alias("ci"),
                               _lon_cell(F.col("_s_lon"), c).alias("cj"),
                               "_s_lat", "_s_lon", *payload)
-        probes = pending.select("_z_lat", "_z_lon",
+        probes = pending.select(*ident,
                                 F.explode(_neighbour_cells(F.col("_z_lat"), F.col("_z_lon"), c)).alias("_n")
-                                ).select("_z_lat", "_z_lon", F.col("_n.ci").alias("ci"), F.col("_n.cj").alias("cj"))
+                                ).select(*ident, F.col("_n.ci").alias("ci"), F.col("_n.cj").alias("cj"))
         pairs = probes.join(site_cells, ["ci", "cj"])
-        best = (pairs.select("_z_lat", "_z_lon",
+        if zone_key:
+            pairs = pairs.where(F.col("_key") != F.col("_z_key"))
+        best = (pairs.select(*ident,
                              F.struct(haversine_km("_z_lat", "_z_lon", "_s_lat", "_s_lon").alias("_d"),
                                       *payload).alias("_b"))
                 .where(F.col("_b._d").isNotNull())
-                .groupBy("_z_lat", "_z_lon").agg(F.min("_b").alias("_b")))
+                .groupBy(*ident).agg(F.min("_b").alias("_b")))
         if lvl == len(levels) - 1:
             settled_parts.append(best)
             break
         radius = _block_radius_km(F.col("_z_lat"), F.col("_z_lon"), c)
         # One row per pending location with its verdict; materialised so the
         # next level starts from a short plan.
-        verdict = (pending.join(best, ["_z_lat", "_z_lon"], "left")
+        verdict = (pending.join(best, ident, "left")
                    .withColumn("_ok", F.coalesce(F.col("_b._d") < radius - F.lit(1e-9), F.lit(False))))
         verdict = materialize(verdict, f"nearest-level{lvl}")
         settled_parts.append(verdict.where("_ok").drop("_ok"))
-        pending = verdict.where(~F.col("_ok")).select("_z_lat", "_z_lon")
+        pending = verdict.where(~F.col("_ok")).select(*ident)
         if pending.isEmpty():
             break
 
@@ -189,21 +198,18 @@ def nearest_site(
     for part in settled_parts[1:]:
         found = found.unionByName(part)
     found = found.select(
-        "_z_lat", "_z_lon",
+        *ident,
         F.col("_b._key").alias(key_alias),
         F.col("_b._d").alias(distance_alias),
         *[F.col(f"_b._c_{c}").alias(f"{carry_prefix}{c}") for c in carry],
     )
     z = zones.withColumn("_z_lat", F.col(zone_lat).cast("double")).withColumn("_z_lon", F.col(zone_lon).cast("double"))
-    return z.join(found, ["_z_lat", "_z_lon"], "left").drop("_z_lat", "_z_lon")
+    if zone_key:
+        z = z.withColumn("_z_key", F.col(zone_key))
+    return z.join(found, ident, "left").drop(*ident)
 
 
-def nearest_site_bruteforce(zones: DataFrame, sites: DataFrame, *, site_key: str = "site_id",
-                            carry: Sequence[str] = (), zone_lat: str = "latitude", zone_lon: str = "longitude",
-                            site_lat: str = "latitude", site_lon: str = "longitude",
-                            key_alias: str = "nearest_site_id", distance_alias: str = "distance_km",
-                            carry_prefix: str = "") -> DataFrame:
+def nearest_site_bruteforce(zones: DataFrame, sites: DataFrame, **kw) -> DataFrame:
     """Reference plan for tests on small fixtures only: scores all pairs."""
-    return nearest_site(zones, sites, site_key=site_key, carry=carry, zone_lat=zone_lat, zone_lon=zone_lon,
-                        site_lat=site_lat, site_lon=site_lon, key_alias=key_alias,
-                        distance_alias=distance_alias, carry_prefix=carry_prefix, levels=[_FINAL_CELL])
+    kw["levels"] = [_FINAL_CELL]
+    return nearest_site(zones, sites, **kw)

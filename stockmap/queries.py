@@ -205,3 +205,242 @@ def q_transshipment_pairs(spark, sf_dir):
     r = cov.transshipment_pairs(metrics_of(spark, sf_dir), stocks_of(spark, sf_dir), target_per_1000=75.0,
                                 max_km=250.0)
     return _r6(r, "receiver_deficit", "donor_surplus", "distance_km", "transfer_qty")
+
+
+# ---------------------------------------------------------------- supply tables
+
+from stockmap.operators import conform as cf  # noqa: E402
+from stockmap.operators import supply as sp  # noqa: E402
+
+AS_OF = "2024-01-01"
+GROUP_TS = "20240101000000"
+
+
+def geo_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = fx.geography(spark, sf_dir)
+    return g.withColumn("city", F.when(F.col("level") == "metro", F.substring("id", 3, 1000)))
+
+
+def site_dim_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sp.site_dimension(fx.sites(spark, sf_dir), geo_table(spark, sf_dir))
+
+
+def sites_with_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = site_dim_of(spark, sf_dir).select(F.col("id").alias("site_id"), "geo_id")
+    return fx.sites(spark, sf_dir).join(d, "site_id")
+
+
+@query("calendar_dim")
+def q_calendar_dim(spark, sf_dir):
+    return sp.calendar_dim(sp.date_span(fx.table(spark, sf_dir, "orders"), "o_orderdate"), cdm=True)
+
+
+@query("calendar_plain")
+def q_calendar_plain(spark, sf_dir):
+    return sp.calendar_dim(sp.date_span(fx.table(spark, sf_dir, "orders"), "o_orderdate"), cdm=False)
+
+
+@query("demand_forecast")
+def q_demand_forecast(spark, sf_dir):
+    return sp.demand_forecast(fx.sites(spark, sf_dir), AS_OF)
+
+
+@query("stock_allocation")
+def q_stock_allocation(spark, sf_dir):
+    return sp.stock_allocation(fx.sites(spark, sf_dir), AS_OF)
+
+
+@query("inventory_policy")
+def q_inventory_policy(spark, sf_dir):
+    return sp.inventory_policy(fx.sites(spark, sf_dir))
+
+
+@query("site_dimension")
+def q_site_dimension(spark, sf_dir):
+    return site_dim_of(spark, sf_dir)
+
+
+@query("assign_parent_dc")
+def q_assign_parent_dc(spark, sf_dir):
+    s = fx.sites(spark, sf_dir)
+    locs = s.where(F.col("site_type") == sp.LOCAL).select("site_id", "latitude", "longitude")
+    dcs = s.where(F.col("site_type") == sp.DC)
+    r = sp.assign_parent(locs, dcs, alias="parent_dc_id")
+    return _r6(r.select("site_id", "parent_dc_id", "parent_distance_km"), "parent_distance_km")
+
+
+@query("transport_lanes")
+def q_transport_lanes(spark, sf_dir):
+    return sp.transport_lanes(sites_with_geo(spark, sf_dir))
+
+
+@query("inbound_orders")
+def q_inbound_orders(spark, sf_dir):
+    return sp.inbound_orders(fx.vendors(spark, sf_dir), fx.sites(spark, sf_dir))
+
+
+@query("inbound_order_lines")
+def q_inbound_order_lines(spark, sf_dir):
+    return sp.inbound_order_lines(fx.vendors(spark, sf_dir), fx.sites(spark, sf_dir), AS_OF)
+
+
+@query("fulfilment_site")
+def q_fulfilment_site(spark, sf_dir):
+    return sp.fulfilment_site(fx.customers(spark, sf_dir), fx.sites(spark, sf_dir))
+
+
+@query("outbound_demand")
+def q_outbound_demand(spark, sf_dir):
+    return sp.outbound_demand(fx.customers(spark, sf_dir), fx.sites(spark, sf_dir), AS_OF)
+
+
+@query("geography_closure")
+def q_geography_closure(spark, sf_dir):
+    return sp.hierarchy_closure(spark, fx.geography(spark, sf_dir), "id", "parent_geo_id")
+
+
+@query("product_closure")
+def q_product_closure(spark, sf_dir):
+    return sp.hierarchy_closure(spark, fx.product_groups(spark, sf_dir), "id", "parent_product_group_id")
+
+
+@query("geography_dim")
+def q_geography_dim(spark, sf_dir):
+    return sp.geography_dim(geo_table(spark, sf_dir))
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    oid = F.col("l_orderkey").cast("string")
+    return li.select(
+        F.concat(oid, F.lit("-LINE-"), F.lpad(F.col("l_linenumber").cast("string"), 3, "0")).alias("id"),
+        oid.alias("order_id"), F.col("l_partkey").cast("string").alias("product_id"),
+        F.lpad(((F.col("l_suppkey") * 6151) % 100000).cast("string"), 5, "0").alias("ship_from_site_id"),
+        F.lit(None).cast("string").alias("to_site_id"))
+
+
+@query("shipments")
+def q_shipments(spark, sf_dir):
+    return sp.shipments(order_lines(spark, sf_dir), fx.inbound_orders_raw(spark, sf_dir))
+
+
+def _raw_partners(spark, sf_dir, kind):
+    return fx.partners(spark, sf_dir).where(F.col("partner_type") == kind).select("id", "name", "city")
+
+
+@query("trading_partners")
+def q_trading_partners(spark, sf_dir):
+    return sp.trading_partners(_raw_partners(spark, sf_dir, "SUPPLIER"), _raw_partners(spark, sf_dir, "CUSTOMER"))
+
+
+@query("cdm_rename")
+def q_cdm_rename(spark, sf_dir):
+    return cf.cdm_rename(fx.partners(spark, sf_dir), "trading_partner")
+
+
+@query("conform_constants")
+def q_conform_constants(spark, sf_dir):
+    return cf.conform(fx.partners(spark, sf_dir), "trading_partner",
+                      {"country": sp.COUNTRY, "geo_id": sp.NO_VALUE, "eff_start_date": sp.OPEN_START_TS,
+                       "eff_end_date": sp.OPEN_END_TS})
+
+
+# ---------------------------------------------------------------- event payloads
+
+def product_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = fx.table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+    return p.select(F.col("p_partkey").cast("string").alias("id"), F.lit(sp.CONNECTION_ID).alias("connection_id"),
+                    F.col("p_name").alias("description"), F.lit("EA").alias("unit_of_measure"),
+                    F.col("p_type").alias("product_type"), F.col("p_brand").alias("category"))
+
+
+def inv_level_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = fx.inv_level(spark, sf_dir)
+    return i.select("snapshot_date", "site_id", "product_id", F.lit(sp.CONNECTION_ID).alias("connection_id"),
+                    "on_hand_inventory", F.lit("HEALTHY").alias("inv_condition"),
+                    F.concat(F.lit("LOT-"), F.col("product_id")).alias("lot_number"),
+                    F.date_add("snapshot_date", 365).alias("expiry_date"))
+
+
+def site_event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = site_dim_of(spark, sf_dir)
+    pop = fx.sites(spark, sf_dir).select(F.col("site_id").alias("id"), F.col("pop").alias("custom_total_pop"))
+    return d.join(pop, "id")
+
+
+def product_group_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = fx.product_groups(spark, sf_dir)
+    return g.select("id", F.lit(sp.CONNECTION_ID).alias("connection_id"), F.col("id").alias("description"),
+                    "parent_product_group_id")
+
+
+def inbound_order_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.inbound_orders_raw(spark, sf_dir).select("id", F.lit(sp.CONNECTION_ID).alias("connection_id"),
+                                                        "tpartner_id", "order_status")
+
+
+def inbound_line_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
+                                                     "l_shipdate", "l_linestatus")
+    oid = F.col("l_orderkey").cast("string")
+    return li.select(
+        F.concat(oid, F.lit("-LINE-"), F.lpad(F.col("l_linenumber").cast("string"), 3, "0")).alias("id"),
+        oid.alias("order_id"), F.lit(sp.CONNECTION_ID).alias("connection_id"),
+        F.lit(sp.INTERNAL_PARTNER).alias("tpartner_id"), F.col("l_partkey").cast("string").alias("product_id"),
+        F.col("l_quantity").cast("bigint").alias("quantity_submitted"),
+        F.when(F.col("l_linestatus") == "O", "OPEN").alias("status"),
+        F.col("l_shipdate").cast("date").alias("expected_delivery_date"))
+
+
+EVENT_INPUTS = {
+    "geography": lambda s, d: sp.geography_dim(geo_table(s, d)),
+    "product_hierarchy": product_group_table,
+    "product": product_table,
+    "trading_partner": lambda s, d: fx.partners(s, d),
+    "site": site_event_table,
+    "inv_policy": lambda s, d: sp.inventory_policy(fx.sites(s, d)),
+    "inv_level": inv_level_table,
+    "inbound_order": inbound_order_table,
+    "inbound_order_line": inbound_line_table,
+}
+EVENT_KEYS = {"inv_level": "lot_number"}
+
+
+def event_payloads(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
+    df = EVENT_INPUTS[dataset](spark, sf_dir)
+    key = EVENT_KEYS.get(dataset)
+    if dataset == "inv_level":
+        df = df.withColumn("lot_number", F.concat_ws("-", "lot_number", "site_id", F.date_format("snapshot_date", "yyyyMMdd")))
+    return cf.event_payload(df, dataset, key)
+
+
+def _payload_query(ds: str):
+    def q(spark, sf_dir):
+        return event_payloads(spark, sf_dir, ds)
+    q.__name__ = f"q_event_payload_{ds}"
+    return q
+
+
+for _ds in EVENT_INPUTS:
+    REGISTRY[f"event_payload_{_ds}"] = _payload_query(_ds)
+
+
+@query("event_routing")
+def q_event_routing(spark, sf_dir):
+    parts = [site_dim_of(spark, sf_dir).select(F.lit("site").alias("dataset")),
+             sp.demand_forecast(fx.sites(spark, sf_dir), AS_OF).select(F.lit("forecast").alias("dataset")),
+             inv_level_table(spark, sf_dir).select(F.lit("inv_level").alias("dataset")),
+             sp.transport_lanes(sites_with_geo(spark, sf_dir)).select(F.lit("transportation_lane").alias("dataset")),
+             inbound_order_table(spark, sf_dir).select(F.lit("inbound_order").alias("dataset"))]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    counted = u.groupBy("dataset").agg(F.count(F.lit(1)).alias("records"))
+    return cf.route_events(counted)
+
+
+@query("event_batches")
+def q_event_batches(spark, sf_dir):
+    u = event_payloads(spark, sf_dir, "inv_level").unionByName(event_payloads(spark, sf_dir, "site")) \
+        .unionByName(event_payloads(spark, sf_dir, "inbound_order"))
+    return cf.event_batches(u, GROUP_TS)

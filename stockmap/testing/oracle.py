@@ -140,3 +140,238 @@ SELECT receiver_site_id, round(receiver_deficit, 6) AS receiver_deficit, donor_s
   round(donor_surplus, 6) AS donor_surplus, round(distance_km, 6) AS distance_km,
   round(least(receiver_deficit, donor_surplus), 6) AS transfer_qty
 FROM best WHERE rn = 1 AND distance_km <= 250""", "f_site_metrics", "f_stocks")
+
+
+# ---------------------------------------------------------------- supply tables
+
+def jobj(*pairs: tuple[str, str]) -> str:
+    """JSON object text with null members omitted (the shape Spark's to_json gives)."""
+    parts = [f"CASE WHEN ({e}) IS NOT NULL THEN '\"{k}\":' || to_json({e}) END" for k, e in pairs]
+    return "'{' || concat_ws(',', " + ", ".join(parts) + ") || '}'"
+
+
+_CAL = """
+WITH days AS (
+  SELECT CAST(unnest(generate_series(min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)), INTERVAL 1 DAY)) AS DATE) AS d
+  FROM orders),
+c AS (SELECT d, isodow(d) >= 6 AS weekend,
+        CASE WHEN month(d) = 12 AND day(d) = 25 THEN 'Christmas' WHEN month(d) = 1 AND day(d) = 1 THEN 'New Year' END AS hname
+      FROM days)
+"""
+sql("calendar_dim", _CAL + """
+SELECT 'CAL-' || strftime(d, '%Y%m%d') AS calendar_id, 'WA-PHARMA-DIST' AS connection_id,
+  strftime(d, '%Y-%m-%d') || 'T00:00:00Z' AS date, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
+  CAST(weekofyear(d) AS INTEGER) AS week, CAST(day(d) AS INTEGER) AS day,
+  CASE WHEN weekend OR hname IS NOT NULL THEN 'N' ELSE 'Y' END AS is_working,
+  CASE WHEN hname IS NOT NULL THEN 'Y' ELSE 'N' END AS is_holiday,
+  '1900-01-01T00:00:00Z' AS eff_start_date, '9999-12-31T23:59:59Z' AS eff_end_date
+FROM c""")
+
+sql("calendar_plain", _CAL + """
+SELECT 'CAL-' || strftime(d, '%Y%m%d') AS id, d AS calendar_date, strftime(d, '%A') AS day_of_week,
+  weekend AS is_weekend, hname IS NOT NULL AS is_holiday, hname AS holiday_name,
+  NOT (weekend OR hname IS NOT NULL) AS is_working_day, CAST(year(d) AS INTEGER) AS fiscal_year,
+  CAST(quarter(d) AS INTEGER) AS fiscal_quarter, CAST(month(d) AS INTEGER) AS fiscal_month
+FROM c""")
+
+sql("demand_forecast", """
+SELECT DATE '2024-01-01' AS snapshot_date, 'WA-PHARMA-DIST' AS connection_id, 'ANTIVIR-WA-01' AS product_id, site_id,
+  'USA-WA' AS region_id, 'SCN_RESERVED_NO_VALUE_PROVIDED' AS product_group_id,
+  strftime(DATE '2024-01-01' + d, '%Y-%m-%d') || 'T00:00:00Z' AS forecast_start_dttm,
+  strftime(DATE '2024-01-01' + d + 1, '%Y-%m-%d') || 'T00:00:00Z' AS forecast_end_dttm,
+  CAST(CASE WHEN d < 7 THEN base WHEN d < 14 THEN trunc(base * (1.0 + (2 * (d - 7)) / 7.0)) ELSE base * 3 END AS BIGINT) AS mean
+FROM (SELECT site_id, CASE site_type WHEN 'REGIONAL_HUB' THEN 100 WHEN 'DISTRIBUTION_CENTER' THEN 50 ELSE 20 END AS base,
+        CAST(unnest(range(0, 30)) AS INTEGER) AS d FROM f_site) q""", "f_site")
+
+sql("stock_allocation", """
+SELECT DATE '2024-01-01' AS snapshot_date, site_id, 'ANTIVIR-WA-01' AS product_id, 'WA-PHARMA-DIST' AS connection_id,
+  CAST(trunc(pop * CASE site_type WHEN 'REGIONAL_HUB' THEN 0.10 WHEN 'DISTRIBUTION_CENTER' THEN 0.05 ELSE 0.02 END) AS BIGINT)
+    AS on_hand_inventory,
+  'HEALTHY' AS inv_condition, 'LOT-2024-' || site_id AS lot_number, DATE '2024-12-31' AS expiry_date
+FROM f_site""", "f_site")
+
+sql("inventory_policy", "SELECT * FROM f_policy", "f_policy")
+sql("site_dimension", "SELECT * FROM f_site_dim", "f_site_dim")
+
+sql("assign_parent_dc", """
+SELECT to_site_id AS site_id, from_site_id AS parent_dc_id, round(km, 6) AS parent_distance_km
+FROM f_lane_edges WHERE kind = 'dc_local'""", "f_lane_edges")
+
+sql("transport_lanes", "SELECT * FROM f_lanes", "f_lanes")
+
+_ORDERS = """
+WITH v AS (SELECT id, lead_time_days, row_number() OVER (ORDER BY seq) AS i FROM f_vendor),
+dc AS (SELECT site_id, row_number() OVER (ORDER BY site_id) AS i FROM f_site WHERE site_type = 'DISTRIBUTION_CENTER'),
+lo AS (SELECT site_id, row_number() OVER (ORDER BY site_id) AS i FROM f_site WHERE site_type = 'LOCAL_DISTRIBUTION'),
+hub AS (SELECT min(site_id) AS hub_id FROM f_site WHERE site_type = 'REGIONAL_HUB')
+"""
+sql("inbound_orders", _ORDERS + """
+SELECT printf('WA-VENDOR-PO-%03d', i) AS id, 'WA-PHARMA-DIST' AS connection_id, id AS tpartner_id,
+  'PURCHASE_ORDER' AS order_type, CASE WHEN i = 1 THEN 'IN_TRANSIT' ELSE 'PENDING' END AS order_status FROM v
+UNION ALL SELECT printf('WA-TRANSFER-TO-%03d', i), 'WA-PHARMA-DIST', 'INTERNAL-TRANSFER', 'STOCK_TRANSFER', 'APPROVED' FROM dc
+UNION ALL SELECT printf('WA-LOCAL-TO-%03d', i), 'WA-PHARMA-DIST', 'INTERNAL-TRANSFER', 'STOCK_TRANSFER', 'PENDING' FROM lo""",
+    "f_vendor", "f_site")
+
+sql("inbound_order_lines", _ORDERS + """
+SELECT order_id || '-LINE-001' AS id, order_id, 'WA-PHARMA-DIST' AS connection_id, tpartner_id,
+  'ANTIVIR-WA-01' AS product_id, quantity_submitted, to_site_id, 'EA' AS quantity_uom, 'OPEN' AS status,
+  expected_delivery_date
+FROM (
+  SELECT printf('WA-VENDOR-PO-%03d', i) AS order_id, id AS tpartner_id, CAST(5000 + 1000 * i AS BIGINT) AS quantity_submitted,
+    (SELECT hub_id FROM hub) AS to_site_id, CAST(DATE '2024-01-01' + lead_time_days AS DATE) AS expected_delivery_date FROM v
+  UNION ALL SELECT printf('WA-TRANSFER-TO-%03d', i), 'INTERNAL-TRANSFER', CAST(2000 AS BIGINT), site_id, DATE '2024-01-03' FROM dc
+  UNION ALL SELECT printf('WA-LOCAL-TO-%03d', i), 'INTERNAL-TRANSFER', CAST(500 AS BIGINT), site_id, DATE '2024-01-02' FROM lo) q""",
+    "f_vendor", "f_site")
+
+_FULFIL = """
+WITH per_city AS (
+  SELECT city, arg_min(site_id, (CASE site_type WHEN 'REGIONAL_HUB' THEN 1 WHEN 'DISTRIBUTION_CENTER' THEN 2
+                                  WHEN 'LOCAL_DISTRIBUTION' THEN 3 ELSE 9 END, site_id)) AS s
+  FROM f_site WHERE city IS NOT NULL GROUP BY city),
+hub AS (SELECT min(site_id) AS hub_id FROM f_site WHERE site_type = 'REGIONAL_HUB'),
+ful AS (SELECT c.*, COALESCE(p.s, (SELECT hub_id FROM hub)) AS ship_from_site_id
+        FROM f_customer c LEFT JOIN per_city p ON c.city = p.city)
+"""
+sql("fulfilment_site", _FULFIL + "SELECT * FROM ful", "f_customer", "f_site")
+
+sql("outbound_demand", _FULFIL + """
+SELECT 'OUT-' || id || '-' || k || '-' || lpad(CAST(seq AS VARCHAR), 3, '0') AS id,
+  'CUST-ORDER-' || lpad(CAST(seq AS VARCHAR), 3, '0') || '-' || k AS cust_order_id,
+  'WA-PHARMA-DIST' AS connection_id, 'ANTIVIR-WA-01' AS product_id, id AS customer_tpartner_id,
+  CAST(CASE WHEN k = 'NORMAL' THEN (CASE WHEN customer_type = 'HOSPITAL' THEN 500 ELSE 200 END)
+            ELSE (CASE WHEN customer_type = 'HOSPITAL' THEN 1500 ELSE 600 END) END AS BIGINT) AS init_quantity_requested,
+  'EA' AS quantity_uom,
+  CASE WHEN k = 'NORMAL' THEN DATE '2023-12-02' ELSE DATE '2024-01-01' END AS order_date,
+  CASE WHEN k = 'NORMAL' THEN DATE '2023-12-04' ELSE DATE '2024-01-02' END AS requested_delivery_date,
+  CASE WHEN k = 'NORMAL' THEN 'FULFILLED' ELSE 'PENDING' END AS status, ship_from_site_id
+FROM ful CROSS JOIN (VALUES ('NORMAL'), ('SPIKE')) t(k)""", "f_customer", "f_site")
+
+for _name, _view, _parent in (("geography_closure", "f_geography", "parent_geo_id"),
+                              ("product_closure", "f_product_group", "parent_product_group_id")):
+    sql(_name, f"""
+WITH RECURSIVE closure(id, ancestor_id, distance) AS (
+  SELECT id, id, 0 FROM {_view}
+  UNION ALL
+  SELECT c.id, h.{_parent}, c.distance + 1 FROM closure c JOIN {_view} h ON c.ancestor_id = h.id
+  WHERE h.{_parent} IS NOT NULL)
+SELECT id, ancestor_id, CAST(distance AS INTEGER) AS distance FROM closure""", _view)
+
+sql("geography_dim", "SELECT * FROM f_geo_dim", "f_geo_dim")
+
+sql("shipments", """
+WITH lines AS (
+  SELECT CAST(l_orderkey AS VARCHAR) || '-LINE-' || lpad(CAST(l_linenumber AS VARCHAR), 3, '0') AS id,
+    CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_partkey AS VARCHAR) AS product_id,
+    lpad(CAST((l_suppkey * 6151) % 100000 AS VARCHAR), 5, '0') AS ship_from_site_id
+  FROM lineitem)
+SELECT 'SHIP-' || l.id AS id, o.tpartner_id AS supplier_tpartner_id, 'WA-PHARMA-DIST' AS connection_id, l.product_id,
+  l.order_id, l.id AS order_line_id, 'PKG-' || l.id AS package_id, l.ship_from_site_id, CAST(NULL AS VARCHAR) AS ship_to_site_id,
+  CAST(o.order_date - CASE WHEN o.order_status = 'APPROVED' THEN 2 ELSE 1 END AS DATE) AS planned_ship_date,
+  CAST(CASE WHEN o.order_status = 'APPROVED' THEN o.order_date - 1 ELSE o.order_date + 2 END AS DATE) AS planned_delivery_date,
+  CAST(CASE WHEN o.order_status = 'APPROVED' THEN o.order_date - 1 END AS DATE) AS actual_delivery_date,
+  CASE WHEN o.order_status = 'APPROVED' THEN 'DELIVERED' ELSE 'IN_TRANSIT' END AS shipment_status
+FROM lines l JOIN f_inbound_order o ON l.order_id = o.id WHERE o.order_status IN ('IN_TRANSIT', 'APPROVED')""",
+    "f_inbound_order")
+
+sql("trading_partners", """
+SELECT id, name AS description, partner_type AS tpartner_type, city,
+  CASE WHEN partner_type = 'CUSTOMER' THEN 'WA' END AS state_prov, 'US' AS country,
+  CASE WHEN partner_type = 'CUSTOMER' THEN 'GEO-US-WA' ELSE 'GEO-US' END AS geo_id,
+  '1900-01-01T00:00:00Z' AS eff_start_date, '9999-12-31T23:59:59Z' AS eff_end_date
+FROM f_partner
+UNION ALL SELECT 'INTERNAL-TRANSFER', 'Internal Stock Transfer', 'INTERNAL', 'Seattle', 'WA', 'US', 'GEO-US-WA',
+  '1900-01-01T00:00:00Z', '9999-12-31T23:59:59Z'""", "f_partner")
+
+sql("cdm_rename", "SELECT id, name AS description, partner_type AS tpartner_type, city FROM f_partner", "f_partner")
+
+sql("conform_constants", """
+SELECT id, name AS description, partner_type AS tpartner_type, city, 'US' AS country,
+  'SCN_RESERVED_NO_VALUE_PROVIDED' AS geo_id, '1900-01-01T00:00:00Z' AS eff_start_date,
+  '9999-12-31T23:59:59Z' AS eff_end_date FROM f_partner""", "f_partner")
+
+
+# ---------------------------------------------------------------- event payloads
+
+def _iso(e: str, tail: str = "T00:00:00Z") -> str:
+    return f"strftime({e}, '%Y-%m-%d') || '{tail}'"
+
+
+_PAYLOADS = {
+    "geography": ("f_geo_dim", "id", [("id", "id"), ("description", "description"), ("parent_geo_id", "parent_geo_id"),
+                                     ("country", "country"), ("state_prov", "state_prov"), ("city", "city")]),
+    "product_hierarchy": ("f_product_group", "id", [("id", "id"), ("description", "id"),
+                                                    ("parent_product_group_id", "parent_product_group_id")]),
+    "trading_partner": ("f_partner", "id", [("id", "id"), ("description", "name"), ("city", "city"),
+                                            ("tpartner_type", "partner_type"),
+                                            ("geo_id", "'SCN_RESERVED_NO_VALUE_PROVIDED'"),
+                                            ("eff_start_date", "'1900-01-01T00:00:00Z'"),
+                                            ("eff_end_date", "'9999-12-31T23:59:59Z'")]),
+    "site": ("f_site_dim", "id", [(c, c) for c in ("id", "description", "site_type", "geo_id", "latitude", "longitude",
+                                                   "city", "state_prov", "postal_code", "country")]),
+    "inv_policy": ("f_policy", "id", [(c, c) for c in (
+        "id", "site_id", "product_id", "product_group_id", "dest_geo_id", "vendor_tpartner_id", "ss_policy",
+        "min_safety_stock", "max_safety_stock", "target_inventory_qty", "min_order_qty", "max_order_qty")]
+        + [("eff_start_date", _iso("eff_start_date")), ("eff_end_date", _iso("eff_end_date", "T23:59:59Z"))]),
+    "inv_level": ("f_inv_event", "lot_number", [
+        ("snapshot_date", _iso("snapshot_date")), ("site_id", "site_id"), ("product_id", "product_id"),
+        ("on_hand_inventory", "CAST(on_hand_inventory AS VARCHAR)"), ("inv_condition", "inv_condition"),
+        ("lot_number", "lot_number"), ("expiry_date", _iso("expiry_date"))]),
+    "inbound_order": ("f_inbound_order", "id", [("id", "id"), ("tpartner_id", "tpartner_id"),
+                                                ("order_status", "order_status")]),
+}
+_PRODUCT = """(SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS description, 'EA' AS base_uom, p_type AS product_type
+   FROM part) x"""
+_LINES = """(SELECT CAST(l_orderkey AS VARCHAR) || '-LINE-' || lpad(CAST(l_linenumber AS VARCHAR), 3, '0') AS id,
+   CAST(l_orderkey AS VARCHAR) AS order_id, 'INTERNAL-TRANSFER' AS tpartner_id, CAST(l_partkey AS VARCHAR) AS product_id,
+   CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS quantity_submitted,
+   CASE WHEN l_linestatus = 'O' THEN 'OPEN' END AS status, CAST(l_shipdate AS DATE) AS expected_delivery_date
+   FROM lineitem) x"""
+
+
+def _payload_sql(ds: str) -> tuple[str, tuple[str, ...]]:
+    if ds == "product":
+        body = (f"SELECT 'product' AS dataset, id AS record_key, "
+                f"{jobj(('id', 'id'), ('description', 'description'), ('base_uom', 'base_uom'), ('product_type', 'product_type'))}"
+                f" AS payload FROM {_PRODUCT}")
+        return body, ()
+    if ds == "inbound_order_line":
+        cols = [(c, c) for c in ("id", "order_id", "tpartner_id", "product_id", "quantity_submitted", "status")]
+        cols.append(("expected_delivery_date", _iso("expected_delivery_date")))
+        return f"SELECT 'inbound_order_line' AS dataset, id AS record_key, {jobj(*cols)} AS payload FROM {_LINES}", ()
+    view, key, cols = _PAYLOADS[ds]
+    return f"SELECT '{ds}' AS dataset, CAST({key} AS VARCHAR) AS record_key, {jobj(*cols)} AS payload FROM {view}", (view,)
+
+
+for _ds in ("geography", "product_hierarchy", "product", "trading_partner", "site", "inv_policy", "inv_level",
+            "inbound_order", "inbound_order_line"):
+    _b, _v = _payload_sql(_ds)
+    sql(f"event_payload_{_ds}", _b, *_v)
+
+sql("event_routing", """
+WITH counted AS (
+  SELECT 'site' AS dataset, count(*) AS records FROM f_site
+  UNION ALL SELECT 'forecast', count(*) * 30 FROM f_site
+  UNION ALL SELECT 'inv_level', count(*) FROM f_inv_level
+  UNION ALL SELECT 'transportation_lane', count(*) FROM f_lanes
+  UNION ALL SELECT 'inbound_order', count(*) FROM f_inbound_order)
+SELECT dataset, records,
+  CASE dataset WHEN 'inv_level' THEN 'scn.data.inventorylevel' WHEN 'inbound_order' THEN 'scn.data.inboundorder'
+    WHEN 'site' THEN 'scn.data.dataset' END AS event_type,
+  CASE WHEN dataset = 'site' THEN 'UPSERT' END AS operation,
+  dataset IN ('site', 'inv_level', 'inbound_order') AS eligible
+FROM counted""", "f_site", "f_inv_level", "f_lanes", "f_inbound_order")
+
+_p_inv, _ = _payload_sql("inv_level")
+_p_site, _ = _payload_sql("site")
+_p_ord, _ = _payload_sql("inbound_order")
+sql("event_batches", f"""
+WITH p AS ({_p_inv} UNION ALL {_p_site} UNION ALL {_p_ord}),
+n AS (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY record_key, payload) AS rn FROM p),
+b AS (SELECT dataset, CAST(floor((rn - 1) / 100) + 1 AS INTEGER) AS batch_no, count(*) AS records,
+        '[' || string_agg(payload, ',' ORDER BY rn) || ']' AS data
+      FROM n GROUP BY dataset, floor((rn - 1) / 100))
+SELECT dataset, batch_no, dataset || '-20240101000000' AS event_group_id,
+  CASE dataset WHEN 'inv_level' THEN 'scn.data.inventorylevel' WHEN 'inbound_order' THEN 'scn.data.inboundorder'
+    ELSE 'scn.data.dataset' END AS event_type,
+  CASE WHEN dataset = 'site' THEN 'UPSERT' END AS operation, records, data
+FROM b""", "f_inv_event", "f_site_dim", "f_inbound_order")

@@ -90,6 +90,68 @@ SELECT nearest_site_id, CAST(sum(population) AS BIGINT) AS total_population_serv
   count(zip_code) AS zip_codes_served, min(total_doses) AS total_doses,
   CAST(min(total_doses) AS DOUBLE) / NULLIF(CAST(sum(population) AS DOUBLE), 0) * 1000 AS doses_per_1000_people
 FROM f_access WHERE nearest_site_id IS NOT NULL GROUP BY nearest_site_id"""),
+    "f_sitegeo": (("f_site",), """
+SELECT s.*, 'N-' || s.city AS geo_id FROM f_site s"""),
+    "f_lane_edges": (("f_sitegeo",), """
+SELECT kind, from_site_id, to_site_id, from_geo_id, to_geo_id, km FROM (
+  SELECT kind, c.site_id AS to_site_id, c.geo_id AS to_geo_id, p.site_id AS from_site_id, p.geo_id AS from_geo_id,
+    6371 * 2 * atan2(sqrt(a), sqrt(1 - a)) AS km,
+    row_number() OVER (PARTITION BY kind, c.site_id ORDER BY 6371 * 2 * atan2(sqrt(a), sqrt(1 - a)), p.site_id) AS rn
+  FROM (SELECT k.kind, c.*, p.site_id AS psid,
+          power(sin(radians(p.latitude - c.latitude) / 2), 2) + cos(radians(c.latitude)) * cos(radians(p.latitude))
+            * power(sin(radians(p.longitude - c.longitude) / 2), 2) AS a
+        FROM (VALUES ('hub_dc', 'DISTRIBUTION_CENTER', 'REGIONAL_HUB'),
+                     ('dc_local', 'LOCAL_DISTRIBUTION', 'DISTRIBUTION_CENTER'),
+                     ('dc_dc', 'DISTRIBUTION_CENTER', 'DISTRIBUTION_CENTER')) k(kind, ctype, ptype)
+        JOIN f_sitegeo c ON c.site_type = k.ctype JOIN f_sitegeo p ON p.site_type = k.ptype
+        WHERE k.kind <> 'dc_dc' OR p.site_id <> c.site_id) c
+  JOIN f_sitegeo p ON p.site_id = c.psid) q WHERE rn = 1"""),
+    "f_lanes": (("f_lane_edges",), """
+SELECT concat_ws('-', 'LANE', from_site_id, to_site_id) AS id, from_site_id, to_site_id,
+  'WA-PHARMA-DIST' AS connection_id, from_geo_id, to_geo_id, 'SCN_RESERVED_NO_VALUE_PROVIDED' AS carrier_tpartner_id,
+  'TRUCK' AS trans_mode, 'STANDARD' AS service_type, 'SCN_RESERVED_NO_VALUE_PROVIDED' AS product_group_id,
+  transit_time, 'DAY' AS time_uom, round(km * 0.621371, 1) AS distance, 'MI' AS distance_uom, cost_per_unit,
+  DATE '1900-01-01' AS eff_start_date, DATE '9999-12-31' AS eff_end_date
+FROM (
+  SELECT from_site_id, to_site_id, from_geo_id, to_geo_id, km, CAST(1.0 AS DOUBLE) AS transit_time, CAST(0.50 AS DOUBLE) AS cost_per_unit
+  FROM f_lane_edges WHERE kind = 'hub_dc'
+  UNION ALL
+  SELECT from_site_id, to_site_id, from_geo_id, to_geo_id, km, 0.5, 0.25 FROM f_lane_edges WHERE kind = 'dc_local'
+  UNION ALL
+  SELECT from_site_id, to_site_id, any_value(from_geo_id), any_value(to_geo_id), min(km), 1.5, 0.75 FROM (
+    SELECT from_site_id, to_site_id, from_geo_id, to_geo_id, km FROM f_lane_edges WHERE kind = 'dc_dc'
+    UNION ALL
+    SELECT to_site_id, from_site_id, to_geo_id, from_geo_id, km FROM f_lane_edges WHERE kind = 'dc_dc') u
+  GROUP BY from_site_id, to_site_id) l"""),
+    "f_site_dim": (("f_sitegeo",), """
+SELECT site_id AS id, 'WA-PHARMA-DIST' AS connection_id,
+  city || ' ' || array_to_string(list_transform(string_split(lower(replace(site_type, '_', ' ')), ' '),
+                                               lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), ' ')
+       || ' - ZIP ' || site_id AS description,
+  site_type, geo_id, latitude, longitude, city, 'WA' AS state_prov, site_id AS postal_code, 'US' AS country
+FROM f_sitegeo"""),
+    "f_geo_dim": (("f_geography",), """
+SELECT id, 'WA-PHARMA-DIST' AS connection_id,
+  CASE WHEN level = 'metro' THEN substr(id, 3) || ' Metro Area' ELSE id END AS description, parent_geo_id,
+  'US' AS country, CASE WHEN level <> 'country' THEN 'WA' END AS state_prov,
+  CASE WHEN level = 'metro' THEN substr(id, 3) END AS city
+FROM f_geography"""),
+    "f_inv_event": (("f_inv_level",), """
+SELECT snapshot_date, site_id, product_id, on_hand_inventory, 'HEALTHY' AS inv_condition,
+  'LOT-' || product_id || '-' || site_id || '-' || strftime(snapshot_date, '%Y%m%d') AS lot_number,
+  CAST(snapshot_date + INTERVAL 365 DAY AS DATE) AS expiry_date
+FROM f_inv_level"""),
+    "f_policy": (("f_site",), """
+SELECT 'POLICY-' || site_id || '-ANTIVIR' AS id, site_id, 'ANTIVIR-WA-01' AS product_id, 'WA-PHARMA-DIST' AS connection_id,
+  'SCN_RESERVED_NO_VALUE_PROVIDED' AS product_group_id, 'SCN_RESERVED_NO_VALUE_PROVIDED' AS dest_geo_id,
+  'SCN_RESERVED_NO_VALUE_PROVIDED' AS vendor_tpartner_id, 'abs_level' AS ss_policy,
+  CAST(CASE site_type WHEN 'REGIONAL_HUB' THEN 2000 WHEN 'DISTRIBUTION_CENTER' THEN 500 ELSE 100 END AS BIGINT) AS min_safety_stock,
+  CAST(CASE site_type WHEN 'REGIONAL_HUB' THEN 10000 WHEN 'DISTRIBUTION_CENTER' THEN 3000 ELSE 1000 END AS BIGINT) AS max_safety_stock,
+  CAST(CASE site_type WHEN 'REGIONAL_HUB' THEN 5000 WHEN 'DISTRIBUTION_CENTER' THEN 1500 ELSE 500 END AS BIGINT) AS target_inventory_qty,
+  CAST(CASE site_type WHEN 'REGIONAL_HUB' THEN 1000 WHEN 'DISTRIBUTION_CENTER' THEN 500 ELSE 100 END AS BIGINT) AS min_order_qty,
+  CAST(CASE site_type WHEN 'REGIONAL_HUB' THEN 10000 WHEN 'DISTRIBUTION_CENTER' THEN 5000 ELSE 2000 END AS BIGINT) AS max_order_qty,
+  DATE '1900-01-01' AS eff_start_date, DATE '9999-12-31' AS eff_end_date
+FROM f_site WHERE site_type IN ('REGIONAL_HUB', 'DISTRIBUTION_CENTER', 'LOCAL_DISTRIBUTION')"""),
 }
 
 
@@ -110,6 +172,8 @@ def with_views(body: str, *names: str) -> str:
         return body.strip()
     ctes = ",\n".join(f"{n} AS ({VIEWS[n][1].strip()})" for n in order)
     body = body.strip()
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body[:5].upper() == "WITH ":
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
