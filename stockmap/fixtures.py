@@ -194,3 +194,22 @@ def upsert_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("event_ts"), F.col("event_id").alias("seq"),
         F.col("event_type").alias("status"), F.col("value"),
     )
+
+
+def zone_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer key → zone centroid (same rule as :func:`zones`)."""
+    c = table(spark, sf_dir, "customer").select("c_custkey")
+    k = F.col("c_custkey")
+    has_pt = (k % 101) != 0
+    return c.select(k.alias("custkey"),
+                    F.when(has_pt, F.lit(45.5) + ((k * 37) % 350).cast("double") / 100).alias("z_lat"),
+                    F.when(has_pt, F.lit(-124.5) + ((k * 91) % 760).cast("double") / 100).alias("z_lon"))
+
+
+def site_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplier key → site location (same rule as :func:`sites`)."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey")
+    k = F.col("s_suppkey")
+    return s.select(k.alias("suppkey"),
+                    (F.lit(45.5) + ((k * 53) % 350).cast("double") / 100).alias("s_lat"),
+                    (F.lit(-124.5) + ((k * 113) % 760).cast("double") / 100).alias("s_lon"))

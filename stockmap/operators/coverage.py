@@ -323,13 +323,66 @@ def transshipment_pairs(metrics: DataFrame, stocks: DataFrame, target_per_1000:
                     F.least("receiver_deficit", "donor_surplus").alias("transfer_qty"))
 
 
-def candidate_sites(zone_pop: DataFrame, access: DataFrame, candidates: DataFrame, k: int = 5,
-                    radius_km: float | None = None) -> DataFrame:
-    """Score each candidate location by the population-weighted distance it would give.
-
-    new_wd = Σ pop·min(d_now, d_candidate) / Σ pop. Only zones whose distance
-    would shrink matter: the gain is Σ pop·max(0, d_now − d_cand). A candidate
-    can only help zones within d_now of it, so pairs are formed by the grid
-    plan with the zone's current distance as radius (no all-pairs join).
+
+
+
+
+def candidate_gains(access: DataFrame, candidates: DataFrame, *, cell_deg: float = 0.25) -> DataFrame:
+    """Per candidate location: zones it would bring closer and the population-weighted gain.
+
+    For a zone at current distance d_now, a candidate at distance d < d_now
+    gains pop·(d_now − d). Pairs come from a radius grid join: each zone
+    probes only the cells its d_now circle can reach (lat band ± r, lon band
+    widened to the cap's exact longitude half-width), so no all-pairs product is formed. A zone far from
+    every site probes more cells because more candidates can help it.
+    """
+    z = access.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+                     & F.col("distance_km").isNotNull() & (F.col("population") > 0)).select(
+        F.col("latitude").alias("z_lat"), F.col("longitude").alias("z_lon"),
+        F.col("population").alias("pop"), F.col("distance_km").alias("d_now"))
+    c = cell_deg
+    n_lon = int(round(360.0 / c))
+    r_rad = F.col("d_now") / F.lit(6371.0)
+    r = F.degrees(r_rad)
+    lat_lo = F.floor((F.col("z_lat") - r) / c).cast("int")
+    lat_hi = F.floor((F.col("z_lat") + r) / c).cast("int")
+    # Exact longitude half-width of a spherical cap: asin(sin r / cos φ); the
+    # cap holds a pole (whole band) when that ratio reaches 1.
+    ratio = F.sin(r_rad) / F.cos(F.radians(F.col("z_lat")))
+    whole = (ratio >= 1) | (F.abs(F.col("z_lat")) + r >= 90)
+    r_lon = F.degrees(F.asin(F.least(F.lit(1.0), ratio)))
+    lon_lo = F.when(whole, F.lit(0)).otherwise(F.floor((F.col("z_lon") - r_lon) / c).cast("int"))
+    lon_hi = F.when(whole, F.lit(n_lon - 1)).otherwise(F.floor((F.col("z_lon") + r_lon) / c).cast("int"))
+    probes = (z.select("*", F.explode(F.sequence(lat_lo, lat_hi)).alias("ci"),
+                       F.sequence(lon_lo, lon_hi).alias("_cj"))
+              .select("z_lat", "z_lon", "pop", "d_now", "ci", F.explode("_cj").alias("_j"))
+              .select("z_lat", "z_lon", "pop", "d_now", "ci", F.pmod("_j", F.lit(n_lon)).alias("cj")))
+    cand = candidates.select("candidate_id", F.col("latitude").alias("c_lat"), F.col("longitude").alias("c_lon"),
+                             F.floor(F.col("latitude") / c).cast("int").alias("ci"),
+                             F.pmod(F.floor(F.col("longitude") / c).cast("int"), F.lit(n_lon)).alias("cj"))
+    pairs = probes.join(cand, ["ci", "cj"]).withColumn("d", haversine_km("z_lat", "z_lon", "c_lat", "c_lon"))
+    pairs = pairs.where(F.col("d") < F.col("d_now"))
+    return pairs.groupBy("candidate_id", "c_lat", "c_lon").agg(
+        F.count(F.lit(1)).alias("zones_helped"),
+        F.sum("pop").cast("bigint").alias("population_helped"),
+        F.sum(F.col("pop") * (F.col("d_now") - F.col("d"))).alias("gain"))
+
+
+def candidate_sites(access: DataFrame, candidates: DataFrame, k: int = 5, *, cell_deg: float = 0.25) -> DataFrame:
+    """Top-k candidate locations by reduction of the population-weighted distance.
+
+    new_wd = (Σ pop·d_now − gain) / Σ pop over zones with a site and population.
     """
-    raise NotImplementedError
+    g = candidate_gains(access, candidates, cell_deg=cell_deg)
+    base = access.where(F.col("distance_km").isNotNull() & (F.col("population") > 0)).agg(
+        F.sum(F.col("population") * F.col("distance_km")).alias("_wd"),
+        F.sum("population").cast("double").alias("_w")).first()
+    order = [F.col("gain").desc(), F.col("candidate_id")]
+    top = g.orderBy(*order).limit(k)
+    top = top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    wd, w = base["_wd"], base["_w"]
+    return top.select(
+        "rank", "candidate_id", F.col("c_lat").alias("latitude"), F.col("c_lon").alias("longitude"),
+        "zones_helped", "population_helped", "gain",
+        ((F.lit(wd) - F.col("gain")) / F.lit(w)).alias("new_pop_weighted_distance_km") if w else
+        F.lit(None).cast("double").alias("new_pop_weighted_distance_km"))

@@ -444,3 +444,263 @@ def q_event_batches(spark, sf_dir):
     u = event_payloads(spark, sf_dir, "inv_level").unionByName(event_payloads(spark, sf_dir, "site")) \
         .unionByName(event_payloads(spark, sf_dir, "inbound_order"))
     return cf.event_batches(u, GROUP_TS)
+
+
+# ---------------------------------------------------------------- remaining coverage
+
+@query("candidate_sites")
+def q_candidate_sites(spark, sf_dir):
+    a = access_of(spark, sf_dir)
+    cand = (fx.zones(spark, sf_dir).where(F.col("latitude").isNotNull())
+            .groupBy("latitude", "longitude").agg(F.min("zip_code").alias("candidate_id")))
+    r = cov.candidate_sites(a, cand, k=5)
+    # gain is ~1e8: one decimal is what summation order keeps stable across engines
+    return _r6(r, "new_pop_weighted_distance_km").withColumn("gain", F.round("gain", 1))
+
+
+@query("haversine_pairs")
+def q_haversine_pairs(spark, sf_dir):
+    """Delivery distance per order: customer zone → supplier site of every line."""
+    from stockmap.functions.geo import haversine_km
+    li = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+    o = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    j = (li.join(o, li.l_orderkey == o.o_orderkey)
+         .join(fx.zone_points(spark, sf_dir), F.col("o_custkey") == F.col("custkey"))
+         .join(fx.site_points(spark, sf_dir), F.col("l_suppkey") == F.col("suppkey")))
+    d = haversine_km("z_lat", "z_lon", "s_lat", "s_lon")
+    return j.groupBy(F.col("l_orderkey").alias("order_key")).agg(
+        F.count(F.lit(1)).alias("lines"), F.round(F.sum(d), 6).alias("total_km"), F.round(F.max(d), 6).alias("max_km"))
+
+
+# ---------------------------------------------------------------- validation (V1–V6)
+
+from stockmap.operators import validate as va  # noqa: E402
+
+
+def validation_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame | None]:
+    inv = inv_level_table(spark, sf_dir).withColumn("site_id", F.nullif(F.col("site_id"), F.lit("UNKNOWN")))
+    return {
+        "company": None,
+        "geography": sp.geography_dim(geo_table(spark, sf_dir)),
+        "calendar": sp.calendar_dim(sp.date_span(fx.table(spark, sf_dir, "orders"), "o_orderdate")),
+        "product_hierarchy": product_group_table(spark, sf_dir),
+        "product": product_table(spark, sf_dir),
+        "site": site_dim_of(spark, sf_dir),
+        "transportation_lane": None,
+        "trading_partner": fx.partners(spark, sf_dir),
+        "inv_policy": sp.inventory_policy(fx.sites(spark, sf_dir)),
+        "forecast": sp.demand_forecast(fx.sites(spark, sf_dir), AS_OF),
+        "inv_level": inv,
+        "inbound_order": inbound_order_table(spark, sf_dir),
+        "inbound_order_line": inbound_line_table(spark, sf_dir),
+        "shipment": sp.shipments(order_lines(spark, sf_dir), fx.inbound_orders_raw(spark, sf_dir)),
+        "outbound_order_line": sp.outbound_demand(fx.customers(spark, sf_dir), fx.sites(spark, sf_dir), AS_OF),
+    }
+
+
+@query("validate_datasets")
+def q_validate_datasets(spark, sf_dir):
+    return va.validate_all(spark, validation_frames(spark, sf_dir))
+
+
+@query("validate_nulls")
+def q_validate_nulls(spark, sf_dir):
+    out = None
+    for name, df in validation_frames(spark, sf_dir).items():
+        if df is None:
+            continue
+        n = va.null_counts(df, name)
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
+@query("validate_summary")
+def q_validate_summary(spark, sf_dir):
+    return va.validate_summary(spark, va.validate_all(spark, validation_frames(spark, sf_dir)))
+
+
+@query("key_duplicates")
+def q_key_duplicates(spark, sf_dir):
+    return va.key_duplicates(inv_level_table(spark, sf_dir), "inv_level")
+
+
+# ---------------------------------------------------------------- files: publish, manifest, lake
+
+from stockmap.sources import files as fs  # noqa: E402
+
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    path = _scratch(spark, "site-csv")
+    fs.write_csv(site_dim_of(spark, sf_dir), path)
+    return fs.read_dataset(spark, "site", path)
+
+
+def _inv_for_lake(spark, sf_dir):
+    return inv_level_table(spark, sf_dir).withColumn("lot_number", F.concat_ws(
+        "-", "lot_number", "site_id", F.date_format("snapshot_date", "yyyyMMdd")))
+
+
+@query("publish_append")
+def q_publish_append(spark, sf_dir):
+    root = _scratch(spark, "lake")
+    inv = _inv_for_lake(spark, sf_dir)
+    fs.publish(inv.where(F.col("site_id") < "50000"), "inv_level", root, "20240101_000000")
+    fs.publish(inv.where(F.col("site_id") >= "50000"), "inv_level", root, "20240102_000000")
+    back = fs.read_lake(spark, "inv_level", root, "all")
+    return back.groupBy("load_ts").agg(F.count(F.lit(1)).alias("rows"),
+                                       F.sum("on_hand_inventory").cast("bigint").alias("on_hand"))
+
+
+@query("publish_replace")
+def q_publish_replace(spark, sf_dir):
+    root = _scratch(spark, "lake")
+    inv = _inv_for_lake(spark, sf_dir)
+    fs.publish(inv.where(F.col("site_id") < "50000"), "inv_level", root, "20240101_000000", replace=True)
+    fs.publish(inv, "inv_level", root, "20240102_000000", replace=True)
+    back = fs.read_lake(spark, "inv_level", root, "all")
+    return back.groupBy("load_ts").agg(F.count(F.lit(1)).alias("rows"),
+                                       F.sum("on_hand_inventory").cast("bigint").alias("on_hand"))
+
+
+@query("lake_latest")
+def q_lake_latest(spark, sf_dir):
+    root = _scratch(spark, "lake")
+    inv = _inv_for_lake(spark, sf_dir)
+    fs.publish(inv, "inv_level", root, "20240101_000000")
+    fs.publish(inv.where(F.col("site_id") >= "50000"), "inv_level", root, "20240102_000000")
+    return fs.read_lake(spark, "inv_level", root, "latest").drop("connection_id")
+
+
+def _published_root(spark, sf_dir):
+    root = _scratch(spark, "lake")
+    fs.publish(site_dim_of(spark, sf_dir).coalesce(1), "site", root, "20240101_000000")
+    fs.publish(_inv_for_lake(spark, sf_dir).coalesce(1), "inv_level", root, "20240101_000000")
+    fs.publish(_inv_for_lake(spark, sf_dir).where(F.col("site_id") >= "50000").coalesce(1), "inv_level", root,
+               "20240102_000000")
+    fs.publish(product_table(spark, sf_dir).coalesce(1), "product", root, "20240101_000000")
+    return root
+
+
+@query("publish_manifest")
+def q_publish_manifest(spark, sf_dir):
+    root = _published_root(spark, sf_dir)
+    m = fs.manifest(spark, root)
+    rows = (spark.read.option("header", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+            .csv(root).select(F.col("_metadata.file_path").alias("path")))
+    per_file = rows.groupBy("path").agg(F.count(F.lit(1)).alias("rows"))
+    j = m.join(per_file, "path", "left")
+    return j.groupBy("dataset", "load_ts").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("rows").cast("bigint").alias("rows"),
+        (F.min("bytes") > 0).alias("nonempty"), F.max(F.col("file_name").endswith(".csv")).alias("csv"))
+
+
+@query("file_inventory")
+def q_file_inventory(spark, sf_dir):
+    root = _published_root(spark, sf_dir)
+    inv = fs.file_inventory(spark, root)
+    return inv.select("dataset", "ord", "files", (F.col("bytes") > 0).alias("has_bytes"),
+                      F.col("latest_file").isNotNull().alias("has_latest_file"))
+
+
+# ---------------------------------------------------------------- streaming
+
+from stockmap.streaming import flows as fl  # noqa: E402
+from stockmap.streaming import upsert as up  # noqa: E402
+
+_FLOW_SQL = "SELECT site_id, product_id, on_hand_inventory, snapshot_date, lot_number FROM {source}"
+
+
+def _flow_run(spark, sf_dir):
+    base = _scratch(spark, "flow")
+    src, tgt, ck, log = f"{base}/src", f"{base}/target", f"{base}/ckpt", f"{base}/log"
+    inv = _inv_for_lake(spark, sf_dir)
+    from stockmap.schemas import spec
+    schema = spec("inv_level").schema
+    fs.write_csv(inv.where(F.col("site_id") < "50000"), f"{src}/load=a")
+    fl.run_flow(spark, flow_name="wa-inv-level", source_dir=src, schema=schema, target_dir=tgt,
+                checkpoint_dir=ck, log_dir=log, sql=_FLOW_SQL, source=fl.source_name("inv_level"))
+    fs.write_csv(inv.where(F.col("site_id") >= "50000"), f"{src}/load=b")
+    for _ in range(2):  # the second run finds nothing new
+        fl.run_flow(spark, flow_name="wa-inv-level", source_dir=src, schema=schema, target_dir=tgt,
+                    checkpoint_dir=ck, log_dir=log, sql=_FLOW_SQL, source=fl.source_name("inv_level"))
+    return tgt, log
+
+
+@query("flow_incremental")
+def q_flow_incremental(spark, sf_dir):
+    tgt, _ = _flow_run(spark, sf_dir)
+    return spark.read.parquet(tgt)
+
+
+@query("flow_log")
+def q_flow_log(spark, sf_dir):
+    _, log = _flow_run(spark, sf_dir)
+    return fl.read_log(spark, log).select("flow_name", "execution_id", "status", "records_processed",
+                                          "records_failed", (F.col("bytes_processed") > 0).alias("has_bytes"),
+                                          (F.col("end_time") >= F.col("start_time")).alias("ordered_times"))
+
+
+@query("event_upsert")
+def q_event_upsert(spark, sf_dir):
+    base = _scratch(spark, "upsert")
+    ev = fx.upsert_events(spark, sf_dir)
+    for part, cond in (("p0", F.col("seq") % 2 == 0), ("p1", F.col("seq") % 2 == 1)):
+        ev.where(cond).coalesce(1).write.mode("overwrite").parquet(f"{base}/src/{part}")
+    stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", True).parquet(f"{base}/src"))
+    up.upsert_stream(stream, f"{base}/target", f"{base}/ckpt", key=["id"], order=["event_ts", "seq"], buckets=16)
+    return up.read_target(spark, f"{base}/target")
+
+
+@query("events_daily")
+def q_events_daily(spark, sf_dir):
+    base = _scratch(spark, "events-daily")
+    ev = fx.table(spark, sf_dir, "events")
+    stream = spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    fl.run_to_table(fl.events_daily_stream(stream), f"{base}/ckpt", f"{base}/out", mode="complete")
+    return spark.read.parquet(f"{base}/out")
+
+
+# ---------------------------------------------------------------- monitoring
+
+from stockmap.operators import monitor as mo  # noqa: E402
+
+
+def flow_catalog(spark: SparkSession, n: int = 20) -> DataFrame:
+    return spark.range(n).select(F.format_string("s3-%d-flow", F.col("id")).alias("flow_name"))
+
+
+def executions_with_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = fx.executions(spark, sf_dir)
+    msgs = F.array(*[F.struct(F.lit("ERROR" if i == 1 else "INFO").alias("type"),
+                              F.format_string(f"execution %d message {i}", F.col("execution_id")).alias("message"))
+                     for i in range(1, 5)])
+    return e.withColumn("messages", F.when(F.col("status") == "FAILED", msgs))
+
+
+@query("execution_stats")
+def q_execution_stats(spark, sf_dir):
+    return mo.execution_stats(flow_catalog(spark), fx.executions(spark, sf_dir))
+
+
+@query("recent_executions")
+def q_recent_executions(spark, sf_dir):
+    return mo.recent_executions(fx.executions(spark, sf_dir), 3)
+
+
+@query("recent_events")
+def q_recent_events(spark, sf_dir):
+    ev = fx.table(spark, sf_dir, "events").select(F.col("event_id"), F.col("event_type"),
+                                                   F.col("ts").alias("event_timestamp"))
+    return mo.recent_events(ev, 20)
+
+
+@query("failed_executions")
+def q_failed_executions(spark, sf_dir):
+    return mo.failed_executions(executions_with_messages(spark, sf_dir), 3)
+
+
+@query("flow_throughput")
+def q_flow_throughput(spark, sf_dir):
+    return mo.flow_throughput(fx.executions(spark, sf_dir))

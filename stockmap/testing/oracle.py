@@ -375,3 +375,189 @@ SELECT dataset, batch_no, dataset || '-20240101000000' AS event_group_id,
     ELSE 'scn.data.dataset' END AS event_type,
   CASE WHEN dataset = 'site' THEN 'UPSERT' END AS operation, records, data
 FROM b""", "f_inv_event", "f_site_dim", "f_inbound_order")
+
+
+# ---------------------------------------------------------------- remaining coverage
+
+sql("candidate_sites", """
+WITH cand AS (SELECT latitude AS c_lat, longitude AS c_lon, min(zip_code) AS candidate_id FROM f_zone
+              WHERE latitude IS NOT NULL GROUP BY latitude, longitude),
+z AS (SELECT latitude AS z_lat, longitude AS z_lon, population AS pop, distance_km AS d_now FROM f_access
+      WHERE latitude IS NOT NULL AND distance_km IS NOT NULL AND population > 0),
+p AS (SELECT candidate_id, c_lat, c_lon, pop, d_now, 6371 * 2 * atan2(sqrt(a), sqrt(1 - a)) AS d
+      FROM (SELECT c.*, z.*, power(sin(radians(c.c_lat - z.z_lat) / 2), 2) + cos(radians(z.z_lat)) * cos(radians(c.c_lat))
+              * power(sin(radians(c.c_lon - z.z_lon) / 2), 2) AS a FROM z CROSS JOIN cand c) q),
+g AS (SELECT candidate_id, c_lat, c_lon, count(*) AS zones_helped, CAST(sum(pop) AS BIGINT) AS population_helped,
+        sum(pop * (d_now - d)) AS gain FROM p WHERE d < d_now GROUP BY candidate_id, c_lat, c_lon),
+base AS (SELECT sum(population * distance_km) AS wd, CAST(sum(population) AS DOUBLE) AS w FROM f_access
+         WHERE distance_km IS NOT NULL AND population > 0)
+SELECT CAST(row_number() OVER (ORDER BY gain DESC, candidate_id) AS INTEGER) AS rank, candidate_id, c_lat AS latitude,
+  c_lon AS longitude, zones_helped, population_helped, round(gain, 1) AS gain,
+  round((base.wd - gain) / base.w, 6) AS new_pop_weighted_distance_km
+FROM g CROSS JOIN base ORDER BY gain DESC, candidate_id LIMIT 5""", "f_zone", "f_access")
+
+sql("haversine_pairs", """
+SELECT l_orderkey AS order_key, count(*) AS lines, round(sum(d), 6) AS total_km, round(max(d), 6) AS max_km
+FROM (SELECT l.l_orderkey, 6371 * 2 * atan2(sqrt(a), sqrt(1 - a)) AS d FROM (
+  SELECT l.l_orderkey, power(sin(radians(s_lat - z_lat) / 2), 2) + cos(radians(z_lat)) * cos(radians(s_lat))
+           * power(sin(radians(s_lon - z_lon) / 2), 2) AS a
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN (SELECT c_custkey,
+          CASE WHEN c_custkey % 101 <> 0 THEN 45.5 + CAST((c_custkey * 37) % 350 AS DOUBLE) / 100 END AS z_lat,
+          CASE WHEN c_custkey % 101 <> 0 THEN -124.5 + CAST((c_custkey * 91) % 760 AS DOUBLE) / 100 END AS z_lon
+        FROM customer) c ON o.o_custkey = c.c_custkey
+  JOIN (SELECT s_suppkey, 45.5 + CAST((s_suppkey * 53) % 350 AS DOUBLE) / 100 AS s_lat,
+          -124.5 + CAST((s_suppkey * 113) % 760 AS DOUBLE) / 100 AS s_lon FROM supplier) s ON l.l_suppkey = s.s_suppkey) l) q
+GROUP BY l_orderkey""")
+
+
+# ---------------------------------------------------------------- validation
+
+_FAILURES = """
+SELECT 'company' AS dataset, 'unreadable' AS "check", CAST(NULL AS VARCHAR) AS field, 'File not found' AS message
+UNION ALL SELECT 'transportation_lane', 'unreadable', NULL, 'File not found'
+UNION ALL SELECT 'trading_partner', 'missing_required', 'description', 'Missing required field: description'
+UNION ALL SELECT 'trading_partner', 'missing_required', 'tpartner_type', 'Missing required field: tpartner_type'
+UNION ALL SELECT 'trading_partner', 'forbidden_present', 'name', 'Forbidden field present: name'
+UNION ALL SELECT 'trading_partner', 'forbidden_present', 'partner_type', 'Forbidden field present: partner_type'
+UNION ALL SELECT 'product', 'forbidden_present', 'category', 'Forbidden field present: category'
+UNION ALL SELECT 'product', 'forbidden_present', 'unit_of_measure', 'Forbidden field present: unit_of_measure'
+UNION ALL SELECT 'inv_level', 'nulls', 'site_id', 'Field ''site_id'' has ' || CAST(count(*) AS VARCHAR) || ' null values'
+  FROM f_inv_level WHERE site_id = 'UNKNOWN' HAVING count(*) > 0"""
+sql("validate_datasets", _FAILURES, "f_inv_level")
+
+sql("validate_nulls", """
+WITH inv AS (SELECT NULLIF(site_id, 'UNKNOWN') AS site_id, product_id, on_hand_inventory, snapshot_date FROM f_inv_level)
+SELECT 'geography' AS dataset, 'id' AS field, count(*) FILTER (WHERE id IS NULL) AS null_count FROM f_geography
+UNION ALL SELECT 'geography', 'description', count(*) FILTER (WHERE id IS NULL) FROM f_geography
+UNION ALL SELECT 'calendar', 'calendar_id', CAST(0 AS BIGINT) UNION ALL SELECT 'calendar', 'date', 0
+UNION ALL SELECT 'product_hierarchy', 'id', count(*) FILTER (WHERE id IS NULL) FROM f_product_group
+UNION ALL SELECT 'product_hierarchy', 'description', count(*) FILTER (WHERE id IS NULL) FROM f_product_group
+UNION ALL SELECT 'product', 'id', count(*) FILTER (WHERE p_partkey IS NULL) FROM part
+UNION ALL SELECT 'product', 'description', count(*) FILTER (WHERE p_name IS NULL) FROM part
+UNION ALL SELECT 'site', 'id', count(*) FILTER (WHERE site_id IS NULL) FROM f_site
+UNION ALL SELECT 'site', 'description', count(*) FILTER (WHERE city IS NULL) FROM f_site
+UNION ALL SELECT 'trading_partner', 'id', count(*) FILTER (WHERE id IS NULL) FROM f_partner
+UNION ALL SELECT 'inv_policy', 'id', 0 UNION ALL SELECT 'inv_policy', 'site_id', count(*) FILTER (WHERE site_id IS NULL) FROM f_site
+UNION ALL SELECT 'inv_policy', 'product_id', 0
+UNION ALL SELECT 'forecast', 'snapshot_date', 0 UNION ALL SELECT 'forecast', 'site_id', count(*) FILTER (WHERE site_id IS NULL) FROM f_site
+UNION ALL SELECT 'forecast', 'product_id', 0
+UNION ALL SELECT 'inv_level', 'product_id', count(*) FILTER (WHERE product_id IS NULL) FROM inv
+UNION ALL SELECT 'inv_level', 'site_id', count(*) FILTER (WHERE site_id IS NULL) FROM inv
+UNION ALL SELECT 'inv_level', 'on_hand_inventory', count(*) FILTER (WHERE on_hand_inventory IS NULL) FROM inv
+UNION ALL SELECT 'inv_level', 'snapshot_date', count(*) FILTER (WHERE snapshot_date IS NULL) FROM inv
+UNION ALL SELECT 'inbound_order', 'id', count(*) FILTER (WHERE id IS NULL) FROM f_inbound_order
+UNION ALL SELECT 'inbound_order', 'tpartner_id', count(*) FILTER (WHERE tpartner_id IS NULL) FROM f_inbound_order
+UNION ALL SELECT 'inbound_order_line', 'id', count(*) FILTER (WHERE l_orderkey IS NULL) FROM lineitem
+UNION ALL SELECT 'inbound_order_line', 'order_id', count(*) FILTER (WHERE l_orderkey IS NULL) FROM lineitem
+UNION ALL SELECT 'inbound_order_line', 'product_id', count(*) FILTER (WHERE l_partkey IS NULL) FROM lineitem
+UNION ALL SELECT 'shipment', 'id', 0 UNION ALL SELECT 'shipment', 'product_id', 0
+UNION ALL SELECT 'outbound_order_line', 'id', 0 UNION ALL SELECT 'outbound_order_line', 'product_id', 0""",
+    "f_geography", "f_product_group", "f_site", "f_partner", "f_inv_level", "f_inbound_order")
+
+sql("validate_summary", f"""
+WITH f AS ({_FAILURES}),
+names AS (SELECT unnest(['company', 'geography', 'calendar', 'product_hierarchy', 'product', 'site',
+  'transportation_lane', 'trading_partner', 'inv_policy', 'forecast', 'inv_level', 'inbound_order',
+  'inbound_order_line', 'shipment', 'outbound_order_line']) AS dataset),
+per AS (SELECT n.dataset, CAST(count(f.dataset) AS BIGINT) AS errors FROM names n LEFT JOIN f ON n.dataset = f.dataset
+        GROUP BY n.dataset)
+SELECT dataset, errors, errors = 0 AS valid, CAST(NULL AS BIGINT) AS valid_datasets, CAST(NULL AS BIGINT) AS total_datasets
+FROM per
+UNION ALL SELECT 'ALL', CAST(sum(errors) AS BIGINT), bool_and(errors = 0), CAST(count(*) FILTER (WHERE errors = 0) AS BIGINT),
+  CAST(count(*) AS BIGINT) FROM per""", "f_inv_level")
+
+sql("key_duplicates", """
+SELECT 'inv_level' AS dataset, snapshot_date, site_id, product_id, 'LOT-' || product_id AS lot_number,
+  count(*) AS occurrences
+FROM f_inv_level GROUP BY snapshot_date, site_id, product_id HAVING count(*) > 1""", "f_inv_level")
+
+
+# ---------------------------------------------------------------- files
+
+sql("csv_roundtrip", "SELECT * FROM f_site_dim", "f_site_dim")
+
+sql("publish_append", """
+SELECT CASE WHEN site_id < '50000' THEN '20240101_000000' ELSE '20240102_000000' END AS load_ts, count(*) AS rows,
+  CAST(sum(on_hand_inventory) AS BIGINT) AS on_hand
+FROM f_inv_level GROUP BY 1""", "f_inv_level")
+
+sql("publish_replace", """
+SELECT '20240102_000000' AS load_ts, count(*) AS rows, CAST(sum(on_hand_inventory) AS BIGINT) AS on_hand
+FROM f_inv_level""", "f_inv_level")
+
+sql("lake_latest", """
+SELECT snapshot_date, site_id, product_id, on_hand_inventory, inv_condition, lot_number, expiry_date,
+  '20240102_000000' AS load_ts FROM f_inv_event WHERE site_id >= '50000'""", "f_inv_event")
+
+sql("publish_manifest", """
+SELECT 'inv_level' AS dataset, '20240101_000000' AS load_ts, CAST(1 AS BIGINT) AS files, count(*) AS rows,
+  true AS nonempty, true AS csv FROM f_inv_level
+UNION ALL SELECT 'inv_level', '20240102_000000', 1, count(*), true, true FROM f_inv_level WHERE site_id >= '50000'
+UNION ALL SELECT 'site', '20240101_000000', 1, count(*), true, true FROM f_site
+UNION ALL SELECT 'product', '20240101_000000', 1, count(*), true, true FROM part""", "f_inv_level", "f_site")
+
+sql("file_inventory", """
+WITH names AS (SELECT unnest(['company', 'geography', 'calendar', 'product_hierarchy', 'product', 'site',
+  'transportation_lane', 'trading_partner', 'inv_policy', 'forecast', 'inv_level', 'inbound_order',
+  'inbound_order_line', 'shipment', 'outbound_order_line']) AS dataset,
+  unnest(range(0, 15)) AS ord),
+per AS (SELECT dataset, CAST(ord AS INTEGER) AS ord,
+  CAST(CASE dataset WHEN 'site' THEN 1 WHEN 'product' THEN 1 WHEN 'inv_level' THEN 2 ELSE 0 END AS BIGINT) AS files
+  FROM names)
+SELECT dataset, ord, files, files > 0 AS has_bytes, files > 0 AS has_latest_file FROM per
+UNION ALL SELECT 'TOTAL', 15, CAST(sum(files) AS BIGINT), true, false FROM per""")
+
+
+# ---------------------------------------------------------------- streaming
+
+sql("flow_incremental", """
+SELECT site_id, product_id, on_hand_inventory, snapshot_date, lot_number FROM f_inv_event""", "f_inv_event")
+
+sql("flow_log", """
+SELECT 'wa-inv-level' AS flow_name, 'wa-inv-level-' || CASE WHEN site_id < '50000' THEN '0' ELSE '1' END AS execution_id,
+  'SUCCEEDED' AS status, count(*) AS records_processed, CAST(0 AS BIGINT) AS records_failed, true AS has_bytes,
+  true AS ordered_times
+FROM f_inv_level GROUP BY 2""", "f_inv_level")
+
+sql("event_upsert", """
+SELECT id, event_ts, seq, status, value FROM f_upsert
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY event_ts DESC, seq DESC) = 1""", "f_upsert")
+
+sql("events_daily", """
+SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, count(*) AS events FROM events GROUP BY 1, 2""")
+
+
+# ---------------------------------------------------------------- monitoring
+
+sql("execution_stats", """
+WITH flows AS (SELECT printf('s3-%d-flow', i) AS flow_name FROM range(0, 20) t(i)),
+per AS (SELECT f.flow_name, count(e.execution_id) AS n, count(*) FILTER (WHERE e.status = 'SUCCEEDED') AS ok,
+          count(*) FILTER (WHERE e.status = 'FAILED') AS failed,
+          count(*) FILTER (WHERE e.status IN ('RUNNING', 'IN_PROGRESS')) AS running
+        FROM flows f LEFT JOIN f_execution e ON f.flow_name = e.flow_name GROUP BY f.flow_name)
+SELECT count(*) AS total_flows, count(*) FILTER (WHERE n > 0) AS flows_with_executions,
+  count(*) FILTER (WHERE n = 0) AS flows_without_executions, CAST(sum(n) AS BIGINT) AS total_executions,
+  CAST(sum(ok) AS BIGINT) AS succeeded, CAST(sum(failed) AS BIGINT) AS failed, CAST(sum(running) AS BIGINT) AS running,
+  CAST(sum(n) - sum(ok) - sum(failed) - sum(running) AS BIGINT) AS other,
+  round(CAST(sum(ok) AS DOUBLE) / NULLIF(sum(n), 0) * 100, 6) AS success_rate_pct
+FROM per""", "f_execution")
+
+sql("recent_executions", """
+SELECT *, CAST(row_number() OVER (PARTITION BY flow_name ORDER BY start_time DESC, execution_id) AS INTEGER) AS recent_rank
+FROM f_execution QUALIFY recent_rank <= 3""", "f_execution")
+
+sql("recent_events", """
+SELECT event_id, event_type, ts AS event_timestamp,
+  CAST(row_number() OVER (ORDER BY ts DESC, event_id) AS INTEGER) AS rank
+FROM events ORDER BY ts DESC, event_id LIMIT 20""")
+
+sql("failed_executions", """
+SELECT flow_name, execution_id, start_time, records_processed, records_failed, CAST(i AS INTEGER) AS message_no,
+  CASE WHEN i = 1 THEN 'ERROR' ELSE 'INFO' END AS message_type,
+  'execution ' || CAST(execution_id AS VARCHAR) || ' message ' || CAST(i AS VARCHAR) AS message
+FROM f_execution CROSS JOIN range(1, 4) t(i) WHERE status = 'FAILED'""", "f_execution")
+
+sql("flow_throughput", """
+SELECT flow_name, count(*) AS executions, CAST(sum(records_processed) AS BIGINT) AS records_processed,
+  CAST(sum(records_failed) AS BIGINT) AS records_failed FROM f_execution GROUP BY flow_name""", "f_execution")
