@@ -125,6 +125,7 @@ def nearest_site(
     carry_prefix: str = "",
     levels: Sequence[float] | None = None,
     zone_key: str | None = None,
+    levels_per_write: int = 2,
 ) -> DataFrame:
     """Append the nearest site (key, distance, carried columns) to every zone row.
 
@@ -184,14 +185,16 @@ def nearest_site(
             settled_parts.append(best)
             break
         radius = _block_radius_km(F.col("_z_lat"), F.col("_z_lon"), c)
-        # One row per pending location with its verdict; materialised so the
-        # next level starts from a short plan.
+        # One row per pending location with its verdict.
         verdict = (pending.join(best, ident, "left")
                    .withColumn("_ok", F.coalesce(F.col("_b._d") < radius - F.lit(1e-9), F.lit(False))))
-        verdict = materialize(verdict, f"nearest-level{lvl}")
+        if (lvl + 1) % levels_per_write == 0:
+            # Written every few levels: cuts the lineage and lets the search stop
+            # as soon as nothing is pending.
+            verdict = materialize(verdict, f"nearest-level{lvl}")
         settled_parts.append(verdict.where("_ok").drop("_ok"))
         pending = verdict.where(~F.col("_ok")).select(*ident)
-        if pending.isEmpty():
+        if (lvl + 1) % levels_per_write == 0 and pending.isEmpty():
             break
 
     found = settled_parts[0]
