@@ -462,11 +462,16 @@ def q_candidate_sites(spark, sf_dir):
 def q_haversine_pairs(spark, sf_dir):
     """Delivery distance per order: customer zone → supplier site of every line."""
     from stockmap.functions.geo import haversine_km
+    # Lines meet their site (by supplier) and orders meet their zone (by
+    # customer) separately; the two then join on the order key, and the
+    # per-order aggregate reuses that partitioning (no further shuffle).
     li = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+    lines = li.join(fx.site_points(spark, sf_dir), F.col("l_suppkey") == F.col("suppkey")).select(
+        "l_orderkey", "s_lat", "s_lon")
     o = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-         .join(fx.zone_points(spark, sf_dir), F.col("o_custkey") == F.col("custkey"))
-         .join(fx.site_points(spark, sf_dir), F.col("l_suppkey") == F.col("suppkey")))
+    orders = o.join(fx.zone_points(spark, sf_dir), F.col("o_custkey") == F.col("custkey")).select(
+        "o_orderkey", "z_lat", "z_lon")
+    j = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     d = haversine_km("z_lat", "z_lon", "s_lat", "s_lon")
     return j.groupBy(F.col("l_orderkey").alias("order_key")).agg(
         F.count(F.lit(1)).alias("lines"), F.round(F.sum(d), 6).alias("total_km"), F.round(F.max(d), 6).alias("max_km"))
