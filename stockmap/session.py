@@ -68,16 +68,25 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, metrics=None):
     """Write ``df`` as Parquet under the checkpoint folder and read it back.
 
     This cuts the lineage the way ``checkpoint()`` does. It costs one job, the
     files survive executor loss, and their sizes give AQE real statistics for
-    later join choices.
+    later join choices. ``metrics`` (aggregate columns) are collected by the
+    same write job through ``observe``; the call then returns
+    ``(df, metrics_dict)``.
     """
     import uuid
 
+    from pyspark.sql import Observation
+
     spark = df.sparkSession
     path = scratch_dir(spark, f"stockmap/{name}-{uuid.uuid4().hex[:12]}")
+    obs = None
+    if metrics:
+        obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+        df = df.observe(obs, *metrics)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)  # known schema: no footer inference
+    return (out, obs.get) if obs is not None else out

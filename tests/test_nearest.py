@@ -89,3 +89,37 @@ def test_haversine_column_matches_python(spark):
     df = spark.createDataFrame([(47.6062, -122.3321, 47.6588, -117.4260)], "a double, b double, c double, d double")
     got = df.select(haversine_km("a", "b", "c", "d").alias("d")).first()["d"]
     assert math.isclose(got, haversine_km_py(47.6062, -122.3321, 47.6588, -117.4260), rel_tol=1e-12)
+
+
+def test_descent_equals_brute_force_on_the_globe(spark):
+    rnd = random.Random(11)
+    sites = [(f"S{i:04d}", rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(200)]
+    zones = [(f"Z{i:04d}", rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(300)]
+    zdf = spark.createDataFrame(zones, "zip string, latitude double, longitude double")
+    sdf = spark.createDataFrame(sites, "site_id string, latitude double, longitude double")
+    got = {r["zip"]: r["nearest_site_id"] for r in nearest_site(zdf, sdf, descent=True).collect()}
+    assert got == _brute(zones, sites)
+
+
+def test_hot_cluster_is_exact_and_pruned(spark):
+    """A third of all sites in one tight cluster: zones inside and around it stay exact."""
+    rnd = random.Random(5)
+    cluster = [(f"C{i:05d}", 47.6 + rnd.uniform(-0.01, 0.01), -122.3 + rnd.uniform(-0.01, 0.01))
+               for i in range(1500)]
+    spread = [(f"S{i:05d}", rnd.uniform(40, 50), rnd.uniform(-130, -115)) for i in range(3000)]
+    sites = cluster + spread
+    zones = [(f"Z{i:04d}", 47.6 + rnd.gauss(0, 0.3), -122.3 + rnd.gauss(0, 0.3)) for i in range(300)]
+    zdf = spark.createDataFrame(zones, "zip string, latitude double, longitude double")
+    sdf = spark.createDataFrame(sites, "site_id string, latitude double, longitude double")
+    got = {r["zip"]: r["nearest_site_id"] for r in nearest_site(zdf, sdf, descent=True).collect()}
+    assert got == _brute(zones, sites)
+    auto = {r["zip"]: r["nearest_site_id"] for r in nearest_site(zdf, sdf).collect()}
+    assert auto == got
+
+
+def test_descent_nearest_other(spark):
+    s = spark.createDataFrame([("A", 0.0, 0.0), ("B", 0.0, 1.0), ("C", 0.0, 3.0)],
+                              "site_id string, latitude double, longitude double")
+    r = {x["site_id"]: x["nearest_site_id"]
+         for x in nearest_site(s, s, zone_key="site_id", descent=True).collect()}
+    assert r == {"A": "B", "B": "A", "C": "B"}
