@@ -327,20 +327,43 @@ def transshipment_pairs(metrics: DataFrame, stocks: DataFrame, target_per_1000:
 
 
 
-def candidate_gains(access: DataFrame, candidates: DataFrame, *, cell_deg: float = 0.25) -> DataFrame:
+def choose_radius_cell(zones: DataFrame, candidates: DataFrame) -> float:
+    """Cell size (degrees, divides 360) for the radius join.
+
+    Candidate density alone sets the finest useful cell (about two candidate
+    locations per cell). It is widened to half the median search radius, so
+    a typical zone probes a few dozen cells rather than thousands.
+    """
+    import math
+
+    from stockmap.plans.nearest import choose_levels
+    st = candidates.agg(F.count(F.lit(1)).alias("n"), F.min("latitude").alias("a"), F.max("latitude").alias("b"),
+                        F.min("longitude").alias("c"), F.max("longitude").alias("d")).first()
+    c_density = choose_levels(int(st["n"] or 0), (st["b"] or 0) - (st["a"] or 0), (st["d"] or 0) - (st["c"] or 0))[0]
+    med = zones.agg(F.percentile_approx("d_now", 0.5, 1000).alias("m")).first()["m"] or 0.0
+    half_radius_deg = math.degrees(med / 6371.0) / 2
+    c = max(min(c_density, 90.0), 360.0 / 2 ** 24)
+    while c < half_radius_deg and c * 2 <= 90.0:
+        c *= 2
+    return c
+
+
+def candidate_gains(access: DataFrame, candidates: DataFrame, *, cell_deg: float | None = None) -> DataFrame:
     """Per candidate location: zones it would bring closer and the population-weighted gain.
 
     For a zone at current distance d_now, a candidate at distance d < d_now
     gains pop·(d_now − d). Pairs come from a radius grid join: each zone
     probes only the cells its d_now circle can reach (lat band ± r, lon band
-    widened to the cap's exact longitude half-width), so no all-pairs product is formed. A zone far from
-    every site probes more cells because more candidates can help it.
+    widened to the cap's exact longitude half-width), so no all-pairs
+    product is formed. A zone far from every site probes more cells, because
+    more candidates can help it. The cell size follows candidate density and
+    the median radius (:func:`choose_radius_cell`).
     """
     z = access.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
                      & F.col("distance_km").isNotNull() & (F.col("population") > 0)).select(
         F.col("latitude").alias("z_lat"), F.col("longitude").alias("z_lon"),
         F.col("population").alias("pop"), F.col("distance_km").alias("d_now"))
-    c = cell_deg
+    c = cell_deg if cell_deg is not None else choose_radius_cell(z, candidates)
     n_lon = int(round(360.0 / c))
     r_rad = F.col("d_now") / F.lit(6371.0)
     r = F.degrees(r_rad)
@@ -368,7 +391,7 @@ def candidate_gains(access: DataFrame, candidates: DataFrame, *, cell_deg: float
         F.sum(F.col("pop") * (F.col("d_now") - F.col("d"))).alias("gain"))
 
 
-def candidate_sites(access: DataFrame, candidates: DataFrame, k: int = 5, *, cell_deg: float = 0.25) -> DataFrame:
+def candidate_sites(access: DataFrame, candidates: DataFrame, k: int = 5, *, cell_deg: float | None = None) -> DataFrame:
     """Top-k candidate locations by reduction of the population-weighted distance.
 
     new_wd = (Σ pop·d_now − gain) / Σ pop over zones with a site and population.

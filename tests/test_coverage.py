@@ -79,3 +79,25 @@ def test_stock_class_boundaries(spark):
                                "nearest_site_id string, doses_per_1000_people double")
     got = {r[0]: r["stock_class"] for r in cov.stock_class(df).collect()}
     assert got == {"a": "BETWEEN", "b": "WELL_STOCKED", "c": "BETWEEN", "d": "UNDERSTOCKED", "e": None}
+
+
+def test_candidate_gains_match_brute_force(spark):
+    import random
+    from stockmap.functions.geo import haversine_km_py
+    rnd = random.Random(2)
+    zones = [(f"z{i}", 47 + rnd.uniform(0, 2), -123 + rnd.uniform(0, 3), rnd.randint(1, 1000), rnd.uniform(1, 60))
+             for i in range(200)]
+    cands = [(f"c{i}", 47 + rnd.uniform(0, 2), -123 + rnd.uniform(0, 3)) for i in range(150)]
+    acc = spark.createDataFrame(zones, "zip_code string, latitude double, longitude double, population bigint, "
+                                       "distance_km double")
+    cdf = spark.createDataFrame(cands, "candidate_id string, latitude double, longitude double")
+    want = {}
+    for _, zl, zo, pop, dn in zones:
+        for cid, cl, co in cands:
+            d = haversine_km_py(zl, zo, cl, co)
+            if d < dn:
+                want[cid] = want.get(cid, 0.0) + pop * (dn - d)
+    for cell in (None, 0.0439453125, 1.40625):
+        got = {r.candidate_id: r.gain for r in cov.candidate_gains(acc, cdf, cell_deg=cell).collect()}
+        assert set(got) == set(want)
+        assert all(abs(got[k] - want[k]) < 1e-6 * max(1.0, want[k]) for k in want)
