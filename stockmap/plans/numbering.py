@@ -5,6 +5,9 @@ Here the rows are range-sorted across many tasks instead. Each task tags its
 rows (partition id, position), the sorted table is written once so both uses
 below see the same order, and per-partition counts (one row per partition,
 a bounded broadcast) give each partition its offset.
+
+The broadcast side holds one row per (partition, group): its size is bounded
+by the partition count times the number of groups.
 """
 
 from __future__ import annotations
@@ -21,10 +24,10 @@ def row_number_global(df: DataFrame, order: Sequence[Column | str], name: str =
                       within: str | None = None) -> DataFrame:
     """Append ``name`` = 1, 2, … in ``order`` (ties broken by the order columns given).
 
-    With ``within`` the numbering restarts for each value of that column (the
-    order should start with it). Its offsets come from one small aggregate
-    per value, not a per-group window, so a hot group is still spread over
-    many tasks.
+    With ``within`` the numbering restarts for each value of that column
+    (rows are sorted by it first). Offsets come from per-(partition, value)
+    counts, so a hot group is still spread over many tasks and there is no
+    per-group window over the data.
     """
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     if within is not None:
@@ -33,15 +36,17 @@ def row_number_global(df: DataFrame, order: Sequence[Column | str], name: str =
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mono", F.monotonically_increasing_id()))
     tagged = materialize(tagged, "rownum")
-    per_part = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_first"))
-    # One row per partition: the running sum runs over a few thousand rows at most.
-    per_part = per_part.withColumn(
-        "_off", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                           F.lit(0)))
-    out = tagged.join(F.broadcast(per_part.select("_pid", "_first", "_off")), "_pid")
-    out = out.withColumn(name, F.col("_off") + (F.col("_mono") - F.col("_first")) + 1)
+    # Counts per (partition, group): a table of #partitions × #groups rows. The
+    # running sum over earlier partitions of the same group is the offset, so
+    # numbering restarts per group without a second pass over the data.
+    grp = F.col(within) if within is not None else F.lit(0)
+    per_part = tagged.groupBy(F.col("_pid").alias("_pp"), grp.alias("_g")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_first"))
+    w = Window.partitionBy("_g").orderBy("_pp").rowsBetween(Window.unboundedPreceding, -1)
+    per_part = per_part.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
+    keys = F.col("_pid") == F.col("_pp")
     if within is not None:
-        starts = out.groupBy(F.col(within).alias("_w")).agg(F.min(name).alias("_start"))
-        out = (out.join(starts, F.col(within).eqNullSafe(F.col("_w")))
-               .withColumn(name, F.col(name) - F.col("_start") + 1).drop("_start", "_w"))
-    return out.drop("_pid", "_mono", "_first", "_off")
+        keys = keys & F.col(within).eqNullSafe(F.col("_g"))
+    out = tagged.join(F.broadcast(per_part), keys)
+    out = out.withColumn(name, F.col("_off") + (F.col("_mono") - F.col("_first")) + 1)
+    return out.drop("_pid", "_pp", "_g", "_mono", "_first", "_off")
