@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,10 +33,16 @@ def row_number_global(df: DataFrame, order: Sequence[Column | str], name: str =
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     if within is not None:
         cols = [F.col(within)] + cols
-    tagged = (df.orderBy(*cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mono", F.monotonically_increasing_id()))
-    tagged = materialize(tagged, "rownum")
+    # The range sort reads its input twice (boundary sample, then the sort):
+    # keep it for those two passes only, then release it.
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        tagged = (src.orderBy(*cols)
+                  .withColumn("_pid", F.spark_partition_id())
+                  .withColumn("_mono", F.monotonically_increasing_id()))
+        tagged = materialize(tagged, "rownum")
+    finally:
+        src.unpersist()
     # Counts per (partition, group): a table of #partitions × #groups rows. The
     # running sum over earlier partitions of the same group is the offset, so
     # numbering restarts per group without a second pass over the data.
