@@ -147,37 +147,47 @@ def orphan_stock(inv_level: DataFrame, site: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- access
 
-def access_by_zip(zone_pop: DataFrame, stocks: DataFrame, *, levels=None) -> DataFrame:
+def access_by_zip(zone_pop: DataFrame, stocks: DataFrame, *, levels=None, details: bool = False) -> DataFrame:
     """Nearest stocked site per ZIP.
 
     Columns: zip_code, latitude, longitude, population, nearest_site_id,
     nearest_site_zip, distance_km, distance_miles, total_doses. A ZIP without
     coordinates is kept with null site and distance. The site's doses travel
-    inside the nearest-site search, so there is no second join.
+    inside the nearest-site search, so there is no second join. With
+    ``details`` the site's latitude, longitude, city and state also travel
+    (as ``site_*`` columns), so per-site metrics need no join back to the
+    stock table (which would recompute it).
     """
     z = zone_pop.select("zip_code", "latitude", "longitude", F.col("total_pop").alias("population"))
-    s = stocks.select("site_id", F.col("zip_code").alias("site_zip"), "latitude", "longitude", "total_doses")
-    r = nearest_site(z, s, site_key="site_id", carry=("site_zip", "total_doses"), levels=levels)
+    extra = ("site_latitude", "site_longitude", "site_city", "site_state_prov") if details else ()
+    s = stocks.select("site_id", F.col("zip_code").alias("site_zip"), "latitude", "longitude", "total_doses",
+                      *([F.col("latitude").alias("site_latitude"), F.col("longitude").alias("site_longitude"),
+                         F.col("city").alias("site_city"), F.col("state_prov").alias("site_state_prov")]
+                        if details else []))
+    r = nearest_site(z, s, site_key="site_id", carry=("site_zip", "total_doses", *extra), levels=levels)
     return r.select("zip_code", "latitude", "longitude", "population", "nearest_site_id",
                     F.col("site_zip").alias("nearest_site_zip"), "distance_km",
-                    km_to_miles("distance_km").alias("distance_miles"), "total_doses")
+                    km_to_miles("distance_km").alias("distance_miles"), "total_doses", *extra)
 
 
 def site_metrics(access: DataFrame) -> DataFrame:
     """Per nearest site: total_population_served, pop_weighted_distance_km, zip_codes_served,
-    total_doses, doses_per_1000_people.
+    total_doses, doses_per_1000_people (+ site details when the access rows carry them).
 
     ZIPs without a site are left out. Null populations add nothing to the weights
     but the ZIP still counts. A zero population gives null ratios, not an error.
     """
     a = access.where(F.col("nearest_site_id").isNotNull())
     w = F.col("population")
+    carried = [c for c in ("nearest_site_zip", "site_latitude", "site_longitude", "site_city", "site_state_prov")
+               if c in access.columns]
     g = a.groupBy("nearest_site_id").agg(
         F.sum(w).cast("bigint").alias("total_population_served"),
         F.sum(F.when(w.isNotNull(), F.col("distance_km") * w)).alias("_wd"),
         F.sum(F.when(w.isNotNull() & F.col("distance_km").isNotNull(), w)).alias("_w"),
         F.count("zip_code").alias("zip_codes_served"),
         F.min("total_doses").alias("total_doses"),
+        *[F.min(c).alias(c) for c in carried],  # constant per site
     )
     return g.select(
         "nearest_site_id", "total_population_served",
@@ -185,17 +195,26 @@ def site_metrics(access: DataFrame) -> DataFrame:
         "zip_codes_served", "total_doses",
         (F.try_divide(F.col("total_doses").cast("double"),
                       F.nullif(F.col("total_population_served").cast("double"), F.lit(0.0))) * 1000)
-        .alias("doses_per_1000_people"),
+        .alias("doses_per_1000_people"), *carried,
     )
 
 
-def access_by_site(access: DataFrame, stocks: DataFrame) -> DataFrame:
-    """Site metrics ⟕ site details (zip_code, latitude, longitude, city, state_prov)."""
+def access_by_site(access: DataFrame, stocks: DataFrame | None = None) -> DataFrame:
+    """Site metrics with site details (zip_code, latitude, longitude, city, state_prov).
+
+    When ``access`` came from ``access_by_zip(..., details=True)`` the details
+    are already on every row and no join is needed. Otherwise they are joined
+    from ``stocks`` (left join, one row per site).
+    """
     m = site_metrics(access)
+    out_cols = ["nearest_site_id", "total_population_served", "pop_weighted_distance_km", "zip_codes_served",
+                "total_doses", "doses_per_1000_people", F.col("nearest_site_id").alias("site_id")]
+    if "site_latitude" in m.columns:
+        return m.select(*out_cols, F.col("nearest_site_zip").alias("zip_code"),
+                        F.col("site_latitude").alias("latitude"), F.col("site_longitude").alias("longitude"),
+                        F.col("site_city").alias("city"), F.col("site_state_prov").alias("state_prov"))
     det = stocks.select(F.col("site_id").alias("nearest_site_id"), *SITE_DETAIL_COLS)
-    return m.join(det, "nearest_site_id", "left").select(
-        "nearest_site_id", "total_population_served", "pop_weighted_distance_km", "zip_codes_served",
-        "total_doses", "doses_per_1000_people", F.col("nearest_site_id").alias("site_id"), *SITE_DETAIL_COLS)
+    return m.drop("nearest_site_zip").join(det, "nearest_site_id", "left").select(*out_cols, *SITE_DETAIL_COLS)
 
 
 # ---------------------------------------------------------------- summaries
@@ -300,15 +319,18 @@ def equity_by(access: DataFrame, zone_pop: DataFrame, by: str, bands: int = 4) -
     return g
 
 
-def transshipment_pairs(metrics: DataFrame, stocks: DataFrame, target_per_1000: float = 75.0,
+def transshipment_pairs(metrics: DataFrame, stocks: DataFrame | None = None, target_per_1000: float = 75.0,
                         max_km: float = 250.0) -> DataFrame:
     """Nearest surplus site for each deficit site, within ``max_km``.
 
     surplus = doses − target·pop/1000 (> 0 donors), deficit = the opposite.
     Donor search is the grid nearest-site plan, not an all-pairs join.
     """
-    m = metrics.drop("latitude", "longitude").join(
-        stocks.select(F.col("site_id").alias("nearest_site_id"), "latitude", "longitude"), "nearest_site_id")
+    if "latitude" in metrics.columns and stocks is None:
+        m = metrics
+    else:
+        m = metrics.drop("latitude", "longitude").join(
+            stocks.select(F.col("site_id").alias("nearest_site_id"), "latitude", "longitude"), "nearest_site_id")
     bal = m.withColumn("balance", F.col("total_doses") - F.lit(target_per_1000) * F.col("total_population_served") / 1000)
     donors = bal.where(F.col("balance") > 0).select(
         F.col("nearest_site_id").alias("donor_site_id"), "latitude", "longitude",

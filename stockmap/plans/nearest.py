@@ -297,8 +297,13 @@ def nearest_site(
 
     # Fullest cell per level: levels whose cells stay small score whole blocks
     # (at most 9 × 256 candidates per zone); levels with hot cells prune and refine.
-    occupancy = _max_occupancy(s, levels) if descent is None else {
-        c: (_SIMPLE_MAX_OCCUPANCY + 1 if descent else 0) for c in levels}
+    n_loc = int(st.get("n") or 0)
+    if descent is not None:
+        occupancy = {c: (_SIMPLE_MAX_OCCUPANCY + 1 if descent else 0) for c in levels}
+    elif n_loc <= _SIMPLE_MAX_OCCUPANCY:
+        occupancy = {c: n_loc for c in levels}  # no cell can hold more than all sites
+    else:
+        occupancy = _max_occupancy(s, levels)
 
     settled_parts = []
     for lvl, c in enumerate(levels):

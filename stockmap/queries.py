@@ -47,7 +47,10 @@ def access_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metrics_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cov.access_by_site(access_of(spark, sf_dir), stocks_of(spark, sf_dir))
+    # Site details travel through the nearest-site search: the stock
+    # aggregate is computed once, not again for a details join.
+    a = cov.access_by_zip(fx.zones(spark, sf_dir), stocks_of(spark, sf_dir), details=True)
+    return cov.access_by_site(a)
 
 
 # ---------------------------------------------------------------- coverage queries
@@ -202,8 +205,7 @@ def q_equity_by_poverty(spark, sf_dir):
 
 @query("transshipment_pairs")
 def q_transshipment_pairs(spark, sf_dir):
-    r = cov.transshipment_pairs(metrics_of(spark, sf_dir), stocks_of(spark, sf_dir), target_per_1000=75.0,
-                                max_km=250.0)
+    r = cov.transshipment_pairs(metrics_of(spark, sf_dir), target_per_1000=75.0, max_km=250.0)
     return _r6(r, "receiver_deficit", "donor_surplus", "distance_km", "transfer_qty")
 
 
