@@ -209,7 +209,10 @@ def transport_lanes(sites: DataFrame) -> DataFrame:
     coordinates (miles, 1 decimal). Each child picks one parent by exact
     nearest search, so the lane count is linear in the sites, not pairwise.
     """
-    s = sites.select("site_id", "site_type", "latitude", "longitude", "geo_id")
+    from stockmap.session import materialize
+    # Read by three searches and three lookups: written once (lineage cut)
+    # instead of being derived again for each.
+    s = materialize(sites.select("site_id", "site_type", "latitude", "longitude", "geo_id"), "lane-sites")
     hubs = s.where(F.col("site_type") == HUB)
     dcs = s.where(F.col("site_type") == DC)
     locs = s.where(F.col("site_type") == LOCAL)
@@ -222,9 +225,16 @@ def transport_lanes(sites: DataFrame) -> DataFrame:
             F.col("parent_distance_km").alias("_km"))
         return r.join(geo, r.from_site_id == geo._gid, "left").withColumnRenamed("_geo", "from_geo_id").drop("_gid")
 
-    hub_dc = _lane(edges(dcs, hubs), LANE_HUB_DC)
-    dc_loc = _lane(edges(locs, dcs), LANE_DC_LOCAL)
-    near = edges(dcs, dcs, exclude_self=True)
+    # The three searches are independent: submitted from threads, their jobs
+    # run side by side on the cluster instead of one after another.
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        f_hub = pool.submit(edges, dcs, hubs)
+        f_loc = pool.submit(edges, locs, dcs)
+        f_dc = pool.submit(edges, dcs, dcs, True)
+        hub_dc = _lane(f_hub.result(), LANE_HUB_DC)
+        dc_loc = _lane(f_loc.result(), LANE_DC_LOCAL)
+        near = f_dc.result()
     both = near.unionByName(near.select(
         F.col("to_site_id").alias("from_site_id"), F.col("from_site_id").alias("to_site_id"),
         F.col("from_geo_id").alias("to_geo_id"), F.col("to_geo_id").alias("from_geo_id"), "_km"))
