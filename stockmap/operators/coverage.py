@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from stockmap.functions.geo import haversine_km, km_to_miles
 from stockmap.plans.nearest import nearest_site
+from stockmap.session import materialize
 
 # Two-digit ZIP prefixes per state (coarse; no state boundary test).
 STATE_ZIP_PREFIXES = {
@@ -332,6 +333,8 @@ def transshipment_pairs(metrics: DataFrame, stocks: DataFrame | None = None, tar
         m = metrics.drop("latitude", "longitude").join(
             stocks.select(F.col("site_id").alias("nearest_site_id"), "latitude", "longitude"), "nearest_site_id")
     bal = m.withColumn("balance", F.col("total_doses") - F.lit(target_per_1000) * F.col("total_population_served") / 1000)
+    # One row per site, read by both sides of the search: written once.
+    bal = materialize(bal.select("nearest_site_id", "latitude", "longitude", "balance"), "transship-balance")
     donors = bal.where(F.col("balance") > 0).select(
         F.col("nearest_site_id").alias("donor_site_id"), "latitude", "longitude",
         F.col("balance").alias("donor_surplus"))
@@ -418,6 +421,9 @@ def candidate_sites(access: DataFrame, candidates: DataFrame, k: int = 5, *, cel
 
     new_wd = (Σ pop·d_now − gain) / Σ pop over zones with a site and population.
     """
+    # Read three times below (cell size, gains, baseline): written once.
+    access = materialize(access.select("zip_code", "latitude", "longitude", "population", "distance_km"),
+                         "candidate-access")
     g = candidate_gains(access, candidates, cell_deg=cell_deg)
     base = access.where(F.col("distance_km").isNotNull() & (F.col("population") > 0)).agg(
         F.sum(F.col("population") * F.col("distance_km")).alias("_wd"),
