@@ -101,3 +101,32 @@ def test_candidate_gains_match_brute_force(spark):
         got = {r.candidate_id: r.gain for r in cov.candidate_gains(acc, cdf, cell_deg=cell).collect()}
         assert set(got) == set(want)
         assert all(abs(got[k] - want[k]) < 1e-6 * max(1.0, want[k]) for k in want)
+
+
+def test_publish_replace_and_read_back(spark, tmp):
+    from stockmap.schemas import spec
+    s = spec("inbound_order")
+    a = spark.createDataFrame([("O1", None, "T1", "PO", "OPEN")], s.schema)
+    b = spark.createDataFrame([("O2", None, "T2", "PO", "OPEN"), ("O3", None, "T3", "PO", "OPEN")], s.schema)
+    root = f"{tmp}/lake"
+    assert fs.read_lake(spark, "inbound_order", root).count() == 0          # missing dataset → empty
+    fs.publish(a, "inbound_order", root, "20240101_000000")
+    fs.publish(b, "inbound_order", root, "20240102_000000")
+    assert sorted(r.id for r in fs.read_lake(spark, "inbound_order", root, "all").collect()) == ["O1", "O2", "O3"]
+    assert sorted(r.id for r in fs.read_lake(spark, "inbound_order", root, "latest").collect()) == ["O2", "O3"]
+    fs.publish(a, "inbound_order", root, "20240103_000000", replace=True)
+    back = fs.read_lake(spark, "inbound_order", root, "all").collect()
+    assert [(r.id, r.load_ts) for r in back] == [("O1", "20240103_000000")]
+    m = fs.manifest(spark, root).collect()
+    assert {r.dataset for r in m} == {"inbound_order"} and all(r.file_name.endswith(".csv") for r in m)
+    inv = {r.dataset: r for r in fs.file_inventory(spark, root).collect()}
+    assert inv["inbound_order"].files == len(m) and inv["site"].files == 0 and inv["TOTAL"].files == len(m)
+    assert inv["inbound_order"].latest_file is not None
+
+
+def test_cached_reads_materialised_copy(spark, tmp):
+    df = spark.createDataFrame([(1,), (2,)], "x long")
+    first = fs.cached(df, f"{tmp}/c")
+    assert first.count() == 2
+    again = fs.cached(spark.createDataFrame([(9,)], "x long"), f"{tmp}/c")
+    assert sorted(r.x for r in again.collect()) == [1, 2]
