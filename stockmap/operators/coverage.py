@@ -295,10 +295,30 @@ def restock_priority(metrics: DataFrame, target_per_1000: float = 100.0) -> Data
         Window.orderBy(F.col("restock_need").desc(), F.col("nearest_site_id"))))
 
 
+def exact_cut_points(df: DataFrame, col: str, probs: Sequence[float]) -> list:
+    """Exact discrete quantiles: for each p, the value at rank ceil(n·p) in sorted order.
+
+    Distributed and exact at any size: the non-null values are range-sorted and
+    numbered (``plans.numbering``), then only the wanted ranks reach the driver.
+    No task holds all the values (unlike an exact percentile aggregate), and
+    nothing is approximated (unlike a sketch).
+    """
+    import math
+
+    from stockmap.plans.numbering import row_number_global
+    v = df.where(F.col(col).isNotNull()).select(F.col(col).alias("_v"))
+    n = v.count()
+    if n == 0:
+        return [None for _ in probs]
+    ranks = [max(1, math.ceil(n * p)) for p in probs]
+    numbered = row_number_global(v, ["_v"], "_rn")
+    got = {r["_rn"]: r["_v"] for r in numbered.where(F.col("_rn").isin(sorted(set(ranks)))).collect()}
+    return [got[r] for r in ranks]
+
+
 def _quantile_band(df: DataFrame, col: str, n: int = 4) -> Column:
-    """Band 1..n from approximate cut points (one aggregate, no global window)."""
-    probs = [i / n for i in range(1, n)]
-    cuts = df.agg(F.percentile_approx(col, probs, 10000).alias("q")).first()["q"]
+    """Band 1..n from exact quantile cut points (value ≤ cut i → band i)."""
+    cuts = exact_cut_points(df, col, [i / n for i in range(1, n)])
     band = F.lit(n)
     for i in reversed(range(n - 1)):
         band = F.when(F.col(col) <= F.lit(cuts[i]), F.lit(i + 1)).otherwise(band)

@@ -130,3 +130,15 @@ def test_cached_reads_materialised_copy(spark, tmp):
     assert first.count() == 2
     again = fs.cached(spark.createDataFrame([(9,)], "x long"), f"{tmp}/c")
     assert sorted(r.x for r in again.collect()) == [1, 2]
+
+
+def test_exact_cut_points_match_discrete_quantiles(spark):
+    import math
+    import random
+    rnd = random.Random(4)
+    for n in (1, 3, 7, 10, 11, 257):
+        vals = [rnd.randint(0, 50) for _ in range(n)]
+        df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "x long")
+        got = cov.exact_cut_points(df, "x", [0.25, 0.5, 0.75])
+        srt = sorted(vals)
+        assert got == [srt[max(1, math.ceil(n * p)) - 1] for p in (0.25, 0.5, 0.75)]
