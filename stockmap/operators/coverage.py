@@ -148,7 +148,8 @@ def orphan_stock(inv_level: DataFrame, site: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- access
 
-def access_by_zip(zone_pop: DataFrame, stocks: DataFrame, *, levels=None, details: bool = False) -> DataFrame:
+def access_by_zip(zone_pop: DataFrame, stocks: DataFrame, *, levels=None, details: bool = False,
+                  zone_cols: Sequence[str] = ()) -> DataFrame:
     """Nearest stocked site per ZIP.
 
     Columns: zip_code, latitude, longitude, population, nearest_site_id,
@@ -157,9 +158,10 @@ def access_by_zip(zone_pop: DataFrame, stocks: DataFrame, *, levels=None, detail
     inside the nearest-site search, so there is no second join. With
     ``details`` the site's latitude, longitude, city and state also travel
     (as ``site_*`` columns), so per-site metrics need no join back to the
-    stock table (which would recompute it).
+    stock table (which would recompute it). ``zone_cols`` are zone columns
+    kept on each row (the search keeps every zone row as it is).
     """
-    z = zone_pop.select("zip_code", "latitude", "longitude", F.col("total_pop").alias("population"))
+    z = zone_pop.select("zip_code", "latitude", "longitude", F.col("total_pop").alias("population"), *zone_cols)
     extra = ("site_latitude", "site_longitude", "site_city", "site_state_prov") if details else ()
     s = stocks.select("site_id", F.col("zip_code").alias("site_zip"), "latitude", "longitude", "total_doses",
                       *([F.col("latitude").alias("site_latitude"), F.col("longitude").alias("site_longitude"),
@@ -168,7 +170,7 @@ def access_by_zip(zone_pop: DataFrame, stocks: DataFrame, *, levels=None, detail
     r = nearest_site(z, s, site_key="site_id", carry=("site_zip", "total_doses", *extra), levels=levels)
     return r.select("zip_code", "latitude", "longitude", "population", "nearest_site_id",
                     F.col("site_zip").alias("nearest_site_zip"), "distance_km",
-                    km_to_miles("distance_km").alias("distance_miles"), "total_doses", *extra)
+                    km_to_miles("distance_km").alias("distance_miles"), "total_doses", *extra, *zone_cols)
 
 
 def site_metrics(access: DataFrame) -> DataFrame:
@@ -325,10 +327,14 @@ def _quantile_band(df: DataFrame, col: str, n: int = 4) -> Column:
     return F.when(F.col(col).isNotNull(), band)
 
 
-def equity_by(access: DataFrame, zone_pop: DataFrame, by: str, bands: int = 4) -> DataFrame:
-    """Weighted mean distance and doses per 1,000 people per quantile band of ``by``."""
-    a = access.join(zone_pop.select("zip_code", by).dropDuplicates(["zip_code"]), "zip_code", "left")
-    a = a.withColumn("band", _quantile_band(a, by, bands))
+def equity_by(access: DataFrame, by: str, bands: int = 4) -> DataFrame:
+    """Zones, population and population-weighted distance per quantile band of ``by``.
+
+    ``by`` (median income, poverty rate) must be on the access rows: pass it
+    through ``access_by_zip(..., zone_cols=[by])``. Each zone row then keeps its
+    own value, with no join on ZIP codes that might repeat.
+    """
+    a = access.withColumn("band", _quantile_band(access, by, bands))
     w = F.col("population")
     g = a.where(F.col("band").isNotNull()).groupBy("band").agg(
         F.count("zip_code").alias("zip_codes"),

@@ -193,14 +193,14 @@ def q_restock_priority(spark, sf_dir):
 
 @query("equity_by_income")
 def q_equity_by_income(spark, sf_dir):
-    return _r6(cov.equity_by(access_of(spark, sf_dir), fx.zones(spark, sf_dir), "median_income"),
-               "pop_weighted_distance_km")
+    a = cov.access_by_zip(fx.zones(spark, sf_dir), stocks_of(spark, sf_dir), zone_cols=["median_income"])
+    return _r6(cov.equity_by(a, "median_income"), "pop_weighted_distance_km")
 
 
 @query("equity_by_poverty")
 def q_equity_by_poverty(spark, sf_dir):
-    return _r6(cov.equity_by(access_of(spark, sf_dir), fx.zones(spark, sf_dir), "poverty_rate"),
-               "pop_weighted_distance_km")
+    a = cov.access_by_zip(fx.zones(spark, sf_dir), stocks_of(spark, sf_dir), zone_cols=["poverty_rate"])
+    return _r6(cov.equity_by(a, "poverty_rate"), "pop_weighted_distance_km")
 
 
 @query("transshipment_pairs")
