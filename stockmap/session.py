@@ -90,3 +90,17 @@ def materialize(df, name: str, metrics=None):
     df.write.mode("overwrite").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)  # known schema: no footer inference
     return (out, obs.get) if obs is not None else out
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables written by :func:`materialize` (``{checkpoint dir}/stockmap``).
+
+    Call it once the results that read them have been written or collected;
+    a DataFrame returned by an operator may still read these files until then.
+    """
+    path = scratch_dir(spark, "stockmap")
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)
