@@ -289,12 +289,16 @@ def coverage_gaps(access: DataFrame, max_km: float = 80.0) -> DataFrame:
 
 
 def restock_priority(metrics: DataFrame, target_per_1000: float = 100.0) -> DataFrame:
-    """need = max(0, target·population/1000 − doses); ranked by need desc, site_id."""
+    """need = max(0, target·population/1000 − doses); priority 1, 2, … by need desc, site_id.
+
+    The ranking covers every site, so it uses the range-sorted global
+    numbering rather than a window without partitions (one task).
+    """
+    from stockmap.plans.numbering import row_number_global
     need = F.greatest(F.lit(0.0), F.lit(target_per_1000) * F.col("total_population_served") / 1000
                       - F.coalesce(F.col("total_doses"), F.lit(0)))
     m = metrics.withColumn("restock_need", need)
-    return m.withColumn("priority", F.row_number().over(
-        Window.orderBy(F.col("restock_need").desc(), F.col("nearest_site_id"))))
+    return row_number_global(m, [F.col("restock_need").desc(), F.col("nearest_site_id")], "priority")
 
 
 def exact_cut_points(df: DataFrame, col: str, probs: Sequence[float]) -> list:

@@ -106,7 +106,7 @@ FROM f_access WHERE distance_km IS NULL OR distance_km > 30""", "f_access")
 
 sql("restock_priority", """
 SELECT nearest_site_id, total_population_served, total_doses, round(need, 6) AS restock_need,
-  CAST(row_number() OVER (ORDER BY need DESC, nearest_site_id) AS INTEGER) AS priority
+  row_number() OVER (ORDER BY need DESC, nearest_site_id) AS priority
 FROM (SELECT *, greatest(0.0, 100.0 * total_population_served / 1000 - COALESCE(total_doses, 0)) AS need
       FROM f_site_metrics) q""", "f_site_metrics")
 
