@@ -169,6 +169,12 @@ def route_events(records: DataFrame) -> DataFrame:
     return records.join(F.broadcast(r), "dataset", "left").withColumn("eligible", F.coalesce("eligible", F.lit(False)))
 
 
+def split_routed(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected): rows of event-eligible datasets, and the rest (a reject output)."""
+    r = route_events(records)
+    return r.where("eligible"), r.where(~F.col("eligible")).drop("event_type", "operation")
+
+
 def event_batches(payloads: DataFrame, group_ts: str, batch_size: int = BATCH_SIZE) -> DataFrame:
     """Batches of ``batch_size`` records per dataset, in record order.
 

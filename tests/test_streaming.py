@@ -69,3 +69,12 @@ def test_daily_windows_stream(spark, tmp):
     fl.run_to_table(fl.events_daily_stream(stream), f"{tmp}/ck", f"{tmp}/out")
     got = sorted((str(r.day), r.event_type, r.events) for r in spark.read.parquet(f"{tmp}/out").collect())
     assert got == [("2024-01-01", "click", 2), ("2024-01-02", "view", 1)]
+
+
+def test_routing_splits_rejects(spark):
+    df = spark.createDataFrame([("inv_level", "a"), ("site", "b"), ("forecast", "c"), ("shipment", "d")],
+                               "dataset string, record_key string")
+    ok, rej = cf.split_routed(df)
+    got = {r.dataset: (r.event_type, r.operation) for r in ok.collect()}
+    assert got == {"inv_level": ("scn.data.inventorylevel", None), "site": ("scn.data.dataset", "UPSERT")}
+    assert sorted(r.dataset for r in rej.collect()) == ["forecast", "shipment"]
