@@ -123,3 +123,18 @@ def test_descent_nearest_other(spark):
     r = {x["site_id"]: x["nearest_site_id"]
          for x in nearest_site(s, s, zone_key="site_id", descent=True).collect()}
     assert r == {"A": "B", "B": "A", "C": "B"}
+
+
+def test_descent_exact_across_antimeridian_and_pole(spark):
+    rnd = random.Random(21)
+    sites = [(f"A{i:04d}", rnd.uniform(-1, 1), rnd.choice([179.0, -179.0]) + rnd.uniform(-0.99, 0.99))
+             for i in range(600)]
+    sites += [(f"P{i:04d}", 89.0 + rnd.uniform(0, 0.99), rnd.uniform(-180, 180)) for i in range(400)]
+    sites += [(f"R{i:04d}", rnd.uniform(-80, 80), rnd.uniform(-180, 180)) for i in range(30)]
+    zones = [(f"Z{i:04d}", rnd.uniform(-5, 5), rnd.choice([175.0, -175.0]) + rnd.uniform(-5, 5)) for i in range(150)]
+    zones += [(f"Q{i:04d}", rnd.uniform(80, 90), rnd.uniform(-180, 180)) for i in range(100)]
+    zdf = spark.createDataFrame(zones, "zip string, latitude double, longitude double")
+    sdf = spark.createDataFrame(sites, "site_id string, latitude double, longitude double")
+    want = _brute(zones, sites)
+    assert {r["zip"]: r["nearest_site_id"] for r in nearest_site(zdf, sdf).collect()} == want
+    assert {r["zip"]: r["nearest_site_id"] for r in nearest_site(zdf, sdf, descent=True).collect()} == want
