@@ -35,10 +35,11 @@ instead of 20M.
 Cost: each level shuffles only the still-unsettled zone locations (×9) and
 the site cells. The first cell size comes from site density (about two site
 locations per cell), so most zones settle at level 0 with ~18 candidates.
-Each level's verdicts are written as Parquet under the session's checkpoint
-folder (``stockmap.session.materialize``), which cuts the lineage, so the plan stays small however
-many levels run. The search runs eagerly when called; the final join back to the
-zone rows is lazy.
+Every second level's verdicts are written as Parquet under the session's
+checkpoint folder (``stockmap.session.materialize``). That cuts the lineage,
+so the plan stays small however many levels run, and the pending count
+(observed by the same write) ends the search early. The search runs eagerly
+when called; the final join back to the zone rows is lazy.
 """
 
 from __future__ import annotations
@@ -55,10 +56,10 @@ from stockmap.session import materialize
 _FINAL_CELL = 120.0  # 3 longitude cells: the 3×3 block covers the globe
 _MAX_GRID_CELL = 90.0
 _SITES_PER_CELL = 2.0
-_MIN_LEVEL_EXP = 22  # finest cell 360 / 2**22 degrees (~1 cm): guards degenerate extents
+_MIN_LEVEL_EXP = 22  # finest first level 360 / 2**22 degrees (~10 m): guards degenerate extents
 _SIMPLE_MAX_OCCUPANCY = 256  # a level whose fullest cell holds more uses the pruned descent
 _LEAF_SITES = 64  # descent: cells holding at most this many site locations are expanded to sites
-_MIN_CELL = 360.0 / 2 ** 26  # descent never refines below this
+_MIN_CELL = 360.0 / 2 ** 26  # descent never refines below this (~0.6 m)
 
 
 def choose_levels(n_locations: int, lat_span: float, lon_span: float) -> list[float]:
