@@ -478,35 +478,34 @@ FROM f_inv_level GROUP BY snapshot_date, site_id, product_id HAVING count(*) > 1
 sql("csv_roundtrip", "SELECT * FROM f_site_dim", "f_site_dim")
 
 sql("publish_append", """
-SELECT CASE WHEN site_id < '50000' THEN '20240101_000000' ELSE '20240102_000000' END AS load_ts, count(*) AS rows,
-  CAST(sum(on_hand_inventory) AS BIGINT) AS on_hand
-FROM f_inv_level GROUP BY 1""", "f_inv_level")
+SELECT '20240101_000000' AS load_ts, count(*) AS rows, CAST(sum(on_hand_inventory) AS BIGINT) AS on_hand FROM f_inv_level
+UNION ALL
+SELECT '20240102_000000', count(*), CAST(sum(on_hand_inventory + 1) AS BIGINT) FROM f_inv_level""", "f_inv_level")
 
 sql("publish_replace", """
-SELECT '20240102_000000' AS load_ts, count(*) AS rows, CAST(sum(on_hand_inventory) AS BIGINT) AS on_hand
+SELECT '20240102_000000' AS load_ts, count(*) AS rows, CAST(sum(on_hand_inventory + 1) AS BIGINT) AS on_hand
 FROM f_inv_level""", "f_inv_level")
 
 sql("lake_latest", """
-SELECT snapshot_date, site_id, product_id, on_hand_inventory, inv_condition, lot_number, expiry_date,
-  '20240102_000000' AS load_ts FROM f_inv_event WHERE site_id >= '50000'""", "f_inv_event")
+SELECT snapshot_date, site_id, product_id, on_hand_inventory + 1 AS on_hand_inventory, inv_condition, lot_number,
+  expiry_date, '20240102_000000' AS load_ts FROM f_inv_event""", "f_inv_event")
 
 sql("publish_manifest", """
-SELECT 'inv_level' AS dataset, '20240101_000000' AS load_ts, CAST(1 AS BIGINT) AS files, count(*) AS rows,
-  true AS nonempty, true AS csv FROM f_inv_level
-UNION ALL SELECT 'inv_level', '20240102_000000', 1, count(*), true, true FROM f_inv_level WHERE site_id >= '50000'
-UNION ALL SELECT 'site', '20240101_000000', 1, count(*), true, true FROM f_site
-UNION ALL SELECT 'product', '20240101_000000', 1, count(*), true, true FROM part""", "f_inv_level", "f_site")
+SELECT 'inv_level' AS dataset, '20240101_000000' AS load_ts, count(*) AS rows, true AS nonempty, true AS csv
+FROM f_inv_level
+UNION ALL SELECT 'inv_level', '20240102_000000', count(*), true, true FROM f_inv_level
+UNION ALL SELECT 'site', '20240101_000000', count(*), true, true FROM f_site
+UNION ALL SELECT 'product', '20240101_000000', count(*), true, true FROM part""", "f_inv_level", "f_site")
 
 sql("file_inventory", """
 WITH names AS (SELECT unnest(['company', 'geography', 'calendar', 'product_hierarchy', 'product', 'site',
   'transportation_lane', 'trading_partner', 'inv_policy', 'forecast', 'inv_level', 'inbound_order',
   'inbound_order_line', 'shipment', 'outbound_order_line']) AS dataset,
   unnest(range(0, 15)) AS ord),
-per AS (SELECT dataset, CAST(ord AS INTEGER) AS ord,
-  CAST(CASE dataset WHEN 'site' THEN 1 WHEN 'product' THEN 1 WHEN 'inv_level' THEN 2 ELSE 0 END AS BIGINT) AS files
+per AS (SELECT dataset, CAST(ord AS INTEGER) AS ord, dataset IN ('site', 'product', 'inv_level') AS has_files
   FROM names)
-SELECT dataset, ord, files, files > 0 AS has_bytes, files > 0 AS has_latest_file FROM per
-UNION ALL SELECT 'TOTAL', 15, CAST(sum(files) AS BIGINT), true, false FROM per""")
+SELECT dataset, ord, has_files, has_files AS has_bytes, has_files AS has_latest_file FROM per
+UNION ALL SELECT 'TOTAL', 15, true, true, false""")
 
 
 # ---------------------------------------------------------------- streaming
@@ -515,7 +514,8 @@ sql("flow_incremental", """
 SELECT site_id, product_id, on_hand_inventory, snapshot_date, lot_number FROM f_inv_event""", "f_inv_event")
 
 sql("flow_log", """
-SELECT 'wa-inv-level' AS flow_name, 'wa-inv-level-' || CASE WHEN site_id < '50000' THEN '0' ELSE '1' END AS execution_id,
+SELECT 'wa-inv-level' AS flow_name,
+  'wa-inv-level-' || CASE WHEN snapshot_date < DATE '1996-01-01' THEN '0' ELSE '1' END AS execution_id,
   'SUCCEEDED' AS status, count(*) AS records_processed, CAST(0 AS BIGINT) AS records_failed, true AS has_bytes,
   true AS ordered_times
 FROM f_inv_level GROUP BY 2""", "f_inv_level")
