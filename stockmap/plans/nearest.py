@@ -122,14 +122,32 @@ def _neighbour_cells(lat: str, lon: str, c: float) -> Column:
     return F.expr(f"array({cells})")
 
 
-def _max_occupancy(s: DataFrame, levels: Sequence[float]) -> dict[float, int]:
-    """Site locations in the fullest cell of each level (one small aggregate job)."""
-    cells = F.array(*[F.struct(F.lit(i).alias("l"), _lat_cell("_s_lat", c).alias("ci"),
-                                _lon_cell("_s_lon", c).alias("cj")) for i, c in enumerate(levels)])
-    counts = s.select(F.explode(cells).alias("x")).groupBy("x.l", "x.ci", "x.cj").count()
-    rows = counts.groupBy("l").agg(F.max("count").alias("m")).collect()  # one row per level
-    got = {int(r["l"]): int(r["m"]) for r in rows}
-    return {c: got.get(i, 0) for i, c in enumerate(levels)}
+def _max_occupancy(s: DataFrame, levels: Sequence[float], n_loc: int) -> dict[float, int]:
+    """Site locations in the fullest cell of each level.
+
+    Ladder cells nest: a level-k cell index is the level-0 index divided by
+    4^k (latitude, and longitude after wrapping, since 4^k divides the cell
+    count). Sites are therefore counted once per level-0 cell, and coarser
+    levels roll up that small table. The 120° level does not nest; it is
+    given the upper bound ``n_loc``.
+    """
+    c0 = levels[0]
+    grid = [c for c in levels if c < _FINAL_CELL]
+    out = {c: n_loc for c in levels if c >= _FINAL_CELL}
+    if not grid:
+        return out
+    base = s.groupBy(_lat_cell("_s_lat", c0).alias("ci"), _lon_cell("_s_lon", c0).alias("cj")).count()
+    parts = []
+    for i, c in enumerate(grid):
+        f = int(round(c / c0))
+        parts.append(base.groupBy(F.floor(F.col("ci") / f).alias("a"), F.floor(F.col("cj") / f).alias("b"))
+                     .agg(F.sum("count").alias("n")).agg(F.max("n").alias("m")).select(F.lit(i).alias("l"), "m"))
+    u = parts[0]
+    for p_ in parts[1:]:
+        u = u.unionByName(p_)
+    got = {int(r["l"]): int(r["m"] or 0) for r in u.collect()}  # one row per level
+    out.update({c: got.get(i, 0) for i, c in enumerate(grid)})
+    return out
 
 
 def _summary(s: DataFrame, c: float) -> DataFrame:
@@ -304,7 +322,7 @@ def nearest_site(
     elif n_loc <= _SIMPLE_MAX_OCCUPANCY:
         occupancy = {c: n_loc for c in levels}  # no cell can hold more than all sites
     else:
-        occupancy = _max_occupancy(s, levels)
+        occupancy = _max_occupancy(s, levels, n_loc)
 
     settled_parts = []
     for lvl, c in enumerate(levels):
