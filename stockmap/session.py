@@ -7,6 +7,7 @@ tests, the bench and the command line, and for reading cluster settings.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -44,9 +45,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when it is unset (local tests) do we make a private scratch
-    folder.
+    On a cluster ``spark.checkpoint.dir`` names a folder that the driver and
+    all executors share, and is used as is. Where it is unset, a private
+    folder is made for a local session only; on a cluster that is an error,
+    since executors could not read what the others wrote.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -56,16 +58,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="stockmap-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return local
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the checkpoint folder for written intermediate tables."""
+def scratch_dir(spark: SparkSession, name: str = "") -> str:
+    """A folder of this application below the checkpoint folder, for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}"
+    return f"{base}/stockmap/{spark.sparkContext.applicationId}/{name}".rstrip("/")
 
 
 def materialize(df, name: str, metrics=None):
@@ -82,7 +86,7 @@ def materialize(df, name: str, metrics=None):
     from pyspark.sql import Observation
 
     spark = df.sparkSession
-    path = scratch_dir(spark, f"stockmap/{name}-{uuid.uuid4().hex[:12]}")
+    path = scratch_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
     obs = None
     if metrics:
         obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
@@ -93,12 +97,12 @@ def materialize(df, name: str, metrics=None):
 
 
 def clear_scratch(spark: SparkSession) -> None:
-    """Delete the intermediate tables written by :func:`materialize` (``{checkpoint dir}/stockmap``).
+    """Delete the intermediate tables this application wrote; those of other applications stay.
 
     Call it once the results that read them have been written or collected;
     a DataFrame returned by an operator may still read these files until then.
     """
-    path = scratch_dir(spark, "stockmap")
+    path = scratch_dir(spark)
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
