@@ -41,3 +41,29 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
+
+def _canonical(text: str) -> str:
+    from stockmap.llm.license_scan import BREAKS, COPYRIGHT_LINES, SPELLINGS
+
+    s = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    s = f"trim(regexp_replace(regexp_replace({s}, '{COPYRIGHT_LINES}', '', 'g'), '{BREAKS}', ' ', 'g'))"
+    for variant, one in SPELLINGS:
+        s = f"replace({s}, '{variant}', '{one}')"
+    return s
+
+
+def license_scan() -> str:
+    from stockmap.llm.license_scan import NOTICES, TEXTS
+
+    quoted = lambda t: t.replace("'", "''")
+    rows = ", ".join(f"('{k}', '{quoted(t)}')" for known in (NOTICES, TEXTS) for k, texts in known.items() for t in texts)
+    return f"""
+WITH known AS (SELECT sha256({_canonical('text')}) AS digest, min(license) AS license FROM (VALUES {rows}) v(license, text) GROUP BY 1),
+d AS (SELECT row_number() OVER () AS uid, doc_id, text FROM documents),
+whole AS (SELECT uid, doc_id, sha256({_canonical('text')}) AS digest FROM d),
+lines AS (SELECT uid, unnest(string_split(text, chr(10))) AS line FROM d WHERE contains(text, chr(10))),
+hits AS (SELECT uid, string_agg(DISTINCT license, ',' ORDER BY license) AS notices, count(*) AS n
+         FROM lines JOIN known ON sha256({_canonical('line')}) = digest GROUP BY uid)
+SELECT doc_id, whole.digest AS canonical_sha256, license, coalesce(notices, '') AS notices, coalesce(n, 0) AS n_notice_lines
+FROM whole LEFT JOIN known ON whole.digest = known.digest LEFT JOIN hits USING (uid)
+"""

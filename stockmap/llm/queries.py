@@ -4,17 +4,22 @@ from __future__ import annotations
 
 from stockmap.llm import oracle
 from stockmap.llm.exact_dedup import op5_exact_dedup
+from stockmap.llm.license_scan import op10_license_scan
 from stockmap.llm.mix_sources import op6_mix_sources
+from stockmap.llm.personal_data import op3_personal_data
 from stockmap.llm.shuffle_shards import op9_feistel_shards
 
 LLM_QUERIES = {
+    "op3_personal_data": op3_personal_data,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mix_sources": op6_mix_sources,
     "op9_feistel_shards": op9_feistel_shards,
+    "op10_license_scan": op10_license_scan,
 }
 
 #: Only queries that SQL can express; the others are held against brute force in tests/llm.
 LLM_ORACLE = {
     "op5_exact_dedup": oracle.EXACT_DEDUP,
     "op6_mix_sources": oracle.mix_sources(),
+    "op10_license_scan": oracle.license_scan(),
 }
