@@ -6,6 +6,7 @@ from stockmap.llm import oracle
 from stockmap.llm.exact_dedup import op5_exact_dedup
 from stockmap.llm.license_scan import op10_license_scan
 from stockmap.llm.mix_sources import op6_mix_sources
+from stockmap.llm.near_dedup import op4_near_dedup
 from stockmap.llm.pack_windows import op2_pack_windows
 from stockmap.llm.personal_data import op3_personal_data
 from stockmap.llm.shuffle_shards import op9_feistel_shards
@@ -14,6 +15,7 @@ from stockmap.llm.toxicity import op8_toxicity
 LLM_QUERIES = {
     "op2_pack_windows": op2_pack_windows,
     "op3_personal_data": op3_personal_data,
+    "op4_near_dedup": op4_near_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mix_sources": op6_mix_sources,
     "op8_toxicity": op8_toxicity,
