@@ -9,6 +9,7 @@ from stockmap.llm.mix_sources import op6_mix_sources
 from stockmap.llm.near_dedup import op4_near_dedup
 from stockmap.llm.pack_windows import op2_pack_windows
 from stockmap.llm.personal_data import op3_personal_data
+from stockmap.llm.posting_lists import op7_nearest
 from stockmap.llm.shuffle_shards import op9_feistel_shards
 from stockmap.llm.toxicity import op8_toxicity
 
@@ -18,6 +19,7 @@ LLM_QUERIES = {
     "op4_near_dedup": op4_near_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mix_sources": op6_mix_sources,
+    "op7_nearest": op7_nearest,
     "op8_toxicity": op8_toxicity,
     "op9_feistel_shards": op9_feistel_shards,
     "op10_license_scan": op10_license_scan,
