@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from stockmap.llm import oracle
+from stockmap.llm.class_ngrams import op1_class_ngrams
 from stockmap.llm.exact_dedup import op5_exact_dedup
 from stockmap.llm.license_scan import op10_license_scan
 from stockmap.llm.mix_sources import op6_mix_sources
@@ -14,6 +15,7 @@ from stockmap.llm.shuffle_shards import op9_feistel_shards
 from stockmap.llm.toxicity import op8_toxicity
 
 LLM_QUERIES = {
+    "op1_class_ngrams": op1_class_ngrams,
     "op2_pack_windows": op2_pack_windows,
     "op3_personal_data": op3_personal_data,
     "op4_near_dedup": op4_near_dedup,
