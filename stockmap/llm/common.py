@@ -53,3 +53,27 @@ def prefix_sums(df: DataFrame, order: Sequence[str], value: str, out: str, group
     return (tagged.withColumn("_in", F.coalesce(F.sum(value).over(own), F.lit(0))).join(offsets, on)
             .withColumn(out, (F.col("_in") + F.col("_off")).cast(kind))
             .drop("_uid", "_pid", "_pos", "_in", "_opid", "_og", "_off"))
+
+
+def text_tag(text: Column) -> Column:
+    """With the id, names a row in a later read of the same table."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def with_count(docs: DataFrame, tag: Column, counted: DataFrame) -> DataFrame:
+    """Each row of ``docs`` as often as ``counted`` says, with all its columns.
+
+    ``counted`` has ``doc_id``, ``tag`` and ``copies`` for each row of ``docs``
+    (rows of equal id and tag share the sum of theirs). The join key is nearly
+    unique; only where ids and texts repeat, rows of one key are numbered.
+    """
+    per = materialize(counted.groupBy("doc_id", "tag").agg(F.sum("copies").cast("int").alias("_copies"), F.count(F.lit(1)).cast("int").alias("_rows"))
+                      .filter("_copies > 0").withColumnsRenamed({"doc_id": "_kid", "tag": "_ktag"}), "keep")
+    d = docs.withColumn("_tag", tag)
+    d = d.join(per, d["doc_id"].eqNullSafe(per["_kid"]) & (F.col("_tag") == F.col("_ktag")))
+    times = F.col("_copies")
+    if not per.filter("_rows > 1").isEmpty():
+        place = F.row_number().over(Window.partitionBy("doc_id", "_tag").orderBy(F.xxhash64(*docs.columns)))
+        times = F.expr("_copies div _rows") + F.when(place <= F.col("_copies") % F.col("_rows"), 1).otherwise(0)
+    d = d.withColumn("_times", times.cast("int")).filter("_times > 0")
+    return d.withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)

@@ -32,7 +32,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockmap.llm.common import lower_ascii, table
+from stockmap.llm.common import lower_ascii, table, with_count
 from stockmap.session import materialize
 
 CAPACITY = 50_000
@@ -68,7 +68,7 @@ def with_key(docs: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """One row for each row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256."""
+    """One row for each row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256, key."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     entries = materialize(
         with_key(docs).select("doc_id", "key", F.sha2("norm", 256).alias("text_sha256"))
@@ -94,9 +94,16 @@ def groups(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return found.select(
         "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        (alone | (F.col("_uid") == F.col("head._uid"))).alias("kept"), "text_sha256")
+        (alone | (F.col("_uid") == F.col("head._uid"))).alias("kept"), "text_sha256", "key")
+
+
+def drop_copies(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns."""
+    found = groups(docs)
+    key = F.xxhash64(lower_ascii(F.coalesce(F.col("text"), F.lit(""))))
+    return with_count(docs, key, found.select("doc_id", F.col("key").alias("tag"), F.col("kept").cast("int").alias("copies")))
 
 
 def op5_exact_dedup(spark, sf_dir: str) -> DataFrame:
     """Every row of ``documents`` with the row that stays for its text, the size of its group and its digest."""
-    return groups(table(spark, sf_dir, "documents"))
+    return groups(table(spark, sf_dir, "documents")).drop("key")

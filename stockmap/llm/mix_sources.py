@@ -9,7 +9,8 @@
    its id and gets the exponential key ``-ln(u) / weight``, where the weight
    is its quality weight. Sorted by key within the source, documents are
    taken while the prefix sum of their words stays within the rest of the
-   budget; the document at the edge gives the words that are still missing.
+   budget; the document at the edge gives the words that are still missing
+   or, with ``whole``, is taken if that brings the source nearer its target.
 
 Prefix sums run over many tasks for each source (see ``prefix_sums``), so one
 source may hold any share of the rows. Nothing is collected but the water level.
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockmap.llm.common import WORD_RE, prefix_sums, table
+from stockmap.llm.common import WORD_RE, prefix_sums, table, text_tag, with_count
 from stockmap.session import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -56,9 +57,9 @@ def source_targets(sized: DataFrame, share: float = SHARE, most: float = MOST) -
     return ranked.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, quality: DataFrame | None, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """``docs`` (doc_id, source, size) with ``source_size``, ``target`` and ``taken``; ``quality``: doc_id, weight."""
-    sized = docs.select("doc_id", "source", "size")
+def mix(docs: DataFrame, quality: DataFrame | None, share: float = SHARE, most: float = MOST, whole: bool = False) -> DataFrame:
+    """``docs`` (doc_id, source, size, more) with ``source_size``, ``target`` and ``taken``; ``quality``: doc_id, weight."""
+    sized = docs
     if quality is not None:
         sized = sized.join(quality.select(F.col("doc_id").alias("_qid"), F.col("weight").alias("_qw")),
                            F.col("doc_id") == F.col("_qid"), "left").drop("_qid")
@@ -73,9 +74,11 @@ def mix(docs: DataFrame, quality: DataFrame | None, share: float = SHARE, most:
     drawn = drawn.join(t, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     rest = F.floor(F.col("target")).cast("long") - F.col("_epochs") * F.col("source_size")
+    left = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), rest - F.col("_before")))
+    if whole:
+        left = F.when(2 * left >= F.col("size"), F.col("size")).otherwise(F.lit(0).cast("long"))
     return (drawn.withColumn("_epochs", epochs)
-            .withColumn("taken", F.col("_epochs") * F.col("size") + F.greatest(
-                F.lit(0).cast("long"), F.least(F.col("size"), rest - F.col("_before"))))
+            .withColumn("taken", F.col("_epochs") * F.col("size") + left)
             .drop("_key", "_before", "_epochs"))
 
 
@@ -90,6 +93,15 @@ def label_weights(labels: DataFrame) -> DataFrame:
     return best.select("doc_id", F.when(F.col("q") == 1, GOOD).when(F.col("q") == 0, POOR).otherwise(UNKNOWN).alias("weight"))
 
 
+def mix_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of ``docs`` with all their columns, each as often as the mix takes it; a document without words never is."""
+    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count(F.col("text")).alias("size"),
+                        text_tag(F.col("text")).alias("tag"))
+    found = mix(sized, label_weights(labels), whole=True)
+    copies = F.when(F.col("size") > 0, F.expr("taken div size")).otherwise(F.lit(0))
+    return with_count(docs, text_tag(F.col("text")), found.select("doc_id", "tag", copies.alias("copies")))
+
+
 def op6_mix_sources(spark, sf_dir: str) -> DataFrame:
     """All ``documents`` with the words that the mix takes from each; quality weights come from ``labels``."""
     docs = table(spark, sf_dir, "documents").select(

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockmap.llm.common import table
+from stockmap.llm.common import table, text_tag, with_count
 from stockmap.llm.components import components
 from stockmap.session import materialize
 
@@ -125,7 +125,7 @@ def _digest(shingles: np.ndarray) -> bytes:
 
 
 def sketch(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, set_id, bands, signature of each row of ``docs``; the last three null for the empty set."""
+    """doc_id, tag, n_shingles, set_id, bands, signature of each row of ``docs``; the last three null for the empty set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
@@ -135,10 +135,11 @@ def sketch(docs: DataFrame, width: int) -> DataFrame:
                 rows.append((len(s), _digest(s), band_keys(low), pack(low)) if len(s) else (0, None, None, None))
             n, ids, bands, sigs = zip(*rows, strict=True) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(bands, pa.list_(pa.int64())),
-                 pa.array(sigs, pa.binary())], names=["doc_id", "n_shingles", "set_id", "bands", "signature"])
+                [batch.column("doc_id"), batch.column("tag"), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(bands, pa.list_(pa.int64())),
+                 pa.array(sigs, pa.binary())], names=["doc_id", "tag", "n_shingles", "set_id", "bands", "signature"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_id binary, bands array<long>, signature binary")
+    return docs.select("doc_id", text_tag(F.col("text")).alias("tag"), "text").mapInArrow(
+        run, "doc_id long, tag long, n_shingles long, set_id binary, bands array<long>, signature binary")
 
 
 def _sets(width: int):
@@ -255,7 +256,7 @@ def _remainder(members: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFra
 
 
 def near_groups(docs: DataFrame, width: int) -> DataFrame:
-    """One row for each row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept."""
+    """One row for each row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept, tag."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = materialize(sketch(docs, width).withColumn("uid", F.monotonically_increasing_id()), "near-rows")
     classes = materialize(
@@ -281,12 +282,18 @@ def near_groups(docs: DataFrame, width: int) -> DataFrame:
         "root", F.coalesce("root", "cls"))
     best = named.groupBy("root").agg(F.min("min_doc").alias("component_id"), F.coalesce(F.min_by("min_uid", "min_doc"), F.min("min_uid")).alias("first_uid"))
     by_set = materialize(named.join(best, "root").select("set_id", "component_id", "first_uid"), "near-sets-found")
-    out = rows.select("uid", "doc_id", "n_shingles", "set_id").join(by_set, "set_id", "left")
+    out = rows.select("uid", "doc_id", "n_shingles", "set_id", "tag").join(by_set, "set_id", "left")
     empty = F.col("set_id").isNull()
     return out.select("doc_id", "n_shingles", F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-                      (empty | (F.col("uid") == F.col("first_uid"))).alias("kept"))
+                      (empty | (F.col("uid") == F.col("first_uid"))).alias("kept"), "tag")
+
+
+def drop_near(docs: DataFrame, width: int = 5) -> DataFrame:
+    """The rows of ``docs`` that stay (one for each component), with all their columns."""
+    found = near_groups(docs, width)
+    return with_count(docs, text_tag(F.col("text")), found.select("doc_id", "tag", F.col("kept").cast("int").alias("copies")))
 
 
 def op4_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Components of ``documents`` under links of two-word shingle sets at a similarity of 0.8."""
-    return near_groups(table(spark, sf_dir, "documents"), width=2)
+    return near_groups(table(spark, sf_dir, "documents"), width=2).drop("tag")

@@ -42,8 +42,8 @@ from stockmap.llm.common import table
 
 WINDOW = 2048
 END_ID = 1
-SENTENCE_CUT, HARD_CUT = 16, 48
-STRETCH, STEP = 96, 48
+SENTENCE_CUT, HARD_CUT = 4, 12
+STRETCH, STEP = 48, 16
 BLOCK, OVERLAP = 1 << 19, 8
 
 
