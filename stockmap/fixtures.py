@@ -25,9 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _code(key, mult: int) -> F.Column:
-    """Five-character zero-padded code from a key (unique below 100,000 keys)."""
-    return F.lpad(((key * F.lit(mult)) % 100000).cast("string"), 5, "0")
+def code(key, mult: int) -> F.Column:
+    """Five characters spread over all prefixes, and from key 100,000 on ``-{key div 100000}``: unique at any size.
+
+    ``mult`` has no factor in common with 100,000, so keys below it never share the five characters.
+    """
+    k = key.cast("bigint")
+    five = F.format_string("%05d", (k * F.lit(mult)) % 100000)
+    return F.when(k < 100000, five).otherwise(F.concat(five, F.lit("-"), F.floor(k / 100000).cast("string")))
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +44,7 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     has_pt = (k % 101) != 0
     return c.select(
-        _code(k, 7919).alias("zip_code"),
+        code(k, 7919).alias("zip_code"),
         F.when(has_pt, F.lit(45.5) + ((k * 37) % 350).cast("double") / 100).alias("latitude"),
         F.when(has_pt, F.lit(-124.5) + ((k * 91) % 760).cast("double") / 100).alias("longitude"),
         F.when((k % 97) != 0, (F.col("c_nationkey") * 500 + (k * 13) % 20000).cast("bigint")).alias("total_pop"),
@@ -76,7 +81,7 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sites: site_id, site_type, latitude, longitude, city, pop."""
     k = F.col("s_suppkey")
     return _supplier_nation(spark, sf_dir).select(
-        _code(k, 6151).alias("site_id"),
+        code(k, 6151).alias("site_id"),
         F.when(k % 10 == 0, "REGIONAL_HUB").when(k % 10 <= 3, "DISTRIBUTION_CENTER")
         .otherwise("LOCAL_DISTRIBUTION").alias("site_type"),
         (F.lit(45.5) + ((k * 53) % 350).cast("double") / 100).alias("latitude"),
@@ -94,7 +99,7 @@ def inv_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
     return li.select(
         F.when(F.col("l_partkey") % 50 == 0, F.lit("UNKNOWN"))
-        .otherwise(_code(F.col("l_suppkey"), 6151)).alias("site_id"),
+        .otherwise(code(F.col("l_suppkey"), 6151)).alias("site_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_quantity").cast("bigint").alias("on_hand_inventory"),
         F.col("l_shipdate").cast("date").alias("snapshot_date"),

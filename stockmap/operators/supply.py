@@ -261,12 +261,12 @@ def lookup_with_default(df: DataFrame, lookup: DataFrame, key: str, lkey: str, v
 
 def site_dimension(sites: DataFrame, geography: DataFrame) -> DataFrame:
     """CDM site table. One row per id; when tiers list the same id, the later
-    tier wins (local over DC over hub). geo_id: the geography row whose city
+    tier wins (local over DC over hub), within a tier the largest row. geo_id: the geography row whose city
     matches, else the state id."""
     rank = _by_tier(F.col("site_type"), TIER_RANK, 0)
     cols = ["site_id", "site_type", "latitude", "longitude", "city"]
     dedup = (sites.select(*cols, rank.alias("_r")).groupBy("site_id")
-             .agg(F.max_by(F.struct(*cols[1:]), "_r").alias("_s"))
+             .agg(F.max(F.struct(F.col("_r"), *cols[1:])).alias("_s"))
              .select("site_id", *[F.col(f"_s.{c}").alias(c) for c in cols[1:]]))
     geo = geography.where(F.col("city").isNotNull()).select("city", F.col("id").alias("_geo_id"))
     j = lookup_with_default(dedup, geo.withColumnRenamed("city", "_city"), "city", "_city", "_geo_id",
@@ -283,20 +283,31 @@ def site_dimension(sites: DataFrame, geography: DataFrame) -> DataFrame:
 def hierarchy_closure(spark, nodes: DataFrame, id_col: str, parent_col: str) -> DataFrame:
     """(id, ancestor_id, distance) for every node and each of its ancestors, itself at 0.
 
-    A recursive CTE: one join per tree level, every level in parallel.
+    Path doubling: with the closure up to distance 2^k - 1 and the jumps of
+    exactly 2^k, one join gives the closure up to 2^(k+1) - 1 and one the next
+    jumps. A tree of any depth takes a logarithmic number of rounds, each
+    written to the shared folder; rows and depth have no limit. A cycle raises
+    ``ValueError``: no path is longer than there are distinct ids.
     """
-    import uuid
-    view = f"_hier_{uuid.uuid4().hex[:8]}"
-    nodes.select(F.col(id_col).alias("id"), F.col(parent_col).alias("parent_id")).createOrReplaceTempView(view)
-    return spark.sql(f"""
-        WITH RECURSIVE closure(id, ancestor_id, distance) AS (
-          SELECT id, id, 0 FROM {view}
-          UNION ALL
-          SELECT c.id, h.parent_id, c.distance + 1
-          FROM closure c JOIN {view} h ON c.ancestor_id = h.id
-          WHERE h.parent_id IS NOT NULL
-        )
-        SELECT id, ancestor_id, distance FROM closure""")
+    from stockmap.session import materialize
+    rows = [F.count(F.lit(1)).alias("rows")]
+    known = nodes.select(F.col(id_col).alias("id"), F.col(parent_col).alias("parent_id"))
+    closure, m = materialize(known.select("id", F.col("id").alias("ancestor_id"), F.lit(0).alias("distance")), "closure", rows)
+    longest = 2 * m["rows"]  # a parent may be missing from the table
+    jumps, m = materialize(known.where("parent_id IS NOT NULL").select("id", F.col("parent_id").alias("to_id")), "jumps", rows)
+    present = known.select(F.col("id").alias("to_id")).distinct()
+    step = 1
+    while m["rows"]:
+        if step > longest:
+            raise ValueError(f"the hierarchy of {id_col} and {parent_col} has a cycle")
+        far = closure.select(F.col("id").alias("to_id"), "ancestor_id", (F.col("distance") + step).alias("distance"))
+        more = jumps.join(far, "to_id").select("id", "ancestor_id", "distance")
+        lone = jumps.join(present, "to_id", "left_anti").select("id", F.col("to_id").alias("ancestor_id"), F.lit(step).alias("distance"))
+        closure = materialize(closure.unionByName(more).unionByName(lone), "closure")
+        onward = jumps.select(F.col("id").alias("to_id"), F.col("to_id").alias("end_id"))
+        jumps, m = materialize(jumps.join(onward, "to_id").select("id", F.col("end_id").alias("to_id")), "jumps", rows)
+        step *= 2
+    return closure
 
 
 # ---------------------------------------------------------------- G13, U2 trading partners
@@ -423,7 +434,7 @@ def outbound_demand(customers: DataFrame, sites: DataFrame, as_of) -> DataFrame:
         F.struct(F.lit("SPIKE").alias("k"), spike_q.alias("q"), d0.alias("od"),
                  F.date_add(d0, 1).alias("rd"), F.lit("PENDING").alias("st")))
     e = c.select("id", "seq", "ship_from_site_id", F.explode(kinds).alias("_o"))
-    n = F.lpad(F.col("seq").cast("string"), 3, "0")
+    n = F.format_string("%03d", "seq")  # pads, never cuts
     return e.select(
         F.concat(F.lit("OUT-"), "id", F.lit("-"), "_o.k", F.lit("-"), n).alias("id"),
         F.concat(F.lit("CUST-ORDER-"), n, F.lit("-"), "_o.k").alias("cust_order_id"),

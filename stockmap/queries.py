@@ -315,15 +315,23 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     oid = F.col("l_orderkey").cast("string")
     return li.select(
-        F.concat(oid, F.lit("-LINE-"), F.lpad(F.col("l_linenumber").cast("string"), 3, "0")).alias("id"),
+        F.format_string("%s-LINE-%03d", oid, F.col("l_linenumber")).alias("id"),
         oid.alias("order_id"), F.col("l_partkey").cast("string").alias("product_id"),
-        F.lpad(((F.col("l_suppkey") * 6151) % 100000).cast("string"), 5, "0").alias("ship_from_site_id"),
-        F.lit(None).cast("string").alias("to_site_id"))
+        fx.code(F.col("l_suppkey"), 6151).alias("ship_from_site_id"))
 
 
 @query("shipments")
 def q_shipments(spark, sf_dir):
-    return sp.shipments(order_lines(spark, sf_dir), fx.inbound_orders_raw(spark, sf_dir))
+    return shipments_of(spark, sf_dir)
+
+
+def shipments_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each line goes to the site that serves the ordering customer."""
+    to = sp.fulfilment_site(fx.customers(spark, sf_dir), fx.sites(spark, sf_dir)).select(
+        F.col("id").alias("_cid"), F.col("ship_from_site_id").alias("to_site_id"))
+    orders = fx.inbound_orders_raw(spark, sf_dir)
+    served = orders.select(F.col("id").alias("order_id"), F.col("tpartner_id").alias("_cid")).join(to, "_cid", "left").drop("_cid")
+    return sp.shipments(order_lines(spark, sf_dir).join(served, "order_id"), orders)
 
 
 def _raw_partners(spark, sf_dir, kind):
@@ -332,7 +340,13 @@ def _raw_partners(spark, sf_dir, kind):
 
 @query("trading_partners")
 def q_trading_partners(spark, sf_dir):
-    return sp.trading_partners(_raw_partners(spark, sf_dir, "SUPPLIER"), _raw_partners(spark, sf_dir, "CUSTOMER"))
+    # Vendors carry their state (the region of their nation); every hub trades as a warehouse.
+    states = fx.table(spark, sf_dir, "nation").join(fx.table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_name").alias("city"), F.col("r_name").alias("state"))
+    vendors = _raw_partners(spark, sf_dir, "SUPPLIER").join(states, "city", "left")
+    hubs = fx.sites(spark, sf_dir).where(F.col("site_type") == sp.HUB)
+    warehouses = hubs.select(F.concat(F.lit("WH-"), "site_id").alias("id"), F.concat("city", F.lit(" Warehouse")).alias("name"), "city")
+    return sp.trading_partners(vendors, _raw_partners(spark, sf_dir, "CUSTOMER"), warehouses)
 
 
 @query("cdm_rename")
@@ -386,7 +400,7 @@ def inbound_line_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                      "l_shipdate", "l_linestatus")
     oid = F.col("l_orderkey").cast("string")
     return li.select(
-        F.concat(oid, F.lit("-LINE-"), F.lpad(F.col("l_linenumber").cast("string"), 3, "0")).alias("id"),
+        F.format_string("%s-LINE-%03d", oid, F.col("l_linenumber")).alias("id"),
         oid.alias("order_id"), F.lit(sp.CONNECTION_ID).alias("connection_id"),
         F.lit(sp.INTERNAL_PARTNER).alias("tpartner_id"), F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_quantity").cast("bigint").alias("quantity_submitted"),
@@ -500,7 +514,7 @@ def validation_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame |
         "inv_level": inv,
         "inbound_order": inbound_order_table(spark, sf_dir),
         "inbound_order_line": inbound_line_table(spark, sf_dir),
-        "shipment": sp.shipments(order_lines(spark, sf_dir), fx.inbound_orders_raw(spark, sf_dir)),
+        "shipment": shipments_of(spark, sf_dir),
         "outbound_order_line": sp.outbound_demand(fx.customers(spark, sf_dir), fx.sites(spark, sf_dir), AS_OF),
     }
 

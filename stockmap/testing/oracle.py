@@ -235,8 +235,8 @@ ful AS (SELECT c.*, COALESCE(p.s, (SELECT hub_id FROM hub)) AS ship_from_site_id
 sql("fulfilment_site", _FULFIL + "SELECT * FROM ful", "f_customer", "f_site")
 
 sql("outbound_demand", _FULFIL + """
-SELECT 'OUT-' || id || '-' || k || '-' || lpad(CAST(seq AS VARCHAR), 3, '0') AS id,
-  'CUST-ORDER-' || lpad(CAST(seq AS VARCHAR), 3, '0') || '-' || k AS cust_order_id,
+SELECT 'OUT-' || id || '-' || k || '-' || printf('%03d', seq) AS id,
+  'CUST-ORDER-' || printf('%03d', seq) || '-' || k AS cust_order_id,
   'WA-PHARMA-DIST' AS connection_id, 'ANTIVIR-WA-01' AS product_id, id AS customer_tpartner_id,
   CAST(CASE WHEN k = 'NORMAL' THEN (CASE WHEN customer_type = 'HOSPITAL' THEN 500 ELSE 200 END)
             ELSE (CASE WHEN customer_type = 'HOSPITAL' THEN 1500 ELSE 600 END) END AS BIGINT) AS init_quantity_requested,
@@ -258,29 +258,32 @@ SELECT id, ancestor_id, CAST(distance AS INTEGER) AS distance FROM closure""", _
 
 sql("geography_dim", "SELECT * FROM f_geo_dim", "f_geo_dim")
 
-sql("shipments", """
-WITH lines AS (
-  SELECT CAST(l_orderkey AS VARCHAR) || '-LINE-' || lpad(CAST(l_linenumber AS VARCHAR), 3, '0') AS id,
+sql("shipments", _FULFIL + """, lines AS (
+  SELECT CAST(l_orderkey AS VARCHAR) || '-LINE-' || printf('%03d', l_linenumber) AS id,
     CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_partkey AS VARCHAR) AS product_id,
-    lpad(CAST((l_suppkey * 6151) % 100000 AS VARCHAR), 5, '0') AS ship_from_site_id
+    (lpad(CAST((l_suppkey * 6151) % 100000 AS VARCHAR), 5, '0') || CASE WHEN l_suppkey < 100000 THEN '' ELSE '-' || CAST(l_suppkey // 100000 AS VARCHAR) END) AS ship_from_site_id
   FROM lineitem)
 SELECT 'SHIP-' || l.id AS id, o.tpartner_id AS supplier_tpartner_id, 'WA-PHARMA-DIST' AS connection_id, l.product_id,
-  l.order_id, l.id AS order_line_id, 'PKG-' || l.id AS package_id, l.ship_from_site_id, CAST(NULL AS VARCHAR) AS ship_to_site_id,
+  l.order_id, l.id AS order_line_id, 'PKG-' || l.id AS package_id, l.ship_from_site_id, ful.ship_from_site_id AS ship_to_site_id,
   CAST(o.order_date - CASE WHEN o.order_status = 'APPROVED' THEN 2 ELSE 1 END AS DATE) AS planned_ship_date,
   CAST(CASE WHEN o.order_status = 'APPROVED' THEN o.order_date - 1 ELSE o.order_date + 2 END AS DATE) AS planned_delivery_date,
   CAST(CASE WHEN o.order_status = 'APPROVED' THEN o.order_date - 1 END AS DATE) AS actual_delivery_date,
   CASE WHEN o.order_status = 'APPROVED' THEN 'DELIVERED' ELSE 'IN_TRANSIT' END AS shipment_status
-FROM lines l JOIN f_inbound_order o ON l.order_id = o.id WHERE o.order_status IN ('IN_TRANSIT', 'APPROVED')""",
-    "f_inbound_order")
+FROM lines l JOIN f_inbound_order o ON l.order_id = o.id LEFT JOIN ful ON ful.id = o.tpartner_id
+WHERE o.order_status IN ('IN_TRANSIT', 'APPROVED')""",
+    "f_inbound_order", "f_customer", "f_site")
 
 sql("trading_partners", """
 SELECT id, name AS description, partner_type AS tpartner_type, city,
-  CASE WHEN partner_type = 'CUSTOMER' THEN 'WA' END AS state_prov, 'US' AS country,
+  CASE WHEN partner_type = 'CUSTOMER' THEN 'WA'
+    ELSE (SELECT r_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_name = city) END AS state_prov, 'US' AS country,
   CASE WHEN partner_type = 'CUSTOMER' THEN 'GEO-US-WA' ELSE 'GEO-US' END AS geo_id,
   '1900-01-01T00:00:00Z' AS eff_start_date, '9999-12-31T23:59:59Z' AS eff_end_date
 FROM f_partner
 UNION ALL SELECT 'INTERNAL-TRANSFER', 'Internal Stock Transfer', 'INTERNAL', 'Seattle', 'WA', 'US', 'GEO-US-WA',
-  '1900-01-01T00:00:00Z', '9999-12-31T23:59:59Z'""", "f_partner")
+  '1900-01-01T00:00:00Z', '9999-12-31T23:59:59Z'
+UNION ALL SELECT 'WH-' || site_id, city || ' Warehouse', 'WAREHOUSE', city, NULL, 'US', 'GEO-US',
+  '1900-01-01T00:00:00Z', '9999-12-31T23:59:59Z' FROM f_site WHERE site_type = 'REGIONAL_HUB'""", "f_partner", "f_site")
 
 sql("cdm_rename", "SELECT id, name AS description, partner_type AS tpartner_type, city FROM f_partner", "f_partner")
 
@@ -321,7 +324,7 @@ _PAYLOADS = {
 }
 _PRODUCT = """(SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS description, 'EA' AS base_uom, p_type AS product_type
    FROM part) x"""
-_LINES = """(SELECT CAST(l_orderkey AS VARCHAR) || '-LINE-' || lpad(CAST(l_linenumber AS VARCHAR), 3, '0') AS id,
+_LINES = """(SELECT CAST(l_orderkey AS VARCHAR) || '-LINE-' || printf('%03d', l_linenumber) AS id,
    CAST(l_orderkey AS VARCHAR) AS order_id, 'INTERNAL-TRANSFER' AS tpartner_id, CAST(l_partkey AS VARCHAR) AS product_id,
    CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS quantity_submitted,
    CASE WHEN l_linestatus = 'O' THEN 'OPEN' END AS status, CAST(l_shipdate AS DATE) AS expected_delivery_date

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "f_zone": ((), """
-SELECT lpad(CAST((c_custkey * 7919) % 100000 AS VARCHAR), 5, '0') AS zip_code,
+SELECT (lpad(CAST((c_custkey * 7919) % 100000 AS VARCHAR), 5, '0') || CASE WHEN c_custkey < 100000 THEN '' ELSE '-' || CAST(c_custkey // 100000 AS VARCHAR) END) AS zip_code,
   CASE WHEN c_custkey % 101 <> 0 THEN 45.5 + CAST((c_custkey * 37) % 350 AS DOUBLE) / 100 END AS latitude,
   CASE WHEN c_custkey % 101 <> 0 THEN -124.5 + CAST((c_custkey * 91) % 760 AS DOUBLE) / 100 END AS longitude,
   CASE WHEN c_custkey % 97 <> 0 THEN CAST(c_nationkey * 500 + (c_custkey * 13) % 20000 AS BIGINT) END AS total_pop,
@@ -16,7 +16,7 @@ SELECT lpad(CAST((c_custkey * 7919) % 100000 AS VARCHAR), 5, '0') AS zip_code,
   CAST((c_custkey * 17) % 300 AS DOUBLE) / 10 AS poverty_rate
 FROM customer"""),
     "f_site": ((), """
-SELECT lpad(CAST((s_suppkey * 6151) % 100000 AS VARCHAR), 5, '0') AS site_id,
+SELECT (lpad(CAST((s_suppkey * 6151) % 100000 AS VARCHAR), 5, '0') || CASE WHEN s_suppkey < 100000 THEN '' ELSE '-' || CAST(s_suppkey // 100000 AS VARCHAR) END) AS site_id,
   CASE WHEN s_suppkey % 10 = 0 THEN 'REGIONAL_HUB' WHEN s_suppkey % 10 <= 3 THEN 'DISTRIBUTION_CENTER'
        ELSE 'LOCAL_DISTRIBUTION' END AS site_type,
   45.5 + CAST((s_suppkey * 53) % 350 AS DOUBLE) / 100 AS latitude,
@@ -25,7 +25,7 @@ SELECT lpad(CAST((s_suppkey * 6151) % 100000 AS VARCHAR), 5, '0') AS site_id,
 FROM supplier JOIN nation ON s_nationkey = n_nationkey"""),
     "f_inv_level": ((), """
 SELECT CASE WHEN l_partkey % 50 = 0 THEN 'UNKNOWN'
-       ELSE lpad(CAST((l_suppkey * 6151) % 100000 AS VARCHAR), 5, '0') END AS site_id,
+       ELSE (lpad(CAST((l_suppkey * 6151) % 100000 AS VARCHAR), 5, '0') || CASE WHEN l_suppkey < 100000 THEN '' ELSE '-' || CAST(l_suppkey // 100000 AS VARCHAR) END) END AS site_id,
   CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_quantity AS BIGINT) AS on_hand_inventory,
   CAST(l_shipdate AS DATE) AS snapshot_date
 FROM lineitem"""),
