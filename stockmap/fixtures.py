@@ -176,7 +176,7 @@ def product_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def executions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flow execution log: flow_name, execution_id, start_time, status, records_processed, records_failed."""
+    """Flow execution log: flow_name, execution_id, start_time, end_time (null while it runs), status, records and bytes."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     et = F.col("event_type")
     return e.select(
@@ -188,6 +188,8 @@ def executions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.col("value") * 100).cast("bigint").alias("records_processed"),
         F.when(et == "error", (F.col("event_id") % 7).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
         .alias("records_failed"),
+        F.when(et != "click", F.col("ts") + F.make_dt_interval(secs=(F.col("event_id") % 600).cast("decimal(18,6)"))).alias("end_time"),
+        (F.round(F.col("value") * 100).cast("bigint") * 64 + F.col("event_id") % 1000).cast("bigint").alias("bytes_processed"),
     )
 
 

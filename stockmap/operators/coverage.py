@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from stockmap.functions.geo import haversine_km, km_to_miles
 from stockmap.plans.nearest import nearest_site
 from stockmap.session import materialize
+from stockmap.sources.files import finite_or_null
 
 # Two-digit ZIP prefixes per state (coarse; no state boundary test).
 STATE_ZIP_PREFIXES = {
@@ -48,14 +49,13 @@ def zip_prefix_filter(df: DataFrame, states: Iterable[str] = ("WA",), zip_col: s
                       prefixes: Sequence[str] | None = None) -> DataFrame:
     """Keep rows whose ZIP starts with a prefix of the chosen states.
 
-    All prefixes have two characters, so this is one ``IN`` on a substring:
-    a cheap map-side filter that runs before any join.
+    One ``startswith`` for each prefix: where the ZIP is a column of the file,
+    the scan gets them as ``StringStartsWith`` filters and skips row groups.
     """
     prefixes = list(prefixes) if prefixes is not None else prefixes_for(states)
-    widths = {len(p) for p in prefixes}
     cond = F.lit(False)
-    for w in sorted(widths):
-        cond = cond | F.substring(F.col(zip_col), 1, w).isin([p for p in prefixes if len(p) == w])
+    for p in sorted(set(prefixes)):
+        cond = cond | F.col(zip_col).startswith(p)
     return df.where(cond)
 
 
@@ -69,10 +69,10 @@ def zip_centroids(gazetteer: DataFrame, states: Iterable[str] = ("WA",),
 
 
 def coerce_numeric(df: DataFrame, cols: Sequence[str], negatives_as_null: bool = False) -> DataFrame:
-    """Strings → double; anything unparsable ('-', '', junk) → null. Never raises."""
+    """Strings → double; anything unparsable ('-', '', junk) and the text ``NaN`` → null. Never raises."""
     out = {}
     for c in cols:
-        v = F.col(c).cast("string").try_cast("double")
+        v = finite_or_null(F.col(c).cast("string").try_cast("double"))
         if negatives_as_null:
             v = F.when(v >= 0, v)
         out[c] = v
@@ -284,7 +284,7 @@ def coverage_gaps(access: DataFrame, max_km: float = 80.0) -> DataFrame:
     """ZIPs whose nearest stock is farther than ``max_km`` or unknown."""
     d = F.col("distance_km")
     return access.where(d.isNull() | (d > max_km)).withColumn(
-        "gap_reason", F.when(F.col("latitude").isNull() | F.col("longitude").isNull(), "NO_LOCATION")
+        "gap_reason", F.when(finite_or_null(F.col("latitude")).isNull() | finite_or_null(F.col("longitude")).isNull(), "NO_LOCATION")
         .when(d.isNull(), "NO_SITE").otherwise("TOO_FAR"))
 
 

@@ -56,15 +56,15 @@ def recent_events(events: DataFrame, n: int = 20, ts: str = "event_timestamp", k
     return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
-def failed_executions(executions: DataFrame, max_messages: int = 3) -> DataFrame:
-    """Failed executions with their first ``max_messages`` messages, one row per message
-    (or one row with null message when there are none)."""
+def failed_executions(executions: DataFrame, max_messages: int | None = None) -> DataFrame:
+    """Failed executions with all their messages, one row per message (or one row with null message when
+    there are none), or with the first ``max_messages`` of each for a short report."""
     f = executions.where(F.col("status") == "FAILED")
-    f = f.withColumn("_m", F.slice(F.coalesce("messages", F.array().cast("array<struct<type:string,message:string>>")),
-                                   1, max_messages))
+    all_ = F.coalesce("messages", F.array().cast("array<struct<type:string,message:string>>"))
+    f = f.withColumn("_m", all_ if max_messages is None else F.slice(all_, 1, max_messages))
     e = f.select("*", F.posexplode_outer("_m").alias("_pos", "_msg"))
     return e.select(
-        "flow_name", "execution_id", "start_time", "records_processed", "records_failed",
+        "flow_name", "execution_id", "start_time", "end_time", "records_processed", "records_failed", "bytes_processed",
         (F.col("_pos") + 1).cast("int").alias("message_no"), F.col("_msg.type").alias("message_type"),
         F.col("_msg.message").alias("message"))
 

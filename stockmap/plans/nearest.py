@@ -276,22 +276,30 @@ def nearest_site(
     """Append the nearest site (key, distance, carried columns) to every zone row.
 
     With ``zone_key`` a zone never matches the site with the same key
-    ("nearest other"), and zones are searched per key instead of per location.
+    ("nearest other"), and zones are searched per key instead of per location;
+    each location then keeps its two smallest keys, so excluding one never
+    hides a site at the same point.
     ``descent`` forces (True) or forbids (False) the pruned descent at every
     level; by default it is used only at levels with a hot cell.
 
-    Zones with a null coordinate are kept with null results. Sites with a
-    null coordinate are never candidates. ``levels`` overrides the cell sizes
+    Zones with a null or NaN coordinate are kept with null results; they take
+    no part in the join that gives the others their site. Sites with such a
+    coordinate are never candidates. ``levels`` overrides the cell sizes
     (each must divide 360; the last should be 120 for a global fallback).
     """
     # --- candidate sites: one row per distinct location, smallest key wins.
-    s = (sites.select(F.col(site_lat).cast("double").alias("_s_lat"),
-                      F.col(site_lon).cast("double").alias("_s_lon"),
+    s = (sites.select(_number(site_lat).alias("_s_lat"), _number(site_lon).alias("_s_lon"),
                       F.col(site_key).alias("_key"), *[F.col(c).alias(f"_c_{c}") for c in carry])
          .where(F.col("_s_lat").isNotNull() & F.col("_s_lon").isNotNull() & F.col("_key").isNotNull()))
     payload = ["_key", *[f"_c_{c}" for c in carry]]
-    s = (s.groupBy("_s_lat", "_s_lon").agg(F.min(F.struct(*payload)).alias("_p"))
-         .select("_s_lat", "_s_lon", *[F.col(f"_p.{p}").alias(p) for p in payload]))
+    if zone_key:
+        first = Window.partitionBy("_s_lat", "_s_lon").orderBy(*payload)
+        one = s.groupBy("_s_lat", "_s_lon", "_key").agg(F.min(F.struct(*payload)).alias("_p")).select(
+            "_s_lat", "_s_lon", *[F.col(f"_p.{p}").alias(p) for p in payload])
+        s = one.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= 2).drop("_r")
+    else:
+        s = (s.groupBy("_s_lat", "_s_lon").agg(F.min(F.struct(*payload)).alias("_p"))
+             .select("_s_lat", "_s_lon", *[F.col(f"_p.{p}").alias(p) for p in payload]))
 
     # Materialised once: every level joins against it. Written under the
     # session's (shared) checkpoint folder, which cuts the lineage, so later
@@ -307,7 +315,7 @@ def nearest_site(
 
     # --- distinct zone locations (or keyed zones for "nearest other")
     ident = ["_z_lat", "_z_lon"] + (["_z_key"] if zone_key else [])
-    zsel = [F.col(zone_lat).cast("double").alias("_z_lat"), F.col(zone_lon).cast("double").alias("_z_lon")]
+    zsel = [_number(zone_lat).alias("_z_lat"), _number(zone_lon).alias("_z_lon")]
     if zone_key:
         zsel.append(F.col(zone_key).alias("_z_key"))
     pending = (zones.select(*zsel)
@@ -357,10 +365,20 @@ def nearest_site(
         F.col("_b._d").alias(distance_alias),
         *[F.col(f"_b._c_{c}").alias(f"{carry_prefix}{c}") for c in carry],
     )
-    z = zones.withColumn("_z_lat", F.col(zone_lat).cast("double")).withColumn("_z_lon", F.col(zone_lon).cast("double"))
+    z = zones.withColumn("_z_lat", _number(zone_lat)).withColumn("_z_lon", _number(zone_lon))
     if zone_key:
         z = z.withColumn("_z_key", F.col(zone_key))
-    return z.join(found, ident, "left").drop(*ident)
+    # Zones without a location share one (null) join key: they go around the join.
+    nowhere = F.col("_z_lat").isNull() | F.col("_z_lon").isNull()
+    kinds = dict(found.dtypes)
+    rest = z.where(nowhere).withColumns({c: F.lit(None).cast(kinds[c]) for c in found.columns if c not in ident})
+    return z.where(~nowhere).join(found, ident, "left").unionByName(rest).drop(*ident)
+
+
+def _number(column: str) -> Column:
+    """A coordinate; NaN counts as null."""
+    v = F.col(column).cast("double")
+    return F.when(~F.isnan(v), v)
 
 
 def nearest_site_bruteforce(zones: DataFrame, sites: DataFrame, **kw) -> DataFrame:

@@ -3,18 +3,15 @@
 ``Window.orderBy(...)`` with no partition moves every row into one task.
 Here the rows are range-sorted across many tasks instead. Each task tags its
 rows (partition id, position), the sorted table is written once so both uses
-below see the same order, and per-partition counts (one row per partition,
-a bounded broadcast) give each partition its offset.
-
-The broadcast side holds one row per (partition, group): its size is bounded
-by the partition count times the number of groups.
+below see the same order, and per-partition counts give each partition its
+offset. They hold one row per (partition, group); Spark chooses the join by
+their size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,15 +31,10 @@ def row_number_global(df: DataFrame, order: Sequence[Column | str], name: str =
     if within is not None:
         cols = [F.col(within)] + cols
     # The range sort reads its input twice (boundary sample, then the sort):
-    # keep it for those two passes only, then release it.
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        tagged = (src.orderBy(*cols)
-                  .withColumn("_pid", F.spark_partition_id())
-                  .withColumn("_mono", F.monotonically_increasing_id()))
-        tagged = materialize(tagged, "rownum")
-    finally:
-        src.unpersist()
+    # it is written to the shared folder first, where a lost executor loses nothing.
+    tagged = materialize(materialize(df, "rownum-in").orderBy(*cols)
+                         .withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_mono", F.monotonically_increasing_id()), "rownum")
     # Counts per (partition, group): a table of #partitions × #groups rows. The
     # running sum over earlier partitions of the same group is the offset, so
     # numbering restarts per group without a second pass over the data.
@@ -54,6 +46,6 @@ def row_number_global(df: DataFrame, order: Sequence[Column | str], name: str =
     keys = F.col("_pid") == F.col("_pp")
     if within is not None:
         keys = keys & F.col(within).eqNullSafe(F.col("_g"))
-    out = tagged.join(F.broadcast(per_part), keys)
+    out = tagged.join(per_part, keys)
     out = out.withColumn(name, F.col("_off") + (F.col("_mono") - F.col("_first")) + 1)
     return out.drop("_pid", "_pp", "_g", "_mono", "_first", "_off")

@@ -627,8 +627,19 @@ def q_publish_manifest(spark, sf_dir):
 def q_file_inventory(spark, sf_dir):
     root = _published_root(spark, sf_dir)
     inv = fs.file_inventory(spark, root)
-    return inv.select("dataset", "ord", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"),
-                      F.col("latest_file").isNotNull().alias("has_latest_file"))
+    # How many files Spark writes depends on the partitioning, so the inventory is held against what the
+    # reader says of each row's file; the rows themselves do not depend on it.
+    seen = (spark.read.option("header", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(root)
+            .select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"), F.col("_metadata.file_name").alias("f")))
+    per_file = seen.groupBy("p", "s", "f").agg(F.count(F.lit(1)).alias("n")).withColumn("dataset", F.regexp_extract("p", "/wa_([^/]+)/", 1))
+    newest = F.regexp_extract("p", "load_ts=([^/]+)/", 1)
+    sums = [F.count(F.lit(1)).alias("f"), F.sum("s").alias("b"), F.sum("n").alias("rows"), F.max(F.struct(newest, "f")).alias("m")]
+    per = per_file.groupBy("dataset").agg(*sums).unionByName(per_file.agg(F.lit("TOTAL").alias("dataset"), *sums))
+    j = inv.join(per, "dataset", "left")
+    zero = F.lit(0)
+    return j.select("dataset", "ord", F.coalesce("rows", zero).cast("bigint").alias("rows"),
+                    (F.col("files") == F.coalesce("f", zero)).alias("files_agree"), (F.col("bytes") == F.coalesce("b", zero)).alias("bytes_agree"),
+                    F.col("latest_file").isNotNull().alias("has_latest_file"))
 
 
 # ---------------------------------------------------------------- streaming
@@ -659,7 +670,7 @@ def _flow_run(spark, sf_dir):
 @query("flow_incremental")
 def q_flow_incremental(spark, sf_dir):
     tgt, _ = _flow_run(spark, sf_dir)
-    return spark.read.parquet(tgt)
+    return fl.read_loaded(spark, tgt)
 
 
 @query("flow_log")
@@ -730,9 +741,28 @@ def q_recent_events(spark, sf_dir):
 
 @query("failed_executions")
 def q_failed_executions(spark, sf_dir):
+    return mo.failed_executions(executions_with_messages(spark, sf_dir))
+
+
+@query("failed_executions_top3")
+def q_failed_executions_top3(spark, sf_dir):
     return mo.failed_executions(executions_with_messages(spark, sf_dir), 3)
 
 
+@query("event_rejects")
+def q_event_rejects(spark, sf_dir):
+    """Records of datasets that are not sent as events, each with its key."""
+    parts = [(sp.demand_forecast(fx.sites(spark, sf_dir), AS_OF), "forecast", F.concat_ws("/", "site_id", "snapshot_date")),
+             (shipments_of(spark, sf_dir), "shipment", F.col("id")),
+             (inbound_order_table(spark, sf_dir), "inbound_order", F.col("id")),
+             (site_dim_of(spark, sf_dir), "site", F.col("id"))]
+    u = None
+    for df, name, key in parts:
+        p = df.select(F.lit(name).alias("dataset"), key.alias("record_key"))
+        u = p if u is None else u.unionByName(p)
+    return cf.split_routed(u)[1].select("dataset", "record_key")
+
+
 @query("flow_throughput")
 def q_flow_throughput(spark, sf_dir):
     return mo.flow_throughput(fx.executions(spark, sf_dir))

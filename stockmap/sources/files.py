@@ -9,15 +9,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockmap.schemas import DATASET_ORDER, DatasetSpec, spec
 
-LOAD_TS_FORMAT = "yyyyMMdd_HHmmss"
-
-
 # ---------------------------------------------------------------- filesystem helpers
 
 def _fs_path(spark: SparkSession, path: str):
@@ -31,6 +28,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder (none if it does not exist)."""
+    fs, p = _fs_path(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def rename_path(spark: SparkSession, old: str, new: str) -> None:
+    fs, p = _fs_path(spark, old)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(new)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(p, target):
+        raise OSError(f"could not move {old} to {new}")
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _fs_path(spark, path)
     if fs.exists(p):
@@ -74,8 +85,12 @@ def read_gazetteer(spark: SparkSession, path: str) -> DataFrame:
     """Tab-separated gazetteer; header names may carry padding. GEOID stays a string."""
     raw = spark.read.option("header", True).option("sep", "\t").option("inferSchema", False).csv(path)
     raw = raw.toDF(*[c.strip() for c in raw.columns])
-    return raw.withColumns({"INTPTLAT": F.col("INTPTLAT").try_cast("double"),
-                            "INTPTLONG": F.col("INTPTLONG").try_cast("double")})
+    return raw.withColumns({c: finite_or_null(F.col(c).try_cast("double")) for c in ("INTPTLAT", "INTPTLONG")})
+
+
+def finite_or_null(v: Column) -> Column:
+    """NaN is a missing value, not a number."""
+    return F.when(~F.isnan(v), v)
 
 
 def write_gazetteer(df: DataFrame, path: str) -> None:
@@ -128,14 +143,21 @@ def publish(df: DataFrame, name: str, root: str, load_ts: str, replace: bool = F
     """Publish one load of a dataset as ``{root}/wa_{name}/load_ts={load_ts}/*.csv``.
 
     Each load is a new folder, so earlier loads stay readable and a flow can
-    pick up the new one alone. ``replace=True`` cleans the dataset's folder
-    first (overwrite), as a full reload does.
+    pick up the new one alone. A load is written aside and moved into place
+    when complete: a failed write changes nothing, and ``df`` may read the
+    dataset itself. ``replace=True`` removes the earlier loads after the write.
+    Without it, a load under a ``load_ts`` that exists raises ``ValueError``.
     """
-    base = dataset_dir(root, name)
-    if replace:
-        delete_path(df.sparkSession, base)
+    spark, base = df.sparkSession, dataset_dir(root, name)
     target = f"{base}/load_ts={load_ts}"
-    write_csv(df, target, mode="overwrite")
+    if not replace and path_exists(spark, target):
+        raise ValueError(f"{target} exists")
+    aside = unique_dir(f"{root.rstrip('/')}/_publishing", name)
+    write_csv(df, aside)
+    if replace:
+        for old in child_names(spark, base):
+            delete_path(spark, f"{base}/{old}")
+    rename_path(spark, aside, target)
     return target
 
 
@@ -172,7 +194,7 @@ def file_inventory(spark: SparkSession, root: str, datasets=DATASET_ORDER) -> Da
     names = spark.createDataFrame([(d, i) for i, d in enumerate(datasets)], "dataset string, ord int")
     per = m.groupBy("dataset").agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"),
                                    F.max("uploaded_at").alias("latest_upload"),
-                                   F.max_by("file_name", "uploaded_at").alias("latest_file"))
+                                   F.max_by("file_name", F.struct("uploaded_at", "file_name")).alias("latest_file"))
     j = names.join(per, "dataset", "left").select(
         "dataset", "ord", F.coalesce("files", F.lit(0)).cast("bigint").alias("files"),
         F.coalesce("bytes", F.lit(0)).cast("bigint").alias("bytes"), "latest_upload", "latest_file")
@@ -191,6 +213,7 @@ def read_lake(spark: SparkSession, name: str, root: str, snapshot: str = "all")
     names); ``'latest'`` finds the newest load from the file listing (no data
     read) and then reads only that folder (partition pruning). A missing
     dataset or one without files gives an empty table with the declared schema.
+    A malformed value stops the read with an error.
     """
     s = spec(name)
     base = dataset_dir(root, name)
@@ -202,7 +225,7 @@ def read_lake(spark: SparkSession, name: str, root: str, snapshot: str = "all")
     if not latest:
         return empty
     df = (spark.read.schema(s.schema).option("header", True).option("enforceSchema", False)
-          .option("pathGlobFilter", "*.csv").option("basePath", base).csv(base))
+          .option("mode", "FAILFAST").option("pathGlobFilter", "*.csv").option("basePath", base).csv(base))
     df = df.withColumn("load_ts", F.col("load_ts").cast("string"))
     if snapshot == "latest":
         df = df.where(F.col("load_ts") == F.lit(latest))

@@ -1,15 +1,21 @@
 """Incremental file flows (Structured Streaming) with an execution log.
 
 A flow watches a folder of header CSV files, applies SQL to each micro-batch
-(``SELECT * FROM {source}`` by default), appends the result to a Parquet
-target and logs one execution row per batch. Only new files are loaded: the
-file source's checkpoint records which files were read. A run uses
+(``SELECT * FROM {source}`` by default), adds the result to a Parquet target
+and logs one execution row per batch. Only new files are loaded: the file
+source's checkpoint records which files were read. A run uses
 ``trigger(availableNow=True)``: it loads everything new, then stops.
+
+Target and log hold one folder for each batch, ``_run=<stream id>/_batch=<n>``,
+written with overwrite. The stream id lives in the checkpoint folder, so a
+batch replayed after a lost commit replaces what it wrote before, and a fresh
+checkpoint (a re-trigger) adds new folders.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,56 +44,74 @@ def source_name(dataset: str) -> str:
 
 def run_flow(spark: SparkSession, *, flow_name: str, source_dir: str, schema: T.StructType, target_dir: str,
              checkpoint_dir: str, log_dir: str, sql: str = "SELECT * FROM {source}", source: str = "src",
-             timeout_s: int = 600) -> None:
-    """Load new files from ``source_dir`` into ``target_dir`` and append execution rows to ``log_dir``.
-
-    Rows that do not parse are counted as failed (``_corrupt_record``) and
-    not loaded. Bytes processed are the sizes of the batch's files (from
-    ``_metadata``). A batch whose SQL fails is logged FAILED with its
-    message, and the error is raised again, so the stream stops and does not
-    commit the batch.
+             timeout_s: float | None = None) -> None:
+    """Load new files from ``source_dir`` into ``target_dir`` and add execution rows to ``log_dir``.
+
+    The header of every file must name the columns of ``schema`` in order;
+    other headers fail the batch. Rows that do not parse are counted as failed
+    (``_corrupt_record``) and not loaded. Bytes processed are the sizes of the
+    batch's files (from ``_metadata``). A failing batch is logged FAILED with
+    its whole message and what it counted, and the error is raised again, so
+    the stream stops and does not commit the batch. ``timeout_s`` stops a run
+    early (for tests); by default a run takes as long as it needs.
     """
     read_schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-    stream = (spark.readStream.schema(read_schema).option("header", True).option("mode", "PERMISSIVE")
+    stream = (spark.readStream.schema(read_schema).option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT).option("pathGlobFilter", "*.csv")
               .csv(source_dir).withColumn("_file", F.col("_metadata.file_path"))
               .withColumn("_size", F.col("_metadata.file_size")))
 
     def load(batch: DataFrame, batch_id: int) -> None:
         start = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        b = batch.persist()
+        session, err, msgs = batch.sparkSession, None, []
+        n = bad = size = 0
+        place = f"_run={_stream_id(session, checkpoint_dir)}/_batch={batch_id}"
+        view = f"{source}_{flow_name}_{batch_id}".replace("-", "_")
         try:
-            # One pass for the statistics: rows, failed rows, distinct files and their bytes.
-            st = b.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(CORRUPT).isNotNull()).alias("bad")).first()
-            size = (b.select("_file", "_size").distinct().agg(F.sum("_size").alias("s")).first()["s"]) or 0
-            good = b.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "_file", "_size")
-            view = f"{source}_{flow_name}_{batch_id}".replace("-", "_")
-            good.createOrReplaceTempView(view)
-            out = good.sparkSession.sql(sql.format(source=view))
-            out.write.mode("append").parquet(target_dir)
-            status, msgs = "SUCCEEDED", []
-        except Exception as e:  # logged, then re-raised below
-            status, msgs, st, size = "FAILED", [("ERROR", str(e)[:1000])], None, 0
-            err = e
-        else:
-            err = None
+            # One scan: rows and failed rows for each file, then their sums. Every column is read, since the
+            # reader parses (and rejects) only what a query asks for.
+            whole = F.max(F.xxhash64(*schema.names)).alias("whole")
+            st = batch.groupBy("_file", "_size").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(CORRUPT).isNotNull()).alias("bad"), whole).agg(
+                F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum("_size").alias("size"), F.max("whole")).first()
+            n, bad, size = st["n"] or 0, st["bad"] or 0, st["size"] or 0
+            batch.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "_file", "_size").createOrReplaceTempView(view)
+            session.sql(sql.replace("{source}", view)).write.mode("overwrite").parquet(f"{target_dir}/{place}")
+        except Exception as e:  # logged, then raised again below
+            err, msgs = e, [("ERROR", str(e))]
+        finally:
+            session.catalog.dropTempView(view)
         end = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        row = (flow_name, f"{flow_name}-{batch_id}", status, start, end, msgs,
-               int(st["n"]) if st else 0, int(st["bad"]) if st else 0, int(size))
-        b.sparkSession.createDataFrame([row], LOG_SCHEMA).write.mode("append").parquet(log_dir)
-        b.unpersist()
+        row = (flow_name, f"{flow_name}-{batch_id}", "FAILED" if err else "SUCCEEDED", start, end, msgs, int(n), int(bad), int(size))
+        session.createDataFrame([row], LOG_SCHEMA).write.mode("overwrite").parquet(f"{log_dir}/{place}")
         if err is not None:
             raise err
 
     q = (stream.writeStream.foreachBatch(load).trigger(availableNow=True)
          .option("checkpointLocation", checkpoint_dir).queryName(f"flow_{flow_name}".replace("-", "_")).start())
-    if not q.awaitTermination(timeout_s):
+    finish(q, timeout_s)
+
+
+def finish(q, timeout_s: float | None) -> None:
+    """Wait for a stream's end, without a limit unless one is given."""
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
-        raise TimeoutError(f"flow {flow_name} did not finish in {timeout_s}s")
+        raise TimeoutError(f"stream {q.name} did not finish in {timeout_s}s")
+
+
+def _stream_id(spark: SparkSession, checkpoint_dir: str) -> str:
+    """The id that Structured Streaming keeps in a checkpoint folder."""
+    return json.loads(spark.read.text(f"{checkpoint_dir}/metadata").first()["value"])["id"]
+
+
+def read_loaded(spark: SparkSession, target_dir: str) -> DataFrame:
+    """What the flow's batches have loaded."""
+    return spark.read.parquet(target_dir).drop("_run", "_batch")
 
 
 def read_log(spark: SparkSession, log_dir: str) -> DataFrame:
-    return spark.read.schema(LOG_SCHEMA).parquet(log_dir)
+    return spark.read.schema(LOG_SCHEMA).parquet(log_dir).select(*LOG_SCHEMA.names)
 
 
 # ---------------------------------------------------------------- windowed event counts
@@ -105,13 +129,17 @@ def events_daily_stream(events: DataFrame, ts: str = "ts", kind: str = "event_ty
 
 
 def run_to_table(df: DataFrame, checkpoint_dir: str, out_dir: str, mode: str = "complete",
-                 timeout_s: int = 600) -> None:
-    """Run a streaming aggregate to completion (availableNow) and write its final result as Parquet."""
+                 timeout_s: float | None = None) -> None:
+    """Run a streaming aggregate to completion (availableNow) and write its result as Parquet.
+
+    ``complete`` replaces the result with each batch and keeps every window in
+    state. ``append`` writes a window once the watermark has passed it, one
+    folder for each batch, and drops its state; late rows beyond the watermark
+    are left out, as the watermark promises.
+    """
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(out_dir)
+        batch.write.mode("overwrite").parquet(out_dir if mode == "complete" else f"{out_dir}/_batch={batch_id}")
 
     q = (df.writeStream.outputMode(mode).foreachBatch(sink).trigger(availableNow=True)
          .option("checkpointLocation", checkpoint_dir).start())
-    if not q.awaitTermination(timeout_s):
-        q.stop()
-        raise TimeoutError("stream did not finish")
+    finish(q, timeout_s)

@@ -1,7 +1,9 @@
 """Keyed UPSERT of change events into a bucketed Parquet table.
 
-Target layout: ``{target}/_bucket=k/`` (k = pmod(hash(key), buckets)) plus a
-commit log ``{target}/_commits/batch=<id>``. One micro-batch:
+Target layout: ``{target}/data/_bucket=k/`` (k = pmod(hash(key), buckets)), a
+commit log ``{target}/_commits/batch=<id>`` and the number of buckets,
+``{target}/_layout/buckets=<n>``: a batch with another number is refused, as
+its keys would fall into other buckets. One micro-batch:
 
 1. reduce the batch to the latest event per key (``max_by`` on (event_ts, seq));
 2. read only the buckets the batch touches (partition pruning), union with
@@ -11,7 +13,10 @@ commit log ``{target}/_commits/batch=<id>``. One micro-batch:
    being read is never the one being written;
 4. record the batch id. A replayed batch id is skipped, and a batch that
    crashed after staging is finished from its staged copy, so replays are
-   idempotent.
+   idempotent. The staged copy goes once the batch is committed.
+
+While step 3 replaces partitions, a reader may see some of them old and some
+new; readers that need one state read between batches.
 
 Only touched buckets are rewritten, so a batch costs its own size plus the
 size of the buckets it hits, not the whole table.
@@ -24,7 +29,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockmap.sources.files import path_exists
+from stockmap.sources.files import child_names, delete_path, path_exists
+from stockmap.streaming.flows import finish
+
+#: Tasks that write one bucket, so that a hot bucket is not one task's work.
+WRITERS = 4
 
 
 def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -42,8 +51,13 @@ def upsert_batch(batch: DataFrame, batch_id: int, target: str, *, key: Sequence[
                  buckets: int = 64) -> bool:
     """Merge one batch into ``target``. Returns False when the batch was already committed."""
     spark = batch.sparkSession
+    layout = child_names(spark, f"{target}/_layout")
+    if not layout:
+        spark.createDataFrame([(buckets,)], "n int").write.mode("overwrite").parquet(f"{target}/_layout/buckets={buckets}")
+    elif f"buckets={buckets}" not in layout:
+        raise ValueError(f"{target} was written with {layout[0]}, not {buckets}")
     commit = f"{target}/_commits/batch={batch_id}"
-    if path_exists(spark, commit):
+    if path_exists(spark, f"{commit}/_SUCCESS"):
         return False
     staged = f"{target}/_staging/batch={batch_id}"
     if not path_exists(spark, f"{staged}/_SUCCESS"):
@@ -54,15 +68,12 @@ def upsert_batch(batch: DataFrame, batch_id: int, target: str, *, key: Sequence[
             merged = latest_per_key(cur.unionByName(b), list(key) + ["_bucket"], order)
         else:
             merged = b
-        merged.write.mode("overwrite").partitionBy("_bucket").parquet(staged)
+        part = F.pmod(F.xxhash64(*key), F.lit(WRITERS))
+        merged.repartition("_bucket", part).write.mode("overwrite").partitionBy("_bucket").parquet(staged)
     data = spark.read.parquet(staged)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        data.write.mode("overwrite").partitionBy("_bucket").parquet(f"{target}/data")
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    data.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(f"{target}/data")
     spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("overwrite").parquet(commit)
+    delete_path(spark, staged)
     return True
 
 
@@ -71,11 +82,9 @@ def read_target(spark: SparkSession, target: str) -> DataFrame:
 
 
 def upsert_stream(stream: DataFrame, target: str, checkpoint_dir: str, *, key: Sequence[str],
-                  order: Sequence[str], buckets: int = 64, timeout_s: int = 600) -> None:
+                  order: Sequence[str], buckets: int = 64, timeout_s: float | None = None) -> None:
     """Run a change stream to completion (availableNow), merging each micro-batch."""
     q = (stream.writeStream
          .foreachBatch(lambda df, bid: upsert_batch(df, bid, target, key=key, order=order, buckets=buckets))
          .trigger(availableNow=True).option("checkpointLocation", checkpoint_dir).start())
-    if not q.awaitTermination(timeout_s):
-        q.stop()
-        raise TimeoutError("upsert stream did not finish")
+    finish(q, timeout_s)

@@ -505,10 +505,11 @@ WITH names AS (SELECT unnest(['company', 'geography', 'calendar', 'product_hiera
   'transportation_lane', 'trading_partner', 'inv_policy', 'forecast', 'inv_level', 'inbound_order',
   'inbound_order_line', 'shipment', 'outbound_order_line']) AS dataset,
   unnest(range(0, 15)) AS ord),
-per AS (SELECT dataset, CAST(ord AS INTEGER) AS ord, dataset IN ('site', 'product', 'inv_level') AS has_files
+per AS (SELECT dataset, CAST(ord AS INTEGER) AS ord, CAST(CASE dataset WHEN 'site' THEN (SELECT count(*) FROM f_site)
+    WHEN 'product' THEN (SELECT count(*) FROM part) WHEN 'inv_level' THEN 2 * (SELECT count(*) FROM f_inv_level) ELSE 0 END AS BIGINT) AS rows
   FROM names)
-SELECT dataset, ord, has_files, has_files AS has_bytes, has_files AS has_latest_file FROM per
-UNION ALL SELECT 'TOTAL', 15, true, true, false""")
+SELECT dataset, ord, rows, true AS files_agree, true AS bytes_agree, dataset IN ('site', 'product', 'inv_level') AS has_latest_file FROM per
+UNION ALL SELECT 'TOTAL', 15, CAST(sum(rows) AS BIGINT), true, true, false FROM per""", "f_site", "f_inv_level")
 
 
 # ---------------------------------------------------------------- streaming
@@ -556,11 +557,20 @@ SELECT event_id, event_type, ts AS event_timestamp,
 FROM events ORDER BY ts DESC, event_id LIMIT 20""")
 
 sql("failed_executions", """
-SELECT flow_name, execution_id, start_time, records_processed, records_failed, CAST(i AS INTEGER) AS message_no,
+SELECT flow_name, execution_id, start_time, end_time, records_processed, records_failed, bytes_processed, CAST(i AS INTEGER) AS message_no,
   CASE WHEN i = 1 THEN 'ERROR' ELSE 'INFO' END AS message_type,
   'execution ' || CAST(execution_id AS VARCHAR) || ' message ' || CAST(i AS VARCHAR) AS message
-FROM f_execution CROSS JOIN range(1, 4) t(i) WHERE status = 'FAILED'""", "f_execution")
+FROM f_execution CROSS JOIN range(1, 5) t(i) WHERE status = 'FAILED'""", "f_execution")
+
+sql("failed_executions_top3", f"SELECT * FROM ({ORACLE['failed_executions']}) WHERE message_no <= 3")
+
+sql("event_rejects", """
+SELECT 'forecast' AS dataset, site_id || '/2024-01-01' AS record_key FROM f_site CROSS JOIN range(30)
+UNION ALL
+SELECT 'shipment', 'SHIP-' || CAST(l_orderkey AS VARCHAR) || '-LINE-' || printf('%03d', l_linenumber)
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus IN ('F', 'O')""", "f_site")
 
 sql("flow_throughput", """
 SELECT flow_name, count(*) AS executions, CAST(sum(records_processed) AS BIGINT) AS records_processed,
-  CAST(sum(records_failed) AS BIGINT) AS records_failed FROM f_execution GROUP BY flow_name""", "f_execution")
+  CAST(sum(records_failed) AS BIGINT) AS records_failed, CAST(sum(bytes_processed) AS BIGINT) AS bytes_processed
+FROM f_execution GROUP BY flow_name""", "f_execution")

@@ -59,7 +59,9 @@ UNION ALL SELECT DISTINCT concat(p_type, '/', p_brand), p_type FROM part"""),
 SELECT concat('s3-', CAST(user_id % 15 AS VARCHAR), '-flow') AS flow_name, event_id AS execution_id, ts AS start_time,
   CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'click' THEN 'RUNNING' WHEN 'signup' THEN 'QUEUED' ELSE 'SUCCEEDED' END AS status,
   CAST(round(value * 100) AS BIGINT) AS records_processed,
-  CASE WHEN event_type = 'error' THEN CAST(event_id % 7 AS BIGINT) ELSE CAST(0 AS BIGINT) END AS records_failed
+  CASE WHEN event_type = 'error' THEN CAST(event_id % 7 AS BIGINT) ELSE CAST(0 AS BIGINT) END AS records_failed,
+  CASE WHEN event_type <> 'click' THEN ts + to_seconds(event_id % 600) END AS end_time,
+  CAST(CAST(round(value * 100) AS BIGINT) * 64 + event_id % 1000 AS BIGINT) AS bytes_processed
 FROM events"""),
     "f_upsert": ((), """
 SELECT concat('K', CAST(user_id AS VARCHAR)) AS id, ts AS event_ts, event_id AS seq, event_type AS status, value

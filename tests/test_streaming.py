@@ -22,7 +22,7 @@ def test_incremental_flow_loads_new_files_once(spark, tmp):
     fs.write_csv(b, f"{tmp}/src/load=2")
     fl.run_flow(spark, **kw)
     fl.run_flow(spark, **kw)
-    assert sorted(r.id for r in spark.read.parquet(f"{tmp}/tgt").collect()) == ["O1", "O2", "O3"]
+    assert sorted(r.id for r in fl.read_loaded(spark, f"{tmp}/tgt").collect()) == ["O1", "O2", "O3"]
     log = fl.read_log(spark, f"{tmp}/log").orderBy("execution_id").collect()
     assert [r.records_processed for r in log] == [1, 2]
 
