@@ -9,8 +9,9 @@ documents are linked if ``100 * intersection >= 80 * union``.
    band with a chance of (1 - 0.8^5)^32 = 3e-6.
 2. Equal sets become one class before anything else; copies cost nothing further.
 3. Classes that share a band key are candidates. Never are all pairs of a
-   bucket written: in two star rounds each class meets one pivot of each of
-   its buckets (another pivot in the second round), if not yet connected to it.
+   bucket written: each class meets one pivot of each of its buckets.
+   Pivots are first in one of ``ORDERS`` random orders, which the key chooses,
+   so a class in a large group meets several different ones.
 4. A pair is estimated by the bit count of equal signature fields, corrected
    for chance hits: ``s = (m - 2^-b) / (1 - 2^-b)``; below ``PRUNE`` (five
    standard errors under 0.8) it is dropped, others are confirmed on full sets.
@@ -46,9 +47,9 @@ THRESHOLD = 80
 BANDS, ROWS, BITS = 32, 5, 4
 HASHES = BANDS * ROWS
 PRUNE = 0.635
-STAR_ROUNDS = 2
+ORDERS = 4
 #: Shingles on either side of a cell, on average at most.
-CELL = 1 << 19
+CELL = 1 << 17
 
 _M = (1 << 64) - 1
 
@@ -211,25 +212,21 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def _with_root(members: DataFrame, roots: DataFrame | None) -> DataFrame:
-    if roots is None:
-        return members.withColumn("root", F.col("cls"))
+def _with_root(members: DataFrame, roots: DataFrame) -> DataFrame:
     return members.join(roots.withColumnsRenamed({"node": "cls"}), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
 
 
-def _star(members: DataFrame, sets: DataFrame, roots: DataFrame | None, turn: int) -> DataFrame:
-    """Confirmed links between each class and one pivot of each of its buckets, where not connected yet."""
-    m = _with_root(members, roots)
-    order = F.xxhash64("cls", F.lit(turn))
-    pivots = m.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min_by("cls", order).alias("b"),
-                                  F.min_by("root", order).alias("rb")).filter("r0 <> r1").select("key", "b", "rb")
-    pairs = m.join(pivots, "key").filter("root <> rb").select(F.col("cls").alias("a"), "b").distinct()
+def _star(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Confirmed links between each class and one pivot of each of its buckets."""
+    order = F.xxhash64("cls", F.pmod("key", F.lit(ORDERS)))
+    pivots = members.groupBy("key").agg(F.min_by("cls", order).alias("pivot"))
+    pairs = members.join(pivots, "key").filter("cls <> pivot").select(F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b")).distinct()
     side = [sets.select(F.col("cls").alias(x), F.col("signature").alias(f"sig_{x}"), F.col("shingles").alias(f"set_{x}")) for x in "ab"]
     return pairs.join(side[0], "a").join(side[1], "b").mapInArrow(_confirm, "a long, b long")
 
 
-def _remainder(members: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame | None:
-    """Links between components that share a bucket: the exact way for what the star rounds leave open."""
+def _remainder(members: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Links between components that share a bucket: the exact way for what the stars leave open."""
     m = _with_root(members, roots)
     open_ = m.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1")
     part = materialize(m.join(open_, "key").select("cls", "root", F.col("r0")).distinct(), "near-open")
@@ -270,11 +267,7 @@ def near_groups(docs: DataFrame, width: int) -> DataFrame:
     wanted = members.select("cls").distinct().join(classes.select("cls", "set_id", "min_doc", "signature"), "cls")
     texts = docs.join(wanted.hint("shuffle_hash"), docs.doc_id.eqNullSafe(wanted.min_doc)).select("cls", "set_id", "signature", "text").distinct()
     sets = materialize(texts.mapInArrow(_sets(width), "cls long, signature binary, shingles binary"), "near-sets")
-    roots, links = None, None
-    for turn in range(STAR_ROUNDS):
-        more = _star(members, sets, roots, turn)
-        links = more if roots is None else more.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        roots = materialize(components(links, name="near-components"), "near-roots")
+    roots = components(_star(members, sets), name="near-components")
     more = _remainder(members, sets, roots)
     links = more.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
     roots = components(links, name="near-final")
