@@ -79,8 +79,9 @@ def groups(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     index = materialize(chains.withColumn("slot", _slot(depth)).join(slots, "slot").select("bucket", "local_depth", "key", "n")
                         .repartition("bucket").sortWithinPartitions("bucket", "key"), "dedup-index")
     shared = index.filter("n > 1").select("bucket", "key")
-    # The texts meet the keys by a hash join over a shuffle at every size: the list of shared keys has no bound.
-    texts = with_key(docs).select("key", "norm").join(shared.hint("shuffle_hash"), "key")
+    # The texts meet the keys by a merge join at every size: the list of shared keys has no bound, and a merge
+    # join spills and can be split where a key is hot.
+    texts = with_key(docs).select("key", "norm").join(shared.hint("merge"), "key")
     links = materialize(texts.groupBy("bucket", "key", "norm").agg(F.count(F.lit(1)).alias("group_size"))
                         .select("key", F.sha2("norm", 256).alias("text_sha256"), "group_size"), "dedup-links")
     heads = (entries.join(shared.select("key"), "key", "left_semi").groupBy("key", "text_sha256")

@@ -265,7 +265,7 @@ def near_groups(docs: DataFrame, width: int) -> DataFrame:
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     members = materialize(banded.join(shared, "key"), "near-members")
     wanted = members.select("cls").distinct().join(classes.select("cls", "set_id", "min_doc", "signature"), "cls")
-    texts = docs.join(wanted.hint("shuffle_hash"), docs.doc_id.eqNullSafe(wanted.min_doc)).select("cls", "set_id", "signature", "text").distinct()
+    texts = docs.join(wanted.hint("merge"), docs.doc_id.eqNullSafe(wanted.min_doc)).select("cls", "set_id", "signature", "text").distinct()
     sets = materialize(texts.mapInArrow(_sets(width), "cls long, signature binary, shingles binary"), "near-sets")
     roots = components(_star(members, sets), name="near-components")
     more = _remainder(members, sets, roots)

@@ -13,9 +13,9 @@ the features scaled by ``r`` (so an n-gram that tells nothing has no say) with
 an L2 penalty; its weight for an n-gram is ``r`` times the fitted value.
 
 The fit takes a bounded sample: at most ``PER_CLASS`` labelled documents of
-each class, those whose ids have the smallest hashes. Counts are made on the
-executors; the driver gets at most ``2**BITS`` counts and, for each document of the sample, its
-kept n-grams. The model is one table of ``2**BITS`` 4-byte weights
+each class, those whose ids have the smallest hashes. Counts are made and
+n-grams are chosen on the executors; the driver gets the kept n-grams and, for
+each document of the sample, which of them it holds. The model is one table of ``2**BITS`` 4-byte weights
 (4 MB), broadcast whatever the input. Scoring is one pass over all texts
 without a shuffle.
 
@@ -36,11 +36,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockmap.llm.common import table
+from stockmap.session import materialize
 
 SIZES = (4, 5, 6)
 BITS = 20
-MIN_DOCS, KEPT = 5, 50_000
-PER_CLASS = 8_000
+MIN_DOCS, KEPT = 5, 8_192
+PER_CLASS = 5_000
 L2, STEPS, RATE = 1.0, 300, 0.05
 FOLDS, HELD_OUT = 5, 0
 
@@ -149,8 +150,8 @@ def _kept_features(keep):
 def fit_logistic(rows: list[np.ndarray], y: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, float]:
     """L2-regularised logistic regression on present features scaled by ``r``, by Adam on the whole sample."""
     sizes = np.array([len(x) for x in rows])
-    cols, doc = np.concatenate(rows), np.repeat(np.arange(len(rows)), sizes)
-    scale = r[cols]
+    cols, doc = np.concatenate(rows).astype(np.int32), np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
+    scale = r[cols].astype(np.float32)
     v, b = np.zeros(len(r)), float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)))
     first, second = np.zeros(len(r) + 1), np.zeros(len(r) + 1)
     for step in range(1, STEPS + 1):
@@ -168,22 +169,19 @@ def fit_logistic(rows: list[np.ndarray], y: np.ndarray, r: np.ndarray) -> tuple[
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     spark = docs.sparkSession
     chosen = sample(docs, labels, per_class)
-    counts = (chosen.mapInArrow(_count, "gram long, clean long, toxic long").groupBy("gram")
-              .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-              .filter((F.col("gram") < 0) | (F.col("clean") + F.col("toxic") >= MIN_DOCS)).toPandas())
-    gram = counts["gram"].to_numpy(np.int64)
-    n = counts[gram < 0][["clean", "toxic"]].sum()
+    chosen = materialize(chosen, "toxicity-sample")
+    counts = materialize(chosen.mapInArrow(_count, "gram long, clean long, toxic long").groupBy("gram").agg(
+        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "toxicity-counts")
+    n = counts.filter("gram < 0").agg(F.coalesce(F.sum("clean"), F.lit(0)).alias("clean"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
     weights = np.zeros(1 << BITS, np.float32)
-    prior = (n["toxic"] + 0.5) / (n["clean"] + n["toxic"] + 1)
-    if not (n["clean"] and n["toxic"]):
+    prior = (n.toxic + 0.5) / (n.clean + n.toxic + 1)
+    if not (n.clean and n.toxic):
         return Model(weights, float(np.log(prior / (1 - prior))))
-    counts, gram = counts[gram >= 0], gram[gram >= 0]
-    clean, toxic = counts["clean"].to_numpy(float), counts["toxic"].to_numpy(float)
-    r = np.log((toxic + 1) / (n["toxic"] + 2)) - np.log((clean + 1) / (n["clean"] + 2))
-    best = np.lexsort((gram, -np.abs(r) * np.sqrt(toxic + clean)))[:KEPT]
-    keep, r = gram[best], r[best]
-    order = np.argsort(keep)
-    keep, r = keep[order], r[order]
+    ratio = F.log((F.col("toxic") + 1) / (n.toxic + 2)) - F.log((F.col("clean") + 1) / (n.clean + 2))
+    held = F.col("clean") + F.col("toxic")
+    best = (counts.filter((F.col("gram") >= 0) & (held >= MIN_DOCS)).select("gram", ratio.alias("r"), held.alias("held"))
+            .orderBy(F.desc(F.abs("r") * F.sqrt("held")), "gram").limit(KEPT).toPandas().sort_values("gram"))
+    keep, r = best["gram"].to_numpy(np.int64), best["r"].to_numpy()
     sent = spark.sparkContext.broadcast(keep)
     rows = chosen.mapInArrow(_kept_features(sent), "toxic int, grams binary").toPandas()
     features = [np.searchsorted(keep, np.frombuffer(x, "<u4")) for x in rows["grams"]]
