@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockmap.schemas import DATASET_ORDER, spec
+from stockmap.session import materialize
 
 # Event routing.
 EVENT_TYPES = {
@@ -178,18 +179,55 @@ def split_routed(records: DataFrame) -> tuple[DataFrame, DataFrame]:
 def event_batches(payloads: DataFrame, group_ts: str, batch_size: int = BATCH_SIZE) -> DataFrame:
     """Batches of ``batch_size`` records per dataset, in record order.
 
-    Numbering is global (range-sorted, no single-task window) and restarts
-    per dataset. A batch holds at most ``batch_size`` records, so
-    ``collect_list`` is bounded.
+    Records of datasets that are not sent go first. Numbering is global
+    (range-sorted, no single-task window) and restarts per dataset. Sorted
+    rows are read back in order, so each task joins the rows of a batch as
+    they come; only batches that lie across two tasks, and the last of each
+    dataset, go through a shuffle, as pieces of at most ``batch_size`` records.
     """
     from stockmap.plans.numbering import row_number_global
-    n = row_number_global(payloads, ["record_key", "payload"], "_rn", within="dataset")
-    n = n.withColumn("batch_no", (F.floor((F.col("_rn") - 1) / batch_size) + 1).cast("int"))
-    g = n.groupBy("dataset", "batch_no").agg(
-        F.count(F.lit(1)).alias("records"),
-        F.array_sort(F.collect_list(F.struct(F.col("_rn"), F.col("payload")))).alias("_p"))
-    g = route_events(g)
-    return g.where("eligible").select(
+    sent = split_routed(payloads.select("dataset", "record_key", "payload"))[0].select("dataset", "record_key", "payload")
+    n = row_number_global(sent, ["record_key", "payload"], "_rn", within="dataset")
+    pieces = n.select("dataset", F.col("_rn").cast("long").alias("rn"), "payload").mapInArrow(
+        _pieces(batch_size), "dataset string, batch_no int, first long, records long, data string")
+    pieces = materialize(pieces, "event-pieces")
+    whole = F.col("records") == batch_size
+    torn = pieces.where(~whole).groupBy("dataset", "batch_no").agg(
+        F.sum("records").alias("records"), F.array_sort(F.collect_list(F.struct("first", "data"))).alias("_p"))
+    torn = torn.select("dataset", "batch_no", "records", F.array_join(F.transform("_p", lambda x: x["data"]), ",").alias("data"))
+    g = route_events(pieces.where(whole).select("dataset", "batch_no", "records", "data").unionByName(torn))
+    return g.select(
         "dataset", "batch_no", F.concat(F.col("dataset"), F.lit(f"-{group_ts}")).alias("event_group_id"),
-        "event_type", "operation", "records",
-        F.concat(F.lit("["), F.array_join(F.transform("_p", lambda x: x["payload"]), ","), F.lit("]")).alias("data"))
+        "event_type", "operation", "records", F.concat(F.lit("["), "data", F.lit("]")).alias("data"))
+
+
+def _pieces(batch_size: int):
+    """Arrow batches of numbered rows to one row for each run of rows of the same event batch."""
+    def run(batches):
+        import pyarrow as pa
+
+        names = ["dataset", "batch_no", "first", "records", "data"]
+        key, first, held, last = None, 0, [], 0
+
+        def piece():
+            return (key[0], key[1], first, len(held), ",".join(held))
+
+        for batch in batches:
+            out = []
+            for ds, rn, payload in zip(*(batch.column(c).to_pylist() for c in ("dataset", "rn", "payload")), strict=True):
+                k = (ds, (rn - 1) // batch_size + 1)
+                if k != key or rn != last + 1:
+                    if held:
+                        out.append(piece())
+                    key, first, held = k, rn, []
+                held.append(payload)
+                last = rn
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _PIECE_TYPES(pa), strict=True)], names=names)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(piece(), _PIECE_TYPES(pa), strict=True)], names=names)
+    return run
+
+
+def _PIECE_TYPES(pa):
+    return pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.string()

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from stockmap.functions.geo import haversine_km, km_to_miles
 from stockmap.plans.nearest import nearest_site
+from stockmap.plans.numbering import running_total
 from stockmap.session import materialize
 from stockmap.sources.files import finite_or_null
 
@@ -304,22 +305,21 @@ def restock_priority(metrics: DataFrame, target_per_1000: float = 100.0) -> Data
 def exact_cut_points(df: DataFrame, col: str, probs: Sequence[float]) -> list:
     """Exact discrete quantiles: for each p, the value at rank ceil(n·p) in sorted order.
 
-    Distributed and exact at any size: the non-null values are range-sorted and
-    numbered (``plans.numbering``), then only the wanted ranks reach the driver.
-    No task holds all the values (unlike an exact percentile aggregate), and
-    nothing is approximated (unlike a sketch).
+    Distributed and exact at any size: equal values are counted first, the
+    distinct ones are range-sorted with running counts (``plans.numbering``),
+    and only the wanted ones reach the driver. No task holds all the values
+    (unlike an exact percentile aggregate), and nothing is approximated
+    (unlike a sketch).
     """
     import math
-
-    from stockmap.plans.numbering import row_number_global
-    v = df.where(F.col(col).isNotNull()).select(F.col(col).alias("_v"))
-    n = v.count()
-    if n == 0:
+    v = materialize(df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_n")), "cut-values")
+    n = v.agg(F.sum("_n")).first()[0]
+    if not n:
         return [None for _ in probs]
     ranks = [max(1, math.ceil(n * p)) for p in probs]
-    numbered = row_number_global(v, ["_v"], "_rn")
-    got = {r["_rn"]: r["_v"] for r in numbered.where(F.col("_rn").isin(sorted(set(ranks)))).collect()}
-    return [got[r] for r in ranks]
+    upto = running_total(v, ["_v"], "_n", "_upto")
+    got = upto.agg(*[F.min(F.when(F.col("_upto") >= r, F.col("_v"))).alias(f"c{i}") for i, r in enumerate(ranks)]).first()
+    return list(got)
 
 
 def _quantile_band(df: DataFrame, col: str, n: int = 4) -> Column:
@@ -378,83 +378,77 @@ def transshipment_pairs(metrics: DataFrame, stocks: DataFrame | None = None, tar
                     F.least("receiver_deficit", "donor_surplus").alias("transfer_qty"))
 
 
+#: Cells of the radius join: 360 / 2**level degrees, from 90 degrees to about 2 m.
+_COARSEST, _FINEST = 2, 24
 
 
+def zone_probes(zones: DataFrame) -> DataFrame:
+    """``zones`` (z_lat, z_lon, d_now, …) with the cells (level, ci, cj) each has to look at.
 
-
-def choose_radius_cell(zones: DataFrame, candidates: DataFrame) -> float:
-    """Cell size (degrees, divides 360) for the radius join.
-
-    Candidate density alone sets the finest useful cell (about two candidate
-    locations per cell). It is widened to half the median search radius, so
-    a typical zone probes a few dozen cells rather than thousands.
-    """
-    import math
-
-    from stockmap.plans.nearest import choose_levels
-    st = candidates.agg(F.count(F.lit(1)).alias("n"), F.min("latitude").alias("a"), F.max("latitude").alias("b"),
-                        F.min("longitude").alias("c"), F.max("longitude").alias("d")).first()
-    c_density = choose_levels(int(st["n"] or 0), (st["b"] or 0) - (st["a"] or 0), (st["d"] or 0) - (st["c"] or 0))[0]
-    med = zones.agg(F.percentile_approx("d_now", 0.5, 1000).alias("m")).first()["m"] or 0.0
-    half_radius_deg = math.degrees(med / 6371.0) / 2
-    c = max(min(c_density, 90.0), 360.0 / 2 ** 24)
-    while c < half_radius_deg and c * 2 <= 90.0:
-        c *= 2
-    return c
-
-
-def candidate_gains(access: DataFrame, candidates: DataFrame, *, cell_deg: float | None = None) -> DataFrame:
-    """Per candidate location: zones it would bring closer and the population-weighted gain.
-
-    For a zone at current distance d_now, a candidate at distance d < d_now
-    gains pop·(d_now − d). Pairs come from a radius grid join: each zone
-    probes only the cells its d_now circle can reach (lat band ± r, lon band
-    widened to the cap's exact longitude half-width), so no all-pairs
-    product is formed. A zone far from every site probes more cells, because
-    more candidates can help it. The cell size follows candidate density and
-    the median radius (:func:`choose_radius_cell`).
+    A zone's level follows its own radius: the finest whose cells are no
+    smaller than the half-widths of its circle, so it looks at nine cells at
+    most. A circle that holds a pole takes the 90-degree cells (at most twenty).
     """
-    z = access.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
-                     & F.col("distance_km").isNotNull() & (F.col("population") > 0)).select(
-        F.col("latitude").alias("z_lat"), F.col("longitude").alias("z_lon"),
-        F.col("population").alias("pop"), F.col("distance_km").alias("d_now"))
-    c = cell_deg if cell_deg is not None else choose_radius_cell(z, candidates)
-    n_lon = int(round(360.0 / c))
     r_rad = F.col("d_now") / F.lit(6371.0)
     r = F.degrees(r_rad)
-    lat_lo = F.floor((F.col("z_lat") - r) / c).cast("int")
-    lat_hi = F.floor((F.col("z_lat") + r) / c).cast("int")
     # Exact longitude half-width of a spherical cap: asin(sin r / cos φ); the
     # cap holds a pole (whole band) when that ratio reaches 1.
     ratio = F.sin(r_rad) / F.cos(F.radians(F.col("z_lat")))
-    whole = (ratio >= 1) | (F.abs(F.col("z_lat")) + r >= 90)
-    r_lon = F.degrees(F.asin(F.least(F.lit(1.0), ratio)))
-    lon_lo = F.when(whole, F.lit(0)).otherwise(F.floor((F.col("z_lon") - r_lon) / c).cast("int"))
-    lon_hi = F.when(whole, F.lit(n_lon - 1)).otherwise(F.floor((F.col("z_lon") + r_lon) / c).cast("int"))
-    probes = (z.select("*", F.explode(F.sequence(lat_lo, lat_hi)).alias("ci"),
-                       F.sequence(lon_lo, lon_hi).alias("_cj"))
-              .select("z_lat", "z_lon", "pop", "d_now", "ci", F.explode("_cj").alias("_j"))
-              .select("z_lat", "z_lon", "pop", "d_now", "ci", F.pmod("_j", F.lit(n_lon)).alias("cj")))
+    z = zones.withColumns({"_r": r, "_whole": (ratio >= 1) | (F.abs(F.col("z_lat")) + r >= 90),
+                           "_rl": F.degrees(F.asin(F.least(F.lit(1.0), ratio)))})
+    half = F.greatest("_r", "_rl", F.lit(360.0 / 2 ** _FINEST))
+    level = F.when(F.col("_whole"), _COARSEST).otherwise(F.greatest(F.lit(_COARSEST), F.least(
+        F.lit(_FINEST), F.floor(F.log2(F.lit(360.0) / half)).cast("int"))))
+    z = z.withColumn("level", level).withColumn("_c", F.lit(360.0) / F.pow(F.lit(2.0), F.col("level")))
+    n = F.pow(F.lit(2.0), F.col("level")).cast("int")
+    south, north = F.greatest(F.lit(-90.0), F.col("z_lat") - F.col("_r")), F.least(F.lit(90.0), F.col("z_lat") + F.col("_r"))
+    lon_lo = F.when(F.col("_whole"), F.lit(0)).otherwise(F.floor((F.col("z_lon") - F.col("_rl")) / F.col("_c")).cast("int"))
+    lon_hi = F.when(F.col("_whole"), n - 1).otherwise(F.floor((F.col("z_lon") + F.col("_rl")) / F.col("_c")).cast("int"))
+    z = z.withColumn("ci", F.explode(F.sequence(F.floor(south / F.col("_c")).cast("int"), F.floor(north / F.col("_c")).cast("int"))))
+    z = z.withColumn("_j", F.explode(F.sequence(lon_lo, lon_hi)))
+    return z.withColumn("cj", F.pmod(F.col("_j"), n)).drop("_r", "_whole", "_rl", "_c", "_j")
+
+
+def candidate_gains(access: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Per candidate location: zones it would bring closer and the population-weighted gain.
+
+    For a zone at current distance d_now, a candidate at distance d < d_now
+    gains pop·(d_now − d). Zones at one location are one row. Pairs come from
+    a grid join: each zone looks at the few cells that its own circle touches,
+    on the level that fits its radius, and each candidate stands in one cell
+    of every level in use (at most 23), so one far zone costs no more cells
+    than a near one.
+    """
+    z = access.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+                     & F.col("distance_km").isNotNull() & (F.col("population") > 0)).groupBy(
+        F.col("latitude").alias("z_lat"), F.col("longitude").alias("z_lon"), F.col("distance_km").alias("d_now")).agg(
+        F.sum("population").alias("pop"), F.count(F.lit(1)).alias("zones"))
+    probes = materialize(zone_probes(z), "candidate-probes")
+    levels = sorted(r["level"] for r in probes.select("level").distinct().collect())  # 23 values at most
+    if not levels:
+        levels = [_COARSEST]
+    c = F.lit(360.0) / F.pow(F.lit(2.0), F.col("level"))
     cand = candidates.select("candidate_id", F.col("latitude").alias("c_lat"), F.col("longitude").alias("c_lon"),
-                             F.floor(F.col("latitude") / c).cast("int").alias("ci"),
-                             F.pmod(F.floor(F.col("longitude") / c).cast("int"), F.lit(n_lon)).alias("cj"))
-    pairs = probes.join(cand, ["ci", "cj"]).withColumn("d", haversine_km("z_lat", "z_lon", "c_lat", "c_lon"))
+                             F.explode(F.array(*[F.lit(x) for x in levels])).alias("level")).select(
+        "*", F.floor(F.col("c_lat") / c).cast("int").alias("ci"),
+        F.pmod(F.floor(F.col("c_lon") / c).cast("int"), F.pow(F.lit(2.0), F.col("level")).cast("int")).alias("cj"))
+    pairs = probes.join(cand, ["level", "ci", "cj"]).withColumn("d", haversine_km("z_lat", "z_lon", "c_lat", "c_lon"))
     pairs = pairs.where(F.col("d") < F.col("d_now"))
     return pairs.groupBy("candidate_id", "c_lat", "c_lon").agg(
-        F.count(F.lit(1)).alias("zones_helped"),
+        F.sum("zones").alias("zones_helped"),
         F.sum("pop").cast("bigint").alias("population_helped"),
         F.sum(F.col("pop") * (F.col("d_now") - F.col("d"))).alias("gain"))
 
 
-def candidate_sites(access: DataFrame, candidates: DataFrame, k: int = 5, *, cell_deg: float | None = None) -> DataFrame:
+def candidate_sites(access: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
     """Top-k candidate locations by reduction of the population-weighted distance.
 
     new_wd = (Σ pop·d_now − gain) / Σ pop over zones with a site and population.
     """
-    # Read three times below (cell size, gains, baseline): written once.
+    # Read twice below (gains, baseline): written once.
     access = materialize(access.select("zip_code", "latitude", "longitude", "population", "distance_km"),
                          "candidate-access")
-    g = candidate_gains(access, candidates, cell_deg=cell_deg)
+    g = candidate_gains(access, candidates)
     base = access.where(F.col("distance_km").isNotNull() & (F.col("population") > 0)).agg(
         F.sum(F.col("population") * F.col("distance_km")).alias("_wd"),
         F.sum("population").cast("double").alias("_w")).first()

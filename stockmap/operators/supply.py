@@ -209,7 +209,7 @@ def transport_lanes(sites: DataFrame) -> DataFrame:
     coordinates (miles, 1 decimal). Each child picks one parent by exact
     nearest search, so the lane count is linear in the sites, not pairwise.
     """
-    from stockmap.session import materialize
+    from stockmap.session import materialize, run_side_by_side
     # Read by three searches and three lookups: written once (lineage cut)
     # instead of being derived again for each.
     s = materialize(sites.select("site_id", "site_type", "latitude", "longitude", "geo_id"), "lane-sites")
@@ -227,14 +227,8 @@ def transport_lanes(sites: DataFrame) -> DataFrame:
 
     # The three searches are independent: submitted from threads, their jobs
     # run side by side on the cluster instead of one after another.
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=3) as pool:
-        f_hub = pool.submit(edges, dcs, hubs)
-        f_loc = pool.submit(edges, locs, dcs)
-        f_dc = pool.submit(edges, dcs, dcs, True)
-        hub_dc = _lane(f_hub.result(), LANE_HUB_DC)
-        dc_loc = _lane(f_loc.result(), LANE_DC_LOCAL)
-        near = f_dc.result()
+    found = run_side_by_side(s.sparkSession, lambda: edges(dcs, hubs), lambda: edges(locs, dcs), lambda: edges(dcs, dcs, True))
+    hub_dc, dc_loc, near = _lane(found[0], LANE_HUB_DC), _lane(found[1], LANE_DC_LOCAL), found[2]
     both = near.unionByName(near.select(
         F.col("to_site_id").alias("from_site_id"), F.col("from_site_id").alias("to_site_id"),
         F.col("from_geo_id").alias("to_geo_id"), F.col("to_geo_id").alias("from_geo_id"), "_km"))

@@ -18,6 +18,17 @@ from pyspark.sql import functions as F
 from stockmap.session import materialize
 
 
+def running_total(df: DataFrame, order: Sequence[str], value: str, name: str) -> DataFrame:
+    """Append ``name`` = the sum of ``value`` up to each row in ``order`` (distinct), over many tasks."""
+    tagged = materialize(df.orderBy(*order).withColumn("_pid", F.spark_partition_id()), "running")
+    totals = tagged.groupBy(F.col("_pid").alias("_pp")).agg(F.sum(value).alias("_t"))
+    before = Window.orderBy("_pp").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
+    totals = totals.withColumn("_off", F.coalesce(F.sum("_t").over(before), F.lit(0))).drop("_t")
+    own = Window.partitionBy("_pid").orderBy(*order)
+    return (tagged.withColumn("_in", F.sum(value).over(own)).join(totals, F.col("_pid") == F.col("_pp"))
+            .withColumn(name, F.col("_in") + F.col("_off")).drop("_pid", "_pp", "_in", "_off"))
+
+
 def row_number_global(df: DataFrame, order: Sequence[Column | str], name: str = "rn",
                       within: str | None = None) -> DataFrame:
     """Append ``name`` = 1, 2, … in ``order`` (ties broken by the order columns given).
@@ -42,7 +53,8 @@ def row_number_global(df: DataFrame, order: Sequence[Column | str], name: str =
     per_part = tagged.groupBy(F.col("_pid").alias("_pp"), grp.alias("_g")).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_first"))
     w = Window.partitionBy("_g").orderBy("_pp").rowsBetween(Window.unboundedPreceding, -1)
-    per_part = per_part.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
+    # Written, so that Spark knows its size when it chooses the join.
+    per_part = materialize(per_part.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n"), "rownum-offsets")
     keys = F.col("_pid") == F.col("_pp")
     if within is not None:
         keys = keys & F.col(within).eqNullSafe(F.col("_g"))

@@ -96,6 +96,29 @@ def materialize(df, name: str, metrics=None):
     return (out, obs.get) if obs is not None else out
 
 
+def run_side_by_side(spark: SparkSession, *work) -> list:
+    """Results of independent functions whose jobs run at the same time, under the caller's job group and tags."""
+    from pyspark import InheritableThread
+
+    out: list = [None] * len(work)
+
+    def run(i: int) -> None:
+        try:
+            out[i] = work[i](), None
+        except Exception as e:  # raised again below, in the caller's thread
+            out[i] = None, e
+
+    threads = [InheritableThread(target=run, args=(i,), session=spark) for i in range(len(work))]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    for _, e in out:
+        if e is not None:
+            raise e
+    return [x for x, _ in out]
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the intermediate tables this application wrote; those of other applications stay.
 

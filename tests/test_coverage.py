@@ -97,10 +97,27 @@ def test_candidate_gains_match_brute_force(spark):
             d = haversine_km_py(zl, zo, cl, co)
             if d < dn:
                 want[cid] = want.get(cid, 0.0) + pop * (dn - d)
-    for cell in (None, 0.0439453125, 1.40625):
-        got = {r.candidate_id: r.gain for r in cov.candidate_gains(acc, cdf, cell_deg=cell).collect()}
-        assert set(got) == set(want)
-        assert all(abs(got[k] - want[k]) < 1e-6 * max(1.0, want[k]) for k in want)
+    got = {r.candidate_id: r.gain for r in cov.candidate_gains(acc, cdf).collect()}
+    assert set(got) == set(want)
+    assert all(abs(got[k] - want[k]) < 1e-6 * max(1.0, want[k]) for k in want)
+
+
+def test_far_zones_look_at_few_cells(spark):
+    from stockmap.functions.geo import haversine_km_py
+    zones = [(f"z{i}", 47 + i * 0.01, -123.0, 10, 0.5) for i in range(300)]
+    zones += [("far", 20.0, -150.0, 7, 4000.0), ("pole", 89.5, 10.0, 3, 900.0), ("line", 0.0, 179.99, 5, 50.0), ("all", -80.0, 0.0, 2, 19000.0),
+              ("same", 20.0, -150.0, 4, 4000.0), ("here", 10.0, 10.0, 1, 0.0)]
+    acc = spark.createDataFrame(zones, "zip_code string, latitude double, longitude double, population bigint, distance_km double")
+    from pyspark.sql import functions as F
+    probes = cov.zone_probes(acc.select(F.col("latitude").alias("z_lat"), F.col("longitude").alias("z_lon"), F.col("distance_km").alias("d_now"), "zip_code"))
+    assert max(r["count"] for r in probes.groupBy("zip_code").count().collect()) <= 20
+    cands = [("a", 47.0, -123.0), ("b", 90.0, 0.0), ("c", 0.0, -179.99), ("d", -89.0, 100.0), ("e", 30.0, -140.0), ("f", 88.0, -170.0)]
+    got = {r.candidate_id: (r.gain, r.zones_helped) for r in cov.candidate_gains(acc, spark.createDataFrame(cands, "candidate_id string, latitude double, longitude double")).collect()}
+    for c, la, lo in cands:
+        near = [(p, dn - haversine_km_py(zl, zo, la, lo)) for _, zl, zo, p, dn in zones if haversine_km_py(zl, zo, la, lo) < dn]
+        assert (c in got) == bool(near)
+        if near:
+            assert abs(got[c][0] - sum(p * g for p, g in near)) < 1e-6 * max(1, got[c][0]) and got[c][1] == len(near)
 
 
 def test_publish_replace_and_read_back(spark, tmp):

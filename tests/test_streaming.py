@@ -61,6 +61,20 @@ def test_batches_hold_at_most_100(spark):
     assert b[0].data.startswith('[{"id":0},{"id":1}')
 
 
+def test_batches_across_many_tasks_and_without_rejects(spark):
+    import json
+    sites = spark.range(0, 3001).repartition(13).select(F.lit("site").alias("dataset"), F.format_string("%05d", "id").alias("record_key"), F.to_json(F.struct("id")).alias("payload"))
+    more = spark.range(0, 100).select(F.lit("inv_level").alias("dataset"), F.format_string("%05d", "id").alias("record_key"), F.to_json(F.struct("id")).alias("payload"))
+    rejected = more.withColumn("dataset", F.lit("forecast"))
+    rows = cf.event_batches(sites.unionByName(more).unionByName(rejected), "20240101000000").collect()
+    assert {r.dataset for r in rows} == {"site", "inv_level"}
+    by = {(r.dataset, r.batch_no): [x["id"] for x in json.loads(r.data)] for r in rows}
+    assert len(by) == len(rows) == 32
+    for k in range(31):
+        assert by["site", k + 1] == list(range(100 * k, min(3001, 100 * k + 100)))
+    assert by["inv_level", 1] == list(range(100))
+
+
 def test_daily_windows_stream(spark, tmp):
     rows = [(1, dt.datetime(2024, 1, 1, 5), "click"), (2, dt.datetime(2024, 1, 1, 9), "click"),
             (3, dt.datetime(2024, 1, 2, 1), "view")]
