@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockmap.schemas import DATASET_ORDER, spec
+from stockmap.sources.files import dataset_dir, path_exists, read_header_csv
 
 RESULT_SCHEMA = "dataset string, check string, field string, message string"
 NULLS_SCHEMA = "dataset string, field string, null_count bigint"
@@ -59,6 +61,39 @@ def validate_dataset(df: DataFrame, dataset: str) -> DataFrame:
     return out.unionByName(content)
 
 
+def open_datasets(spark: SparkSession, root: str, datasets=DATASET_ORDER) -> dict[str, DataFrame | None]:
+    """Each dataset opened from its files under ``root`` as text columns; None where no file is or none can be opened."""
+    out: dict[str, DataFrame | None] = {}
+    for name in datasets:
+        path = dataset_dir(root, name)
+        try:
+            df = read_header_csv(spark, path) if path_exists(spark, path) else None
+        except AnalysisException:  # a folder without files
+            df = None
+        # Files without a header have no columns but those of their folders.
+        out[name] = df if df is not None and set(df.columns) - {"load_ts"} else None
+    return out
+
+
+def dataset_profile(spark: SparkSession, frames: Mapping[str, DataFrame | None], datasets=DATASET_ORDER) -> DataFrame:
+    """Per dataset that can be opened: rows, number of fields, key fields and the number of keys that occur twice or more."""
+    parts = []
+    for name in datasets:
+        df, s = frames.get(name), spec(name)
+        if df is None:
+            continue
+        fields = [c for c in df.columns if c != "load_ts"]
+        key = [k for k in s.key if k in fields]
+        counted = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")) if key else df.limit(0).select(F.lit(1).alias("_n"))
+        parts.append(counted.agg(
+            F.lit(name).alias("dataset"), F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows"), F.lit(len(fields)).alias("field_count"),
+            F.lit(",".join(s.key)).alias("key_fields"), F.count_if(F.col("_n") > 1).alias("duplicate_keys")))
+    out = spark.createDataFrame([], "dataset string, rows bigint, field_count int, key_fields string, duplicate_keys bigint")
+    for p in parts:
+        out = out.unionByName(p)
+    return out
+
+
 def validate_all(spark: SparkSession, frames: Mapping[str, DataFrame | None],
                  datasets=DATASET_ORDER) -> DataFrame:
     """Failure rows for every dataset name; a missing/unreadable dataset is one failure row."""

@@ -496,20 +496,21 @@ def q_haversine_pairs(spark, sf_dir):
 # ---------------------------------------------------------------- validation (V1–V6)
 
 from stockmap.operators import validate as va  # noqa: E402
+from stockmap.session import run_side_by_side  # noqa: E402
 
 
-def validation_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame | None]:
+def validation_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The derived datasets as they are published for validation: all but ``company``, one of them empty."""
     inv = inv_level_table(spark, sf_dir).withColumn("site_id", F.nullif(F.col("site_id"), F.lit("UNKNOWN")))
     return {
-        "company": None,
         "geography": sp.geography_dim(geo_table(spark, sf_dir)),
         "calendar": sp.calendar_dim(sp.date_span(fx.table(spark, sf_dir, "orders"), "o_orderdate")),
         "product_hierarchy": product_group_table(spark, sf_dir),
         "product": product_table(spark, sf_dir),
         "site": site_dim_of(spark, sf_dir),
-        "transportation_lane": None,
+        "transportation_lane": sp.transport_lanes(sites_with_geo(spark, sf_dir)),
         "trading_partner": fx.partners(spark, sf_dir),
-        "inv_policy": sp.inventory_policy(fx.sites(spark, sf_dir)),
+        "inv_policy": sp.inventory_policy(fx.sites(spark, sf_dir).where(F.col("site_type") == "CLOSED")),
         "forecast": sp.demand_forecast(fx.sites(spark, sf_dir), AS_OF),
         "inv_level": inv,
         "inbound_order": inbound_order_table(spark, sf_dir),
@@ -519,15 +520,23 @@ def validation_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame |
     }
 
 
+def published_for_validation(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame | None]:
+    """The derived datasets written as header CSV, and opened again from their files."""
+    root = _scratch(spark, "validate")
+    frames = validation_frames(spark, sf_dir)
+    run_side_by_side(spark, *[lambda n=n, df=df: fs.publish(df, n, root, "20240101_000000") for n, df in frames.items()])
+    return va.open_datasets(spark, root)
+
+
 @query("validate_datasets")
 def q_validate_datasets(spark, sf_dir):
-    return va.validate_all(spark, validation_frames(spark, sf_dir))
+    return va.validate_all(spark, published_for_validation(spark, sf_dir))
 
 
 @query("validate_nulls")
 def q_validate_nulls(spark, sf_dir):
     out = None
-    for name, df in validation_frames(spark, sf_dir).items():
+    for name, df in published_for_validation(spark, sf_dir).items():
         if df is None:
             continue
         n = va.null_counts(df, name)
@@ -537,7 +546,12 @@ def q_validate_nulls(spark, sf_dir):
 
 @query("validate_summary")
 def q_validate_summary(spark, sf_dir):
-    return va.validate_summary(spark, va.validate_all(spark, validation_frames(spark, sf_dir)))
+    return va.validate_summary(spark, va.validate_all(spark, published_for_validation(spark, sf_dir)))
+
+
+@query("dataset_profile")
+def q_dataset_profile(spark, sf_dir):
+    return va.dataset_profile(spark, published_for_validation(spark, sf_dir))
 
 
 @query("key_duplicates")
@@ -701,7 +715,8 @@ def q_events_daily(spark, sf_dir):
     base = _scratch(spark, "events-daily")
     ev = fx.table(spark, sf_dir, "events")
     stream = spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    fl.run_to_table(fl.events_daily_stream(stream), f"{base}/ckpt", f"{base}/out", mode="complete")
+    # A bounded replay of the whole table: every window is wanted at the end, so none is closed by a watermark.
+    fl.run_to_table(fl.events_daily_stream(stream, watermark=None), f"{base}/ckpt", f"{base}/out", mode="complete")
     return spark.read.parquet(f"{base}/out")
 
 

@@ -117,13 +117,17 @@ def read_log(spark: SparkSession, log_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- windowed event counts
 
 def events_daily_stream(events: DataFrame, ts: str = "ts", kind: str = "event_type",
-                        watermark: str = "1 day") -> DataFrame:
-    """Streaming daily counts per event type with a watermark for late data.
+                        watermark: str | None = "1 day") -> DataFrame:
+    """Streaming daily counts per event type.
 
-    ``ts`` may be TIMESTAMP_NTZ; the watermark needs TIMESTAMP, so it is cast
-    first (session zone UTC).
+    With a watermark (for ``append``) a window is final, and its state goes,
+    once events later than its end by that much have come; without one (for
+    ``complete``) every window stays open. ``ts`` may be TIMESTAMP_NTZ; the
+    watermark needs TIMESTAMP, so it is cast first (session zone UTC).
     """
-    e = events.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", watermark)
+    e = events.withColumn("_ts", F.col(ts).cast("timestamp"))
+    if watermark is not None:
+        e = e.withWatermark("_ts", watermark)
     g = e.groupBy(F.window("_ts", "1 day").alias("w"), F.col(kind)).agg(F.count(F.lit(1)).alias("events"))
     return g.select(F.to_date(F.col("w.start")).alias("day"), F.col(kind).alias("event_type"), "events")
 

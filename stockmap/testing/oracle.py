@@ -418,7 +418,7 @@ GROUP BY l_orderkey""")
 
 _FAILURES = """
 SELECT 'company' AS dataset, 'unreadable' AS "check", CAST(NULL AS VARCHAR) AS field, 'File not found' AS message
-UNION ALL SELECT 'transportation_lane', 'unreadable', NULL, 'File not found'
+UNION ALL SELECT 'inv_policy', 'empty', NULL, 'Dataset is empty'
 UNION ALL SELECT 'trading_partner', 'missing_required', 'description', 'Missing required field: description'
 UNION ALL SELECT 'trading_partner', 'missing_required', 'tpartner_type', 'Missing required field: tpartner_type'
 UNION ALL SELECT 'trading_partner', 'forbidden_present', 'name', 'Forbidden field present: name'
@@ -441,7 +441,8 @@ UNION ALL SELECT 'product', 'description', count(*) FILTER (WHERE p_name IS NULL
 UNION ALL SELECT 'site', 'id', count(*) FILTER (WHERE site_id IS NULL) FROM f_site
 UNION ALL SELECT 'site', 'description', count(*) FILTER (WHERE city IS NULL) FROM f_site
 UNION ALL SELECT 'trading_partner', 'id', count(*) FILTER (WHERE id IS NULL) FROM f_partner
-UNION ALL SELECT 'inv_policy', 'id', 0 UNION ALL SELECT 'inv_policy', 'site_id', count(*) FILTER (WHERE site_id IS NULL) FROM f_site
+UNION ALL SELECT 'inv_policy', 'id', 0 UNION ALL SELECT 'inv_policy', 'site_id', 0
+UNION ALL SELECT 'transportation_lane', c, 0 FROM (VALUES ('id'), ('from_site_id'), ('to_site_id')) t(c)
 UNION ALL SELECT 'inv_policy', 'product_id', 0
 UNION ALL SELECT 'forecast', 'snapshot_date', 0 UNION ALL SELECT 'forecast', 'site_id', count(*) FILTER (WHERE site_id IS NULL) FROM f_site
 UNION ALL SELECT 'forecast', 'product_id', 0
@@ -470,6 +471,28 @@ FROM per
 UNION ALL SELECT 'ALL', CAST(sum(errors) AS BIGINT), bool_and(errors = 0), CAST(count(*) FILTER (WHERE errors = 0) AS BIGINT),
   CAST(count(*) AS BIGINT) FROM per""", "f_inv_level")
 
+_KEYS = """
+SELECT 'geography' AS dataset, 7 AS field_count, 'id' AS key_fields, id AS k FROM f_geography
+UNION ALL SELECT 'calendar', 11, 'calendar_id', CAST(i AS VARCHAR)
+  FROM range(0, (SELECT CAST(max(CAST(o_orderdate AS DATE)) - min(CAST(o_orderdate AS DATE)) + 1 AS BIGINT) FROM orders)) t(i)
+UNION ALL SELECT 'product_hierarchy', 4, 'id', id FROM f_product_group
+UNION ALL SELECT 'product', 6, 'id', CAST(p_partkey AS VARCHAR) FROM part
+UNION ALL SELECT 'site', 11, 'id', site_id FROM f_site
+UNION ALL SELECT 'transportation_lane', 17, 'id', id FROM f_lanes
+UNION ALL SELECT 'trading_partner', 4, 'id', id FROM f_partner
+UNION ALL SELECT 'forecast', 9, 'snapshot_date,site_id,product_id,forecast_start_dttm', site_id || '/' || CAST(i AS VARCHAR) FROM f_site CROSS JOIN range(30) t(i)
+UNION ALL SELECT 'inv_level', 8, 'snapshot_date,site_id,product_id,lot_number', concat_ws('/', CAST(snapshot_date AS VARCHAR), site_id, product_id) FROM f_inv_level
+UNION ALL SELECT 'inbound_order', 4, 'id', id FROM f_inbound_order
+UNION ALL SELECT 'inbound_order_line', 8, 'id', printf('%d-%d', l_orderkey, l_linenumber) FROM lineitem
+UNION ALL SELECT 'shipment', 13, 'id', printf('%d-%d', l_orderkey, l_linenumber) FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus IN ('F', 'O')
+UNION ALL SELECT 'outbound_order_line', 11, 'id', concat(id, k) FROM f_customer CROSS JOIN (VALUES ('N'), ('S')) t(k)"""
+sql("dataset_profile", f"""
+WITH k AS (SELECT dataset, field_count, key_fields, k, count(*) AS n FROM ({_KEYS}) GROUP BY ALL)
+SELECT dataset, CAST(sum(n) AS BIGINT) AS rows, field_count, key_fields, count(*) FILTER (WHERE n > 1) AS duplicate_keys
+FROM k GROUP BY dataset, field_count, key_fields
+UNION ALL SELECT 'inv_policy', CAST(0 AS BIGINT), 15, 'id', CAST(0 AS BIGINT)""",
+    "f_geography", "f_product_group", "f_site", "f_lanes", "f_partner", "f_inv_level", "f_inbound_order", "f_customer")
+
 sql("key_duplicates", """
 SELECT 'inv_level' AS dataset, snapshot_date, site_id, product_id, 'LOT-' || product_id AS lot_number,
   count(*) AS occurrences

@@ -164,3 +164,34 @@ def test_scratch_needs_a_shared_folder_off_local_mode():
 
     with pytest.raises(ValueError):
         ensure_checkpoint_dir(Session())
+
+
+def test_validation_from_files(spark, tmp):
+    from stockmap.operators import validate as va
+    fs.publish(_orders(spark, "O1", "O1", None), "inbound_order", tmp, "20240101_000000")
+    fs.publish(spark.createDataFrame([], spec("site").schema), "site", tmp, "20240101_000000")
+    os.makedirs(f"{tmp}/wa_product/load_ts=20240101_000000")
+    open(f"{tmp}/wa_product/load_ts=20240101_000000/x.csv", "w").close()  # a file without a header
+    os.makedirs(f"{tmp}/wa_forecast")
+    frames = va.open_datasets(spark, tmp)
+    found = {(r.dataset, r.check): r.message for r in va.validate_all(spark, frames).collect()}
+    assert found["product", "unreadable"] == found["forecast", "unreadable"] == found["company", "unreadable"] == "File not found"
+    assert ("site", "empty") in found and found["inbound_order", "nulls"] == "Field 'id' has 1 null values"
+    prof = {r.dataset: (r.rows, r.field_count, r.duplicate_keys) for r in va.dataset_profile(spark, frames).collect()}
+    assert prof["inbound_order"] == (3, 5, 1) and prof["site"][0] == 0 and "product" not in prof
+
+
+def test_append_mode_closes_windows_and_drops_late_rows(spark, tmp):
+    import datetime as dt
+    schema = "event_id long, ts timestamp, event_type string"
+
+    def arrive(n, *rows):
+        spark.createDataFrame(list(rows), schema).coalesce(1).write.parquet(f"{tmp}/ev/p{n}")
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(f"{tmp}/ev")
+        fl.run_to_table(fl.events_daily_stream(stream), f"{tmp}/ck", f"{tmp}/out", mode="append")
+
+    arrive(0, (1, dt.datetime(2024, 1, 1, 5), "click"), (2, dt.datetime(2024, 1, 1, 6), "click"))
+    arrive(1, (3, dt.datetime(2024, 1, 5), "click"))
+    arrive(2, (4, dt.datetime(2024, 1, 1, 7), "click"), (5, dt.datetime(2024, 1, 9), "view"))  # the first is late by days
+    got = {(str(r.day), r.event_type, r.events) for r in spark.read.parquet(f"{tmp}/out").collect()}
+    assert ("2024-01-01", "click", 2) in got and not any(d == "2024-01-01" and n != 2 for d, _, n in got)
