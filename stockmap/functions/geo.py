@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,11 +29,3 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
 
 def km_to_miles(km) -> Column:
     return _c(km) * F.lit(KM_TO_MILES)
-
-
-def haversine_km_py(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
-    """Scalar twin of :func:`haversine_km` for tests and bounds."""
-    p1, p2 = math.radians(lat1), math.radians(lat2)
-    a = (math.sin(math.radians(lat2 - lat1) / 2) ** 2
-         + math.cos(p1) * math.cos(p2) * math.sin(math.radians(lon2 - lon1) / 2) ** 2)
-    return 2 * EARTH_RADIUS_KM * math.atan2(math.sqrt(a), math.sqrt(1 - a))

@@ -26,6 +26,7 @@ EVENT_DATASETS = (
     "company", "geography", "product_hierarchy", "product", "trading_partner", "site", "inv_policy",
     "inv_level", "inbound_order", "inbound_order_line",
 )
+# Batch size, the placeholder and the open interval of the data model.
 BATCH_SIZE = 100
 NO_VALUE = "SCN_RESERVED_NO_VALUE_PROVIDED"
 OPEN_START_TS = "1900-01-01T00:00:00Z"

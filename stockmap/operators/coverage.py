@@ -80,6 +80,7 @@ def coerce_numeric(df: DataFrame, cols: Sequence[str], negatives_as_null: bool =
     return df.withColumns(out)
 
 
+# Census field codes.
 CENSUS_RENAMES = {
     "DP03_0062E": "median_income",
     "DP03_0128PE": "poverty_rate",

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from stockmap.functions.geo import haversine_km, km_to_miles
 from stockmap.plans.nearest import nearest_site
+from stockmap.operators.conform import NO_VALUE, OPEN_END_TS, OPEN_START_TS
 from stockmap.plans.numbering import row_number_global
 
 # Fixed values shared by every derived table.
@@ -24,11 +25,6 @@ CONNECTION_ID = "WA-PHARMA-DIST"
 PRODUCT_ID = "ANTIVIR-WA-01"
 PRODUCT_TAG = "ANTIVIR"
 ID_PREFIX = "WA"
-NO_VALUE = "SCN_RESERVED_NO_VALUE_PROVIDED"
-OPEN_START = "1900-01-01"
-OPEN_END = "9999-12-31"
-OPEN_START_TS = "1900-01-01T00:00:00Z"
-OPEN_END_TS = "9999-12-31T23:59:59Z"
 STATE = "WA"
 COUNTRY = "US"
 STATE_GEO_ID = "USA-WA"
@@ -117,10 +113,6 @@ def date_span(df: DataFrame, col: str) -> DataFrame:
     return b.select(F.explode(F.sequence("a", "b")).alias("date"))
 
 
-def day_range(as_of, days: int = 90) -> Column:
-    return F.sequence(_date(as_of), F.date_add(_date(as_of), days - 1))
-
-
 # ---------------------------------------------------------------- G2 demand forecast
 
 def demand_multiplier_base(day: Column, base: Column) -> Column:

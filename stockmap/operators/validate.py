@@ -41,6 +41,7 @@ def null_counts(df: DataFrame, dataset: str) -> DataFrame:
 
 def validate_dataset(df: DataFrame, dataset: str) -> DataFrame:
     """Failure rows (dataset, check, field, message) for one dataset; none when valid."""
+    # The message texts are fixed values.
     spark = df.sparkSession
     s = spec(dataset)
     meta = [(dataset, "missing_required", f, f"Missing required field: {f}")

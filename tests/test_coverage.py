@@ -83,7 +83,7 @@ def test_stock_class_boundaries(spark):
 
 def test_candidate_gains_match_brute_force(spark):
     import random
-    from stockmap.functions.geo import haversine_km_py
+    from geo_py import haversine_km_py
     rnd = random.Random(2)
     zones = [(f"z{i}", 47 + rnd.uniform(0, 2), -123 + rnd.uniform(0, 3), rnd.randint(1, 1000), rnd.uniform(1, 60))
              for i in range(200)]
@@ -103,7 +103,7 @@ def test_candidate_gains_match_brute_force(spark):
 
 
 def test_far_zones_look_at_few_cells(spark):
-    from stockmap.functions.geo import haversine_km_py
+    from geo_py import haversine_km_py
     zones = [(f"z{i}", 47 + i * 0.01, -123.0, 10, 0.5) for i in range(300)]
     zones += [("far", 20.0, -150.0, 7, 4000.0), ("pole", 89.5, 10.0, 3, 900.0), ("line", 0.0, 179.99, 5, 50.0), ("all", -80.0, 0.0, 2, 19000.0),
               ("same", 20.0, -150.0, 4, 4000.0), ("here", 10.0, 10.0, 1, 0.0)]

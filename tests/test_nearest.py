@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from stockmap.functions.geo import haversine_km_py
+from geo_py import haversine_km_py
 from stockmap.plans.nearest import choose_levels, nearest_site, nearest_site_bruteforce
 
 
