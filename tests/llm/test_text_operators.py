@@ -235,6 +235,49 @@ def test_toxicity_held_out_accuracy(spark):
     assert {r.predicted for r in out if r.doc_id in (2000, 2001)} == {0}
 
 
+def test_toxic_words_of_unsampled_rows_have_weight(spark):
+    """700 toxic words of 18 n-grams each, counted over all labelled rows: 8,192 n-grams do not hold them."""
+    r = random.Random(3)
+    plain, bad = ["".join(r.choices("abcdefghij", k=7)) for _ in range(1500)], ["".join(r.choices("klmnopqrst", k=8)) for _ in range(700)]
+    rows, labels = [], []
+    for i in range(14_000):
+        w = r.choices(plain, k=12)
+        if i % 2:
+            w.insert(6, bad[i // 2 % len(bad)])
+        rows.append((i, " ".join(w)))
+        labels.append((i, 1, i % 2))
+    rows += [(5, rows[5][1]), (None, "x")]
+    d, lab = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    # By brute force: the documents of each class that hold an n-gram, over all rows outside the held-out fold.
+    want, docs, every = np.zeros((2, 1 << tx.BITS), np.int64), [0, 0], np.ones(1 << tx.BITS, bool)
+    for i, t in rows:
+        if i is not None and zlib.crc32(str(i).encode()) % 5:
+            want[i % 2, tx.ngrams([t.encode()], every)[1]] += 1
+            docs[i % 2] += 1
+    got = {x.gram: (x.clean, x.toxic) for x in tx.count(tx.labelled(d, lab)).collect()}
+    assert got.pop(-1) == tuple(docs)
+    assert got == {int(g): (want[0, g], want[1, g]) for g in np.flatnonzero(want.sum(0))}
+    model = tx.train(d, lab, per_class=4000)
+    learned = Counter(t.split()[6] for i, t in rows if i is not None and i % 2 and zlib.crc32(str(i).encode()) % 5)
+    each = [(model.weights[tx.ngrams([w.encode()], every)[1]] > 0).sum() for w in bad if learned[w] >= tx.MIN_DOCS]
+    assert len(each) > 600 and min(each) >= 10
+
+
+def test_fit_equals_plain_gradients(monkeypatch):
+    monkeypatch.setattr(tx, "_PIECE", 7)
+    g = np.random.default_rng(1)
+    dense = (g.random((40, 12)) < 0.3).astype(float)
+    dense[3] = dense[:, 5] = 0
+    y, r = (g.random(40) < 0.4).astype(float), g.normal(size=12)
+    v, b = tx.fit_logistic([np.flatnonzero(x).astype("<u4") for x in dense], y, r)
+    x = dense * r
+    for _ in range(4000):
+        e = 1 / (1 + np.exp(-(x @ v + b))) - y
+        v, b = v - 0.02 * (x.T @ e + v), b - 0.02 * e.sum()
+    again = tx.fit_logistic([np.flatnonzero(t).astype("<u4") for t in dense], y, r)
+    assert np.allclose(again[0], v, atol=0.02) and again[1] == pytest.approx(b, abs=0.02)
+
+
 def test_score_does_not_depend_on_batches():
     model = tx.Model(np.random.default_rng(0).normal(size=1 << tx.BITS).astype(np.float32), 0.3)
     texts = [b"", b"A", b"Hello  World", b"x" * 3_000_000, b"hello world"]
