@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -55,6 +56,17 @@ def prefix_sums(df: DataFrame, order: Sequence[str], value: str, out: str, group
             .drop("_uid", "_pid", "_pos", "_in", "_opid", "_og", "_off"))
 
 
+def quoted(name: str) -> Column:
+    """The column of exactly this name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def distinct_sorted(values: np.ndarray) -> np.ndarray:
+    """The distinct values, rising. ``np.unique`` hashes integers in numpy 2.3, which takes many times as long."""
+    values = np.sort(values)
+    return values[np.r_[True, values[1:] != values[:-1]]] if len(values) else values
+
+
 def text_tag(text: Column) -> Column:
     """With the id, names a row in a later read of the same table."""
     return F.xxhash64(F.coalesce(text, F.lit("")))
@@ -66,14 +78,16 @@ def with_count(docs: DataFrame, tag: Column, counted: DataFrame) -> DataFrame:
     ``counted`` has ``doc_id``, ``tag`` and ``copies`` for each row of ``docs``
     (rows of equal id and tag share the sum of theirs). The join key is nearly
     unique; only where ids and texts repeat, rows of one key are numbered.
+    The columns of ``docs`` travel as one struct, so none of their names can clash.
     """
-    per = materialize(counted.groupBy("doc_id", "tag").agg(F.sum("copies").cast("int").alias("_copies"), F.count(F.lit(1)).cast("int").alias("_rows"))
-                      .filter("_copies > 0").withColumnsRenamed({"doc_id": "_kid", "tag": "_ktag"}), "keep")
-    d = docs.withColumn("_tag", tag)
-    d = d.join(per, d["doc_id"].eqNullSafe(per["_kid"]) & (F.col("_tag") == F.col("_ktag")))
-    times = F.col("_copies")
-    if not per.filter("_rows > 1").isEmpty():
-        place = F.row_number().over(Window.partitionBy("doc_id", "_tag").orderBy(F.xxhash64(*docs.columns)))
-        times = F.expr("_copies div _rows") + F.when(place <= F.col("_copies") % F.col("_rows"), 1).otherwise(0)
-    d = d.withColumn("_times", times.cast("int")).filter("_times > 0")
-    return d.withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    per = materialize(counted.groupBy("doc_id", "tag").agg(F.sum("copies").cast("int").alias("copies"), F.count(F.lit(1)).cast("int").alias("rows"))
+                      .filter("copies > 0"), "keep")
+    columns = [quoted(c) for c in docs.columns]
+    d = docs.select(F.struct(*columns).alias("own"), quoted("doc_id").alias("id"), tag.alias("mark"))
+    d = d.join(per, d["id"].eqNullSafe(per["doc_id"]) & (d["mark"] == per["tag"]))
+    times = F.col("copies")
+    if not per.filter("rows > 1").isEmpty():
+        place = F.row_number().over(Window.partitionBy("id", "mark").orderBy(F.xxhash64("own")))
+        times = F.expr("copies div rows") + F.when(place <= F.col("copies") % F.col("rows"), 1).otherwise(0)
+    d = d.withColumn("times", times.cast("int")).filter("times > 0")
+    return d.select("own", F.explode(F.sequence(F.lit(1), F.col("times")))).select("own.*")

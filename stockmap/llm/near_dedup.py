@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockmap.llm.common import table, text_tag, with_count
+from stockmap.llm.common import distinct_sorted, table, text_tag, with_count
 from stockmap.llm.components import components
 from stockmap.session import materialize
 
@@ -81,7 +81,7 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     for k in range(1, width):
         s = (s ^ s >> np.uint64(31)) * _MIX[1] + h[k:len(h) - width + 1 + k] * _MIX[2]
     s = (s ^ s >> np.uint64(29)) * _MIX[3]
-    return np.unique(s ^ s >> np.uint64(32))
+    return distinct_sorted(s ^ s >> np.uint64(32))
 
 
 def minima(shingles: np.ndarray) -> np.ndarray:

@@ -25,7 +25,8 @@ Scoring is one pass over all texts without a shuffle.
 Defined cases: a null or empty text has the score of the intercept; of
 several labels of an id the largest counts; null ids are never learned from;
 of a repeated id each row is counted and one text is in the sample; without labels of both classes
-every score is the smoothed share of toxic labels; an empty table gives an empty result.
+every score is the smoothed share of toxic labels, and ``keep_clean`` keeps every row, as nothing was learned
+that could reject one; further columns may have any name; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockmap.llm.common import table
+from stockmap.llm.common import distinct_sorted, quoted, table
 from stockmap.session import materialize
 
 SIZES = (4, 5, 6)
@@ -75,13 +76,13 @@ def ngrams(texts: list[bytes], keep: np.ndarray) -> tuple[np.ndarray, np.ndarray
             hits = np.flatnonzero(keep[ids])
             text = np.searchsorted(ends, hits + at, side="right")
             inside = hits + (at + n) <= ends[text]
-            found.append(np.unique(text[inside] << BITS | ids[hits[inside]]))
-    pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+            found.append(distinct_sorted(text[inside] << BITS | ids[hits[inside]]))
+    pairs = distinct_sorted(np.concatenate(found)) if found else np.zeros(0, np.int64)
     return pairs >> BITS, pairs & ((1 << BITS) - 1)
 
 
-def _groups(texts: pa.Array, size: int = 1 << 22) -> Iterator[list[bytes]]:
-    """Texts as bytes, some megabytes at a time."""
+def _groups(texts: pa.Array, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """Texts as bytes, about a megabyte at a time."""
     group, held = [], 0
     for t in texts.cast(pa.binary()):
         group.append(t.as_py() or b"")
@@ -97,6 +98,8 @@ def _groups(texts: pa.Array, size: int = 1 << 22) -> Iterator[list[bytes]]:
 class Model:
     weights: np.ndarray
     intercept: float
+    #: Was it fitted on labels of both classes?
+    fitted: bool = True
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         text, gram = ngrams(texts, self.weights != 0)
@@ -137,7 +140,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     docs, everything = np.zeros(2, np.int64), np.ones(1 << BITS, bool)
     for batch in batches:
         toxic, at = np.array(batch.column("toxic").to_pylist(), np.int64), 0
-        for group in _groups(batch.column("text"), 1 << 20):
+        for group in _groups(batch.column("text")):
             text, gram = ngrams(group, everything)
             y = toxic[at:at + len(group)]
             at += len(group)
@@ -229,7 +232,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     weights = np.zeros(1 << BITS, np.float32)
     prior = (n.toxic + 0.5) / (n.clean + n.toxic + 1)
     if not (n.clean and n.toxic):
-        return Model(weights, float(np.log(prior / (1 - prior))))
+        return Model(weights, float(np.log(prior / (1 - prior))), fitted=False)
     ratio = F.log((F.col("toxic") + 1) / (n.toxic + 2)) - F.log((F.col("clean") + 1) / (n.clean + 2))
     held = F.col("clean") + F.col("toxic")
     best = (counts.filter((F.col("gram") >= 0) & (held >= MIN_DOCS)).select("gram", ratio.alias("r"), held.alias("held"))
@@ -244,32 +247,31 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     return Model(weights, intercept)
 
 
-def with_score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``docs`` and ``_score`` of ``text``, in one pass without a shuffle."""
+def with_score(docs: DataFrame, model: Model) -> DataFrame:
+    """``own`` (a struct of the columns of ``docs``, of any name) and ``score`` of its ``text``, in one pass without a shuffle."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    schema = docs.select(*keep, F.lit(0.0).alias("_score")).schema
+    rows, at = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("own")), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [sent.value.score(g) for g in _groups(batch.column("text"))]
-            column = pa.array(np.concatenate(scores) if scores else np.zeros(0))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), column], names=[*keep, "_score"])
+            own = batch.column("own")
+            scores = [sent.value.score(g) for g in _groups(own.field(at))]
+            yield pa.RecordBatch.from_arrays([own, pa.array(np.concatenate(scores) if scores else np.zeros(0))], names=["own", "score"])
 
-    return docs.mapInArrow(run, schema)
+    return rows.mapInArrow(run, rows.select("own", F.lit(0.0).alias("score")).schema)
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row for each row of ``docs``: doc_id, held_out, score, predicted."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    out = with_score(docs, train(docs, labels), ["doc_id"])
-    return out.select("doc_id", held_out().alias("held_out"), F.col("_score").alias("score"),
-                      (F.col("_score") >= 0.5).cast("int").alias("predicted"))
+    out = with_score(docs, train(docs, labels)).select("own.doc_id", "score")
+    return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the classifier does not reject, with all their columns."""
+    """The rows of ``docs`` that the classifier does not reject, with all their columns; all rows without a fitted classifier."""
     model = train(docs, labels)
-    return with_score(docs, model, docs.columns).filter(F.col("_score") < 0.5).drop("_score")
+    return with_score(docs, model).filter(F.col("score") < 0.5).select("own.*") if model.fitted else docs
 
 
 def op8_toxicity(spark, sf_dir: str) -> DataFrame:

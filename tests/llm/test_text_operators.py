@@ -291,7 +291,26 @@ def test_toxicity_without_both_classes(spark):
         out = tx.scored(d, spark.createDataFrame(lab, "doc_id long, quality int, toxic int")).collect()
         assert len(out) == 2 and len({r.score for r in out}) == 1
     assert tx.scored(d.limit(0), spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")).count() == 0
-    assert tx.keep_clean(d, spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")).columns == d.columns
+    for lab in ([], [(1, 1, 0)], [(1, 1, 1), (2, 1, 1), (3, 0, 1)], [(1, 1, None)]):
+        kept = tx.keep_clean(d, spark.createDataFrame(lab, "doc_id long, quality int, toxic int"))
+        assert kept.columns == d.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2]
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """The names that the stages use themselves, as further columns of the documents."""
+    import corpus_pipeline as cp
+    names = ["score", "_SCORE", "_score", "_copies", "_tag", "_k", "_times", "_kid", "_ktag", "_rows", "own", "times", "mark", "copies", "tag", "id", "rows", "a.b", "col"]
+    names = [n for i, n in enumerate(names) if n.lower() not in [m.lower() for m in names[:i]]]
+    rows, labels = toxic_corpus(120, 4)
+    rows += [(500, rows[0][1]), (500, rows[0][1]), (None, None), (501, "")]
+    d = spark.createDataFrame([(i, t, "en", "a", 1, *[f"{n}{k}" for n in names]) for k, (i, t) in enumerate(rows)],
+                              "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names))
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    given = {tuple(r) for r in d.collect()}
+    for out in (tx.keep_clean(d, lab), cp.drop_copies(d), cp.drop_near(d), cp.mix_documents(d, lab)):
+        got = [tuple(r) for r in out.collect()]
+        assert out.columns == d.columns and got and set(got) <= given
+    assert cp.pack(d).count() > 0
 
 
 # ---------------------------------------------------------------- class n-grams
