@@ -67,3 +67,25 @@ hits AS (SELECT uid, string_agg(DISTINCT license, ',' ORDER BY license) AS notic
 SELECT doc_id, whole.digest AS canonical_sha256, license, coalesce(notices, '') AS notices, coalesce(n, 0) AS n_notice_lines
 FROM whole LEFT JOIN known ON whole.digest = known.digest LEFT JOIN hits USING (uid)
 """
+
+
+#: Documents ranked for each item by plain joins over all terms.
+LEXICAL_SEARCH = r"""
+WITH dt AS (SELECT uid, doc_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS raw
+            FROM (SELECT row_number() OVER () AS uid, doc_id, text FROM documents)),
+d AS (SELECT uid, doc_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM dt),
+i AS (SELECT item_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term, count(*) AS times
+      FROM (SELECT item_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS raw FROM benchmark)
+      GROUP BY ALL),
+t AS (SELECT uid, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM d GROUP BY uid, term),
+len AS (SELECT uid, CAST(sum(tf) AS BIGINT) AS n FROM t GROUP BY uid),
+c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM len),
+df AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w FROM df, c),
+s AS (SELECT i.item_id, t.uid, any_value(t.doc_id) AS doc_id,
+             CAST(sum(i.times * w.w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms)))) AS BIGINT) AS score
+      FROM i JOIN t USING (term) JOIN w USING (term) JOIN len ON t.uid = len.uid, c GROUP BY i.item_id, t.uid),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+      FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
