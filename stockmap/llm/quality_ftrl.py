@@ -42,8 +42,8 @@ from stockmap.session import materialize
 
 BITS = 19
 PER_CLASS = 10_000
-SHARDS, ROUNDS, BLOCK = 8, 4, 1 << 12
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.1
+SHARDS, ROUNDS, BLOCK = 8, 6, 1 << 12
+ALPHA, BETA, L1, L2 = 4.0, 1.0, 0.02, 0.02
 FOLDS, HELD_OUT = 5, 0
 ACCEPT = 0.3
 
