@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockmap.schemas import DATASET_ORDER, spec
-from stockmap.sources.files import dataset_dir, path_exists, read_header_csv
+from stockmap.sources.files import dataset_dir, path_exists, read_loads_as_text
 
 RESULT_SCHEMA = "dataset string, check string, field string, message string"
 NULLS_SCHEMA = "dataset string, field string, null_count bigint"
@@ -68,7 +68,7 @@ def open_datasets(spark: SparkSession, root: str, datasets=DATASET_ORDER) -> dic
     for name in datasets:
         path = dataset_dir(root, name)
         try:
-            df = read_header_csv(spark, path) if path_exists(spark, path) else None
+            df = read_loads_as_text(spark, name, root) if path_exists(spark, path) else None
         except AnalysisException:  # a folder without files
             df = None
         # Files without a header have no columns but those of their folders.

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockmap.schemas import DATASET_ORDER, DatasetSpec, spec
+from stockmap.sources import commits
 
 # ---------------------------------------------------------------- filesystem helpers
 
@@ -68,9 +69,10 @@ def read_dataset(spark: SparkSession, name: str | DatasetSpec, path: str, *, as_
             .option("pathGlobFilter", "*.csv").csv(path))
 
 
-def read_header_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV with whatever columns it has, all strings (used by validation)."""
-    return spark.read.option("header", True).option("inferSchema", False).option("pathGlobFilter", "*.csv").csv(path)
+def read_header_csv(spark: SparkSession, path: str | list[str], base: str | None = None) -> DataFrame:
+    """Header CSV with whatever columns it has, all strings (used by validation); folders below ``base`` give columns."""
+    reader = spark.read.option("header", True).option("inferSchema", False).option("pathGlobFilter", "*.csv")
+    return (reader.option("basePath", base) if base else reader).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -139,26 +141,53 @@ def write_json_matrix(df: DataFrame, path: str) -> None:
 
 # ---------------------------------------------------------------- S5, S6: publish
 
+_REVISION = r"\.rev-[0-9a-f]+$"
+
+
+def visible_loads(spark: SparkSession, base: str) -> dict[str, str]:
+    """``load_ts`` of each load of a dataset that readers see, with the name of its folder.
+
+    The committed manifest decides. A folder that was never published to has
+    none; then every ``load_ts=`` folder in it counts.
+    """
+    state = commits.current(spark, base)
+    if state.version:
+        return dict(state.body["loads"])
+    return {x.removeprefix("load_ts="): x for x in child_names(spark, base) if x.startswith("load_ts=")}
+
+
 def publish(df: DataFrame, name: str, root: str, load_ts: str, replace: bool = False) -> str:
     """Publish one load of a dataset as ``{root}/wa_{name}/load_ts={load_ts}/*.csv``.
 
     Each load is a new folder, so earlier loads stay readable and a flow can
-    pick up the new one alone. A load is written aside and moved into place
-    when complete: a failed write changes nothing, and ``df`` may read the
-    dataset itself. ``replace=True`` removes the earlier loads after the write.
-    Without it, a load under a ``load_ts`` that exists raises ``ValueError``.
+    pick up the new one alone. A load is written aside, moved into place when
+    complete, and counts once the dataset's manifest names it (see
+    ``sources.commits``): that commit is one step, also where ``replace=True``
+    takes the earlier loads out. Their files go after it. So a publish that is
+    lost at any point leaves the old loads or the new one, never none and never
+    both, and ``df`` may read the dataset itself. Without ``replace``, a load
+    under a visible ``load_ts`` raises ``ValueError``; with it, the load takes
+    a folder of its own (``load_ts=….rev-…``) until the old one is gone.
     """
     spark, base = df.sparkSession, dataset_dir(root, name)
-    target = f"{base}/load_ts={load_ts}"
-    if not replace and path_exists(spark, target):
-        raise ValueError(f"{target} exists")
+    state, before = commits.current(spark, base), visible_loads(spark, base)
+    if not replace and load_ts in before:
+        raise ValueError(f"{base}/load_ts={load_ts} exists")
     aside = unique_dir(f"{root.rstrip('/')}/_publishing", name)
     write_csv(df, aside)
+    folder = f"load_ts={load_ts}"
+    if folder in before.values():
+        folder += f".rev-{uuid.uuid4().hex[:10]}"
+    delete_path(spark, f"{base}/{folder}")  # what a lost publish left
+    rename_path(spark, aside, f"{base}/{folder}")
+    loads = {load_ts: folder} if replace else {**before, load_ts: folder}
+    commits.commit(spark, base, state, {"loads": loads})
+    commits.kept(spark, base, 1)
     if replace:
         for old in child_names(spark, base):
-            delete_path(spark, f"{base}/{old}")
-    rename_path(spark, aside, target)
-    return target
+            if old.startswith("load_ts=") and old != folder:
+                delete_path(spark, f"{base}/{old}")
+    return f"{base}/{folder}"
 
 
 # ---------------------------------------------------------------- S7, A9: manifests
@@ -172,12 +201,19 @@ def list_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame
 
 
 _DS_FROM_PATH = r"/wa_([^/]+)/"
-_TS_FROM_PATH = r"load_ts=([^/]+)/"
+_LOAD_FROM_PATH = r"/wa_[^/]+/([^/]+)/"
+_TS_FROM_PATH = r"load_ts=([^/]+?)(?:\.rev-[0-9a-f]+)?/"
 
 
 def manifest(spark: SparkSession, root: str) -> DataFrame:
-    """Published files: uploaded_at, dataset, load_ts, path, file_name, bytes."""
+    """Files of the loads that readers see: uploaded_at, dataset, load_ts, path, file_name, bytes."""
     f = list_files(spark, root)
+    committed = {x: visible_loads(spark, f"{root.rstrip('/')}/{x}") for x in child_names(spark, root)
+                 if x.startswith("wa_") and commits.current(spark, f"{root.rstrip('/')}/{x}").version}
+    if committed:
+        dataset, load = F.regexp_extract("path", _DS_FROM_PATH, 1), F.regexp_extract("path", _LOAD_FROM_PATH, 1)
+        seen = [f"{x}/{folder}" for x, loads in committed.items() for folder in loads.values()]
+        f = f.where(~F.concat(F.lit("wa_"), dataset).isin(*committed) | F.concat(F.lit("wa_"), dataset, F.lit("/"), load).isin(*seen))
     return f.select(
         F.col("modificationTime").alias("uploaded_at"),
         F.regexp_extract("path", _DS_FROM_PATH, 1).alias("dataset"),
@@ -209,29 +245,33 @@ def file_inventory(spark: SparkSession, root: str, datasets=DATASET_ORDER) -> Da
 def read_lake(spark: SparkSession, name: str, root: str, snapshot: str = "all") -> DataFrame:
     """A dataset read back from the lake. Only ``*.csv`` files, markers skipped.
 
+    Only loads that the dataset's manifest names are read (see ``publish``), so
+    a replace that is under way or was lost is never seen in part.
     ``snapshot='all'`` reads every load (``load_ts`` column from the folder
-    names); ``'latest'`` finds the newest load from the file listing (no data
-    read) and then reads only that folder (partition pruning). A missing
+    names); ``'latest'`` reads the folder of the newest load alone. A missing
     dataset or one without files gives an empty table with the declared schema.
     A malformed value stops the read with an error.
     """
-    s = spec(name)
+    if snapshot not in ("all", "latest"):
+        raise ValueError("snapshot must be 'all' or 'latest'")
     base = dataset_dir(root, name)
-    empty = spark.createDataFrame([], s.schema.add("load_ts", T.StringType()))
-    if not path_exists(spark, base):
-        return empty
-    files = list_files(spark, base)
-    latest = files.select(F.max(F.regexp_extract("path", _TS_FROM_PATH, 1)).alias("ts")).first()["ts"]
-    if not latest:
-        return empty
-    df = (spark.read.schema(s.schema).option("header", True).option("enforceSchema", False)
-          .option("mode", "FAILFAST").option("pathGlobFilter", "*.csv").option("basePath", base).csv(base))
-    df = df.withColumn("load_ts", F.col("load_ts").cast("string"))
+    schema = T.StructType([*spec(name).schema.fields, T.StructField("load_ts", T.StringType())])
+    held = [(ts, f) for ts, f in sorted(visible_loads(spark, base).items(), reverse=True)]
     if snapshot == "latest":
-        df = df.where(F.col("load_ts") == F.lit(latest))
-    elif snapshot != "all":
-        raise ValueError("snapshot must be 'all' or 'latest'")
-    return df
+        newest = next((x for x in held if any(n.endswith(".csv") for n in child_names(spark, f"{base}/{x[1]}"))), None)
+        held = [newest] if newest else []
+    if not held:
+        return spark.createDataFrame([], schema)
+    df = (spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
+          .option("pathGlobFilter", "*.csv").option("basePath", base).csv([f"{base}/{f}" for _, f in held]))
+    return df.withColumn("load_ts", F.regexp_replace("load_ts", _REVISION, ""))
+
+
+def read_loads_as_text(spark: SparkSession, name: str, root: str) -> DataFrame:
+    """The files of the visible loads with whatever columns they have, all strings, and ``load_ts``."""
+    base = dataset_dir(root, name)
+    held = [f"{base}/{f}" for f in visible_loads(spark, base).values()]
+    return read_header_csv(spark, held or base, base)
 
 
 # ---------------------------------------------------------------- S9: cached raw input

@@ -65,7 +65,7 @@ def run_flow(spark: SparkSession, *, flow_name: str, source_dir: str, schema: T.
         start = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         session, err, msgs = batch.sparkSession, None, []
         n = bad = size = 0
-        place = f"_run={_stream_id(session, checkpoint_dir)}/_batch={batch_id}"
+        place = f"_run={stream_id(session, checkpoint_dir)}/_batch={batch_id}"
         view = f"{source}_{flow_name}_{batch_id}".replace("-", "_")
         try:
             # One scan: rows and failed rows for each file, then their sums. Every column is read, since the
@@ -100,7 +100,7 @@ def finish(q, timeout_s: float | None) -> None:
         raise TimeoutError(f"stream {q.name} did not finish in {timeout_s}s")
 
 
-def _stream_id(spark: SparkSession, checkpoint_dir: str) -> str:
+def stream_id(spark: SparkSession, checkpoint_dir: str) -> str:
     """The id that Structured Streaming keeps in a checkpoint folder."""
     return json.loads(spark.read.text(f"{checkpoint_dir}/metadata").first()["value"])["id"]
 
