@@ -356,7 +356,9 @@ def transshipment_pairs(metrics: DataFrame, stocks: DataFrame | None = None, tar
     """Nearest surplus site for each deficit site, within ``max_km``.
 
     surplus = doses − target·pop/1000 (> 0 donors), deficit = the opposite.
-    Donor search is the grid nearest-site plan, not an all-pairs join.
+    Donor search is the grid nearest-site plan, not an all-pairs join. Each
+    receiver is looked at alone: several may name the same donor, whose surplus
+    does not last for all (``allocation.allocate_transfers`` shares it out).
     """
     if "latitude" in metrics.columns and stocks is None:
         m = metrics
@@ -410,6 +412,37 @@ def zone_probes(zones: DataFrame) -> DataFrame:
     return z.withColumn("cj", F.pmod(F.col("_j"), n)).drop("_r", "_whole", "_rl", "_c", "_j")
 
 
+def located_zones(access: DataFrame) -> DataFrame:
+    """One row for each location and distance of zones that have people and a site: z_lat, z_lon, d_now, pop, zones."""
+    return access.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+                        & F.col("distance_km").isNotNull() & (F.col("population") > 0)).groupBy(
+        F.col("latitude").alias("z_lat"), F.col("longitude").alias("z_lon"), F.col("distance_km").alias("d_now")).agg(
+        F.sum("population").alias("pop"), F.count(F.lit(1)).alias("zones"))
+
+
+def cell_levels(points: DataFrame, lat: str, lon: str, levels: Sequence[int] | None = None) -> DataFrame:
+    """``points`` with their cell (level, ci, cj) on each of ``levels`` (all by default)."""
+    levels = list(range(_COARSEST, _FINEST + 1)) if levels is None else list(levels) or [_COARSEST]
+    c = F.lit(360.0) / F.pow(F.lit(2.0), F.col("level"))
+    return points.withColumn("level", F.explode(F.array(*[F.lit(x) for x in levels]))).withColumns({
+        "ci": F.floor(F.col(lat) / c).cast("int"),
+        "cj": F.pmod(F.floor(F.col(lon) / c).cast("int"), F.pow(F.lit(2.0), F.col("level")).cast("int"))})
+
+
+def gains_near(probes: DataFrame, candidates: DataFrame, levels: Sequence[int], chosen: Sequence[tuple[float, float]] = ()) -> DataFrame:
+    """Gain of each candidate over the zones in its reach, where sites also stand at the ``chosen`` (latitude, longitude)."""
+    cand = cell_levels(candidates.select("candidate_id", F.col("latitude").alias("c_lat"), F.col("longitude").alias("c_lon")), "c_lat", "c_lon", levels)
+    now = F.col("d_now")
+    if chosen:
+        now = F.least(now, *[haversine_km("z_lat", "z_lon", F.lit(la), F.lit(lo)) for la, lo in chosen])
+    pairs = probes.join(cand, ["level", "ci", "cj"]).withColumns({"d": haversine_km("z_lat", "z_lon", "c_lat", "c_lon"), "now": now})
+    pairs = pairs.where(F.col("d") < F.col("now"))
+    return pairs.groupBy("candidate_id", "c_lat", "c_lon").agg(
+        F.sum("zones").alias("zones_helped"),
+        F.sum("pop").cast("bigint").alias("population_helped"),
+        F.sum(F.col("pop") * (F.col("now") - F.col("d"))).alias("gain"))
+
+
 def candidate_gains(access: DataFrame, candidates: DataFrame) -> DataFrame:
     """Per candidate location: zones it would bring closer and the population-weighted gain.
 
@@ -420,25 +453,9 @@ def candidate_gains(access: DataFrame, candidates: DataFrame) -> DataFrame:
     of every level in use (at most 23), so one far zone costs no more cells
     than a near one.
     """
-    z = access.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
-                     & F.col("distance_km").isNotNull() & (F.col("population") > 0)).groupBy(
-        F.col("latitude").alias("z_lat"), F.col("longitude").alias("z_lon"), F.col("distance_km").alias("d_now")).agg(
-        F.sum("population").alias("pop"), F.count(F.lit(1)).alias("zones"))
-    probes = materialize(zone_probes(z), "candidate-probes")
+    probes = materialize(zone_probes(located_zones(access)), "candidate-probes")
     levels = sorted(r["level"] for r in probes.select("level").distinct().collect())  # 23 values at most
-    if not levels:
-        levels = [_COARSEST]
-    c = F.lit(360.0) / F.pow(F.lit(2.0), F.col("level"))
-    cand = candidates.select("candidate_id", F.col("latitude").alias("c_lat"), F.col("longitude").alias("c_lon"),
-                             F.explode(F.array(*[F.lit(x) for x in levels])).alias("level")).select(
-        "*", F.floor(F.col("c_lat") / c).cast("int").alias("ci"),
-        F.pmod(F.floor(F.col("c_lon") / c).cast("int"), F.pow(F.lit(2.0), F.col("level")).cast("int")).alias("cj"))
-    pairs = probes.join(cand, ["level", "ci", "cj"]).withColumn("d", haversine_km("z_lat", "z_lon", "c_lat", "c_lon"))
-    pairs = pairs.where(F.col("d") < F.col("d_now"))
-    return pairs.groupBy("candidate_id", "c_lat", "c_lon").agg(
-        F.sum("zones").alias("zones_helped"),
-        F.sum("pop").cast("bigint").alias("population_helped"),
-        F.sum(F.col("pop") * (F.col("d_now") - F.col("d"))).alias("gain"))
+    return gains_near(probes, candidates, levels)
 
 
 def candidate_sites(access: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:

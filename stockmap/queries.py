@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockmap import fixtures as fx
+from stockmap.operators import allocation as al
 from stockmap.operators import coverage as cov
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -209,6 +210,11 @@ def q_transshipment_pairs(spark, sf_dir):
     return _r6(r, "receiver_deficit", "donor_surplus", "distance_km", "transfer_qty")
 
 
+@query("transshipment_allocation")
+def q_transshipment_allocation(spark, sf_dir):
+    return al.allocate_transfers(metrics_of(spark, sf_dir), target_per_1000=75.0, max_km=250.0)
+
+
 # ---------------------------------------------------------------- supply tables
 
 from stockmap.operators import conform as cf  # noqa: E402
@@ -474,6 +480,14 @@ def q_candidate_sites(spark, sf_dir):
     return _r6(r, "new_pop_weighted_distance_km").withColumn("gain", F.round("gain", 1))
 
 
+@query("candidate_sites_joint")
+def q_candidate_sites_joint(spark, sf_dir):
+    cand = (fx.zones(spark, sf_dir).where(F.col("latitude").isNotNull())
+            .groupBy("latitude", "longitude").agg(F.min("zip_code").alias("candidate_id")))
+    r = al.joint_candidate_sites(access_of(spark, sf_dir), cand, k=3)
+    return _r6(r, "new_pop_weighted_distance_km").withColumn("gain", F.round("gain", 1))
+
+
 @query("haversine_pairs")
 def q_haversine_pairs(spark, sf_dir):
     """Delivery distance per order: customer zone → supplier site of every line."""

@@ -142,6 +142,29 @@ SELECT receiver_site_id, round(receiver_deficit, 6) AS receiver_deficit, donor_s
 FROM best WHERE rn = 1 AND distance_km <= 250""", "f_site_metrics", "f_stocks")
 
 
+# All pairs one after the other, closest first; needs and surpluses are lists that every step rewrites.
+sql("transshipment_allocation", """
+WITH RECURSIVE bal AS (
+  SELECT m.nearest_site_id AS sid, s.latitude AS la, s.longitude AS lo, m.total_doses - 75.0 * m.total_population_served / 1000 AS gap
+  FROM f_site_metrics m JOIN f_stocks s ON m.nearest_site_id = s.site_id),
+r AS (SELECT sid, la, lo, CAST(ceil(-gap) AS BIGINT) AS need, row_number() OVER (ORDER BY sid) AS i FROM bal WHERE ceil(-gap) > 0),
+d AS (SELECT sid, la, lo, CAST(floor(gap) AS BIGINT) AS surplus, row_number() OVER (ORDER BY sid) AS i FROM bal WHERE floor(gap) > 0),
+a AS (SELECT r.sid AS rid, d.sid AS did, r.i AS ri, d.i AS di, r.need, d.surplus,
+        power(sin(radians(d.la - r.la) / 2), 2) + cos(radians(r.la)) * cos(radians(d.la)) * power(sin(radians(d.lo - r.lo) / 2), 2) AS a
+      FROM r CROSS JOIN d),
+p AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY km, rid, did) AS n
+      FROM (SELECT *, round(6371 * 2 * atan2(sqrt(a), sqrt(1 - a)), 6) AS km FROM a) WHERE km <= 250),
+g AS (
+  SELECT CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS q, (SELECT list(need ORDER BY i) FROM r) AS needs, (SELECT list(surplus ORDER BY i) FROM d) AS gives
+  UNION ALL
+  SELECT p.n, least(g.needs[p.ri], g.gives[p.di]),
+    list_concat(list_concat(g.needs[1:p.ri - 1], [g.needs[p.ri] - least(g.needs[p.ri], g.gives[p.di])]), g.needs[p.ri + 1:]),
+    list_concat(list_concat(g.gives[1:p.di - 1], [g.gives[p.di] - least(g.needs[p.ri], g.gives[p.di])]), g.gives[p.di + 1:])
+  FROM g JOIN p ON p.n = g.n + 1)
+SELECT rid AS receiver_site_id, did AS donor_site_id, km AS distance_km, q AS quantity, need AS receiver_need, surplus AS donor_surplus
+FROM g JOIN p USING (n) WHERE q > 0""", "f_site_metrics", "f_stocks")
+
+
 # ---------------------------------------------------------------- supply tables
 
 def jobj(*pairs: tuple[str, str]) -> str:
@@ -399,6 +422,32 @@ SELECT CAST(row_number() OVER (ORDER BY gain DESC, candidate_id) AS INTEGER) AS
   round((base.wd - gain) / base.w, 6) AS new_pop_weighted_distance_km
 FROM g CROSS JOIN base ORDER BY gain DESC, candidate_id LIMIT 5""", "f_zone", "f_access")
 
+_KM = "6371 * 2 * atan2(sqrt(a), sqrt(1 - a))"
+
+
+def _joint_sites(k: int) -> str:
+    """Plain greedy, one block of CTEs for each site: all zones by all candidates every time."""
+    half = lambda c, z: (f"power(sin(radians({c}.c_lat - {z}.z_lat) / 2), 2) + cos(radians({z}.z_lat)) * cos(radians({c}.c_lat)) "
+                         f"* power(sin(radians({c}.c_lon - {z}.z_lon) / 2), 2) AS a")
+    parts = ["""cand AS (SELECT latitude AS c_lat, longitude AS c_lon, min(zip_code) AS candidate_id FROM f_zone
+  WHERE latitude IS NOT NULL GROUP BY latitude, longitude)""",
+             """z1 AS (SELECT row_number() OVER () AS zid, latitude AS z_lat, longitude AS z_lon, population AS pop, distance_km AS d_now FROM f_access
+  WHERE latitude IS NOT NULL AND distance_km IS NOT NULL AND population > 0)""",
+             "base AS (SELECT sum(pop * d_now) AS wd, CAST(sum(pop) AS DOUBLE) AS w FROM z1)"]
+    for n in range(1, k + 1):
+        parts.append(f"""p{n} AS (SELECT *, {_KM} AS d FROM (SELECT c.*, z.zid, z.pop, z.d_now, {half('c', 'z')} FROM z{n} z CROSS JOIN cand c))""")
+        parts.append(f"""b{n} AS MATERIALIZED (SELECT candidate_id, c_lat, c_lon, count(*) AS zones_helped, CAST(sum(pop) AS BIGINT) AS population_helped,
+  sum(pop * (d_now - d)) AS gain FROM p{n} WHERE d < d_now GROUP BY ALL ORDER BY gain DESC, candidate_id LIMIT 1)""")
+        parts.append(f"""z{n + 1} AS MATERIALIZED (SELECT zid, z_lat, z_lon, pop, least(d_now, {_KM}) AS d_now
+  FROM (SELECT z.*, {half('c', 'z')} FROM z{n} z CROSS JOIN b{n} c))""")
+    picks = " UNION ALL ".join(f"SELECT {n} AS rank, * FROM b{n}" for n in range(1, k + 1))
+    return f"""WITH {", ".join(parts)}, picks AS ({picks})
+SELECT CAST(rank AS INTEGER) AS rank, candidate_id, c_lat AS latitude, c_lon AS longitude, zones_helped, population_helped, round(gain, 1) AS gain,
+  round((base.wd - sum(gain) OVER (ORDER BY rank)) / base.w, 6) AS new_pop_weighted_distance_km FROM picks CROSS JOIN base"""
+
+
+sql("candidate_sites_joint", _joint_sites(3), "f_zone", "f_access")
+
 sql("haversine_pairs", """
 SELECT l_orderkey AS order_key, count(*) AS lines, round(sum(d), 6) AS total_km, round(max(d), 6) AS max_km
 FROM (SELECT l.l_orderkey, 6371 * 2 * atan2(sqrt(a), sqrt(1 - a)) AS d FROM (
