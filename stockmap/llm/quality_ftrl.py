@@ -11,7 +11,7 @@ of one sparse dot product and the bias.
 Training: per-coordinate FTRL-proximal (``ALPHA``, ``BETA``, ``L1``, ``L2``)
 with its two sums ``z`` and ``n`` for each place. The sample (at most
 ``PER_CLASS`` labelled documents of each class, those whose ids have the
-smallest hashes) is dealt to ``SHARDS`` shards in a fixed order. In each of
+smallest hashes) is written once, dealt to ``SHARDS`` shards in a fixed order. In each of
 ``ROUNDS`` rounds every shard goes on from the common state on an executor,
 one document after the other; the changes are averaged over shards, block by
 block of ``BLOCK`` places, on the executors. The driver holds the state (two
@@ -176,7 +176,7 @@ def held_out() -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[DataFrame, dict[int, int]]:
-    """``(doc_id, quality, text)`` of the bounded sample, and the number of labelled documents of each class."""
+    """``(doc_id, quality, text)`` of the bounded sample (a repeated id has all its rows), and the labelled documents of each class."""
     known = labels.filter("doc_id is not null and quality in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.max("quality").cast("int").alias("quality")).filter(~held_out())
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -184,7 +184,7 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tu
     totals = {r.quality: r["count"] for r in known.groupBy("quality").count().collect()}
     chosen = [known.filter(F.col("quality") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)]
     ids = F.broadcast(chosen[0].unionAll(chosen[1]))  # at most 2 * per_class rows of two numbers
-    return texts.join(ids, "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text")), totals
+    return texts.join(ids, "doc_id"), totals
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,7 +195,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text, place, value = features(group)
             cuts = np.searchsorted(text, np.arange(1, len(group)))
             places = [np.append(x, 1 << BITS).astype("<i4").tobytes() for x in np.split(place, cuts)]
-            values = [np.append(x, 1.0).astype("<f8").tobytes() for x in np.split(value, cuts)]
+            values = [np.append(x, 1.0).astype("<f4").tobytes() for x in np.split(value, cuts)]
             own = batch.slice(at, len(group))
             yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("quality"), pa.array(places, pa.binary()), pa.array(values, pa.binary())],
                                              names=["doc_id", "quality", "places", "values"])
@@ -211,16 +211,18 @@ def _changes(shard: int, old: State, new: State) -> pa.RecordBatch:
 
 
 def _one_pass(sent, weight: dict[int, float]):
-    """The documents of this task, shard by shard, each from the common state."""
+    """The documents of this task, shard by shard, each from the common state; of a repeated id the first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, state, old = None, None, sent.value
+        shard, state, old, last = None, None, sent.value, None
         for batch in batches:
-            for own, y, places, values in zip(*(batch.column(c).to_pylist() for c in ("shard", "quality", "places", "values")), strict=True):
+            for own, doc, y, places, values in zip(*(batch.column(c).to_pylist() for c in ("shard", "doc_id", "quality", "places", "values")), strict=True):
                 if own != shard:
                     if state is not None:
                         yield _changes(shard, old, state)
                     shard, state = own, State(old.z.copy(), old.n.copy())
-                state.learn(np.frombuffer(places, "<i4"), np.frombuffer(values, "<f8"), y, weight[y])
+                if doc != last:
+                    state.learn(np.frombuffer(places, "<i4"), np.frombuffer(values, "<f4").astype(float), y, weight[y])
+                last = doc
         if state is not None:
             yield _changes(shard, old, state)
     return run
@@ -244,13 +246,15 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, shards
     mean = (n0 + n1) / (min(n0, per_class) + min(n1, per_class))
     weight = {c: w / mean for c, w in each.items()}
     key = F.xxhash64(F.col("doc_id"), F.lit("order"))
+    # Dealt and sorted once. A shard is one row group of one file, which one task reads in order, whatever the splits
+    # (only a shard beyond 128 MB may be gone through in pieces, each from the common state).
     known = materialize(rows.mapInArrow(_packed, "doc_id long, quality int, places binary, values binary")
-                        .withColumns({"order": key, "shard": F.pmod(key, F.lit(shards)).cast("int")}), "quality-sample")
+                        .withColumns({"order": key, "shard": F.pmod(key, F.lit(shards)).cast("int")})
+                        .repartition(shards, "shard").sortWithinPartitions("shard", "order", "doc_id", "places"), "quality-sample")
     state = State.empty()
     for _ in range(rounds):
         sent = spark.sparkContext.broadcast(state)
-        dealt = known.repartition(shards, "shard").sortWithinPartitions("shard", "order", "doc_id")
-        moved = dealt.mapInArrow(_one_pass(sent, weight), "shard int, block int, change binary").groupBy("block").applyInArrow(_sum_changes, "block int, change binary")
+        moved = known.mapInArrow(_one_pass(sent, weight), "shard int, block int, change binary").groupBy("block").applyInArrow(_sum_changes, "block int, change binary")
         state = State(state.z.copy(), state.n.copy())
         for r in moved.collect():  # at most as many numbers as the state has
             at = slice(r.block * BLOCK, min((r.block + 1) * BLOCK, len(state.z)))
