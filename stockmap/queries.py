@@ -134,6 +134,25 @@ def q_json_matrix_scan(spark, sf_dir):
     return cov.zip_population(read_json_matrix(spark, path), cen, ALL_STATES)
 
 
+@query("json_matrix_files")
+def q_json_matrix_files(spark, sf_dir):
+    """One JSON document on one line for each pair of leading digits, those of odd ones with their columns reversed."""
+    from stockmap.sources.files import read_json_matrix
+    path, raw = _scratch(spark, "census-files"), census_table(spark, sf_dir)
+    lead, names = F.substring("zip code tabulation area", 1, 2), raw.columns
+
+    def matrix(columns):
+        head = F.to_json(F.array(*[F.lit(c) for c in columns]))
+        rows = F.collect_list(F.to_json(F.array(*[F.col(c).cast("string") for c in columns])))
+        return F.concat(F.lit("["), head, F.lit(","), F.array_join(rows, ","), F.lit("]"))
+
+    both = raw.groupBy(lead.alias("lead")).agg(matrix(names).alias("even"), matrix(names[::-1]).alias("odd"))
+    docs = both.select(F.when(F.col("lead").cast("int") % 2 == 0, F.col("even")).otherwise(F.col("odd")).alias("value"))
+    docs.write.option("maxRecordsPerFile", 1).mode("overwrite").text(path)
+    cen = fx.zones(spark, sf_dir).select("zip_code", "latitude", "longitude")
+    return cov.zip_population(read_json_matrix(spark, path, whole=True), cen, ALL_STATES)
+
+
 @query("cached_raw")
 def q_cached_raw(spark, sf_dir):
     from stockmap.sources.files import cached
@@ -709,6 +728,24 @@ def q_flow_log(spark, sf_dir):
                                           (F.col("end_time") >= F.col("start_time")).alias("ordered_times"))
 
 
+@query("flow_rejects")
+def q_flow_rejects(spark, sf_dir):
+    """Records that do not fit their schema, by reason, beside the number that the run has logged as failed."""
+    base = _scratch(spark, "flow-rejects")
+    from stockmap.schemas import spec
+    schema = spec("inv_level").schema
+    part = F.col("product_id").cast("long")
+    bad = _inv_for_lake(spark, sf_dir).select(*[F.col(c).cast("string").alias(c) for c in schema.names]).withColumns({
+        "on_hand_inventory": F.when(part % 7 == 0, F.concat("on_hand_inventory", F.lit(" boxes"))).otherwise(F.col("on_hand_inventory")),
+        "expiry_date": F.when(part % 21 == 0, F.lit("soon")).otherwise(F.col("expiry_date"))})
+    fs.write_csv(bad, f"{base}/src")
+    fl.run_flow(spark, flow_name="wa-inv-level", source_dir=f"{base}/src", schema=schema, target_dir=f"{base}/target", checkpoint_dir=f"{base}/ckpt",
+                log_dir=f"{base}/log", rejects_dir=f"{base}/rejects", sql=_FLOW_SQL, source=fl.source_name("inv_level"))
+    kept = fl.read_rejects(spark, f"{base}/rejects").groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
+    log = fl.read_log(spark, f"{base}/log").agg(F.sum("records_failed").cast("bigint").alias("logged_failed"))
+    return kept.crossJoin(F.broadcast(log))  # one row of sums
+
+
 @query("event_upsert")
 def q_event_upsert(spark, sf_dir):
     base = _scratch(spark, "upsert")
@@ -734,6 +771,19 @@ def q_events_daily(spark, sf_dir):
     return spark.read.parquet(f"{base}/out")
 
 
+@query("events_daily_append")
+def q_events_daily_append(spark, sf_dir):
+    """Windows as the watermark closes them: older events, newer ones, then every twentieth event late."""
+    base = _scratch(spark, "events-append")
+    ev, late = fx.table(spark, sf_dir, "events"), F.col("event_id") % 20 == 3
+    newer = F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
+    for n, arrived in enumerate((~late & ~newer, ~late & newer, late)):
+        ev.where(arrived).write.parquet(f"{base}/src/p{n}")
+        stream = spark.readStream.schema(ev.schema).option("recursiveFileLookup", True).parquet(f"{base}/src")
+        fl.run_to_table(fl.events_daily_stream(stream), f"{base}/ckpt", f"{base}/out", mode="append")
+    return spark.read.schema("day date, event_type string, events bigint").parquet(f"{base}/out").select("day", "event_type", "events")
+
+
 # ---------------------------------------------------------------- monitoring
 
 from stockmap.operators import monitor as mo  # noqa: E402

@@ -103,30 +103,53 @@ def write_gazetteer(df: DataFrame, path: str) -> None:
 
 # ---------------------------------------------------------------- S3: JSON matrix
 
-def read_json_matrix(spark: SparkSession, path: str) -> DataFrame:
-    """JSON array-of-arrays, first array names the columns; all values strings.
-
-    Reads line by line (one row array per line, the layout the census API
-    serves), so files split across tasks. The header line is any line that
-    opens the document (``[[``); it is read once on the driver (one row) to
-    name the columns, and dropped from the data.
+def read_json_matrix(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
+    """JSON array-of-arrays, the first array of a file names its columns; all values strings.
+
+    Columns go by name: files may have them in another order, or some of them
+    only (null elsewhere). By default files are read line by line (one row
+    array per line, the layout the census API serves), so they split across
+    tasks; a file without a header line takes the header of the others if they
+    all agree. ``whole`` reads files that are a single JSON document, on one
+    line or many: each is parsed by one task, as the format forces. Only the
+    distinct column names come to the driver. A document that is no matrix
+    stops the read with an error.
     """
-    lines = spark.read.option("recursiveFileLookup", True).text(path).where(F.trim("value") != "")
-    is_header = F.ltrim("value").startswith("[[")
-    header_line = lines.where(is_header).select("value").first()
-    if header_line is None:
-        raise ValueError(f"no header row in {path}")
-    cols = _parse_row_text(header_line["value"])
+    reader = spark.read.option("recursiveFileLookup", True)
+    if whole:
+        docs = reader.text(path, wholetext=True).where(F.trim("value") != "")
+        m = F.from_json("value", "array<array<string>>", {"mode": "FAILFAST"})
+        docs = docs.select(m.alias("_m")).select(F.get("_m", F.lit(0)).alias("_cols"), F.col("_m"))
+        names = _matrix_names(docs.select("_cols"), path)
+        rows = docs.select("_cols", F.posexplode("_m").alias("_at", "_r")).where("_at > 0")
+        return rows.select(*[_named(c) for c in names])
+    lines = reader.text(path).where(F.trim("value") != "").select("value", F.col("_metadata.file_path").alias("_file"))
     body = F.regexp_replace(F.regexp_replace(F.trim("value"), r"^\[+", "["), r"\]*,?\s*$", "")
     arr = F.from_json(F.concat(body, F.lit("]")), "array<string>")
-    data = lines.where(~is_header & ~F.trim("value").isin("]", "],")).select(arr.alias("_r"))
-    return data.select(*[F.col("_r")[i].alias(c) for i, c in enumerate(cols)])
+    is_header = F.ltrim("value").startswith("[[")
+    headers = lines.where(is_header).groupBy("_file").agg(F.min("value").alias("value")).select("_file", arr.alias("_cols"))
+    names = _matrix_names(headers.select("_cols"), path)
+    data = lines.where(~is_header & ~F.trim("value").isin("]", "],")).select("_file", arr.alias("_r"))
+    kinds = headers.select("_cols").distinct().limit(2).collect()
+    if len(kinds) == 1:
+        return data.withColumn("_cols", F.array(*[F.lit(c) for c in kinds[0]["_cols"]])).select(*[_named(c) for c in names])
+    no_header = F.raise_error(F.concat(F.lit("no header row in "), F.col("_file"))).cast("array<string>")
+    rows = data.join(headers, "_file", "left").withColumn("_cols", F.coalesce("_cols", no_header))
+    return rows.select(*[_named(c) for c in names])
+
+
+def _matrix_names(headers: DataFrame, path: str) -> list[str]:
+    """All column names of the files, in the order in which they first stand in one."""
+    found = headers.select(F.posexplode("_cols").alias("at", "name")).groupBy("name").agg(F.min("at").alias("at"))
+    names = [r["name"] for r in found.orderBy("at", "name").collect()]
+    if not names:
+        raise ValueError(f"no header row in {path}")
+    return names
 
 
-def _parse_row_text(line: str) -> list[str]:
-    import json
-    s = line.strip().lstrip("[").rstrip(",").rstrip("]")
-    return json.loads("[" + s + "]")
+def _named(name: str) -> Column:
+    """The value of a row array under ``name``; null if its file has no such column or the row is too short."""
+    return F.get("_r", F.array_position("_cols", F.lit(name)) - 1).alias(name)
 
 
 def write_json_matrix(df: DataFrame, path: str) -> None:

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockmap.sources.files import delete_path
+
 LOG_SCHEMA = T.StructType([
     T.StructField("flow_name", T.StringType()),
     T.StructField("execution_id", T.StringType()),
@@ -35,6 +37,8 @@ LOG_SCHEMA = T.StructType([
 ])
 
 CORRUPT = "_corrupt_record"
+#: The log rows of a batch: at its beginning and at its end.
+_FIRST, _LAST = 0, 1
 
 
 def source_name(dataset: str) -> str:
@@ -44,12 +48,15 @@ def source_name(dataset: str) -> str:
 
 def run_flow(spark: SparkSession, *, flow_name: str, source_dir: str, schema: T.StructType, target_dir: str,
              checkpoint_dir: str, log_dir: str, sql: str = "SELECT * FROM {source}", source: str = "src",
-             timeout_s: float | None = None) -> None:
+             rejects_dir: str | None = None, timeout_s: float | None = None) -> None:
     """Load new files from ``source_dir`` into ``target_dir`` and add execution rows to ``log_dir``.
 
     The header of every file must name the columns of ``schema`` in order;
     other headers fail the batch. Rows that do not parse are counted as failed
-    (``_corrupt_record``) and not loaded. Bytes processed are the sizes of the
+    (``_corrupt_record``) and not loaded; with ``rejects_dir`` they are kept
+    there (``file``, ``record``, ``reason``), one folder for each batch like the
+    target's. A batch is logged as RUNNING when it begins, and its last row
+    takes that one's place, so a run that is lost stays RUNNING. Bytes processed are the sizes of the
     batch's files (from ``_metadata``). A failing batch is logged FAILED with
     its whole message and what it counted, and the error is raised again, so
     the stream stops and does not commit the batch. ``timeout_s`` stops a run
@@ -66,6 +73,9 @@ def run_flow(spark: SparkSession, *, flow_name: str, source_dir: str, schema: T.
         session, err, msgs = batch.sparkSession, None, []
         n = bad = size = 0
         place = f"_run={stream_id(session, checkpoint_dir)}/_batch={batch_id}"
+        # A replayed batch runs again, whatever its last try has logged.
+        delete_path(session, f"{log_dir}/{place}/_phase={_LAST}")
+        _log(session, f"{log_dir}/{place}/_phase={_FIRST}", (flow_name, f"{flow_name}-{batch_id}", "RUNNING", start, None, [], 0, 0, 0))
         view = f"{source}_{flow_name}_{batch_id}".replace("-", "_")
         try:
             # One scan: rows and failed rows for each file, then their sums. Every column is read, since the
@@ -74,6 +84,8 @@ def run_flow(spark: SparkSession, *, flow_name: str, source_dir: str, schema: T.
             st = batch.groupBy("_file", "_size").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(CORRUPT).isNotNull()).alias("bad"), whole).agg(
                 F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum("_size").alias("size"), F.max("whole")).first()
             n, bad, size = st["n"] or 0, st["bad"] or 0, st["size"] or 0
+            if rejects_dir is not None:
+                rejected(batch, schema).write.mode("overwrite").parquet(f"{rejects_dir}/{place}")
             batch.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "_file", "_size").createOrReplaceTempView(view)
             session.sql(sql.replace("{source}", view)).write.mode("overwrite").parquet(f"{target_dir}/{place}")
         except Exception as e:  # logged, then raised again below
@@ -82,7 +94,7 @@ def run_flow(spark: SparkSession, *, flow_name: str, source_dir: str, schema: T.
             session.catalog.dropTempView(view)
         end = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         row = (flow_name, f"{flow_name}-{batch_id}", "FAILED" if err else "SUCCEEDED", start, end, msgs, int(n), int(bad), int(size))
-        session.createDataFrame([row], LOG_SCHEMA).write.mode("overwrite").parquet(f"{log_dir}/{place}")
+        _log(session, f"{log_dir}/{place}/_phase={_LAST}", row)
         if err is not None:
             raise err
 
@@ -91,6 +103,22 @@ def run_flow(spark: SparkSession, *, flow_name: str, source_dir: str, schema: T.
     finish(q, timeout_s)
 
 
+def _log(spark: SparkSession, path: str, row: tuple) -> None:
+    spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def rejected(batch: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows of ``batch`` that did not parse: file, record (as it came) and reason.
+
+    Every column is asked for, since the reader rejects only by those that are.
+    """
+    text = F.from_csv(F.col("record"), ", ".join(f"`{f.name}` string" for f in schema.fields))
+    misfit = F.array_compact(F.array(*[F.when(F.col(f"_t.`{f.name}`").isNotNull() & F.col(f"_t.`{f.name}`").try_cast(f.dataType).isNull(), F.lit(f.name)) for f in schema.fields]))
+    rows = batch.where(F.col(CORRUPT).isNotNull() & F.xxhash64(*schema.names).isNotNull()).select(F.col("_file").alias("file"), F.col(CORRUPT).alias("record"))
+    reason = F.when(F.size("_misfit") > 0, F.concat(F.lit("value does not fit: "), F.array_join("_misfit", ", "))).otherwise("wrong number of fields")
+    return rows.withColumn("_t", text).withColumn("_misfit", misfit).select("file", "record", reason.alias("reason"))
+
+
 def finish(q, timeout_s: float | None) -> None:
     """Wait for a stream's end, without a limit unless one is given."""
     if timeout_s is None:
@@ -111,7 +139,15 @@ def read_loaded(spark: SparkSession, target_dir: str) -> DataFrame:
 
 
 def read_log(spark: SparkSession, log_dir: str) -> DataFrame:
-    return spark.read.schema(LOG_SCHEMA).parquet(log_dir).select(*LOG_SCHEMA.names)
+    """One row for each batch: its last one, or the one from its beginning while it runs (or if it was lost)."""
+    rows = spark.read.schema(LOG_SCHEMA).parquet(log_dir)
+    last = rows.groupBy("_run", "_batch").agg(F.max_by(F.struct(*LOG_SCHEMA.names), "_phase").alias("row"))
+    return last.select("row.*")
+
+
+def read_rejects(spark: SparkSession, rejects_dir: str) -> DataFrame:
+    """What the flow's batches have rejected: file, record, reason."""
+    return spark.read.schema("file string, record string, reason string").parquet(rejects_dir).select("file", "record", "reason")
 
 
 # ---------------------------------------------------------------- windowed event counts

@@ -56,6 +56,7 @@ SELECT zip_code, latitude, longitude, CAST(total_pop AS DOUBLE) AS total_pop, CA
 FROM f_zone WHERE substr(zip_code, 1, 2) IN {ALL_PREFIXES}"""
 sql("zip_population", _ZIP_POP, "f_zone")
 sql("json_matrix_scan", _ZIP_POP, "f_zone")
+sql("json_matrix_files", _ZIP_POP, "f_zone")
 
 sql("gazetteer_scan", f"""
 SELECT zip_code, latitude, longitude FROM f_zone WHERE substr(zip_code, 1, 2) IN {ALL_PREFIXES}""", "f_zone")
@@ -596,6 +597,11 @@ SELECT 'wa-inv-level' AS flow_name,
   true AS ordered_times
 FROM f_inv_level GROUP BY 2""", "f_inv_level")
 
+sql("flow_rejects", """
+WITH b AS (SELECT CASE WHEN CAST(product_id AS BIGINT) % 21 = 0 THEN 'value does not fit: on_hand_inventory, expiry_date'
+                       ELSE 'value does not fit: on_hand_inventory' END AS reason FROM f_inv_level WHERE CAST(product_id AS BIGINT) % 7 = 0)
+SELECT reason, count(*) AS records, (SELECT count(*) FROM b) AS logged_failed FROM b GROUP BY reason""", "f_inv_level")
+
 sql("event_upsert", """
 SELECT id, event_ts, seq, status, value FROM f_upsert
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY event_ts DESC, seq DESC) = 1""", "f_upsert")
@@ -604,6 +610,15 @@ sql("events_daily", """
 SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, count(*) AS events FROM events GROUP BY 1, 2""")
 
 
+# A window is written once the greatest time seen is a day past its end. Late rows count only in windows that were
+# still open by the rows on time.
+sql("events_daily_append", """
+WITH e AS (SELECT *, CAST(date_trunc('day', ts) AS DATE) AS day, event_id % 20 = 3 AS late FROM events),
+m AS (SELECT max(ts) - INTERVAL 1 DAY AS final, max(ts) FILTER (WHERE NOT late) - INTERVAL 1 DAY AS on_time FROM e)
+SELECT day, event_type, count(*) AS events FROM e, m
+WHERE day + INTERVAL 1 DAY <= final AND NOT (late AND day + INTERVAL 1 DAY <= on_time) GROUP BY ALL""")
+
+
 # ---------------------------------------------------------------- monitoring
 
 sql("execution_stats", """
