@@ -42,28 +42,44 @@ FROM p
 """
 
 
-def _canonical(text: str) -> str:
-    from stockmap.llm.license_scan import BREAKS, COPYRIGHT_LINES, SPELLINGS
+# The canonical form, written apart from the operator's: lines that state a copyright go, then all that is neither a
+# letter, a digit nor beyond ASCII (but for typographic quotes and dashes) is one blank.
+_SAID = r"(^|\n)[-\t ;#*/]*(copyright[\t ]*(\(c\)|©|\d|\[|<|\{|by )|©|\(c\)[\t ]*(copyright|\d\d\d\d))[^\n]*(\n[-\t ;#*/]*all rights reserved\.?[\t \r]*(\n|$))?"
+_OWN = r"(^|\n[\t \r]*\n)[-\t ;#*/]*copyright [^\n]*(\n[\t \r]*\n|\s*$)"
+_SPELLED = {"licenc": "licens", "sub licens": "sublicens", "non commercial": "noncommercial", "https": "http", "merchantibility": "merchantability",
+            "acknowledgement": "acknowledgment", "favour": "favor", "wilful": "willful", "per cent": "percent", "copyright owner": "copyright holder",
+            "third party": "thirdparty"}
 
+
+def _bare(text: str) -> str:
     s = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    s = f"trim(regexp_replace(regexp_replace({s}, '{COPYRIGHT_LINES}', '', 'g'), '{BREAKS}', ' ', 'g'))"
-    for variant, one in SPELLINGS:
+    # Twice, as lines that follow one another share the line feed between them.
+    for _ in range(2):
+        s = f"regexp_replace({s}, '{_SAID}', chr(10), 'g')"
+    return f"regexp_replace({s}, '{_OWN}', chr(10) || chr(10), 'g')"
+
+
+def _words(text: str) -> str:
+    s = f"trim(regexp_replace({text}, '[\\x09-\\x0D\\x20-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7E‘’“”–—©]+', ' ', 'g'))"
+    for variant, one in _SPELLED.items():
         s = f"replace({s}, '{variant}', '{one}')"
     return s
 
 
 def license_scan() -> str:
-    from stockmap.llm.license_scan import NOTICES, TEXTS
+    from stockmap.llm.license_scan import LONG_TEXTS, NOTICES, TEXTS
 
     quoted = lambda t: t.replace("'", "''")
     rows = ", ".join(f"('{k}', '{quoted(t)}')" for known in (NOTICES, TEXTS) for k, texts in known.items() for t in texts)
+    long = ", ".join(f"('{k}', '{d}')" for k, found in LONG_TEXTS.items() for d in found)
     return f"""
-WITH known AS (SELECT sha256({_canonical('text')}) AS digest, min(license) AS license FROM (VALUES {rows}) v(license, text) GROUP BY 1),
-d AS (SELECT row_number() OVER () AS uid, doc_id, text FROM documents),
-whole AS (SELECT uid, doc_id, sha256({_canonical('text')}) AS digest FROM d),
+WITH known AS (SELECT digest, min(license) AS license FROM (
+  SELECT license, sha256({_words(_bare('text'))}) AS digest FROM (VALUES {rows}) v(license, text) UNION ALL FROM (VALUES {long}) l(license, digest)) GROUP BY 1),
+d AS (SELECT row_number() OVER () AS uid, doc_id, {_bare('text')} AS text FROM documents),
+whole AS (SELECT uid, doc_id, sha256({_words('text')}) AS digest FROM d),
 lines AS (SELECT uid, unnest(string_split(text, chr(10))) AS line FROM d WHERE contains(text, chr(10))),
 hits AS (SELECT uid, string_agg(DISTINCT license, ',' ORDER BY license) AS notices, count(*) AS n
-         FROM lines JOIN known ON sha256({_canonical('line')}) = digest GROUP BY uid)
+         FROM lines JOIN known ON sha256({_words('line')}) = digest GROUP BY uid)
 SELECT doc_id, whole.digest AS canonical_sha256, license, coalesce(notices, '') AS notices, coalesce(n, 0) AS n_notice_lines
 FROM whole LEFT JOIN known ON whole.digest = known.digest LEFT JOIN hits USING (uid)
 """

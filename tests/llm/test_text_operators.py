@@ -378,3 +378,37 @@ def test_licence_variants(spark):
                    (6, "", "", 0), (7, "", "", 0), (8, "", "Apache-2.0", 1)]
     assert {r.canonical_sha256 for r in out if r.doc_id in (6, 7)} == {hashlib.sha256(b"").hexdigest()}
     assert lic.scan(frame(spark, []), lic.known_texts(spark)).count() == 0
+
+
+def test_wrapped_licences_at_any_width(spark):
+    import textwrap
+    want, rows = [], []
+    for name, texts in lic.TEXTS.items():
+        for t in texts:
+            for width in (20, 40, *range(60, 81)):
+                wrapped = "\n\n".join(textwrap.fill(p, width) for p in t.split("\n\n"))
+                want.append((len(rows), name))
+                rows.append((len(rows), ["", "Copyright (c) 2019, Ann B.\nAll rights reserved.\n\n", "Copyright Ann and others\n\n", "// © Ann\n(c) 2020 Bob\n"][width % 4] + wrapped))
+    got = sorted((r.doc_id, r.license) for r in lic.scan(frame(spark, rows), lic.known_texts(spark)).collect())
+    assert got == want
+
+
+def test_long_licences_and_lines_without_cues(spark):
+    import os
+    import textwrap
+    known = "/usr/share/common-licenses/"
+    rows, want = [], {}
+    for name, file in (("Apache-2.0", "Apache-2.0"), ("GPL-2.0", "GPL-2"), ("GPL-3.0", "GPL-3"), ("LGPL-3.0", "LGPL-3"), ("MPL-2.0", "MPL-2.0"), ("CC0-1.0", "CC0-1.0")):
+        if os.path.exists(known + file):
+            t = open(known + file, encoding="utf-8").read()
+            for text in (t, t.upper(), "\n\n".join(p if "Copyright (C)" in p else textwrap.fill(p, 61) for p in t.split("\n\n"))):
+                want[len(rows)] = name
+                rows.append((len(rows), text))
+    lines = ["Released into the public-domain under CC0 1.0.", "Released  into the\tpublic domain under CC0 1.0."]
+    notes = len(rows)
+    rows += [(notes + k, "prose\n" + x) for k, x in enumerate(lines)] + [(notes + 2, "copyright notice of ours\nmine alone")]
+    out = {r.doc_id: r for r in lic.scan(frame(spark, rows), lic.known_texts(spark)).collect()}
+    assert {i: out[i].license for i in want} == want
+    assert [out[notes + k].notices for k in range(2)] == ["CC0-1.0", "CC0-1.0"] and out[notes + 2].notices == ""
+    own = spark.createDataFrame([("Ours", "Do as you please")], "license string, text string")
+    assert [r.license for r in lic.scan(frame(spark, [(1, "do as\nyou  PLEASE!")]), own).collect()] == ["Ours"]
