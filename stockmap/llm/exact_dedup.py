@@ -14,9 +14,9 @@ Texts are equal when identical after lower-casing A-Z. The key of a text is a
 3. The index (bucket, key, rows in the chain) is dealt to owner tasks by
    bucket, each a range of keys, and written in key order.
 4. Chains of more than one row are compared by bytes: texts of these keys only
-   are grouped by (key, text) with map-side partial aggregation, so a hot
-   group leaves each task as one row. Different texts under one key stay
-   separate links of the chain.
+   meet their bucket in a merge join by key and are grouped by (key, text), so
+   all copies of a hot text pass through the task of its key. Different texts
+   under one key stay separate links of the chain.
 5. Every row looks up its link by (key, SHA-256). One row of each group stays.
 
 The row with the largest id stays. Defined cases: a null text equals an empty
