@@ -186,22 +186,42 @@ def event_batches(payloads: DataFrame, group_ts: str, batch_size: int = BATCH_SI
     they come; only batches that lie across two tasks, and the last of each
     dataset, go through a shuffle, as pieces of at most ``batch_size`` records.
     """
+    n = numbered_records(payloads, ["record_key", "payload"])
+    return as_events(joined_pieces(batch_pieces(n, batch_size), batch_size), group_ts)
+
+
+def numbered_records(payloads: DataFrame, order: list[str]) -> DataFrame:
+    """(dataset, payload, rn) of the records that are sent, numbered per dataset in ``order``."""
     from stockmap.plans.numbering import row_number_global
-    sent = split_routed(payloads.select("dataset", "record_key", "payload"))[0].select("dataset", "record_key", "payload")
-    n = row_number_global(sent, ["record_key", "payload"], "_rn", within="dataset")
-    pieces = n.select("dataset", F.col("_rn").cast("long").alias("rn"), "payload").mapInArrow(
-        _pieces(batch_size), "dataset string, batch_no int, first long, records long, data string")
-    pieces = materialize(pieces, "event-pieces")
+    sent = split_routed(payloads)[0].select("dataset", "payload", *[c for c in order if c != "payload"])
+    n = row_number_global(sent, order, "_rn", within="dataset")
+    return n.select("dataset", "payload", F.col("_rn").cast("long").alias("rn"))
+
+
+def batch_pieces(numbered: DataFrame, batch_size: int) -> DataFrame:
+    """Runs of consecutive records of one batch, as the tasks read them: dataset, batch_no, first, records, data."""
+    return materialize(numbered.select("dataset", "rn", "payload").mapInArrow(_pieces(batch_size), PIECE_SCHEMA), "event-pieces")
+
+
+def joined_pieces(pieces: DataFrame, batch_size: int) -> DataFrame:
+    """One row for each batch; only pieces shorter than a batch are shuffled."""
     whole = F.col("records") == batch_size
     torn = pieces.where(~whole).groupBy("dataset", "batch_no").agg(
-        F.sum("records").alias("records"), F.array_sort(F.collect_list(F.struct("first", "data"))).alias("_p"))
-    torn = torn.select("dataset", "batch_no", "records", F.array_join(F.transform("_p", lambda x: x["data"]), ",").alias("data"))
-    g = route_events(pieces.where(whole).select("dataset", "batch_no", "records", "data").unionByName(torn))
-    return g.select(
+        F.min("first").alias("first"), F.sum("records").alias("records"), F.array_sort(F.collect_list(F.struct("first", "data"))).alias("_p"))
+    torn = torn.withColumn("data", F.array_join(F.transform("_p", lambda x: x["data"]), ",")).drop("_p")
+    return pieces.where(whole).unionByName(torn)
+
+
+def as_events(batches: DataFrame, group_ts: str) -> DataFrame:
+    """Batches with their group id, event type and operation, the records as one JSON array."""
+    return route_events(batches).select(
         "dataset", "batch_no", F.concat(F.col("dataset"), F.lit(f"-{group_ts}")).alias("event_group_id"),
         "event_type", "operation", "records", F.concat(F.lit("["), "data", F.lit("]")).alias("data"))
 
 
+PIECE_SCHEMA = "dataset string, batch_no int, first long, records long, data string"
+
+
 def _pieces(batch_size: int):
     """Arrow batches of numbered rows to one row for each run of rows of the same event batch."""
     def run(batches):

@@ -691,6 +691,7 @@ def q_file_inventory(spark, sf_dir):
 
 # ---------------------------------------------------------------- streaming
 
+from stockmap.streaming import batching as ba  # noqa: E402
 from stockmap.streaming import flows as fl  # noqa: E402
 from stockmap.streaming import upsert as up  # noqa: E402
 
@@ -761,6 +762,20 @@ def q_event_upsert(spark, sf_dir):
     return up.read_target(spark, f"{base}/target")
 
 
+@query("event_batches_arriving")
+def q_event_batches_arriving(spark, sf_dir):
+    """Records that arrive in three loads (by the last digit of their key), the stream resumed after each."""
+    base = _scratch(spark, "batches")
+    u = event_payloads(spark, sf_dir, "inv_level").unionByName(event_payloads(spark, sf_dir, "site")) \
+        .unionByName(event_payloads(spark, sf_dir, "inbound_order"))
+    load = F.ascii(F.substring("record_key", -1, 1)) % 3
+    for n in range(3):
+        u.where(load == n).write.parquet(f"{base}/src/p{n}")
+        stream = spark.readStream.schema(u.schema).option("recursiveFileLookup", True).parquet(f"{base}/src")
+        ba.batch_stream(stream, f"{base}/target", f"{base}/ckpt", order=["record_key", "payload"])
+    return ba.read_batches(spark, f"{base}/target", GROUP_TS)
+
+
 @query("events_daily")
 def q_events_daily(spark, sf_dir):
     base = _scratch(spark, "events-daily")

@@ -403,6 +403,18 @@ SELECT dataset, batch_no, dataset || '-20240101000000' AS event_group_id,
   CASE WHEN dataset = 'site' THEN 'UPSERT' END AS operation, records, data
 FROM b""", "f_inv_event", "f_site_dim", "f_inbound_order")
 
+sql("event_batches_arriving", f"""
+WITH p AS ({_p_inv} UNION ALL {_p_site} UNION ALL {_p_ord}),
+n AS (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY ascii(right(record_key, 1)) % 3, record_key, payload) AS rn FROM p),
+b AS (SELECT dataset, CAST(floor((rn - 1) / 100) + 1 AS INTEGER) AS batch_no, count(*) AS records,
+        '[' || string_agg(payload, ',' ORDER BY rn) || ']' AS data
+      FROM n GROUP BY dataset, floor((rn - 1) / 100))
+SELECT dataset, batch_no, dataset || '-20240101000000' AS event_group_id,
+  CASE dataset WHEN 'inv_level' THEN 'scn.data.inventorylevel' WHEN 'inbound_order' THEN 'scn.data.inboundorder'
+    ELSE 'scn.data.dataset' END AS event_type,
+  CASE WHEN dataset = 'site' THEN 'UPSERT' END AS operation, records, data, records = 100 AS closed
+FROM b""", "f_inv_event", "f_site_dim", "f_inbound_order")
+
 
 # ---------------------------------------------------------------- remaining coverage
 
