@@ -3,6 +3,7 @@
 Schema checks (V1, V2) read metadata only. Content checks (V3, V4) run as a
 single aggregate pass per dataset: one ``count`` plus one ``count_if`` per
 required field, with a partial aggregate per task and one row to the driver.
+``validate_published`` makes no pass where the writing job has counted both.
 """
 
 from __future__ import annotations
@@ -14,10 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockmap.schemas import DATASET_ORDER, spec
-from stockmap.sources.files import dataset_dir, path_exists, read_loads_as_text
+from stockmap.sources.files import dataset_dir, load_profiles, path_exists, read_loads_as_text
 
 RESULT_SCHEMA = "dataset string, check string, field string, message string"
 NULLS_SCHEMA = "dataset string, field string, null_count bigint"
+# The message texts are fixed values.
+MISSING, FORBIDDEN = "Missing required field: %s", "Forbidden field present: %s"
+EMPTY, NULLS, UNREADABLE = "Dataset is empty", "Field '%s' has %d null values", "File not found"
 
 
 def _profile(df: DataFrame, dataset: str) -> DataFrame:
@@ -39,24 +43,25 @@ def null_counts(df: DataFrame, dataset: str) -> DataFrame:
     return stack.select(F.lit(dataset).alias("dataset"), "_n.field", "_n.null_count")
 
 
+def _schema_failures(dataset: str, columns: list[str]) -> list[tuple]:
+    s = spec(dataset)
+    return [(dataset, "missing_required", f, MISSING % f) for f in s.required if f not in columns] + \
+        [(dataset, "forbidden_present", f, FORBIDDEN % f) for f in s.forbidden if f in columns]
+
+
 def validate_dataset(df: DataFrame, dataset: str) -> DataFrame:
     """Failure rows (dataset, check, field, message) for one dataset; none when valid."""
-    # The message texts are fixed values.
     spark = df.sparkSession
     s = spec(dataset)
-    meta = [(dataset, "missing_required", f, f"Missing required field: {f}")
-            for f in s.required if f not in df.columns]
-    meta += [(dataset, "forbidden_present", f, f"Forbidden field present: {f}")
-             for f in s.forbidden if f in df.columns]
-    out = spark.createDataFrame(meta, RESULT_SCHEMA)
+    out = spark.createDataFrame(_schema_failures(dataset, df.columns), RESULT_SCHEMA)
     present = [f for f in s.required if f in df.columns]
     prof = _profile(df, dataset)
     checks = [F.when(F.col("rows") == 0, F.struct(F.lit("empty").alias("check"), F.lit(None).cast("string")
-                                                 .alias("field"), F.lit("Dataset is empty").alias("message")))]
+                                                 .alias("field"), F.lit(EMPTY).alias("message")))]
     for f in present:
         n = F.col(f"n_{f}")
         checks.append(F.when(n > 0, F.struct(F.lit("nulls").alias("check"), F.lit(f).alias("field"),
-                                             F.format_string(f"Field '{f}' has %d null values", n).alias("message"))))
+                                             F.format_string(NULLS, F.lit(f), n).alias("message"))))
     content = (prof.select(F.explode(F.array(*checks)).alias("_c")).where(F.col("_c").isNotNull())
                .select(F.lit(dataset).alias("dataset"), "_c.check", "_c.field", "_c.message"))
     return out.unionByName(content)
@@ -103,7 +108,7 @@ def validate_all(spark: SparkSession, frames: Mapping[str, DataFrame | None],
     for name in datasets:
         df = frames.get(name)
         if df is None:
-            missing.append((name, "unreadable", None, "File not found"))
+            missing.append((name, "unreadable", None, UNREADABLE))
         else:
             parts.append(validate_dataset(df, name))
     out = spark.createDataFrame(missing, RESULT_SCHEMA)
@@ -112,6 +117,30 @@ def validate_all(spark: SparkSession, frames: Mapping[str, DataFrame | None],
     return out
 
 
+def validate_published(spark: SparkSession, root: str, datasets=DATASET_ORDER) -> DataFrame:
+    """``validate_all`` of what is published under ``root``, from the counts of the writing jobs where they hold.
+
+    A dataset whose manifest has no counts for all its loads, whose loads
+    differ in their fields or whose files are no longer those that were
+    written is opened and read. Nothing but the manifests (one small file a
+    dataset) and folder listings is read for the others.
+    """
+    found: list[tuple] = []
+    opened: list[str] = []
+    for name in datasets:
+        loads = load_profiles(spark, name, root)
+        if loads is None or any(x["fields"] != loads[0]["fields"] for x in loads):
+            opened.append(name)
+            continue
+        counts = {k: sum(x["counts"][k] for x in loads) for k in loads[0]["counts"]}
+        found += _schema_failures(name, [*loads[0]["fields"], "load_ts"])
+        if not counts["rows"]:
+            found.append((name, "empty", None, EMPTY))
+        found += [(name, "nulls", k.removeprefix("n_"), NULLS % (k.removeprefix("n_"), n)) for k, n in counts.items() if k != "rows" and n]
+    out = spark.createDataFrame(found, RESULT_SCHEMA)
+    return out.unionByName(validate_all(spark, open_datasets(spark, root, opened), opened)) if opened else out
+
+
 def validate_summary(spark: SparkSession, failures: DataFrame, datasets=DATASET_ORDER) -> DataFrame:
     """Per dataset: errors and valid flag; plus an ``ALL`` row with n valid of n (V5)."""
     names = spark.createDataFrame([(d,) for d in datasets], "dataset string")

@@ -553,12 +553,17 @@ def validation_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def published_for_validation(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame | None]:
-    """The derived datasets written as header CSV, and opened again from their files."""
+def publish_for_validation(spark: SparkSession, sf_dir: str) -> str:
+    """The derived datasets written as header CSV: the lake's folder."""
     root = _scratch(spark, "validate")
     frames = validation_frames(spark, sf_dir)
     run_side_by_side(spark, *[lambda n=n, df=df: fs.publish(df, n, root, "20240101_000000") for n, df in frames.items()])
-    return va.open_datasets(spark, root)
+    return root
+
+
+def published_for_validation(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame | None]:
+    """The derived datasets, opened again from the files they were published as."""
+    return va.open_datasets(spark, publish_for_validation(spark, sf_dir))
 
 
 @query("validate_datasets")
@@ -579,7 +584,8 @@ def q_validate_nulls(spark, sf_dir):
 
 @query("validate_summary")
 def q_validate_summary(spark, sf_dir):
-    return va.validate_summary(spark, va.validate_all(spark, published_for_validation(spark, sf_dir)))
+    """From the counts of the publishing jobs; ``validate_datasets`` reads the files."""
+    return va.validate_summary(spark, va.validate_published(spark, publish_for_validation(spark, sf_dir)))
 
 
 @query("dataset_profile")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,8 +76,9 @@ def read_header_csv(spark: SparkSession, path: str | list[str], base: str | None
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Header CSV, one file per partition, no index column. Dates as ISO text."""
+    """Header CSV, one file per partition, no index column. Dates as ISO text, blanks around values as they are."""
     df.write.mode(mode).option("header", True).option("dateFormat", "yyyy-MM-dd") \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False) \
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss'Z'").csv(path)
 
 
@@ -191,20 +192,29 @@ def publish(df: DataFrame, name: str, root: str, load_ts: str, replace: bool = F
     both, and ``df`` may read the dataset itself. Without ``replace``, a load
     under a visible ``load_ts`` raises ``ValueError``; with it, the load takes
     a folder of its own (``load_ts=….rev-…``) until the old one is gone.
+
+    The same write counts the rows and the nulls of the required fields
+    (``observe``); the manifest keeps them with the number and bytes of the
+    files, for ``load_profiles``.
     """
     spark, base = df.sparkSession, dataset_dir(root, name)
     state, before = commits.current(spark, base), visible_loads(spark, base)
     if not replace and load_ts in before:
         raise ValueError(f"{base}/load_ts={load_ts} exists")
     aside = unique_dir(f"{root.rstrip('/')}/_publishing", name)
-    write_csv(df, aside)
+    seen = Observation(f"publish-{name}-{uuid.uuid4().hex[:8]}")
+    # Header CSV has no empty texts: readers see them as nulls.
+    counts = [F.count_if(F.coalesce(F.col(f).cast("string"), F.lit("")) == "").alias(f"n_{f}") for f in spec(name).required if f in df.columns]
+    write_csv(df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), aside)
+    profile = {"fields": df.columns, "counts": seen.get, **_file_sizes(spark, aside)}
     folder = f"load_ts={load_ts}"
     if folder in before.values():
         folder += f".rev-{uuid.uuid4().hex[:10]}"
     delete_path(spark, f"{base}/{folder}")  # what a lost publish left
     rename_path(spark, aside, f"{base}/{folder}")
     loads = {load_ts: folder} if replace else {**before, load_ts: folder}
-    commits.commit(spark, base, state, {"loads": loads})
+    profiles = {k: v for k, v in {**state.body.get("profiles", {}), load_ts: profile}.items() if k in loads}
+    commits.commit(spark, base, state, {"loads": loads, "profiles": profiles})
     commits.kept(spark, base, 1)
     if replace:
         for old in child_names(spark, base):
@@ -213,6 +223,32 @@ def publish(df: DataFrame, name: str, root: str, load_ts: str, replace: bool = F
     return f"{base}/{folder}"
 
 
+def _file_sizes(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Number and bytes of the ``*.csv`` files in a folder, from its listing."""
+    fs, p = _fs_path(spark, folder)
+    sizes = [x.getLen() for x in fs.listStatus(p) if x.getPath().getName().endswith(".csv")] if fs.exists(p) else []
+    return {"files": len(sizes), "bytes": sum(sizes)}
+
+
+def load_profiles(spark: SparkSession, name: str, root: str) -> list[dict] | None:
+    """What the writers of the visible loads counted: ``fields``, ``counts`` (``rows``, ``n_<field>``), ``files``, ``bytes``.
+
+    None unless it covers every visible load and their folders still hold as
+    many files and bytes as were written; then only the files themselves tell.
+    """
+    base = dataset_dir(root, name)
+    known = commits.current(spark, base).body.get("profiles", {})
+    out = []
+    for ts, folder in visible_loads(spark, base).items():
+        found = known.get(ts)
+        if not found or "rows" not in found["counts"] or not found["files"]:
+            return None
+        if _file_sizes(spark, f"{base}/{folder}") != {k: found[k] for k in ("files", "bytes")}:
+            return None
+        out.append(found)
+    return out or None
+
+
 # ---------------------------------------------------------------- S7, A9: manifests
 
 def list_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from stockmap.operators import monitor as mo
 from stockmap.operators import validate as va
 from stockmap.plans.numbering import row_number_global
+from stockmap.sources import files as fs
 
 
 def test_validation_cases(spark):
@@ -18,6 +19,46 @@ def test_validation_cases(spark):
     assert msg == "Field 'id' has 1 null values"
 
 
+def failures(df):
+    return sorted((r.dataset, r.check, r.field or "", r.message) for r in df.collect())
+
+
+def test_counts_of_the_writing_job_equal_those_of_its_files(spark, tmp, monkeypatch):
+    names = ["site", "product", "inv_policy", "inv_level", "company", "trading_partner"]
+    site = spark.createDataFrame([("S1", "d", "WA"), ("", "  ", None), (None, "a,b", "")], "id string, description string, state string")
+    product = spark.createDataFrame([("P1", "x"), (None, "y"), (None, None), ("", " ")], "id string, description string")
+    policy = spark.createDataFrame([], "site_id string, id string")
+    fs.publish(site, "site", tmp, "20240101_000000")
+    fs.publish(product, "product", tmp, "20240101_000000")
+    fs.publish(product, "product", tmp, "20240102_000000")
+    fs.publish(policy, "inv_policy", tmp, "20240101_000000")
+    fs.publish(policy.where("false"), "inv_level", tmp, "20240101_000000")
+    # Two loads of different fields, and a dataset that was never published.
+    fs.publish(spark.createDataFrame([("T1",)], "id string"), "trading_partner", tmp, "20240101_000000")
+    fs.publish(spark.createDataFrame([("T2", "x")], "id string, description string"), "trading_partner", tmp, "20240102_000000")
+
+    def check():
+        return failures(va.validate_published(spark, tmp, names)), failures(va.validate_all(spark, va.open_datasets(spark, tmp, names), names))
+
+    got, want = check()
+    assert got == want
+    assert ("product", "nulls", "id", "Field 'id' has 6 null values") in got
+    assert ("inv_policy", "empty", "", "Dataset is empty") in got
+    assert ("company", "unreadable", "", "File not found") in got
+    opened = []
+    monkeypatch.setattr(va, "read_loads_as_text", lambda s, n, r: opened.append(n) or fs.read_loads_as_text(s, n, r))
+    va.validate_published(spark, tmp, names)
+    assert opened == ["trading_partner"]
+    # A file that came later, or was cut, is not what the job counted: the files are read.
+    fs.write_csv(product.limit(1), f"{tmp}/wa_product/load_ts=20240102_000000", mode="append")
+    fs.publish(product.limit(1), "product", tmp, "20240103_000000", replace=True)
+    assert fs.load_profiles(spark, "product", tmp)[0]["counts"]["rows"] == 1
+    fs.write_csv(product, f"{tmp}/wa_product/load_ts=20240103_000000", mode="append")
+    assert fs.load_profiles(spark, "product", tmp) is None
+    got, want = check()
+    assert got == want and "product" in opened
+
+
 def test_key_duplicates(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",)], "id string")
     assert [(r.id, r.occurrences) for r in va.key_duplicates(df, "site").collect()] == [("a", 2)]
