@@ -681,10 +681,10 @@ def q_file_inventory(spark, sf_dir):
     root = _published_root(spark, sf_dir)
     inv = fs.file_inventory(spark, root)
     # How many files Spark writes depends on the partitioning, so the inventory is held against what the
-    # reader says of each row's file; the rows themselves do not depend on it.
-    seen = (spark.read.option("header", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(root)
+    # reader says of each line's file, header lines too, since a file may have no rows; the rows themselves do not depend on it.
+    seen = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(root)
             .select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"), F.col("_metadata.file_name").alias("f")))
-    per_file = seen.groupBy("p", "s", "f").agg(F.count(F.lit(1)).alias("n")).withColumn("dataset", F.regexp_extract("p", "/wa_([^/]+)/", 1))
+    per_file = seen.groupBy("p", "s", "f").agg((F.count(F.lit(1)) - 1).alias("n")).withColumn("dataset", F.regexp_extract("p", "/wa_([^/]+)/", 1))
     newest = F.regexp_extract("p", "load_ts=([^/]+)/", 1)
     sums = [F.count(F.lit(1)).alias("f"), F.sum("s").alias("b"), F.sum("n").alias("rows"), F.max(F.struct(newest, "f")).alias("m")]
     per = per_file.groupBy("dataset").agg(*sums).unionByName(per_file.agg(F.lit("TOTAL").alias("dataset"), *sums))
