@@ -259,13 +259,15 @@ def near_groups(docs: DataFrame, width: int) -> DataFrame:
     classes = materialize(
         rows.filter("set_id is not null").groupBy("set_id").agg(
             F.min("uid").alias("cls"), F.min("doc_id").alias("min_doc"), F.min_by("uid", "doc_id").alias("min_uid"),
-            F.first("bands").alias("bands"), F.first("signature").alias("signature"))
+            F.min_by("tag", F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("tag"), F.first("bands").alias("bands"), F.first("signature").alias("signature"))
         .withColumn("min_uid", F.coalesce("min_uid", "cls")), "near-classes")
     banded = classes.select("cls", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     members = materialize(banded.join(shared, "key"), "near-members")
-    wanted = members.select("cls").distinct().join(classes.select("cls", "set_id", "min_doc", "signature"), "cls")
-    texts = docs.join(wanted.hint("merge"), docs.doc_id.eqNullSafe(wanted.min_doc)).select("cls", "set_id", "signature", "text").distinct()
+    wanted = members.select("cls").distinct().join(classes.select("cls", "set_id", "min_doc", "tag", "signature"), "cls")
+    # By id and text: ids alone may be null or repeat in very many rows.
+    same = docs.doc_id.eqNullSafe(wanted.min_doc) & (text_tag(docs.text) == wanted.tag)
+    texts = docs.join(wanted.hint("merge"), same).select("cls", "set_id", "signature", "text").distinct()
     sets = materialize(texts.mapInArrow(_sets(width), "cls long, signature binary, shingles binary"), "near-sets")
     roots = components(_star(members, sets), name="near-components")
     more = _remainder(members, sets, roots)

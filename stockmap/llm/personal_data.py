@@ -11,7 +11,7 @@ Kinds. ``email``, ``ip``, ``card`` and ``phone`` are the leftmost
 non-overlapping matches of fixed patterns, checked afterwards (parts up to
 255, Luhn, 9 to 15 digits); a failing match is dropped without a retry. The
 anchors add ``account`` (IBAN with its check digits, or an identifier behind
-a cue such as ``SSN`` or ``account number``) and ``login`` (a URL with user
+a cue such as ``SSN`` or ``account number is``, in any case) and ``login`` (a URL with user
 and password). Positions are code points, ends exclusive.
 
 Defined cases: a null or empty text has no spans; rows with repeated or null
@@ -35,6 +35,8 @@ from stockmap.llm.common import table
 BASE_KINDS = ("email", "ip", "card", "phone")
 EXTRA_KINDS = ("account", "login")
 
+#: Lower-cases A-Z only, so positions stay.
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
@@ -43,20 +45,22 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 SCHEME_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+.-")
 LOGIN = re.compile(r"[^\s/?#:@\"'<>]+:[^\s/?#@\"'<>]+@[A-Za-z0-9.-]*[A-Za-z0-9](?::[0-9]+)?(?:[/?#][^\s\"'<>]*)?")
-IBAN = re.compile(r"[ :#=]{0,3}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])")
-SSN = re.compile(r"[ :#=]{0,3}((?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4})(?![0-9-])")
-NUMBER = re.compile(r"(?: (?:no|number|nr|id))?\.?[ :#=]{1,3}([A-Z]{0,3}[0-9]{6,18})(?![A-Za-z0-9])", re.IGNORECASE)
-#: Cues of identifiers and the form that must follow.
+IBAN = re.compile(r"(?i:(?: (?:no|number|nr))?\.?(?: is)?)[ :#=]{0,3}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])")
+SSN = re.compile(r"(?i: is)?[ :#=]{0,3}((?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4})(?![0-9-])")
+NUMBER = re.compile(r"(?: (?:no|number|nr|id))?\.?(?: is)?[ :#=]{1,3}([A-Z]{0,3}[0-9]{6,18})(?![A-Za-z0-9])", re.IGNORECASE)
+#: Groups of digits, 8 to 18 in all, only behind a word or sign that announces a number.
+GROUPED = re.compile(r"(?: (?:no|number|nr|id)\.?(?: is)?[ :#=]{1,3}|(?: is)? ?[:#=] ?)([0-9]{2,6}(?:[ -][0-9]{2,6}){1,8})(?![A-Za-z0-9]|[ -][0-9])", re.IGNORECASE)
+#: Cues of identifiers (in any case) and the form that must follow.
 CUES = {"iban": IBAN, "ssn": SSN, "social security number": SSN, "account": NUMBER, "acct": NUMBER, "passport": NUMBER}
 
 
 def anchors() -> ahocorasick.Automaton:
+    """The automaton of all anchors; it reads texts whose A-Z are lower-cased."""
     auto = ahocorasick.Automaton()
     for word, kind in (("@", "email"), ("+", "phone"), ("://", "login")):
         auto.add_word(word, (kind, len(word)))
     for cue in CUES:
-        for word in {cue, cue.upper(), cue.capitalize(), cue.title()}:
-            auto.add_word(word, (cue, len(word)))
+        auto.add_word(cue, (cue, len(cue)))
     auto.make_automaton()
     return auto
 
@@ -107,6 +111,9 @@ def _account(text: str, cue: str, start: int, end: int) -> tuple[int, int] | Non
     if start and text[start - 1].isalnum():
         return None
     m = CUES[cue].match(text, end)
+    if not m and CUES[cue] is NUMBER:
+        m = GROUPED.match(text, end)
+        m = m if m and 8 <= sum(map(str.isdigit, m.group(1))) <= 18 else None
     if not m:
         return None
     if CUES[cue] is IBAN:
@@ -129,7 +136,7 @@ def find_spans(text: str, auto: ahocorasick.Automaton) -> dict[str, list[tuple[i
     """Spans of each kind in order of their start."""
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in (*BASE_KINDS, *EXTRA_KINDS)}
     ends = dict.fromkeys(found, 0)
-    for last, (kind, size) in auto.iter(text):
+    for last, (kind, size) in auto.iter(text.translate(LOWER)):
         start, end = last + 1 - size, last + 1
         if kind == "email":
             span = _email(text, start, ends["email"]) if start >= ends["email"] else None

@@ -50,9 +50,23 @@ def test_anchored_extras():
     assert one("see ftp://ann:pw1@host.example/x y https://host.example/", "login") == ["ftp://ann:pw1@host.example/x"]
 
 
+def test_cues_in_any_case_and_grouped_numbers():
+    def accounts(text):
+        return [text[s:e] for s, e in find_spans(text, AUTO)["account"]]
+    for cue in ("Social Security number", "sOCIAL security NUMBER", "SOCIAL SECURITY NUMBER is", "Ssn"):
+        assert accounts(f"é {cue} 123-45-6789.") == ["123-45-6789"]
+    assert accounts("My aCCount number is 12345678, the passport No. is C01234567") == ["12345678", "C01234567"]
+    assert accounts("account number: 1234 5678 90, acct # 12-345-678") == ["1234 5678 90", "12-345-678"]
+    assert accounts("IBAN is DE89 3704 0044 0532 0130 00.") == ["DE89 3704 0044 0532 0130 00"]
+    # No number is announced, too few or too many digits, or the run goes on.
+    assert accounts("account 2019 2020; account number is 12 34; account no. 1234-5678-ab; on account of 12 345 678 sales") == ["1234-5678"]
+    assert accounts("account number 123456 123456 123456 1234567890") == ["123456"]
+    assert accounts("K\u212ASSN \u0130ban account\u017f 12345678") == []  # other cases of non-ASCII letters do not count
+
+
 def test_long_runs_take_linear_time():
     n = 300_000
-    for text in ("a" * n, "1" * n, "a@" * n, "1." * n, "+1" * n, "1 " * n, "a" * n + "@"):
+    for text in ("a" * n, "1" * n, "a@" * n, "1." * n, "+1" * n, "1 " * n, "a" * n + "@", "account number " + "12 " * n, "ssn " * n):
         found = find_spans(text, AUTO)
         assert sum(map(len, found.values())) < n
 

@@ -89,6 +89,19 @@ def test_components_equal_brute_force(spark, width):
     assert set(kept.values()) == {1} and set(kept) == {c for _, n, c in want if n and c is not None}
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_pairs_without_ids_of_their_own(spark, doc_id):
+    r = random.Random(3)
+    rows = []
+    for _ in range(800):  # 1,600 rows under one id, near in pairs
+        w = [f"w{r.randrange(10**6)}" for _ in range(30)]
+        rows += [(doc_id, " ".join(w)), (doc_id, " ".join(w[:-1]))]
+    rows += rows[:20]
+    df = frame(spark, rows).repartition(8)
+    assert sum(r.kept for r in nd.near_groups(df, 5).collect()) == 800
+    assert nd.drop_near(df, 5).count() == 800
+
+
 def test_near_rows_keep_their_columns(spark):
     d = frame(spark, near_corpus(9))
     out = nd.drop_near(d, 5)
