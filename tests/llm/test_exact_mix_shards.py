@@ -37,6 +37,32 @@ def test_groups_equal_brute_force(spark):
     assert sum(r.kept for r in found) == len(by)
 
 
+def test_hot_texts_are_counted_where_they_are_read(spark):
+    rows = [(i, "hot Text", "a") for i in range(300)] + [(1000 + i, f"t {i % 40}", "b") for i in range(100)] + ROWS
+    by = defaultdict(list)
+    for i, t, _ in rows:
+        by[lowered(t)].append(i)
+    want = sorted(((i, max((x for x in by[lowered(t)] if x is not None), default=None), len(by[lowered(t)])) for i, t, _ in rows), key=repr)
+    for hot_rows in (1, 20, 10_000):
+        found = ex.groups(frame(spark, rows), capacity=4, hot_rows=hot_rows).collect()
+        assert sorted(((r.doc_id, r.keep_id, r.group_size) for r in found), key=repr) == want
+        assert sum(r.kept for r in found) == len(by)
+
+
+def test_owners_compare_texts_under_one_key(spark):
+    """Different texts with one key stay separate links of the chain, and one owner finds them all."""
+    texts = spark.createDataFrame([(5, "a", 1), (5, "b", 1), (5, "a", 3), (-9, "c", 1), (77, "d", 2)], "key long, norm string, n long")
+    slots, depth = ex.directory(texts.select("key").distinct(), 3, capacity=1)
+    slots = spark.createDataFrame(slots.collect(), slots.schema)
+    links = ex.owned_links(texts, slots, depth)
+    found = {(r.key, r.text_sha256): (r.group_size, r.bucket) for r in links.collect()}
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert {k: v[0] for k, v in found.items()} == {(5, digest("a")): 4, (5, digest("b")): 1, (77, digest("d")): 2}
+    assert found[5, digest("a")][1] == found[5, digest("b")][1]
+    plan = ex.owned_links(texts, slots, depth)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1 and "hashpartitioning(bucket" in plan
+
+
 def test_one_row_of_each_group_stays_with_its_columns(spark):
     d = frame(spark, ROWS)
     kept = ex.drop_copies(d)
