@@ -13,18 +13,24 @@ with ``P(word | class) = (c + 0.5) / mass(class)``, where a class's mass sums
 of the base model over the classes as words seen once are spread; its
 probability sums over the classes, ``sum of P(class | before) * P(unseen | class)``.
 All probabilities sum to one, and without class context the model is the base
-model. As the class before a token, a word not seen has the class of its ending.
-
-Classes. The unit of exchange is a word, for the ``OWN_UNITS`` most frequent,
-or else the ending of a word, for the ``ENDINGS`` most frequent endings; all
-other words share one unit. Units are exchanged between ``CLASSES`` classes
-while the average mutual information of adjacent classes grows. The unit
-bigram counts cover every training token; there are ``UNITS ** 2`` at most
-whatever the corpus, and this table alone comes to the driver.
+model.
+
+Classes. First units are exchanged between ``classes`` classes while the
+average mutual information of adjacent classes grows. A unit is a word, for the
+``own_units`` most frequent, or the ending of a word, for the ``endings`` most
+frequent endings; all other words share one. Their bigram counts cover every
+training token; there are ``units ** 2`` at most, and this table alone comes to
+the driver. Then every further word of count ``LEAST`` or more, however many
+there are, moves from the class of its ending to the class of largest gain in
+the same measure. The gain comes from the word's counts with the classes before
+and after it, which are summed in Spark, and is worked out in tasks, word by
+word. Words of fewer occurrences keep the class of their ending. As the class
+before a token, a word outside the head (below) has the class of its ending too,
+so a scan knows it without a join.
 
 Counting the corpus: word counts are summed in each task and then by word, and
 grow with the input. Base scores need the count of every token. The most
-frequent words, ``HEAD`` at most, are broadcast and looked up in the scan; all
+frequent words, ``head`` at most, are broadcast and looked up in the scan; all
 other words go out as (row, word, times) and meet the counts in a join by
 word. No frequent word takes part in that join, so none of its keys is hot.
 
@@ -42,6 +48,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,19 +56,37 @@ from stockmap.llm.common import table
 from stockmap.session import materialize
 
 FOLDS, HELD_OUT = 5, 1
-HEAD = 1 << 16
 #: Counts are compared in this many steps for each doubling when the head is cut off.
 STEPS = 16
-OWN_UNITS, ENDINGS, TAIL = 768, 255, 3
-UNITS = OWN_UNITS + ENDINGS + 1
-OTHER = UNITS - 1
-CLASSES, SWEEPS = 96, 12
+TAIL, SWEEPS = 3, 12
+#: Words of this count or more get a class of their own choice.
+LEAST = 4
 PRIOR = 4.0
 #: Distinct words that a task holds before it hands on its counts.
 HELD_WORDS = 300_000
 END = b""
 
 
+@dataclass(frozen=True)
+class Sizes:
+    """Units of the first exchange, number of classes, and words that are broadcast."""
+    own_units: int = 768
+    endings: int = 255
+    classes: int = 96
+    head: int = 1 << 16
+
+    @property
+    def units(self) -> int:
+        return self.own_units + self.endings + 1
+
+    @property
+    def other(self) -> int:
+        return self.units - 1
+
+
+SIZES = Sizes()
+
+
 def words_of(text: str | None) -> list[bytes]:
     """``bytes.lower`` changes A-Z only and ``bytes.split`` splits at 0x20 and 0x09-0x0D."""
     return (text or "").encode().lower().split()
@@ -89,34 +114,37 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Vocabulary:
-    """Broadcast tables of fixed size: the head words with their units, and the units of endings."""
+    """Broadcast tables of fixed size: a number (unit or class) for each head word and for each frequent ending."""
     index: dict[bytes, int]
-    unit: np.ndarray
+    number: np.ndarray
     endings: dict[bytes, int]
+    other: int
 
-    def ending_unit(self, word: bytes) -> int:
-        return self.endings.get(word[-TAIL:], OTHER)
+    def by_ending(self, word: bytes) -> int:
+        return self.endings.get(word[-TAIL:], self.other)
 
-    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Units of ``words``, head numbers of those in the head, and the places of the others."""
+    def mapped(self, to: np.ndarray) -> Vocabulary:
+        return Vocabulary(self.index, to[self.number], {e: int(to[u]) for e, u in self.endings.items()}, int(to[self.other]))
+
+    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of ``words``, and their places in the head (-1: not in it)."""
         get = self.index.get
         head = np.array([get(w, -1) for w in words], np.int64)
-        known = head >= 0
-        units = np.where(known, self.unit[head], OTHER) if len(self.unit) else np.full(len(words), OTHER)
-        rest = np.flatnonzero(~known)
-        units[rest] = [self.ending_unit(words[i]) for i in rest]
-        return units, head[known], rest
+        numbers = np.where(head >= 0, self.number[head], self.other) if len(self.number) else np.full(len(words), self.other)
+        rest = np.flatnonzero(head < 0)
+        numbers[rest] = [self.by_ending(words[i]) for i in rest]
+        return numbers, head
 
 
-def _bigrams(sent):
+def _bigrams(sent, units: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab: Vocabulary = sent.value
-        table, held, size = np.zeros(UNITS * UNITS, np.int64), [], 0
+        table, held, size = np.zeros(units * units, np.int64), [], 0
         end = vocab.look_up([END])[0]
         for batch in batches:
             for text in batch.column("text"):
                 line = np.concatenate([end, vocab.look_up(words_of(text.as_py()))[0], end])
-                held.append(line[:-1] * UNITS + line[1:])
+                held.append(line[:-1] * units + line[1:])
                 size += len(line)
                 if size > 1 << 20:
                     table += np.bincount(np.concatenate(held), minlength=len(table))
@@ -128,11 +156,84 @@ def _bigrams(sent):
     return run
 
 
+def _runs(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes and how often they occur."""
+    c = np.sort(np.concatenate(codes)) if codes else np.zeros(0, np.int64)
+    first = np.flatnonzero(np.r_[True, c[1:] != c[:-1]]) if len(c) else np.zeros(0, np.int64)
+    return c[first], np.diff(np.r_[first, len(c)])
+
+
+def _neighbours(sent, own: int, classes: int):
+    """(word, slot, n) for each word after the first ``own`` of the head: class before, ``classes`` + class after, itself before."""
+    slots = 2 * classes + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab: Vocabulary = sent.value
+        names = list(vocab.index)
+        tail: Counter[tuple[bytes, int]] = Counter()
+        codes, size = [], 0
+
+        def out() -> pa.RecordBatch:
+            code, n = _runs(codes)
+            words = [names[i] for i in (code // slots).tolist()] + [w for w, _ in tail]
+            slot = (code % slots).tolist() + [k for _, k in tail]
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(slot, pa.int32()),
+                                               pa.array(n.tolist() + list(tail.values()), pa.int64())], names=["word", "slot", "n"])
+
+        for batch in batches:
+            for text in batch.column("text"):
+                line = [END, *words_of(text.as_py()), END]
+                cls, head = vocab.look_up(line)
+                a, b = head[:-1], head[1:]
+                to, of, twice = np.flatnonzero(b >= own), np.flatnonzero(a >= own), np.flatnonzero((b >= own) & (a == b))
+                codes += [b[to] * slots + cls[to], a[of] * slots + classes + cls[of + 1], a[twice] * slots + 2 * classes]
+                size += len(to)
+                for i in np.flatnonzero(b < 0).tolist():
+                    tail[line[i + 1], int(cls[i])] += 1
+                    if line[i] == line[i + 1]:
+                        tail[line[i], 2 * classes] += 1
+                for i in np.flatnonzero(a < 0).tolist():
+                    tail[line[i], classes + int(cls[i + 1])] += 1
+                if size > 1 << 20 or len(tail) >= HELD_WORDS:
+                    yield out()
+                    codes, size = [], 0
+                    tail.clear()
+        yield out()
+    return run
+
+
+def _class_pairs(sent, classes: int):
+    """(word, slot, n): class before and class as one number for head words (word null), class before for all other words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab: Vocabulary = sent.value
+        table, tail = np.zeros(classes * classes, np.int64), Counter()
+
+        def out(words: list, slots: list, n: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(slots, pa.int32()), pa.array(n, pa.int64())],
+                                              names=["word", "slot", "n"])
+
+        for batch in batches:
+            for text in batch.column("text"):
+                line = [END, *words_of(text.as_py()), END]
+                cls, head = vocab.look_up(line)
+                known = head[1:] >= 0
+                table += np.bincount((cls[:-1] * classes + cls[1:])[known], minlength=len(table))
+                for i in (np.flatnonzero(~known) + 1).tolist():
+                    tail[line[i], int(cls[i - 1])] += 1
+                if len(tail) >= HELD_WORDS:
+                    yield out([w for w, _ in tail], [k for _, k in tail], list(tail.values()))
+                    tail.clear()
+        yield out([w for w, _ in tail], [k for _, k in tail], list(tail.values()))
+        seen = np.flatnonzero(table)
+        yield out([None] * len(seen), seen.tolist(), table[seen].tolist())
+    return run
+
+
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1.0))
 
 
-def exchange(n: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
+def exchange(n: np.ndarray, classes: int = SIZES.classes, sweeps: int = SWEEPS) -> np.ndarray:
     """Class of each unit from the unit bigram counts ``n``: move one unit at a time to the class that adds most."""
     units = len(n)
     weight = n.sum(axis=1) + n.sum(axis=0)
@@ -178,11 +279,58 @@ def exchange(n: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.
     return cls
 
 
+def best_class(pairs: np.ndarray, own: int, r: np.ndarray, l: np.ndarray, self_n: float) -> int:
+    """The class that a word of class ``own`` goes to by the measure of ``exchange``.
+
+    ``r`` and ``l`` are its counts with the classes after and before it. Only
+    cells that its counts touch can change, so a rare word costs little.
+    """
+    r, l = r.copy(), l.copy()
+    r[own] -= self_n
+    l[own] -= self_n
+    after, before, diagonal = pairs.sum(axis=1) - l, pairs.sum(axis=0) - r, np.diagonal(pairs).copy()
+    after[own] -= r.sum() + self_n
+    before[own] -= l.sum() + self_n
+    diagonal[own] -= r[own] + l[own] + self_n
+
+    def along(m: np.ndarray, counts: np.ndarray, others: np.ndarray) -> np.ndarray:
+        touched = np.flatnonzero(counts)
+        cells = m[:, touched].copy()
+        cells[own] -= counts[touched]
+        cells[:, touched == own] -= others[:, None]
+        cells[own, touched == own] -= self_n
+        change = _xlogx(cells + counts[touched]) - _xlogx(cells)
+        change[touched, np.arange(len(touched))] = 0
+        return change.sum(axis=1)
+
+    gain = (along(pairs, r, l) + along(pairs.T, l, r) + _xlogx(diagonal + r + l + self_n) - _xlogx(diagonal)
+            - _xlogx(after + r.sum() + self_n) + _xlogx(after) - _xlogx(before + l.sum() + self_n) + _xlogx(before))
+    new = int(gain.argmax())
+    return own if gain[new] <= gain[own] + 1e-9 else new
+
+
+def _chosen(sent, sent_pairs):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab, pairs = sent.value, sent_pairs.value
+        classes = len(pairs)
+        for batch in batches:
+            words, held = batch.column("word").to_pylist(), batch.column("held")
+            ends, (slot, n_slot) = np.cumsum(pc.list_value_length(held).to_numpy(zero_copy_only=False)), held.flatten().flatten()
+            slot, n_slot, chosen = slot.to_numpy(), n_slot.to_numpy(), []
+            for w, first, last in zip(words, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+                n = np.zeros(2 * classes + 1)
+                n[slot[first:last]] = n_slot[first:last]
+                place = vocab.index.get(w)
+                own = vocab.by_ending(w) if place is None else int(vocab.number[place])
+                chosen.append(best_class(pairs, own, n[classes:2 * classes], n[:classes], n[-1]))
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(chosen, pa.int32())], names=["word", "chosen"])
+    return run
+
+
 @dataclass
 class Model:
     vocab: Vocabulary
     head_score: np.ndarray
-    cls: np.ndarray
     gain: np.ndarray
     unseen: np.ndarray
     tokens: int
@@ -192,102 +340,115 @@ class Model:
 def _score(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = sent.value
-        start = m.cls[m.vocab.look_up([END])[0]]
         for batch in batches:
             rows = []
             for text in batch.column("text"):
-                words = [*words_of(text.as_py()), END]
-                units, head, rest = m.vocab.look_up(words)
-                classes = np.concatenate([start, m.cls[units]])
-                gain = m.gain[classes[:-1], classes[1:]]
-                tail: dict[bytes, list] = {}
-                # What the score changes by, should the word turn out not to be in the corpus.
-                for i, change in zip(rest.tolist(), (m.unseen[classes[rest]] - gain[rest]).tolist(), strict=True):
-                    t = tail.setdefault(words[i], [0, 0.0])
-                    t[0] += 1
-                    t[1] += change
-                rows.append((len(words), len(head), float(m.head_score[head].sum()), float(gain.sum()), list(tail),
-                             [t[0] for t in tail.values()], [t[1] for t in tail.values()]))
+                line = [END, *words_of(text.as_py()), END]
+                cls, head = m.vocab.look_up(line)
+                known = head[1:] >= 0
+                gain = m.gain[cls[:-1][known], cls[1:][known]]
+                # The classes of all other words are not known here: they go out with the class before them.
+                tail = Counter((line[i], int(cls[i - 1])) for i in (np.flatnonzero(~known) + 1).tolist())
+                rows.append((len(line) - 1, int(known.sum()), float(m.head_score[head[1:][known]].sum()), float(gain.sum()),
+                             [w for w, _ in tail], list(tail.values()), [k for _, k in tail]))
             cols = list(zip(*rows, strict=True)) if rows else [()] * 7
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(cols, _TYPES, strict=True))], names=_NAMES)
     return run
 
 
-_NAMES = ["doc_id", "n_tokens", "n_head", "head_score", "class_gain", "word", "times", "unseen"]
-_TYPES = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.float64())]
+_NAMES = ["doc_id", "n_tokens", "n_head", "head_score", "class_gain", "word", "times", "before"]
+_TYPES = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int32())]
 _SCHEMA = ("doc_id long, n_tokens long, n_head long, head_score double, class_gain double, word array<binary>, "
-           "times array<long>, unseen array<double>")
+           "times array<long>, before array<int>")
 
 
-def _head(counts: DataFrame):
-    """Words with a count above the one that lets in more than ``HEAD``: at most so many rows reach the driver."""
+def _head(counts: DataFrame, most: int):
+    """Words with a count above the one that lets in more than ``most``: at most so many rows reach the driver."""
     step = F.floor(F.log2("c") * STEPS).cast("int")
     sizes = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()  # 64 * STEPS rows at most
     least, held = 64 * STEPS, 0
     for r in sorted(sizes, reverse=True):
         held += r.n
-        if held > HEAD:
+        if held > most:
             break
         least = r.step
     return counts.filter(step >= least).toPandas().sort_values(["c", "word"], ascending=[False, True], ignore_index=True)
 
 
-def train(docs: DataFrame) -> tuple[Model, DataFrame]:
-    """The model, and the counts of all words (word, c) on the shared folder."""
-    spark = docs.sparkSession
+def train(docs: DataFrame, sizes: Sizes = SIZES) -> tuple[Model, DataFrame]:
+    """The model, and all words with count and class (word, c, cls) on the shared folder."""
+    spark, classes, n_units = docs.sparkSession, sizes.classes, sizes.units
+    send = spark.sparkContext.broadcast
     learned = docs.filter(~held_out()).select("text")
     counts, seen = materialize(learned.mapInArrow(_count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "lm-counts",
                                [F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("types")])
     tokens, total = int(seen["tokens"]), seen["tokens"] + 0.5 * (seen["types"] + 1)
-    head = _head(counts)
-    head_words = [bytes(w) for w in head["word"]]
-    own = {w: i for i, w in enumerate(head_words[:OWN_UNITS])}
-    listed = spark.createDataFrame([(bytearray(w), i) for w, i in own.items()], "word binary, own int")  # OWN_UNITS rows
+    head_words = [bytes(w) for w in _head(counts, sizes.head)["word"]]
+    own = {w: i for i, w in enumerate(head_words[:sizes.own_units])}
+    listed = spark.createDataFrame([(bytearray(w), i) for w, i in own.items()], "word binary, own int")  # at most own_units rows
     ending = F.expr(f"substring(word, greatest(1, octet_length(word) - {TAIL - 1}), {TAIL})")
     of_ending = counts.join(F.broadcast(listed), "word", "left").withColumn("ending", F.when(F.col("own").isNull(), ending))
-    common = of_ending.filter("own is null").groupBy("ending").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "ending").limit(ENDINGS).toPandas()
-    endings = {bytes(e): OWN_UNITS + i for i, e in enumerate(common["ending"])}
-    vocab = Vocabulary({w: i for i, w in enumerate(head_words)}, np.zeros(len(head_words), np.int64), endings)
-    vocab.unit[:] = [own.get(w, vocab.ending_unit(w)) for w in head_words]
-    pairs = learned.mapInArrow(_bigrams(spark.sparkContext.broadcast(vocab)), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
-    n = np.zeros(UNITS * UNITS)
+    common = of_ending.filter("own is null").groupBy("ending").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "ending").limit(sizes.endings).toPandas()
+    endings = {bytes(e): sizes.own_units + i for i, e in enumerate(common["ending"])}
+    units = Vocabulary({w: i for i, w in enumerate(head_words)}, np.zeros(len(head_words), np.int64), endings, sizes.other)
+    units.number[:] = [own.get(w, units.by_ending(w)) for w in head_words]
+    pairs = learned.mapInArrow(_bigrams(send(units), n_units), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    n = np.zeros(n_units * n_units)
     n[pairs["pair"].to_numpy(np.int64)] = pairs["n"]
-    n = n.reshape(UNITS, UNITS)
-    cls = exchange(n)
-    # Mass and types of each unit over all counted words.
-    named = spark.createDataFrame([(bytearray(e), u) for e, u in endings.items()], "ending binary, by_ending int")  # ENDINGS rows
-    per_unit = (of_ending.join(F.broadcast(named), "ending", "left").groupBy(F.coalesce("own", "by_ending", F.lit(OTHER)).alias("unit"))
-                .agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("types"), F.count_if(F.col("c") == 1).alias("once")).toPandas())
-    mass, once = np.zeros(CLASSES), np.zeros(CLASSES)
-    by_class = cls[per_unit["unit"].to_numpy(np.int64)]
-    np.add.at(mass, by_class, per_unit["c"].to_numpy(float) + 0.5 * per_unit["types"].to_numpy(float))
-    np.add.at(once, by_class, per_unit["once"].to_numpy(float))
-    pi = (once + 1 / CLASSES) / (once.sum() + 1)
+    n = n.reshape(n_units, n_units)
+    cls = exchange(n, classes)
+    member = np.zeros((n_units, classes))
+    member[np.arange(n_units), cls] = 1
+    # Every further word of LEAST or more chooses its class by its neighbours' classes.
+    first = send(units.mapped(cls))
+    near = (learned.mapInArrow(_neighbours(first, len(own), classes), "word binary, slot int, n long").groupBy("word", "slot").agg(F.sum("n").alias("n"))
+            .groupBy("word").agg(F.collect_list(F.struct("slot", "n")).alias("held"), F.sum(F.when(F.col("slot") < classes, F.col("n"))).alias("c")))
+    gained = near.filter(F.col("c") >= LEAST).select("word", "held").mapInArrow(_chosen(first, send(member.T @ n @ member)), "word binary, chosen int")
+    by_own = spark.createDataFrame([(i, int(cls[i])) for i in own.values()], "own int, own_cls int")  # at most own_units rows
+    by_ending = spark.createDataFrame([(bytearray(e), int(cls[u])) for e, u in endings.items()], "ending binary, ending_cls int")  # at most endings rows
+    words = materialize(
+        of_ending.join(F.broadcast(by_own), "own", "left").join(F.broadcast(by_ending), "ending", "left").join(gained, "word", "left")
+        .select("word", "c", F.coalesce("own_cls", "chosen", "ending_cls", F.lit(int(cls[sizes.other]))).alias("cls")), "lm-words")
+    head = _head(words, sizes.head)  # the same words in the same order, now with their classes
+    vocab = units.mapped(cls)
+    vocab.number = head["cls"].to_numpy(np.int64)
+    per_class = words.groupBy("cls").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("types"), F.count_if(F.col("c") == 1).alias("once")).toPandas()
+    mass, once = np.zeros(classes), np.zeros(classes)
+    at = per_class["cls"].to_numpy(np.int64)
+    mass[at] = per_class["c"].to_numpy(float) + 0.5 * per_class["types"].to_numpy(float)
+    once[at] = per_class["once"].to_numpy(float)
+    pi = (once + 1 / classes) / (once.sum() + 1)
     share = (mass + 0.5 * pi) / total
-    member = np.zeros((UNITS, CLASSES))
-    member[np.arange(UNITS), cls] = 1
-    bigrams = member.T @ n @ member
+    found = learned.mapInArrow(_class_pairs(send(vocab), classes), "word binary, slot int, n long").groupBy("word", "slot").agg(F.sum("n").alias("n"))
+    slot = F.when(F.col("cls").isNull(), F.col("slot")).otherwise(F.col("slot") * classes + F.col("cls"))
+    found = found.join(words, "word", "left").groupBy(slot.alias("pair")).agg(F.sum("n").alias("n")).toPandas()  # classes ** 2 rows
+    bigrams = np.zeros(classes * classes)
+    bigrams[found["pair"].to_numpy(np.int64)] = found["n"]
+    bigrams = bigrams.reshape(classes, classes)
     after = (bigrams + PRIOR * share) / (bigrams.sum(axis=1, keepdims=True) + PRIOR)
     lift = after / share
-    return Model(vocab, np.log10((head["c"].to_numpy(float) + 0.5) / total), cls, np.log10(lift), np.log10(lift @ pi), tokens, total), counts
+    return Model(vocab, np.log10((head["c"].to_numpy(float) + 0.5) / total), np.log10(lift), np.log10(lift @ pi), tokens, total), words
 
 
-def scored(docs: DataFrame) -> DataFrame:
+def scored(docs: DataFrame, sizes: Sizes = SIZES) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    model, counts = train(docs)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    rows = materialize(docs.mapInArrow(_score(sent), _SCHEMA).withColumn("uid", F.monotonically_increasing_id()), "lm-rows")
-    tail = rows.select("uid", F.explode(F.arrays_zip("word", "times", "unseen")).alias("t")).select("uid", "t.word", "t.times", "t.unseen")
-    known = F.col("c").isNotNull()
-    in_corpus = tail.join(counts, "word", "left").groupBy("uid").agg(
-        F.sum(F.when(known, F.col("times")).otherwise(0)).alias("tail_known"),
+    spark, classes = docs.sparkSession, sizes.classes
+    model, words = train(docs, sizes)
+    rows = materialize(docs.mapInArrow(_score(spark.sparkContext.broadcast(model)), _SCHEMA)
+                       .withColumn("uid", F.monotonically_increasing_id()), "lm-rows")
+    lifts = spark.createDataFrame([(b, k, float(g)) for b in range(classes) for k, g in enumerate([*model.gain[b], model.unseen[b]])],
+                                  "before int, cls int, gain double")  # one class more: not in the corpus
+    tail = rows.select("uid", F.explode(F.arrays_zip("word", "times", "before")).alias("t")).select("uid", "t.word", "t.times", "t.before")
+    tail = tail.join(words, "word", "left").withColumn("cls", F.coalesce("cls", F.lit(classes))).join(F.broadcast(lifts), ["before", "cls"])
+    in_corpus = tail.groupBy("uid").agg(
+        F.sum(F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0)).alias("tail_known"),
         F.sum(F.col("times") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(model.total))).alias("tail_score"),
-        F.sum(F.when(known, 0.0).otherwise(F.col("unseen"))).alias("unseen"))
+        F.sum(F.col("times") * F.col("gain")).alias("tail_gain"))
     out = rows.select("uid", "doc_id", "n_tokens", "n_head", "head_score", "class_gain").join(in_corpus, "uid", "left").na.fill(
-        0, ["tail_known", "tail_score", "unseen"])
+        0, ["tail_known", "tail_score", "tail_gain"])
     base = F.col("head_score") + F.col("tail_score")
-    score = base + F.col("class_gain") + F.col("unseen")
+    score = base + F.col("class_gain") + F.col("tail_gain")
     return out.select("doc_id", held_out().alias("held_out"), "n_tokens", (F.col("n_head") + F.col("tail_known")).alias("n_known"),
                       F.lit(model.tokens).cast("long").alias("train_tokens"), base.alias("base_score"), score.alias("score"),
                       F.pow(F.lit(10.0), -score / F.col("n_tokens")).alias("perplexity"))

@@ -358,15 +358,89 @@ def test_lm_base_scores_equal_brute_force(spark):
 
 def test_lm_probabilities_sum_to_one(spark):
     rows = [(i, f"a{i % 7} b{i % 11} c{i % 3}") for i in range(120)]
-    model, counts = lm.train(frame(spark, rows))
-    table = {bytes(r.word): r.c for r in counts.collect()}
-    for before in range(lm.CLASSES):
+    model, words = lm.train(frame(spark, rows))
+    table = {bytes(r.word): (r.c, r.cls) for r in words.collect()}
+    for before in range(lm.SIZES.classes):
         total = 0.5 / model.total * 10 ** model.unseen[before]
-        for w, c in table.items():
-            total += (c + 0.5) / model.total * 10 ** model.gain[before, model.cls[model.vocab.look_up([w])[0]][0]]
+        for c, cls in table.values():
+            total += (c + 0.5) / model.total * 10 ** model.gain[before, cls]
         assert total == pytest.approx(1, abs=1e-6)
 
 
+def test_lm_class_scores_equal_brute_force(spark):
+    """Few own units and a small head: most words choose their class by gain, and many are scored through the join."""
+    sizes = lm.Sizes(own_units=24, endings=10, classes=6, head=80)
+    r = random.Random(9)
+    kinds = [[f"{c}{k}{r.choice('pqrs')}" for k in range(60)] for c in "abcdef"]
+    rows = [(i, " ".join(kinds[(i + j) % 6][min(int(r.expovariate(0.08)), 59)] for j in range(r.randrange(2, 60)))) for i in range(500)]
+    rows += [(1000, None), (1001, "new " * 5 + rows[3][1].upper()), (5, rows[5][1]), (1002, "a1 a1 a1 zz zz")]
+    d = frame(spark, rows)
+    model, words = lm.train(d, sizes)
+    table = {bytes(w.word): (w.c, w.cls) for w in words.collect()}
+    head = model.vocab.index
+    assert 24 < len(head) <= 80 < len(table)
+
+    def before(w):
+        return table[w][1] if w in head else model.vocab.by_ending(w)
+
+    def toks(t):
+        return [b"", *(t or "").encode().lower().split(), b""]
+    # Class bigrams, shares and lifts by plain counting.
+    train = [toks(t) for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+    n = np.zeros((6, 6))
+    for line in train:
+        for a, b in zip(line, line[1:]):
+            n[before(a), table[b][1]] += 1
+    once = np.array([sum(c == 1 and k == g for c, k in table.values()) for g in range(6)])
+    pi = (once + 1 / 6) / (once.sum() + 1)
+    share = (np.array([sum(c + 0.5 for c, k in table.values() if k == g) for g in range(6)]) + 0.5 * pi) / model.total
+    lift = (n + lm.PRIOR * share) / (n.sum(axis=1, keepdims=True) + lm.PRIOR) / share
+    assert np.allclose(np.log10(lift), model.gain)
+
+    def score(t):
+        line = toks(t)
+        return sum(math.log10((table[b][0] + 0.5) / model.total * lift[before(a), table[b][1]]) if b in table
+                   else math.log10(0.5 / model.total * float(lift[before(a)] @ pi)) for a, b in zip(line, line[1:]))
+    want = sorted((i, round(score(t), 6)) for i, t in rows)
+    got = sorted((x.doc_id, round(x.score, 6)) for x in lm.scored(d, sizes).collect())
+    for a, b in zip(got, want, strict=True):
+        assert a[0] == b[0] and a[1] == pytest.approx(b[1], abs=1e-4)
+    # Words of one kind follow words of one other kind: those that chose by gain meet in few classes.
+    often = [(w, k) for w, (c, k) in table.items() if c >= 30 and w]
+    for kind in b"abcdef":
+        cls = Counter(k for w, k in often if w[0] == kind)
+        assert cls.most_common(1)[0][1] >= 0.8 * sum(cls.values())
+
+
+def test_best_class_is_the_dense_exchange_step():
+    r = np.random.default_rng(3)
+    k, units = 5, 30
+    for _ in range(40):
+        n = np.where(r.random((units, units)) < 0.2, r.integers(1, 9, (units, units)), 0).astype(float)
+        cls = r.integers(k, size=units)
+        member = np.eye(k)[cls]
+        u = int(r.integers(units))
+        right, left = (n @ member)[u], (n.T @ member)[u]
+        rest = n.copy()
+        rest[u] = rest[:, u] = 0
+        own_r, own_l = right.copy(), left.copy()
+        own_r[cls[u]] -= n[u, u]
+        own_l[cls[u]] -= n[u, u]
+        base = member.T @ rest @ member
+        x = lm._xlogx
+
+        def value(g):
+            p = base.copy()
+            p[g] += own_r
+            p[:, g] += own_l
+            p[g, g] += n[u, u]
+            after, before = base.sum(axis=1), base.sum(axis=0)
+            return (x(p).sum() - x(after[g] + own_r.sum() + n[u, u]) + x(after[g]) - x(before[g] + own_l.sum() + n[u, u]) + x(before[g]))
+        values = [value(g) for g in range(k)]
+        new = lm.best_class(member.T @ n @ member, int(cls[u]), right, left, n[u, u])
+        assert values[new] == pytest.approx(max(values), abs=1e-6)
+
+
 def test_exchange_finds_planted_classes():
     r = np.random.default_rng(2)
     units, groups = 40, 4
