@@ -22,11 +22,12 @@ frequent endings; all other words share one. Their bigram counts cover every
 training token; there are ``units ** 2`` at most, and this table alone comes to
 the driver. Then every further word of count ``LEAST`` or more, however many
 there are, moves from the class of its ending to the class of largest gain in
-the same measure. The gain comes from the word's counts with the classes before
-and after it, which are summed in Spark, and is worked out in tasks, word by
-word. Words of fewer occurrences keep the class of their ending. As the class
-before a token, a word outside the head (below) has the class of its ending too,
-so a scan knows it without a join.
+the same measure, worked out in tasks, word by word. For words of the head
+(below) it comes from their counts with the classes before and after them; for
+all others from the classes before them, which are counted with the head's new
+classes. Words of fewer occurrences keep the class of their ending. As the class
+before a token, a word outside the head has the class of its ending too, so a
+scan knows it without a join.
 
 Counting the corpus: word counts are summed in each task and then by word, and
 grow with the input. Base scores need the count of every token. The most
@@ -164,53 +165,38 @@ def _runs(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _neighbours(sent, own: int, classes: int):
-    """(word, slot, n) for each word after the first ``own`` of the head: class before, ``classes`` + class after, itself before."""
+    """(code, n) for head words after the first ``own``: place, and class before, ``classes`` + class after, or itself before."""
     slots = 2 * classes + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab: Vocabulary = sent.value
-        names = list(vocab.index)
-        tail: Counter[tuple[bytes, int]] = Counter()
         codes, size = [], 0
-
-        def out() -> pa.RecordBatch:
-            code, n = _runs(codes)
-            words = [names[i] for i in (code // slots).tolist()] + [w for w, _ in tail]
-            slot = (code % slots).tolist() + [k for _, k in tail]
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(slot, pa.int32()),
-                                               pa.array(n.tolist() + list(tail.values()), pa.int64())], names=["word", "slot", "n"])
-
         for batch in batches:
             for text in batch.column("text"):
-                line = [END, *words_of(text.as_py()), END]
-                cls, head = vocab.look_up(line)
+                cls, head = vocab.look_up([END, *words_of(text.as_py()), END])
                 a, b = head[:-1], head[1:]
                 to, of, twice = np.flatnonzero(b >= own), np.flatnonzero(a >= own), np.flatnonzero((b >= own) & (a == b))
                 codes += [b[to] * slots + cls[to], a[of] * slots + classes + cls[of + 1], a[twice] * slots + 2 * classes]
-                size += len(to)
-                for i in np.flatnonzero(b < 0).tolist():
-                    tail[line[i + 1], int(cls[i])] += 1
-                    if line[i] == line[i + 1]:
-                        tail[line[i], 2 * classes] += 1
-                for i in np.flatnonzero(a < 0).tolist():
-                    tail[line[i], classes + int(cls[i + 1])] += 1
-                if size > 1 << 20 or len(tail) >= HELD_WORDS:
-                    yield out()
+                size += 2 * len(to)
+                if size > 1 << 22:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in _runs(codes)], names=["code", "n"])
                     codes, size = [], 0
-                    tail.clear()
-        yield out()
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _runs(codes)], names=["code", "n"])
     return run
 
 
 def _class_pairs(sent, classes: int):
-    """(word, slot, n): class before and class as one number for head words (word null), class before for all other words."""
+    """(word, slot, n): the class before each word outside the head. (pair, n): classes before and of head words, as one number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab: Vocabulary = sent.value
         table, tail = np.zeros(classes * classes, np.int64), Counter()
 
-        def out(words: list, slots: list, n: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(slots, pa.int32()), pa.array(n, pa.int64())],
-                                              names=["word", "slot", "n"])
+        def out(words: list, pairs: list, slots: list, n: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(pairs, pa.int32()), pa.array(slots, pa.int32()),
+                                               pa.array(n, pa.int64())], names=["word", "pair", "slot", "n"])
+
+        def of_tail() -> pa.RecordBatch:
+            return out([w for w, _ in tail], [None] * len(tail), [k for _, k in tail], list(tail.values()))
 
         for batch in batches:
             for text in batch.column("text"):
@@ -218,14 +204,14 @@ def _class_pairs(sent, classes: int):
                 cls, head = vocab.look_up(line)
                 known = head[1:] >= 0
                 table += np.bincount((cls[:-1] * classes + cls[1:])[known], minlength=len(table))
-                for i in (np.flatnonzero(~known) + 1).tolist():
-                    tail[line[i], int(cls[i - 1])] += 1
+                rest = np.flatnonzero(~known)
+                tail.update(zip([line[i + 1] for i in rest.tolist()], cls[rest].tolist(), strict=True))
                 if len(tail) >= HELD_WORDS:
-                    yield out([w for w, _ in tail], [k for _, k in tail], list(tail.values()))
+                    yield of_tail()
                     tail.clear()
-        yield out([w for w, _ in tail], [k for _, k in tail], list(tail.values()))
+        yield of_tail()
         seen = np.flatnonzero(table)
-        yield out([None] * len(seen), seen.tolist(), table[seen].tolist())
+        yield out([None] * len(seen), seen.tolist(), [0] * len(seen), table[seen].tolist())
     return run
 
 
@@ -309,27 +295,47 @@ def best_class(pairs: np.ndarray, own: int, r: np.ndarray, l: np.ndarray, self_n
     return own if gain[new] <= gain[own] + 1e-9 else new
 
 
-def _chosen(sent, sent_pairs):
+def _counted(held: pa.ListArray, length: int) -> Iterator[np.ndarray]:
+    """For each list of (slot, n) the counts by slot."""
+    ends, (slot, n) = np.cumsum(pc.list_value_length(held).to_numpy(zero_copy_only=False)), held.flatten().flatten()
+    slot, n = slot.to_numpy(), n.to_numpy()
+    for first, last in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+        counts = np.zeros(length)
+        counts[slot[first:last]] = n[first:last]
+        yield counts
+
+
+def _head_classes(sent, sent_pairs):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab, pairs = sent.value, sent_pairs.value
+        k = len(pairs)
+        for batch in batches:
+            chosen = [best_class(pairs, int(vocab.number[p]), c[k:2 * k], c[:k], c[-1])
+                      for p, c in zip(batch.column("place").to_pylist(), _counted(batch.column("held"), 2 * k + 1), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("place"), pa.array(chosen, pa.int32())], names=["place", "cls"])
+    return run
+
+
+def _tail_classes(sent, sent_pairs):
+    """Adds ``cls`` to the rows of words; those of class pairs pass."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, pairs = sent.value, sent_pairs.value
-        classes = len(pairs)
+        none = np.zeros(len(pairs))
         for batch in batches:
-            words, held = batch.column("word").to_pylist(), batch.column("held")
-            ends, (slot, n_slot) = np.cumsum(pc.list_value_length(held).to_numpy(zero_copy_only=False)), held.flatten().flatten()
-            slot, n_slot, chosen = slot.to_numpy(), n_slot.to_numpy(), []
-            for w, first, last in zip(words, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
-                n = np.zeros(2 * classes + 1)
-                n[slot[first:last]] = n_slot[first:last]
-                place = vocab.index.get(w)
-                own = vocab.by_ending(w) if place is None else int(vocab.number[place])
-                chosen.append(best_class(pairs, own, n[classes:2 * classes], n[:classes], n[-1]))
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(chosen, pa.int32())], names=["word", "chosen"])
+            cls = []
+            for w, c, counts in zip(batch.column("word").to_pylist(), batch.column("c").to_pylist(),
+                                    _counted(batch.column("held"), len(pairs)), strict=True):
+                own = None if w is None else vocab.by_ending(w)
+                cls.append(own if w is None or c < LEAST else best_class(pairs, own, none, counts, 0.0))
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("word", "pair", "c", "held")), pa.array(cls, pa.int32())],
+                                             names=["word", "pair", "c", "held", "cls"])
     return run
 
 
 @dataclass
 class Model:
     vocab: Vocabulary
+    head_count: np.ndarray
     head_score: np.ndarray
     gain: np.ndarray
     unseen: np.ndarray
@@ -376,14 +382,15 @@ def _head(counts: DataFrame, most: int):
 
 
 def train(docs: DataFrame, sizes: Sizes = SIZES) -> tuple[Model, DataFrame]:
-    """The model, and all words with count and class (word, c, cls) on the shared folder."""
+    """The model, and the words outside the head with count and class (word, c, cls) on the shared folder."""
     spark, classes, n_units = docs.sparkSession, sizes.classes, sizes.units
     send = spark.sparkContext.broadcast
     learned = docs.filter(~held_out()).select("text")
     counts, seen = materialize(learned.mapInArrow(_count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "lm-counts",
                                [F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("types")])
     tokens, total = int(seen["tokens"]), seen["tokens"] + 0.5 * (seen["types"] + 1)
-    head_words = [bytes(w) for w in _head(counts, sizes.head)["word"]]
+    head = _head(counts, sizes.head)
+    head_words, head_count = [bytes(w) for w in head["word"]], head["c"].to_numpy(float)
     own = {w: i for i, w in enumerate(head_words[:sizes.own_units])}
     listed = spark.createDataFrame([(bytearray(w), i) for w, i in own.items()], "word binary, own int")  # at most own_units rows
     ending = F.expr(f"substring(word, greatest(1, octet_length(word) - {TAIL - 1}), {TAIL})")
@@ -399,35 +406,41 @@ def train(docs: DataFrame, sizes: Sizes = SIZES) -> tuple[Model, DataFrame]:
     cls = exchange(n, classes)
     member = np.zeros((n_units, classes))
     member[np.arange(n_units), cls] = 1
-    # Every further word of LEAST or more chooses its class by its neighbours' classes.
-    first = send(units.mapped(cls))
-    near = (learned.mapInArrow(_neighbours(first, len(own), classes), "word binary, slot int, n long").groupBy("word", "slot").agg(F.sum("n").alias("n"))
-            .groupBy("word").agg(F.collect_list(F.struct("slot", "n")).alias("held"), F.sum(F.when(F.col("slot") < classes, F.col("n"))).alias("c")))
-    gained = near.filter(F.col("c") >= LEAST).select("word", "held").mapInArrow(_chosen(first, send(member.T @ n @ member)), "word binary, chosen int")
-    by_own = spark.createDataFrame([(i, int(cls[i])) for i in own.values()], "own int, own_cls int")  # at most own_units rows
-    by_ending = spark.createDataFrame([(bytearray(e), int(cls[u])) for e, u in endings.items()], "ending binary, ending_cls int")  # at most endings rows
-    words = materialize(
-        of_ending.join(F.broadcast(by_own), "own", "left").join(F.broadcast(by_ending), "ending", "left").join(gained, "word", "left")
-        .select("word", "c", F.coalesce("own_cls", "chosen", "ending_cls", F.lit(int(cls[sizes.other]))).alias("cls")), "lm-words")
-    head = _head(words, sizes.head)  # the same words in the same order, now with their classes
-    vocab = units.mapped(cls)
-    vocab.number = head["cls"].to_numpy(np.int64)
+    seen_pairs = send(member.T @ n @ member)
+    # Further words of the head choose by the classes on both sides of them.
+    vocab, slots = units.mapped(cls), 2 * classes + 1
+    first = send(vocab)
+    near = (learned.mapInArrow(_neighbours(first, len(own), classes), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+            .groupBy(F.expr(f"code div {slots}").cast("int").alias("place")).agg(F.collect_list(F.struct(F.expr(f"cast(code % {slots} as int) AS slot"), "n")).alias("held")))
+    gained = near.mapInArrow(_head_classes(first, seen_pairs), "place int, cls int").toPandas()  # at most head rows
+    gained = gained[head_count[gained["place"].to_numpy(np.int64)] >= LEAST]
+    vocab = Vocabulary(vocab.index, vocab.number.copy(), vocab.endings, vocab.other)
+    vocab.number[gained["place"].to_numpy(np.int64)] = gained["cls"]
+    # All others choose by the class before them. None of them is hot: each makes up less than one in ``head`` tokens.
+    sent = send(vocab)
+    tail = (learned.mapInArrow(_class_pairs(sent, classes), "word binary, pair int, slot int, n long").repartition("word", "pair")
+            .groupBy("word", "pair", "slot").agg(F.sum("n").alias("n"))
+            .groupBy("word", "pair").agg(F.sum("n").alias("c"), F.collect_list(F.struct("slot", "n")).alias("held")))
+    kind = "word binary, pair int, c long, held array<struct<slot: int, n: long>>, cls int"
+    tail = materialize(tail.mapInArrow(_tail_classes(sent, seen_pairs), kind), "lm-words")
+    words = tail.filter("word is not null").select("word", "c", "cls")
+    before = tail.filter("word is not null").select("cls", F.explode("held").alias("h")).select((F.col("h.slot") * classes + F.col("cls")).alias("pair"), F.col("h.n").alias("c"))
+    found = tail.filter("pair is not null").select("pair", "c").unionByName(before).groupBy("pair").agg(F.sum("c").alias("n")).toPandas()  # classes ** 2 rows
+    bigrams = np.zeros(classes * classes)
+    bigrams[found["pair"].to_numpy(np.int64)] = found["n"]
+    bigrams = bigrams.reshape(classes, classes)
     per_class = words.groupBy("cls").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("types"), F.count_if(F.col("c") == 1).alias("once")).toPandas()
     mass, once = np.zeros(classes), np.zeros(classes)
     at = per_class["cls"].to_numpy(np.int64)
     mass[at] = per_class["c"].to_numpy(float) + 0.5 * per_class["types"].to_numpy(float)
     once[at] = per_class["once"].to_numpy(float)
+    np.add.at(mass, vocab.number, head_count + 0.5)
+    np.add.at(once, vocab.number, head_count == 1)
     pi = (once + 1 / classes) / (once.sum() + 1)
     share = (mass + 0.5 * pi) / total
-    found = learned.mapInArrow(_class_pairs(send(vocab), classes), "word binary, slot int, n long").groupBy("word", "slot").agg(F.sum("n").alias("n"))
-    slot = F.when(F.col("cls").isNull(), F.col("slot")).otherwise(F.col("slot") * classes + F.col("cls"))
-    found = found.join(words, "word", "left").groupBy(slot.alias("pair")).agg(F.sum("n").alias("n")).toPandas()  # classes ** 2 rows
-    bigrams = np.zeros(classes * classes)
-    bigrams[found["pair"].to_numpy(np.int64)] = found["n"]
-    bigrams = bigrams.reshape(classes, classes)
     after = (bigrams + PRIOR * share) / (bigrams.sum(axis=1, keepdims=True) + PRIOR)
     lift = after / share
-    return Model(vocab, np.log10((head["c"].to_numpy(float) + 0.5) / total), np.log10(lift), np.log10(lift @ pi), tokens, total), words
+    return Model(vocab, head_count, np.log10((head_count + 0.5) / total), np.log10(lift), np.log10(lift @ pi), tokens, total), words
 
 
 def scored(docs: DataFrame, sizes: Sizes = SIZES) -> DataFrame:

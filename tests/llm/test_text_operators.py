@@ -356,10 +356,18 @@ def test_lm_base_scores_equal_brute_force(spark):
     assert only[0].train_tokens == 0 and only[0].base_score == pytest.approx(0, abs=1e-9)
 
 
+def lm_table(model, words):
+    """Count and class of every training word."""
+    head = {w: (int(c), int(k)) for w, c, k in zip(model.vocab.index, model.head_count, model.vocab.number, strict=True)}
+    rest = {bytes(r.word): (r.c, r.cls) for r in words.collect()}
+    assert not head.keys() & rest.keys()
+    return head | rest
+
+
 def test_lm_probabilities_sum_to_one(spark):
     rows = [(i, f"a{i % 7} b{i % 11} c{i % 3}") for i in range(120)]
     model, words = lm.train(frame(spark, rows))
-    table = {bytes(r.word): (r.c, r.cls) for r in words.collect()}
+    table = lm_table(model, words)
     for before in range(lm.SIZES.classes):
         total = 0.5 / model.total * 10 ** model.unseen[before]
         for c, cls in table.values():
@@ -376,7 +384,7 @@ def test_lm_class_scores_equal_brute_force(spark):
     rows += [(1000, None), (1001, "new " * 5 + rows[3][1].upper()), (5, rows[5][1]), (1002, "a1 a1 a1 zz zz")]
     d = frame(spark, rows)
     model, words = lm.train(d, sizes)
-    table = {bytes(w.word): (w.c, w.cls) for w in words.collect()}
+    table = lm_table(model, words)
     head = model.vocab.index
     assert 24 < len(head) <= 80 < len(table)
 
