@@ -13,6 +13,10 @@ from stockmap.session import materialize
 
 #: Candidate pairs that one ring of distances may have (see ``allocate_transfers``).
 RING_PAIRS = 20_000_000
+#: Candidate pairs that a ring should have for each site that still needs or gives, but for small rings of ``RING_LEAST``.
+RING_PAIRS_PER_SITE, RING_LEAST = 64, 400_000
+#: Rounds between two writes of the open pairs.
+ROUNDS_PER_WRITE = 2
 #: Rings are not made narrower than this many km.
 NARROWEST = 1.0
 
@@ -31,34 +35,48 @@ def _meeting(receivers: DataFrame, donors: DataFrame, radius: float, counted: bo
     return probes.join(cell_levels(donors, "d_lat", "d_lon", levels), cells).drop(*cells)
 
 
-def _settle(pairs: DataFrame) -> DataFrame:
-    """Final quantities over ``pairs`` (receiver, donor, distance_km, need, surplus): the closest pairs first.
+def _half(pairs: DataFrame, own: str, other: str) -> DataFrame:
+    """One half round, seen from side ``own``: its leading pairs that come first for their ``other`` are final.
 
-    Rounds of bids. A receiver bids for what it needs to its donors by
-    distance, up to what each may still give it (``cap``). A donor takes its
-    bids by distance until its surplus is gone and cuts the caps of the others,
-    who bid further away in the next round. Bids to a donor only grow and caps
-    only fall, so a cut is final; without a cut the bids are the result. It is
-    what a single pass over all pairs by distance would give.
+    Rows: receiver, donor, distance_km, need, surplus (before any of ``pairs``),
+    quantity (null until final) and what the half before has left in ``left``
+    and ``first`` about the other side.
     """
-    by_receiver = Window.partitionBy("receiver").orderBy("distance_km", "donor").rowsBetween(Window.unboundedPreceding, -1)
-    by_donor = Window.partitionBy("donor").orderBy("distance_km", "receiver").rowsBetween(Window.unboundedPreceding, -1)
-    none = F.lit(0).cast("bigint")
+    whole = Window.partitionBy(own).orderBy("distance_km", other)
+    upto, earlier = (whole.rowsBetween(Window.unboundedPreceding, n) for n in (0, -1))
+    every = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    total, none = F.col("need" if own == "receiver" else "surplus"), F.lit(0).cast("bigint")
+    p = pairs.withColumn("_left", total - F.coalesce(F.sum("quantity").over(every), none))
+    p = p.withColumn("_live", F.col("quantity").isNull() & (F.col("_left") > 0) & (F.col("left") > 0))
+    p = p.withColumn("_now", F.col("_live") & (F.count_if(F.col("_live") & ~F.col("first")).over(upto) == 0))
+    before = F.coalesce(F.sum(F.when(F.col("_now"), F.col("left"))).over(earlier), none)
+    p = p.withColumn("_q", F.when(F.col("_now"), F.greatest(none, F.least("left", F.col("_left") - before))))
+    p = p.withColumn("_left", F.col("_left") - F.coalesce(F.sum("_q").over(every), none))
+    p = p.withColumn("_live", F.col("_live") & ~F.col("_now") & (F.col("_left") > 0))
+    p = p.withColumn("_first", F.col("_live") & (F.count_if("_live").over(upto) == 1))
+    p = p.withColumn("quantity", F.coalesce("quantity", "_q")).where(F.col("_live") | (F.col("quantity") > 0))
+    return p.select("receiver", "donor", "distance_km", "need", "surplus", "quantity", F.col("_left").alias("left"), F.col("_first").alias("first"))
+
 
-    def within(total, window, limit):
-        left = total - F.coalesce(F.sum(limit).over(window), none)
-        return F.greatest(none, F.least(F.col(limit), left))
+def _settle(pairs: DataFrame) -> DataFrame:
+    """Final quantities over ``pairs`` (receiver, donor, distance_km, need, surplus): the closest pairs first.
 
-    state = pairs.withColumn("cap", F.least("need", "surplus"))
+    A pair is final once all closer pairs of its receiver and of its donor are.
+    Half rounds take turns: a donor gives to its closest receivers as long as
+    each of them has no closer pair left, then receivers take from their
+    closest donors that have no closer pair left. Either may settle many pairs
+    at once, and a settled pair ends one of its sides with all other pairs of
+    that side, so few pairs are left after some rounds. What a half round does
+    not know yet of the other side only delays a pair. It is what a single pass
+    over all pairs by distance would give.
+    """
+    state = pairs.withColumns({"quantity": F.lit(None).cast("bigint"), "left": F.col("surplus"), "first": F.lit(False)})
     while True:
-        bids = state.withColumn("bid", within(F.col("need"), by_receiver, "cap"))
-        held = bids.withColumn("held", within(F.col("surplus"), by_donor, "bid"))
-        cut = F.col("held") < F.col("bid")
-        state, seen = materialize(held.withColumn("cap", F.when(cut, F.col("held")).otherwise(F.col("cap"))).withColumn("cut", cut),
-                                  "transfer-round", [F.count_if("cut").alias("cuts")])
-        if not seen["cuts"]:
-            return state.where(F.col("bid") > 0).select("receiver", "donor", "distance_km", F.col("bid").alias("quantity"))
-        state = state.where(F.col("cap") > 0).drop("bid", "held", "cut")
+        for _ in range(ROUNDS_PER_WRITE):
+            state = _half(_half(state, "receiver", "donor"), "donor", "receiver")
+        state, seen = materialize(state, "transfer-round", [F.count_if(F.col("quantity").isNull()).alias("open")])
+        if not seen["open"]:
+            return state.select("receiver", "donor", "distance_km", "quantity")
 
 
 def allocate_transfers(metrics: DataFrame, target_per_1000: float = 75.0, max_km: float = 250.0, ring_pairs: int = RING_PAIRS) -> DataFrame:
@@ -74,9 +92,11 @@ def allocate_transfers(metrics: DataFrame, target_per_1000: float = 75.0, max_km
     receiver_need, donor_surplus (both before any transfer). Pairs come from a
     grid join in rings of distance: what the rule does up to some distance does
     not depend on pairs beyond it, and after a ring one side of each of its
-    pairs is done. A ring ends where its candidate pairs, counted per cell
-    beforehand, reach ``ring_pairs`` (rings are at least ``NARROWEST`` km
-    wide), so the pairs written at once follow from that and not from the table.
+    pairs is done. So sites that find enough nearby meet nobody further away:
+    a ring ends where its candidate pairs, counted per cell beforehand, reach
+    ``RING_PAIRS_PER_SITE`` for each site still open (at least ``RING_LEAST``,
+    at most ``ring_pairs``; rings are at least ``NARROWEST`` km wide). The pairs
+    written at once follow from the open sites and not from all sites in reach.
     Sites without coordinates or stock figures neither give nor get.
     """
     gap = F.col("total_doses") - F.lit(target_per_1000) * F.col("total_population_served") / 1000
@@ -88,8 +108,9 @@ def allocate_transfers(metrics: DataFrame, target_per_1000: float = 75.0, max_km
                                                       "surplus", F.col("surplus").alias("donor_surplus"))
     spark, done, inner = metrics.sparkSession, None, -1.0
     while inner < max_km:
-        outer = max_km
-        while (n := _meeting(receivers, donors, outer, counted=True).first()["pairs"] or 0) > ring_pairs and outer - max(inner, 0.0) > NARROWEST:
+        outer = min(max_km, 4 * inner) if inner > 0 else max_km
+        aim = min(ring_pairs, max(RING_LEAST, RING_PAIRS_PER_SITE * (receivers.count() + donors.count())))
+        while (n := _meeting(receivers, donors, outer, counted=True).first()["pairs"] or 0) > aim and outer - max(inner, 0.0) > NARROWEST:
             outer = max(inner, 0.0) + max(NARROWEST, (outer - max(inner, 0.0)) / 2)
         if not n and outer == max_km:
             break

@@ -48,6 +48,20 @@ def test_allocation_equals_one_pass_over_all_pairs(spark, seed, ring_pairs):
         assert sum(x[3] for x in got if x[1] == d) <= has
 
 
+@pytest.mark.parametrize("near", [al.RING_LEAST, 400])
+def test_many_sites_are_settled_in_few_rounds(spark, monkeypatch, near):
+    """Scarce donors: cutting bids one after another took a round for each link of a chain of sites."""
+    written, write = [], al.materialize
+    monkeypatch.setattr(al, "materialize", lambda df, name, *a: (written.append(name), write(df, name, *a))[1])
+    monkeypatch.setattr(al, "RING_LEAST", near)
+    monkeypatch.setattr(al, "RING_PAIRS_PER_SITE", 1, raising=False)
+    r = random.Random(11)
+    rows = [(f"S{k:03d}", r.uniform(45.5, 49), r.uniform(-124.5, -117), r.randrange(0, 4000), r.randrange(0, 40_000)) for k in range(300)]
+    got = sorted(tuple(x) for x in al.allocate_transfers(spark.createDataFrame(rows, SITES), 75.0, 250.0).collect())
+    assert got == one_pass(rows, 75.0, 250.0)[0]
+    assert written.count("transfer-round") <= 5 * written.count("transfer-ring")
+
+
 def test_a_receiver_goes_on_to_the_next_donor(spark):
     """B is nearest to both receivers and has 10; the further receiver goes on to C, and then to nobody."""
     rows = [("A1", 0.0, 0.1, 0, 100_000), ("A2", 0.0, 0.2, 0, 200_000), ("B", 0.0, 0.0, 10_010 - 2510, 0), ("C", 0.0, 1.0, 9000, 0)]
