@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockmap.functions.text import padded
+
 TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
@@ -31,7 +33,7 @@ def code(key, mult: int) -> F.Column:
     ``mult`` has no factor in common with 100,000, so keys below it never share the five characters.
     """
     k = key.cast("bigint")
-    five = F.format_string("%05d", (k * F.lit(mult)) % 100000)
+    five = padded((k * F.lit(mult)) % 100000, 5)
     return F.when(k < 100000, five).otherwise(F.concat(five, F.lit("-"), F.floor(k / 100000).cast("string")))
 
 

@@ -52,12 +52,16 @@ def zip_prefix_filter(df: DataFrame, states: Iterable[str] = ("WA",), zip_col: s
 
     One ``startswith`` for each prefix: where the ZIP is a column of the file,
     the scan gets them as ``StringStartsWith`` filters and skips row groups.
+    A derived ZIP would be computed anew for each of them; so its start is
+    looked up in the set of prefixes before, once for each length.
     """
     prefixes = list(prefixes) if prefixes is not None else prefixes_for(states)
-    cond = F.lit(False)
+    cond, found = F.lit(False), F.lit(False)
     for p in sorted(set(prefixes)):
         cond = cond | F.col(zip_col).startswith(p)
-    return df.where(cond)
+    for n in sorted({len(p) for p in prefixes}):
+        found = found | F.substring(zip_col, 1, n).isin(*sorted({p for p in prefixes if len(p) == n}))
+    return df.where(found).where(cond)
 
 
 def zip_centroids(gazetteer: DataFrame, states: Iterable[str] = ("WA",),

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockmap.functions.geo import haversine_km, km_to_miles
+from stockmap.functions.text import padded
 from stockmap.plans.nearest import nearest_site
 from stockmap.operators.conform import NO_VALUE, OPEN_END_TS, OPEN_START_TS
 from stockmap.plans.numbering import row_number_global
@@ -420,7 +421,7 @@ def outbound_demand(customers: DataFrame, sites: DataFrame, as_of) -> DataFrame:
         F.struct(F.lit("SPIKE").alias("k"), spike_q.alias("q"), d0.alias("od"),
                  F.date_add(d0, 1).alias("rd"), F.lit("PENDING").alias("st")))
     e = c.select("id", "seq", "ship_from_site_id", F.explode(kinds).alias("_o"))
-    n = F.format_string("%03d", "seq")  # pads, never cuts
+    n = padded(F.col("seq"), 3)  # pads, never cuts
     return e.select(
         F.concat(F.lit("OUT-"), "id", F.lit("-"), "_o.k", F.lit("-"), n).alias("id"),
         F.concat(F.lit("CUST-ORDER-"), n, F.lit("-"), "_o.k").alias("cust_order_id"),

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockmap import fixtures as fx
+from stockmap.functions.text import padded
 from stockmap.operators import allocation as al
 from stockmap.operators import coverage as cov
 
@@ -336,11 +337,16 @@ def q_geography_dim(spark, sf_dir):
     return sp.geography_dim(geo_table(spark, sf_dir))
 
 
+def line_id(order_id: Column, line: Column) -> Column:
+    """``{order}-LINE-{line}``, a missing order or line as ``null``."""
+    return F.concat(F.coalesce(order_id, F.lit("null")), F.lit("-LINE-"), padded(line, 3))
+
+
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     oid = F.col("l_orderkey").cast("string")
     return li.select(
-        F.format_string("%s-LINE-%03d", oid, F.col("l_linenumber")).alias("id"),
+        line_id(oid, F.col("l_linenumber")).alias("id"),
         oid.alias("order_id"), F.col("l_partkey").cast("string").alias("product_id"),
         fx.code(F.col("l_suppkey"), 6151).alias("ship_from_site_id"))
 
@@ -425,7 +431,7 @@ def inbound_line_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                      "l_shipdate", "l_linestatus")
     oid = F.col("l_orderkey").cast("string")
     return li.select(
-        F.format_string("%s-LINE-%03d", oid, F.col("l_linenumber")).alias("id"),
+        line_id(oid, F.col("l_linenumber")).alias("id"),
         oid.alias("order_id"), F.lit(sp.CONNECTION_ID).alias("connection_id"),
         F.lit(sp.INTERNAL_PARTNER).alias("tpartner_id"), F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_quantity").cast("bigint").alias("quantity_submitted"),
@@ -554,10 +560,10 @@ def validation_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def publish_for_validation(spark: SparkSession, sf_dir: str) -> str:
-    """The derived datasets written as header CSV: the lake's folder."""
+    """The derived datasets written as header CSV: the lake's folder. Compressed, as their text is long and repetitive."""
     root = _scratch(spark, "validate")
     frames = validation_frames(spark, sf_dir)
-    run_side_by_side(spark, *[lambda n=n, df=df: fs.publish(df, n, root, "20240101_000000") for n, df in frames.items()])
+    run_side_by_side(spark, *[lambda n=n, df=df: fs.publish(df, n, root, "20240101_000000", gzip=True) for n, df in frames.items()])
     return root
 
 

@@ -39,6 +39,22 @@ def test_coercion(spark):
     assert got[-1] is None
 
 
+def test_derived_zips_are_looked_up_before_each_prefix_is_tried(spark):
+    """Each ``startswith`` computes a derived ZIP again; of 23 prefixes most rows have none."""
+    df = spark.createDataFrame([("98101",), ("1",), (None,), ("99",), ("12345",), ("9",)], "z string").select(F.concat("z", F.lit("-0")).alias("zip_code"))
+    got = cov.zip_prefix_filter(df, prefixes=["98", "99", "123", "1-"])
+    assert sorted(r[0] for r in got.collect()) == ["1-0", "12345-0", "98101-0", "99-0"]
+    assert cov.zip_prefix_filter(df, prefixes=[]).count() == 0 and cov.zip_prefix_filter(df, prefixes=[""]).count() == 5
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.index("substring(") < plan.index("StartsWith(")
+
+
+def test_padded_numbers_are_those_of_format_string(spark):
+    from stockmap.functions.text import padded
+    df = spark.createDataFrame([(0,), (7,), (999,), (1000,), (-5,), (None,), (123456,)], "n bigint")
+    assert df.select(padded(F.col("n"), 3) == F.format_string("%03d", "n")).distinct().collect() == [(True,)]
+
+
 def test_prefix_filter(spark):
     df = spark.createDataFrame([("98101",), ("99201",), ("97000",), ("10001",)], "zip_code string")
     assert sorted(r[0] for r in cov.zip_prefix_filter(df, ["WA"]).collect()) == ["98101", "99201"]
