@@ -56,6 +56,12 @@ def dataset_dir(root: str, name: str) -> str:
 
 # ---------------------------------------------------------------- S1, S4: CSV datasets
 
+#: CSV files of a folder, as they are or compressed.
+CSV_FILES, _CSV_ENDS = "{*.csv,*.csv.gz}", (".csv", ".csv.gz")
+#: Rows of a compressed file at most.
+GZIP_ROWS = 1_000_000
+
+
 def read_dataset(spark: SparkSession, name: str | DatasetSpec, path: str, *, as_strings: bool = False) -> DataFrame:
     """Header CSV with the declared schema.
 
@@ -66,18 +72,25 @@ def read_dataset(spark: SparkSession, name: str | DatasetSpec, path: str, *, as_
     s = spec(name) if isinstance(name, str) else name
     return (spark.read.schema(s.string_schema if as_strings else s.schema)
             .option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
-            .option("pathGlobFilter", "*.csv").csv(path))
+            .option("pathGlobFilter", CSV_FILES).csv(path))
 
 
 def read_header_csv(spark: SparkSession, path: str | list[str], base: str | None = None) -> DataFrame:
     """Header CSV with whatever columns it has, all strings (used by validation); folders below ``base`` give columns."""
-    reader = spark.read.option("header", True).option("inferSchema", False).option("pathGlobFilter", "*.csv")
+    reader = spark.read.option("header", True).option("inferSchema", False).option("pathGlobFilter", CSV_FILES)
     return (reader.option("basePath", base) if base else reader).csv(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Header CSV, one file per partition, no index column. Dates as ISO text, blanks around values as they are."""
-    df.write.mode(mode).option("header", True).option("dateFormat", "yyyy-MM-dd") \
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", gzip: bool = False) -> None:
+    """Header CSV, one file per partition, no index column. Dates as ISO text, blanks around values as they are.
+
+    With ``gzip`` files are ``*.csv.gz`` (fastest level). One such file is read
+    by one task, so none holds more than ``GZIP_ROWS`` rows.
+    """
+    w = df.write.mode(mode)
+    if gzip:
+        w = w.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", GZIP_ROWS)
+    w.option("header", True).option("dateFormat", "yyyy-MM-dd") \
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False) \
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss'Z'").csv(path)
 
@@ -180,8 +193,8 @@ def visible_loads(spark: SparkSession, base: str) -> dict[str, str]:
     return {x.removeprefix("load_ts="): x for x in child_names(spark, base) if x.startswith("load_ts=")}
 
 
-def publish(df: DataFrame, name: str, root: str, load_ts: str, replace: bool = False) -> str:
-    """Publish one load of a dataset as ``{root}/wa_{name}/load_ts={load_ts}/*.csv``.
+def publish(df: DataFrame, name: str, root: str, load_ts: str, replace: bool = False, gzip: bool = False) -> str:
+    """Publish one load of a dataset as ``{root}/wa_{name}/load_ts={load_ts}/*.csv`` (``*.csv.gz`` with ``gzip``).
 
     Each load is a new folder, so earlier loads stay readable and a flow can
     pick up the new one alone. A load is written aside, moved into place when
@@ -205,7 +218,7 @@ def publish(df: DataFrame, name: str, root: str, load_ts: str, replace: bool = F
     seen = Observation(f"publish-{name}-{uuid.uuid4().hex[:8]}")
     # Header CSV has no empty texts: readers see them as nulls.
     counts = [F.count_if(F.coalesce(F.col(f).cast("string"), F.lit("")) == "").alias(f"n_{f}") for f in spec(name).required if f in df.columns]
-    write_csv(df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), aside)
+    write_csv(df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), aside, gzip=gzip)
     profile = {"fields": df.columns, "counts": seen.get, **_file_sizes(spark, aside)}
     folder = f"load_ts={load_ts}"
     if folder in before.values():
@@ -224,9 +237,9 @@ def publish(df: DataFrame, name: str, root: str, load_ts: str, replace: bool = F
 
 
 def _file_sizes(spark: SparkSession, folder: str) -> dict[str, int]:
-    """Number and bytes of the ``*.csv`` files in a folder, from its listing."""
+    """Number and bytes of the CSV files in a folder, from its listing."""
     fs, p = _fs_path(spark, folder)
-    sizes = [x.getLen() for x in fs.listStatus(p) if x.getPath().getName().endswith(".csv")] if fs.exists(p) else []
+    sizes = [x.getLen() for x in fs.listStatus(p) if x.getPath().getName().endswith(_CSV_ENDS)] if fs.exists(p) else []
     return {"files": len(sizes), "bytes": sum(sizes)}
 
 
@@ -251,7 +264,7 @@ def load_profiles(spark: SparkSession, name: str, root: str) -> list[dict] | Non
 
 # ---------------------------------------------------------------- S7, A9: manifests
 
-def list_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
+def list_files(spark: SparkSession, root: str, glob: str = CSV_FILES) -> DataFrame:
     """One row per file under ``root``: path, modificationTime, length. Contents are not read."""
     if not path_exists(spark, root):
         return spark.createDataFrame([], "path string, modificationTime timestamp, length long")
@@ -302,7 +315,7 @@ def file_inventory(spark: SparkSession, root: str, datasets=DATASET_ORDER) -> Da
 # ---------------------------------------------------------------- S8: read back
 
 def read_lake(spark: SparkSession, name: str, root: str, snapshot: str = "all") -> DataFrame:
-    """A dataset read back from the lake. Only ``*.csv`` files, markers skipped.
+    """A dataset read back from the lake. Only CSV files, plain or gzip, markers skipped.
 
     Only loads that the dataset's manifest names are read (see ``publish``), so
     a replace that is under way or was lost is never seen in part.
@@ -317,12 +330,12 @@ def read_lake(spark: SparkSession, name: str, root: str, snapshot: str = "all")
     schema = T.StructType([*spec(name).schema.fields, T.StructField("load_ts", T.StringType())])
     held = [(ts, f) for ts, f in sorted(visible_loads(spark, base).items(), reverse=True)]
     if snapshot == "latest":
-        newest = next((x for x in held if any(n.endswith(".csv") for n in child_names(spark, f"{base}/{x[1]}"))), None)
+        newest = next((x for x in held if any(n.endswith(_CSV_ENDS) for n in child_names(spark, f"{base}/{x[1]}"))), None)
         held = [newest] if newest else []
     if not held:
         return spark.createDataFrame([], schema)
     df = (spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
-          .option("pathGlobFilter", "*.csv").option("basePath", base).csv([f"{base}/{f}" for _, f in held]))
+          .option("pathGlobFilter", CSV_FILES).option("basePath", base).csv([f"{base}/{f}" for _, f in held]))
     return df.withColumn("load_ts", F.regexp_replace("load_ts", _REVISION, ""))
 
 

@@ -85,3 +85,29 @@ def test_row_number_global_matches_window(spark):
     d = {r.id: r.rn for r in df.withColumn("rn", F.row_number().over(
         Window.partitionBy("g").orderBy("k", "id"))).collect()}
     assert c == d
+
+
+def test_compressed_loads_are_read_counted_and_listed_like_plain_ones(spark, tmp, monkeypatch):
+    import os
+    monkeypatch.setattr(fs, "GZIP_ROWS", 40)
+    df = spark.range(100, numPartitions=1).selectExpr("concat('P', id) AS id", "CASE WHEN id % 9 > 0 THEN 'some long text, of many rows' END AS description")
+    sizes = {}
+    for gz in (False, True):
+        root = f"{tmp}/{gz}"
+        folder = fs.publish(df, "product", root, "20240101_000000", gzip=gz)
+        sizes[gz] = [os.path.getsize(f"{folder}/{x}") for x in os.listdir(folder) if x.endswith(".csv.gz" if gz else ".csv")]
+        assert sorted(map(tuple, fs.read_loads_as_text(spark, "product", root).select("id", "description").collect())) == sorted(map(tuple, df.collect()))
+        assert fs.load_profiles(spark, "product", root)[0]["counts"]["rows"] == 100 and fs.manifest(spark, root).count() == len(sizes[gz])
+        assert failures(va.validate_published(spark, root, ["product"])) == [("product", "nulls", "description", "Field 'description' has 12 null values")]
+        assert [tuple(r) for r in va.dataset_profile(spark, va.open_datasets(spark, root), ["product"]).collect()] == [("product", 100, 2, "id", 0)]
+    assert len(sizes[True]) == 3 and sum(sizes[True]) < sum(sizes[False]) / 2
+
+
+def test_datasets_are_published_for_validation_in_few_bytes(spark):
+    import os
+
+    from conftest import SF
+    from stockmap import queries as q
+    root = q.publish_for_validation(spark, SF).removeprefix("file:")
+    found = [x for _, _, files in os.walk(root) for x in files if x.startswith("part-")]
+    assert found and all(x.endswith(".csv.gz") for x in found)
