@@ -190,11 +190,11 @@ def event_batches(payloads: DataFrame, group_ts: str, batch_size: int = BATCH_SI
     return as_events(joined_pieces(batch_pieces(n, batch_size), batch_size), group_ts)
 
 
-def numbered_records(payloads: DataFrame, order: list[str]) -> DataFrame:
-    """(dataset, payload, rn) of the records that are sent, numbered per dataset in ``order``."""
+def numbered_records(payloads: DataFrame, order: list[str], reread: bool = False) -> DataFrame:
+    """(dataset, payload, rn) of the records that are sent, numbered per dataset in ``order`` (``reread``: see ``row_number_global``)."""
     from stockmap.plans.numbering import row_number_global
     sent = split_routed(payloads)[0].select("dataset", "payload", *[c for c in order if c != "payload"])
-    n = row_number_global(sent, order, "_rn", within="dataset")
+    n = row_number_global(sent, order, "_rn", within="dataset", reread=reread)
     return n.select("dataset", "payload", F.col("_rn").cast("long").alias("rn"))
 
 
@@ -205,11 +205,14 @@ def batch_pieces(numbered: DataFrame, batch_size: int) -> DataFrame:
 
 def joined_pieces(pieces: DataFrame, batch_size: int) -> DataFrame:
     """One row for each batch; only pieces shorter than a batch are shuffled."""
-    whole = F.col("records") == batch_size
-    torn = pieces.where(~whole).groupBy("dataset", "batch_no").agg(
+    return pieces.where(F.col("records") == batch_size).unionByName(torn_batches(pieces, batch_size))
+
+
+def torn_batches(pieces: DataFrame, batch_size: int) -> DataFrame:
+    """The batches that lie in several pieces or are not full: two for each task and dataset at most."""
+    torn = pieces.where(F.col("records") != batch_size).groupBy("dataset", "batch_no").agg(
         F.min("first").alias("first"), F.sum("records").alias("records"), F.array_sort(F.collect_list(F.struct("first", "data"))).alias("_p"))
-    torn = torn.withColumn("data", F.array_join(F.transform("_p", lambda x: x["data"]), ",")).drop("_p")
-    return pieces.where(whole).unionByName(torn)
+    return torn.withColumn("data", F.array_join(F.transform("_p", lambda x: x["data"]), ",")).drop("_p")
 
 
 def as_events(batches: DataFrame, group_ts: str) -> DataFrame:

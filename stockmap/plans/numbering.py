@@ -30,20 +30,21 @@ def running_total(df: DataFrame, order: Sequence[str], value: str, name: str) ->
 
 
 def row_number_global(df: DataFrame, order: Sequence[Column | str], name: str = "rn",
-                      within: str | None = None) -> DataFrame:
+                      within: str | None = None, reread: bool = False) -> DataFrame:
     """Append ``name`` = 1, 2, … in ``order`` (ties broken by the order columns given).
 
     With ``within`` the numbering restarts for each value of that column
     (rows are sorted by it first). Offsets come from per-(partition, value)
     counts, so a hot group is still spread over many tasks and there is no
-    per-group window over the data.
+    per-group window over the data. ``reread``: ``df`` is little more than a
+    scan of files, read twice by the sort rather than written once more.
     """
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     if within is not None:
         cols = [F.col(within)] + cols
     # The range sort reads its input twice (boundary sample, then the sort):
     # it is written to the shared folder first, where a lost executor loses nothing.
-    tagged = materialize(materialize(df, "rownum-in").orderBy(*cols)
+    tagged = materialize((df if reread else materialize(df, "rownum-in")).orderBy(*cols)
                          .withColumn("_pid", F.spark_partition_id())
                          .withColumn("_mono", F.monotonically_increasing_id()), "rownum")
     # Counts per (partition, group): a table of #partitions × #groups rows. The

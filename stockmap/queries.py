@@ -784,7 +784,7 @@ def q_event_batches_arriving(spark, sf_dir):
     for n in range(3):
         u.where(load == n).write.parquet(f"{base}/src/p{n}")
         stream = spark.readStream.schema(u.schema).option("recursiveFileLookup", True).parquet(f"{base}/src")
-        ba.batch_stream(stream, f"{base}/target", f"{base}/ckpt", order=["record_key", "payload"])
+        ba.batch_stream(stream, f"{base}/target", f"{base}/ckpt", order=["record_key", "payload"], reread=True)
     return ba.read_batches(spark, f"{base}/target", GROUP_TS)
 
 

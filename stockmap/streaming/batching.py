@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockmap.operators.conform import BATCH_SIZE, PIECE_SCHEMA, as_events, batch_pieces, joined_pieces, numbered_records
+from stockmap.operators.conform import BATCH_SIZE, PIECE_SCHEMA, as_events, batch_pieces, numbered_records, torn_batches
 from stockmap.session import materialize
 from stockmap.sources import commits
 from stockmap.sources.files import child_names, delete_path
@@ -31,12 +31,15 @@ from stockmap.streaming.flows import finish, stream_id
 
 
 def add_records(payloads: DataFrame, batch_id: int, target: str, *, order: Sequence[str], batch_size: int = BATCH_SIZE,
-                stream: str = "batch") -> bool:
+                stream: str = "batch", reread: bool = False) -> bool:
     """Add one micro-batch of ``stream`` (dataset, record_key, payload) to ``target``. False when it was already committed.
 
     Records of datasets that are not sent are left out (``conform.split_routed``
     gives them). The ids of a stream's micro-batches rise. Records that are
-    equal in all of ``order`` take any order among themselves.
+    equal in all of ``order`` take any order among themselves. ``reread``:
+    ``payloads`` is little more than a scan of files, which is read twice.
+    Full pieces go from their table to the closed batches as they are; only
+    those across two tasks or micro-batches are written in between.
     """
     spark = payloads.sparkSession
     state = commits.current(spark, target)
@@ -45,21 +48,21 @@ def add_records(payloads: DataFrame, batch_id: int, target: str, *, order: Seque
         raise ValueError(f"{target} was written with batches of {body['batch_size']} records, not {batch_size}")
     if batch_id <= body["streams"].get(stream, -1):
         return False
-    numbered = numbered_records(payloads, list(order))
+    numbered = numbered_records(payloads, list(order), reread=reread)
     if body["last"]:
         last = F.create_map(*[F.lit(x) for kv in body["last"].items() for x in kv])
         numbered = numbered.withColumn("rn", F.col("rn") + F.coalesce(last[F.col("dataset")], F.lit(0)))
     pieces = batch_pieces(numbered, batch_size)
     if body["open"]:
         pieces = pieces.unionByName(_read(spark, f"{target}/open/{body['open']}"))
-    batches = materialize(joined_pieces(pieces, batch_size), "event-batches")
+    torn = materialize(torn_batches(pieces, batch_size), "event-batches")
     # One row for each dataset that is sent.
-    reached = batches.groupBy("dataset").agg(F.max(F.col("first") + F.col("records") - 1).alias("n")).collect()
+    reached = pieces.groupBy("dataset").agg(F.max(F.col("first") + F.col("records") - 1).alias("n")).collect()
     write = f"{stream}-{batch_id}-{uuid.uuid4().hex[:10]}"
     whole = F.col("records") == batch_size
-    batches.where(~whole).coalesce(1).write.parquet(f"{target}/open/{write}")
+    torn.where(~whole).coalesce(1).write.parquet(f"{target}/open/{write}")
     # A folder for each stream and micro-batch: a replay writes over what its lost try left there.
-    batches.where(whole).write.mode("overwrite").parquet(f"{target}/closed/_stream={stream}/_batch={batch_id}")
+    pieces.where(whole).unionByName(torn.where(whole)).write.mode("overwrite").parquet(f"{target}/closed/_stream={stream}/_batch={batch_id}")
     commits.commit(spark, target, state, {
         **body, "open": write, "last": {**body["last"], **{r["dataset"]: r["n"] for r in reached}},
         "streams": {**body["streams"], stream: batch_id}})
@@ -93,10 +96,10 @@ def read_batches(spark: SparkSession, target: str, group_ts: str) -> DataFrame:
 
 
 def batch_stream(stream: DataFrame, target: str, checkpoint_dir: str, *, order: Sequence[str], batch_size: int = BATCH_SIZE,
-                 timeout_s: float | None = None) -> None:
+                 timeout_s: float | None = None, reread: bool = False) -> None:
     """Run a stream of (dataset, record_key, payload) to completion (availableNow), adding each micro-batch to ``target``."""
     def add(df: DataFrame, batch_id: int) -> None:
-        add_records(df, batch_id, target, order=order, batch_size=batch_size, stream=stream_id(df.sparkSession, checkpoint_dir))
+        add_records(df, batch_id, target, order=order, batch_size=batch_size, stream=stream_id(df.sparkSession, checkpoint_dir), reread=reread)
 
     q = stream.writeStream.foreachBatch(add).trigger(availableNow=True).option("checkpointLocation", checkpoint_dir).start()
     finish(q, timeout_s)

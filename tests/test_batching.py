@@ -40,6 +40,24 @@ def test_split_arrivals_give_the_batches_of_one_run(spark, tmp):
         assert len(os.listdir(f"{tmp}/{name}/open")) <= 2
 
 
+@pytest.mark.parametrize("reread", [False, True])
+def test_full_batches_are_not_written_in_between(spark, tmp, monkeypatch, reread):
+    written, write = {}, ba.materialize
+
+    def keep(df, name):
+        written[name] = write(df, name)
+        return written[name]
+
+    monkeypatch.setattr(ba, "materialize", keep)
+    r = records(spark, 6000)
+    for i, part in enumerate((r.where("record_key < '000777'"), r.where("record_key >= '000777'"))):
+        assert ba.add_records(part, i, f"{tmp}/t", order=ORDER, reread=reread)
+    got = ba.read_batches(spark, f"{tmp}/t", TS)
+    assert rows(got) == rows(cf.event_batches(r, TS)) and got.count() == 60
+    # At most the first and last batch of a dataset in each of eight tasks; it was all 53 of the last micro-batch.
+    assert written["event-batches"].count() <= 32
+
+
 def test_stream_resumes_with_the_open_batch(spark, tmp):
     r = records(spark, 700)
     for i, (a, b) in enumerate(((0, 150), (150, 151), (151, 700))):
