@@ -29,7 +29,8 @@ classes. Words of fewer occurrences keep the class of their ending. As the class
 before a token, a word outside the head has the class of its ending too, so a
 scan knows it without a join.
 
-Counting the corpus: word counts are summed in each task and then by word, and
+Counting the corpus: texts are split and looked up some megabytes at a time
+(``lines``). Word counts are summed for each such piece and then by word, and
 grow with the input. Base scores need the count of every token. The most
 frequent words, ``head`` at most, are broadcast and looked up in the scan; all
 other words go out as (row, word, times) and meet the counts in a join by
@@ -43,9 +44,9 @@ counts; an empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -63,8 +64,10 @@ TAIL, SWEEPS = 3, 12
 #: Words of this count or more get a class of their own choice.
 LEAST = 4
 PRIOR = 4.0
-#: Distinct words that a task holds before it hands on its counts.
-HELD_WORDS = 300_000
+#: Bytes of text that are split at once, if no single text is longer.
+PIECE = 8 << 20
+#: Cells of changes that are summed at once.
+CELLS = 1 << 22
 END = b""
 
 
@@ -97,22 +100,6 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == HELD_OUT, F.lit(True))
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[bytes] = Counter()
-
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], names=["word", "c"])
-
-    for batch in batches:
-        for text in batch.column("text"):
-            counts.update(words_of(text.as_py()))
-            counts[END] += 1
-            if len(counts) >= HELD_WORDS:
-                yield out()
-                counts.clear()
-    yield out()
-
-
 @dataclass
 class Vocabulary:
     """Broadcast tables of fixed size: a number (unit or class) for each head word and for each frequent ending."""
@@ -127,31 +114,88 @@ class Vocabulary:
     def mapped(self, to: np.ndarray) -> Vocabulary:
         return Vocabulary(self.index, to[self.number], {e: int(to[u]) for e, u in self.endings.items()}, int(to[self.other]))
 
-    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    @cached_property
+    def _arrays(self) -> tuple[pa.Array, np.ndarray, pa.Array, np.ndarray]:
+        """Head words, frequent endings, and the numbers of both, at the last place the number of none of them."""
+        return (pa.array([*self.index], pa.binary()), np.append(self.number, self.other).astype(np.int32),
+                pa.array([*self.endings], pa.binary()), np.array([*self.endings.values(), self.other], np.int32))
+
+    def look_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of ``words``, and their places in the head (-1: not in it)."""
-        get = self.index.get
-        head = np.array([get(w, -1) for w in words], np.int64)
-        numbers = np.where(head >= 0, self.number[head], self.other) if len(self.number) else np.full(len(words), self.other)
-        rest = np.flatnonzero(head < 0)
-        numbers[rest] = [self.by_ending(words[i]) for i in rest]
+        head_words, number, endings, of_ending = self._arrays
+        head = pc.fill_null(pc.index_in(words, value_set=head_words), -1).to_numpy()
+        numbers, rest = number[head], np.flatnonzero(head < 0)
+        ending = pc.index_in(pc.binary_slice(words.take(pa.array(rest)), -TAIL), value_set=endings)
+        numbers[rest] = of_ending[pc.fill_null(ending, -1).to_numpy()]
         return numbers, head
 
 
+@dataclass
+class Lines:
+    """Some texts as one row of tokens, with an end before and behind the words of each text."""
+    #: All words with repeats, then the end; the place in ``words`` of each token; the tokens that are a text's first end.
+    words: pa.Array
+    word: np.ndarray
+    first: np.ndarray
+
+    @cached_property
+    def follow(self) -> np.ndarray:
+        """All tokens that have one before them."""
+        inner = np.ones(len(self.word), bool)
+        inner[self.first] = False
+        return np.flatnonzero(inner)
+
+    def look_up(self, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+        """As ``Vocabulary.look_up``, for each token."""
+        numbers, head = vocab.look_up(self.words)
+        return numbers[self.word], head[self.word]
+
+    def tail(self, head: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """The tokens to predict that are not in the head, and the place of each in the distinct words."""
+        b = self.follow[head[self.follow] < 0]
+        coded = self.words.take(pa.array(self.word[b])).dictionary_encode()
+        return b, coded.indices.to_numpy().astype(np.int64), coded.dictionary
+
+
+def lines(texts: pa.Array) -> Iterator[Lines]:
+    """The tokens of ``words_of``, for about ``PIECE`` bytes of texts at once."""
+    texts = pc.fill_null(texts, "")
+    piece = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)) // PIECE
+    cuts = [0, *(np.flatnonzero(piece[1:] != piece[:-1]) + 1).tolist(), len(texts)]
+    for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+        if start == stop:
+            continue
+        parts = pc.ascii_split_whitespace(pc.ascii_lower(texts[start:stop]))
+        words = parts.flatten().cast(pa.binary())
+        real = pc.greater(pc.binary_length(words), 0)  # blanks around a text leave empty parts
+        ends = np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))
+        counts = np.diff(np.r_[0, np.cumsum(real.to_numpy(zero_copy_only=False))[ends - 1]])
+        words, behind = words.filter(real), np.cumsum(counts + 2)
+        word = np.full(behind[-1], len(words), np.int32)
+        inner = np.ones(len(word), bool)
+        inner[behind - 1] = inner[behind - 2 - counts] = False
+        word[inner] = np.arange(len(words))
+        yield Lines(pa.concat_arrays([words, pa.array([END], pa.binary())]), word, behind - 2 - counts)
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for line in lines(batch.column("text")):
+            coded = line.words.dictionary_encode()
+            at = coded.indices.to_numpy()
+            counts = np.bincount(at)
+            counts[at[-1]] = len(line.first)
+            yield pa.RecordBatch.from_arrays([coded.dictionary, pa.array(counts, pa.int64())], names=["word", "c"])
+
+
 def _bigrams(sent, units: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab: Vocabulary = sent.value
-        table, held, size = np.zeros(units * units, np.int64), [], 0
-        end = vocab.look_up([END])[0]
+        table = np.zeros(units * units, np.int64)
         for batch in batches:
-            for text in batch.column("text"):
-                line = np.concatenate([end, vocab.look_up(words_of(text.as_py()))[0], end])
-                held.append(line[:-1] * units + line[1:])
-                size += len(line)
-                if size > 1 << 20:
-                    table += np.bincount(np.concatenate(held), minlength=len(table))
-                    held, size = [], 0
-        if held:
-            table += np.bincount(np.concatenate(held), minlength=len(table))
+            for line in lines(batch.column("text")):
+                number, b = line.look_up(vocab)[0], line.follow
+                table += np.bincount(number[b - 1] * units + number[b], minlength=len(table))
         seen = np.flatnonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(table[seen])], names=["pair", "n"])
     return run
@@ -172,11 +216,11 @@ def _neighbours(sent, own: int, classes: int):
         vocab: Vocabulary = sent.value
         codes, size = [], 0
         for batch in batches:
-            for text in batch.column("text"):
-                cls, head = vocab.look_up([END, *words_of(text.as_py()), END])
-                a, b = head[:-1], head[1:]
-                to, of, twice = np.flatnonzero(b >= own), np.flatnonzero(a >= own), np.flatnonzero((b >= own) & (a == b))
-                codes += [b[to] * slots + cls[to], a[of] * slots + classes + cls[of + 1], a[twice] * slots + 2 * classes]
+            for line in lines(batch.column("text")):
+                cls, place = line.look_up(vocab)
+                head, b = place.astype(np.int64), line.follow
+                to, of, twice = b[head[b] >= own], b[head[b - 1] >= own] - 1, b[(head[b] >= own) & (head[b] == head[b - 1])]
+                codes += [head[to] * slots + cls[to - 1], head[of] * slots + classes + cls[of + 1], head[twice] * slots + 2 * classes]
                 size += 2 * len(to)
                 if size > 1 << 22:
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in _runs(codes)], names=["code", "n"])
@@ -189,29 +233,22 @@ def _class_pairs(sent, classes: int):
     """(word, slot, n): the class before each word outside the head. (pair, n): classes before and of head words, as one number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab: Vocabulary = sent.value
-        table, tail = np.zeros(classes * classes, np.int64), Counter()
+        table = np.zeros(classes * classes, np.int64)
 
-        def out(words: list, pairs: list, slots: list, n: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(pairs, pa.int32()), pa.array(slots, pa.int32()),
-                                               pa.array(n, pa.int64())], names=["word", "pair", "slot", "n"])
-
-        def of_tail() -> pa.RecordBatch:
-            return out([w for w, _ in tail], [None] * len(tail), [k for _, k in tail], list(tail.values()))
+        def out(words: pa.Array, pairs: pa.Array, slots: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([words, pairs, pa.array(slots, pa.int32()), pa.array(n, pa.int64())], names=["word", "pair", "slot", "n"])
 
         for batch in batches:
-            for text in batch.column("text"):
-                line = [END, *words_of(text.as_py()), END]
-                cls, head = vocab.look_up(line)
-                known = head[1:] >= 0
-                table += np.bincount((cls[:-1] * classes + cls[1:])[known], minlength=len(table))
-                rest = np.flatnonzero(~known)
-                tail.update(zip([line[i + 1] for i in rest.tolist()], cls[rest].tolist(), strict=True))
-                if len(tail) >= HELD_WORDS:
-                    yield of_tail()
-                    tail.clear()
-        yield of_tail()
+            for line in lines(batch.column("text")):
+                cls, head = line.look_up(vocab)
+                b = line.follow
+                known = b[head[b] >= 0]
+                table += np.bincount(cls[known - 1] * classes + cls[known], minlength=len(table))
+                b, word, words = line.tail(head)
+                code, n = _runs([word * classes + cls[b - 1]])
+                yield out(words.take(pa.array(code // classes)), pa.nulls(len(code), pa.int32()), code % classes, n)
         seen = np.flatnonzero(table)
-        yield out([None] * len(seen), seen.tolist(), [0] * len(seen), table[seen].tolist())
+        yield out(pa.nulls(len(seen), pa.binary()), pa.array(seen, pa.int32()), np.zeros(len(seen)), table[seen])
     return run
 
 
@@ -266,43 +303,73 @@ def exchange(n: np.ndarray, classes: int = SIZES.classes, sweeps: int = SWEEPS)
 
 
 def best_class(pairs: np.ndarray, own: int, r: np.ndarray, l: np.ndarray, self_n: float) -> int:
-    """The class that a word of class ``own`` goes to by the measure of ``exchange``.
+    """``best_classes`` of one word."""
+    return int(best_classes(pairs, np.array([own]), r[None, :], l[None, :], np.array([self_n]))[0])
+
 
-    ``r`` and ``l`` are its counts with the classes after and before it. Only
-    cells that its counts touch can change, so a rare word costs little.
+def best_classes(pairs: np.ndarray, own: np.ndarray, r: np.ndarray, l: np.ndarray, self_n: np.ndarray) -> np.ndarray:
+    """The classes that words of classes ``own`` go to, each for itself, by the measure of ``exchange``.
+
+    Row by row, ``r`` and ``l`` are a word's counts with the classes after and
+    before it, ``self_n`` those with itself. Only cells that its counts touch
+    can change, and what a count changes in a cell of another class is the
+    same for all words: it is worked out once for equal counts.
     """
-    r, l = r.copy(), l.copy()
-    r[own] -= self_n
-    l[own] -= self_n
-    after, before, diagonal = pairs.sum(axis=1) - l, pairs.sum(axis=0) - r, np.diagonal(pairs).copy()
-    after[own] -= r.sum() + self_n
-    before[own] -= l.sum() + self_n
-    diagonal[own] -= r[own] + l[own] + self_n
-
-    def along(m: np.ndarray, counts: np.ndarray, others: np.ndarray) -> np.ndarray:
-        touched = np.flatnonzero(counts)
-        cells = m[:, touched].copy()
-        cells[own] -= counts[touched]
-        cells[:, touched == own] -= others[:, None]
-        cells[own, touched == own] -= self_n
-        change = _xlogx(cells + counts[touched]) - _xlogx(cells)
-        change[touched, np.arange(len(touched))] = 0
-        return change.sum(axis=1)
-
-    gain = (along(pairs, r, l) + along(pairs.T, l, r) + _xlogx(diagonal + r + l + self_n) - _xlogx(diagonal)
-            - _xlogx(after + r.sum() + self_n) + _xlogx(after) - _xlogx(before + l.sum() + self_n) + _xlogx(before))
-    new = int(gain.argmax())
-    return own if gain[new] <= gain[own] + 1e-9 else new
-
-
-def _counted(held: pa.ListArray, length: int) -> Iterator[np.ndarray]:
-    """For each list of (slot, n) the counts by slot."""
-    ends, (slot, n) = np.cumsum(pc.list_value_length(held).to_numpy(zero_copy_only=False)), held.flatten().flatten()
-    slot, n = slot.to_numpy(), n.to_numpy()
-    for first, last in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
-        counts = np.zeros(length)
-        counts[slot[first:last]] = n[first:last]
-        yield counts
+    w, r, l = np.arange(len(own)), r.copy(), l.copy()
+    r[w, own] -= self_n
+    l[w, own] -= self_n
+    r_own, l_own, r_sum, l_sum = r[w, own], l[w, own], r.sum(axis=1) + self_n, l.sum(axis=1) + self_n
+    after, before, diagonal = pairs.sum(axis=1) - l, pairs.sum(axis=0) - r, np.repeat(np.diagonal(pairs)[None, :], len(own), axis=0)
+    after[w, own] -= r_sum
+    before[w, own] -= l_sum
+    diagonal[w, own] -= r_own + l_own + self_n
+
+    def along(m: np.ndarray, counts: np.ndarray, own_n: np.ndarray, others: np.ndarray) -> np.ndarray:
+        gain = np.zeros(counts.shape)
+        word, touched = np.nonzero(counts)
+        apart = touched != own[word]
+        word, touched = word[apart], touched[apart]
+        n = counts[word, touched]
+        there, stays = m.T, np.zeros(len(own))
+        for at in range(0, len(word), step := max(1, CELLS // len(m))):
+            i = slice(at, at + step)
+            (t, c), which = _distinct(touched[i], n[i])
+            change = _xlogx(there[t] + c[:, None]) - _xlogx(there[t])
+            change[np.arange(len(t)), t] = 0
+            starts = np.flatnonzero(np.r_[True, word[i][1:] != word[i][:-1]])
+            gain[word[i][starts]] += np.add.reduceat(change[which], starts, axis=0)
+            cell = m[own[word[i]], touched[i]]  # without the word itself, in its own class
+            stays += np.bincount(word[i], _xlogx(cell) - _xlogx(cell - n[i]), len(own))
+        gain[w, own] = stays
+        near = np.flatnonzero(own_n)  # next to words of its own class, where the cells are without the word too
+        cells = there[own[near]] - others[near]
+        change = _xlogx(cells + own_n[near, None]) - _xlogx(cells)
+        change[np.arange(len(near)), own[near]] = 0
+        gain[near] += change
+        return gain
+
+    gain = (along(pairs, r, r_own, l) + along(pairs.T, l, l_own, r) + _xlogx(diagonal + r + l + self_n[:, None]) - _xlogx(diagonal)
+            - _xlogx(after + r_sum[:, None]) + _xlogx(after) - _xlogx(before + l_sum[:, None]) + _xlogx(before))
+    new = gain.argmax(axis=1)
+    return np.where(gain[w, new] <= gain[w, own] + 1e-9, own, new)
+
+
+def _distinct(t: np.ndarray, c: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """The distinct pairs of ``t`` and ``c``, and the place of each pair among them."""
+    order = np.lexsort((c, t))
+    t, c = t[order], c[order]
+    new = np.r_[True, (t[1:] != t[:-1]) | (c[1:] != c[:-1])]
+    which = np.empty(len(t), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return (t[new], c[new]), which
+
+
+def _counted(held: pa.ListArray, length: int) -> np.ndarray:
+    """A row of counts by slot for each list of (slot, n)."""
+    row, (slot, n) = np.repeat(np.arange(len(held)), pc.list_value_length(held).to_numpy(zero_copy_only=False)), held.flatten().flatten()
+    counts = np.zeros((len(held), length))
+    counts[row, slot.to_numpy()] = n.to_numpy()
+    return counts
 
 
 def _head_classes(sent, sent_pairs):
@@ -310,25 +377,33 @@ def _head_classes(sent, sent_pairs):
         vocab, pairs = sent.value, sent_pairs.value
         k = len(pairs)
         for batch in batches:
-            chosen = [best_class(pairs, int(vocab.number[p]), c[k:2 * k], c[:k], c[-1])
-                      for p, c in zip(batch.column("place").to_pylist(), _counted(batch.column("held"), 2 * k + 1), strict=True)]
+            c = _counted(batch.column("held"), 2 * k + 1)
+            chosen = best_classes(pairs, vocab.number[batch.column("place").to_numpy()], c[:, k:2 * k], c[:, :k], c[:, -1])
             yield pa.RecordBatch.from_arrays([batch.column("place"), pa.array(chosen, pa.int32())], names=["place", "cls"])
     return run
 
 
 def _tail_classes(sent, sent_pairs):
-    """Adds ``cls`` to the rows of words; those of class pairs pass."""
+    """(word, c, cls). (pair, c): classes before and of all words, as one number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, pairs = sent.value, sent_pairs.value
-        none = np.zeros(len(pairs))
+        k = len(pairs)
+        table = np.zeros(k * k, np.int64)
         for batch in batches:
-            cls = []
-            for w, c, counts in zip(batch.column("word").to_pylist(), batch.column("c").to_pylist(),
-                                    _counted(batch.column("held"), len(pairs)), strict=True):
-                own = None if w is None else vocab.by_ending(w)
-                cls.append(own if w is None or c < LEAST else best_class(pairs, own, none, counts, 0.0))
-            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("word", "pair", "c", "held")), pa.array(cls, pa.int32())],
-                                             names=["word", "pair", "c", "held", "cls"])
+            of_pair = batch.filter(batch.column("pair").is_valid())
+            np.add.at(table, of_pair.column("pair").to_numpy(), of_pair.column("c").to_numpy())
+            batch = batch.filter(batch.column("pair").is_null())
+            counts, c = _counted(batch.column("held"), k), batch.column("c").to_numpy()
+            cls = vocab.look_up(batch.column("word"))[0].astype(np.int64)  # that of the ending: none of the words is in the head
+            often = np.flatnonzero(c >= LEAST)
+            cls[often] = best_classes(pairs, cls[often], np.zeros((len(often), k)), counts[often], np.zeros(len(often)))
+            row, slot = np.nonzero(counts)
+            table += np.bincount(slot * k + cls[row], counts[row, slot], k * k).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.nulls(len(batch), pa.int32()), batch.column("c"), pa.array(cls, pa.int32())],
+                                             names=["word", "pair", "c", "cls"])
+        seen = np.flatnonzero(table)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(seen), pa.binary()), pa.array(seen, pa.int32()), pa.array(table[seen]), pa.nulls(len(seen), pa.int32())],
+                                         names=["word", "pair", "c", "cls"])
     return run
 
 
@@ -343,22 +418,32 @@ class Model:
     total: float
 
 
+def _scored_lines(line: Lines, m: Model) -> list[pa.Array]:
+    """The columns after ``doc_id``, a row for each text."""
+    cls, head = line.look_up(m.vocab)
+    texts = len(line.first)
+    text = np.repeat(np.arange(texts), np.diff(np.r_[line.first, len(line.word)]))
+    known = line.follow[head[line.follow] >= 0]
+    of = text[known]
+    # The classes of all other words are not known here: they go out with the class before them.
+    b, word, words = line.tail(head)
+    classes = len(m.gain)
+    code, times = _runs([(text[b] * (len(words) + 1) + word) * classes + cls[b - 1]])
+    pair = code // classes
+    starts = pa.array(np.searchsorted(pair // (len(words) + 1), np.arange(texts + 1)), pa.int32())
+    cols = [np.bincount(text[line.follow], minlength=texts), np.bincount(of, minlength=texts), np.bincount(of, m.head_score[head[known]], texts),
+            np.bincount(of, m.gain[cls[known - 1], cls[known]], texts)]
+    lists = [words.take(pa.array(pair % (len(words) + 1))), pa.array(times, pa.int64()), pa.array(code % classes, pa.int32())]
+    return [*(pa.array(c, t) for c, t in zip(cols, _TYPES[:4], strict=True)), *(pa.ListArray.from_arrays(starts, x) for x in lists)]
+
+
 def _score(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = sent.value
         for batch in batches:
-            rows = []
-            for text in batch.column("text"):
-                line = [END, *words_of(text.as_py()), END]
-                cls, head = m.vocab.look_up(line)
-                known = head[1:] >= 0
-                gain = m.gain[cls[:-1][known], cls[1:][known]]
-                # The classes of all other words are not known here: they go out with the class before them.
-                tail = Counter((line[i], int(cls[i - 1])) for i in (np.flatnonzero(~known) + 1).tolist())
-                rows.append((len(line) - 1, int(known.sum()), float(m.head_score[head[1:][known]].sum()), float(gain.sum()),
-                             [w for w, _ in tail], list(tail.values()), [k for _, k in tail]))
-            cols = list(zip(*rows, strict=True)) if rows else [()] * 7
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(cols, _TYPES, strict=True))], names=_NAMES)
+            rows = [_scored_lines(line, m) for line in lines(batch.column("text"))]
+            cols = [pa.concat_arrays(c) for c in zip(*rows, strict=True)] if rows else [pa.array([], t) for t in _TYPES]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *cols], names=_NAMES)
     return run
 
 
@@ -421,11 +506,9 @@ def train(docs: DataFrame, sizes: Sizes = SIZES) -> tuple[Model, DataFrame]:
     tail = (learned.mapInArrow(_class_pairs(sent, classes), "word binary, pair int, slot int, n long").repartition("word", "pair")
             .groupBy("word", "pair", "slot").agg(F.sum("n").alias("n"))
             .groupBy("word", "pair").agg(F.sum("n").alias("c"), F.collect_list(F.struct("slot", "n")).alias("held")))
-    kind = "word binary, pair int, c long, held array<struct<slot: int, n: long>>, cls int"
-    tail = materialize(tail.mapInArrow(_tail_classes(sent, seen_pairs), kind), "lm-words")
+    tail = materialize(tail.mapInArrow(_tail_classes(sent, seen_pairs), "word binary, pair int, c long, cls int"), "lm-words")
     words = tail.filter("word is not null").select("word", "c", "cls")
-    before = tail.filter("word is not null").select("cls", F.explode("held").alias("h")).select((F.col("h.slot") * classes + F.col("cls")).alias("pair"), F.col("h.n").alias("c"))
-    found = tail.filter("pair is not null").select("pair", "c").unionByName(before).groupBy("pair").agg(F.sum("c").alias("n")).toPandas()  # classes ** 2 rows
+    found = tail.filter("pair is not null").groupBy("pair").agg(F.sum("c").alias("n")).toPandas()  # classes ** 2 rows
     bigrams = np.zeros(classes * classes)
     bigrams[found["pair"].to_numpy(np.int64)] = found["n"]
     bigrams = bigrams.reshape(classes, classes)

@@ -1,10 +1,12 @@
 import hashlib
 import math
 import random
+import sys
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -449,6 +451,94 @@ def test_best_class_is_the_dense_exchange_step():
         assert values[new] == pytest.approx(max(values), abs=1e-6)
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.integers(0, 2**32), st.integers(2, 9), st.integers(1, 40))
+def test_best_classes_are_those_of_the_dense_exchange_step(seed, k, words):
+    """Many words at once, with equal and different counts, some next to themselves, some without words after them."""
+    r = np.random.default_rng(seed)
+    units = words + 5
+    n = np.where(r.random((units, units)) < 0.3, r.integers(1, 4, (units, units)), 0).astype(float)
+    n[r.integers(units, size=units // 3)] = 0
+    cls = r.integers(k, size=units)
+    member = np.eye(k)[cls]
+    pairs, right, left, own_n = member.T @ n @ member, n @ member, n.T @ member, np.diagonal(n)
+    x = lm._xlogx
+
+    def values(u):
+        rest = n.copy()
+        rest[u] = rest[:, u] = 0
+        base, a, b = member.T @ rest @ member, right[u].copy(), left[u].copy()
+        a[cls[u]] -= n[u, u]
+        b[cls[u]] -= n[u, u]
+        for g in range(k):
+            p = base.copy()
+            p[g] += a
+            p[:, g] += b
+            p[g, g] += n[u, u]
+            after, before = base[g].sum(), base[:, g].sum()
+            yield x(p).sum() - x(after + a.sum() + n[u, u]) + x(after) - x(before + b.sum() + n[u, u]) + x(before)
+    for cells in (1, 1 << 22):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(lm, "CELLS", cells)
+            new = lm.best_classes(pairs, cls[:words], right[:words], left[:words], own_n[:words])
+        for u in range(words):
+            each = list(values(u))
+            assert each[new[u]] == pytest.approx(max(each), abs=1e-6)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.none() | st.text(alphabet="aAbZ\u00c9\u0085 \t\n\x0b\x0c\r\x1c\x00", max_size=12), max_size=12), st.integers(1, 30))
+def test_lines_are_the_words_between_two_ends(texts, piece):
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(lm, "PIECE", piece)
+        got = list(lm.lines(pa.array(texts, pa.string())))
+    tokens = [x for line in got for x in line.words.take(pa.array(line.word)).to_pylist()]
+    assert tokens == [x for t in texts for x in [b"", *lm.words_of(t), b""]]
+    assert sum(len(line.follow) for line in got) == sum(1 + len(lm.words_of(t)) for t in texts)
+    counts = Counter()
+    for b in lm._count([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])]):
+        assert len(set(b.column("word").to_pylist())) == len(b)
+        counts.update(dict(zip(b.column("word").to_pylist(), b.column("c").to_pylist(), strict=True)))
+    assert counts == Counter(x for t in texts for x in [*lm.words_of(t), b""])
+
+
+def test_words_are_looked_up_by_head_and_ending():
+    vocab = lm.Vocabulary({b"": 0, b"abc": 1, b"x": 2}, np.array([5, 6, 7]), {b"abc": 8, b"x": 9, b"\xc3\xa9": 10}, 11)
+    words = [b"x", b"zabc", b"abc", b"bc", b"", b"yx", b"\xc3\xa9", b"q\xc3\xa9"]
+    number, head = vocab.look_up(pa.array(words, pa.binary()))
+    assert head.tolist() == [vocab.index.get(w, -1) for w in words]
+    assert number.tolist() == [vocab.number[vocab.index[w]] if w in vocab.index else vocab.by_ending(w) for w in words]
+    empty = lm.Vocabulary({}, np.zeros(0, np.int64), {}, 3)
+    assert [x.tolist() for x in empty.look_up(pa.array([b"", b"a"], pa.binary()))] == [[3, 3], [-1, -1]]
+
+
+def test_no_python_call_for_each_token_or_word():
+    """The work in tasks is done by numpy and Arrow: calls grow with pieces and batches, not with tokens and words."""
+    words = [f"w{k}x{k % 7}" for k in range(3000)]
+    texts = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([" ".join(words * 10)])], names=["doc_id", "text"])
+    vocab = lm.Vocabulary({w.encode(): k for k, w in enumerate(words[:1000])}, np.arange(1000) % 7, {f"{k}x1".encode(): 3 for k in range(9)}, 7)
+    model = lm.Model(vocab, np.ones(1000), np.zeros(1000), np.zeros((8, 8)), np.zeros(8), 1, 1.0)
+    r = np.random.default_rng(1)
+    held = [[{"slot": int(k), "n": int(r.integers(1, 9))} for k in r.choice(8, 3, replace=False)] for _ in words]
+    kind = pa.list_(pa.struct([("slot", pa.int32()), ("n", pa.int64())]))
+    tail = pa.RecordBatch.from_arrays([pa.array([w.encode() for w in words]), pa.nulls(3000, pa.int32()), pa.array([9] * 3000), pa.array(held, kind)],
+                                      names=["word", "pair", "c", "held"])
+
+    def sent(value):
+        return type("Sent", (), {"value": value})
+    pairs = sent(r.integers(1, 99, (8, 8)).astype(float))
+    for run, batch in ((lm._count, texts), (lm._bigrams(sent(vocab), 8), texts), (lm._neighbours(sent(vocab), 5, 8), texts),
+                       (lm._class_pairs(sent(vocab), 8), texts), (lm._score(sent(model)), texts), (lm._tail_classes(sent(vocab), pairs), tail)):
+        calls = Counter()
+        sys.setprofile(lambda frame, event, arg, calls=calls: calls.update([event]))
+        try:
+            for _ in run([batch]):
+                pass
+        finally:
+            sys.setprofile(None)
+        assert 0 < sum(calls.values()) < 2500
+
+
 def test_exchange_finds_planted_classes():
     r = np.random.default_rng(2)
     units, groups = 40, 4
